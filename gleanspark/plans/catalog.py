@@ -1,0 +1,101 @@
+"""Registered queries over the driver tables and their DuckDB oracle SQL.
+
+Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
+tables. Column names match the oracle SQL one for one. Computed doubles are rounded
+in both, so the compare does not depend on summation order.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gleanspark.plans import products, render
+from gleanspark.sources.tables import table
+
+QUERIES: dict = {}
+ORACLE: dict = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql.strip()
+        return fn
+    return deco
+
+
+# ---------------------------------------------------------------------------
+# Product listing: extraction round trip, keep-first, top-k
+
+_SLUG = "regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g')"
+
+
+@register("listing_extract", f"""
+SELECT page, pos, name, price, price_num, url FROM (
+  SELECT p_partkey // 40 AS page,
+         CAST(row_number() OVER (PARTITION BY p_partkey // 40 ORDER BY p_partkey) - 1 AS INTEGER) AS pos,
+         p_name AS name, '৳ ' || printf('%.2f', p_retailprice) AS price,
+         p_retailprice AS price_num,
+         'https://shop.example/p/' || {_SLUG} || '-i' || CAST(p_partkey AS VARCHAR) || '.html' AS url,
+         p_size
+  FROM part) t
+WHERE p_size <= 45
+""")
+def q_listing_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """Cards of rendered listing pages -> rows."""
+    pages = render.listing_pages(table(spark, sf, "part"))
+    return products.listing(pages)
+
+
+@register("dedup_first", f"""
+SELECT page, pos, name, price, price_num, url FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY page, pos) AS rn FROM (
+    SELECT p_partkey // 40 AS page,
+           CAST(row_number() OVER (PARTITION BY p_partkey // 40 ORDER BY p_partkey) - 1 AS INTEGER) AS pos,
+           p_name AS name, '৳ ' || printf('%.2f', p_retailprice) AS price,
+           p_retailprice AS price_num,
+           'https://shop.example/p/' || {_SLUG} || '.html' AS url, p_size
+    FROM part) a
+  WHERE p_size <= 45) b
+WHERE rn = 1
+""")
+def q_dedup_first(spark, sf):
+    """F01 + F03: URLs depend on the name only; validate, then keep the first card
+    (page, pos) per normalized URL."""
+    pages = render.listing_pages(table(spark, sf, "part"), url_by_name=True)
+    return products.listing(pages)
+
+
+@register("dedup_seen_before_filter", f"""
+SELECT page, pos, name, price, price_num, url FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY page, pos) AS rn FROM (
+    SELECT p_partkey // 40 AS page,
+           CAST(row_number() OVER (PARTITION BY p_partkey // 40 ORDER BY p_partkey) - 1 AS INTEGER) AS pos,
+           p_name AS name,
+           CASE WHEN p_size <= 45 THEN '৳ ' || printf('%.2f', p_retailprice) END AS price,
+           CASE WHEN p_size <= 45 THEN p_retailprice END AS price_num,
+           'https://shop.example/p/' || {_SLUG} || '.html' AS url
+    FROM part) a) b
+WHERE rn = 1 AND price IS NOT NULL
+""")
+def q_dedup_seen_before_filter(spark, sf):
+    """the URL is marked seen before validation, so an invalid first card hides
+    later valid ones with the same URL."""
+    pages = render.listing_pages(table(spark, sf, "part"), url_by_name=True)
+    return products.listing(pages, dedup_before_filter=True)
+
+
+@register("top_cheapest", f"""
+SELECT name, price, price_num, url FROM (
+  SELECT p_name AS name, '৳ ' || printf('%.2f', p_retailprice) AS price, p_retailprice AS price_num,
+         'https://shop.example/p/' || {_SLUG} || '-i' || CAST(p_partkey AS VARCHAR) || '.html' AS url
+  FROM part WHERE p_size <= 45) t
+ORDER BY price_num, url LIMIT 50
+""")
+def q_top_cheapest(spark, sf):
+    """H01 + H04: search clean table, cheapest 50 (the limit is the feature)."""
+    pages = render.listing_pages(table(spark, sf, "part"))
+    clean = products.search_clean(products.listing(pages))
+    return clean.orderBy(F.col("price_num").asc(), F.col("url").asc()).limit(50)

@@ -1,0 +1,77 @@
+"""Captured-page tables derived from the driver tables with Spark string functions.
+
+The pipelines start from captured pages; to check them against plain SQL at any
+scale, these functions render pages from the TPC-H-ish tables (the product is
+``part``, a detail page is ``lineitem`` grouped by part, a place is a ``customer``,
+...). Every page groups a bounded number of rows (``per_page``), ordered by key, so
+no group grows with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BASE = "https://shop.example"
+
+
+def esc(c) -> Column:
+    """HTML-escape text for an attribute or text node."""
+    c = F.col(c) if isinstance(c, str) else c
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+def slug(c) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-")
+
+
+def group_pages(cards: DataFrame, page_col: str, order_col: str, frag_col: str,
+                head: str, tail: str, extra_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Concatenate card fragments into one page per ``page_col``, in ``order_col`` order.
+
+    The group of a page is bounded by construction (``key div per_page``); the sort
+    is inside the group (``array_sort`` of structs), not a global sort.
+    """
+    agg = cards.groupBy(page_col, *extra_cols).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("k"),
+                                             F.col(frag_col).alias("f")))).alias("_cards"))
+    body = F.array_join(F.transform("_cards", lambda x: x["f"]), "")
+    return agg.select(F.col(page_col).alias("page"), *extra_cols,
+                      F.concat(F.lit(head), body, F.lit(tail)).alias("html"))
+
+
+# Page chrome shared by the rendered listing pages: a script holding card-like
+# markup, a comment, an entity, an unclosed <p>, nested whitespace.
+LISTING_HEAD = (
+    '<!DOCTYPE html><html><head><title>Results &amp; offers</title>'
+    '<script>var tpl = \'<div data-qa-locator="product-item"><a title="fake" href="/x">'
+    '</a><span class="ooOxS">৳ 1</span></div>\';</script></head><body>'
+    '<header><p>Showing   items\n <b>now</header><!-- <div data-qa-locator="product-item"> -->'
+    '<section class="grid">')
+LISTING_TAIL = '</section><footer><span class="ooOxS">৳ 0</span> footer</footer></body></html>'
+
+
+def listing_pages(part: DataFrame, per_page: int = 40, url_by_name: bool = False) -> DataFrame:
+    """Search/listing pages rendered from ``part``: one card per part, ``per_page``
+    cards per page (page = p_partkey div per_page). Parts with ``p_size > 45`` carry no
+    price element (an invalid card). With ``url_by_name`` the link depends on the name
+    only (plus a query string), so equal names give equal normalized URLs."""
+    href = (F.concat(F.lit("//shop.example/p/"), slug("p_name"), F.lit(".html?spm="),
+                     F.col("p_partkey").cast("string"))
+            if url_by_name else
+            F.concat(F.lit("//shop.example/p/"), slug("p_name"), F.lit("-i"),
+                     F.col("p_partkey").cast("string"), F.lit(".html?q=1")))
+    price = F.when(F.col("p_size") <= 45, F.concat(
+        F.lit('<span class="ooOxS">  ৳ '), F.format_number("p_retailprice", 2), F.lit(" </span>")
+    )).otherwise(F.lit(""))
+    card = F.concat(
+        F.lit('\n<div class="c" data-qa-locator="product-item"><div class="img"><a href="'),
+        esc(href), F.lit('"><img src="x.jpg"></a></div><div class="info"><a title="'),
+        esc("p_name"), F.lit('" href="'), esc(href), F.lit('">'), esc("p_name"),
+        F.lit("</a>"), price, F.lit("</div></div>"))
+    cards = part.select(F.floor(F.col("p_partkey") / per_page).alias("page"),
+                        "p_partkey", card.alias("card"))
+    return group_pages(cards, "page", "p_partkey", "card", LISTING_HEAD, LISTING_TAIL)
