@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanspark.operators import views
 from gleanspark.plans import products, render
 from gleanspark.sources.tables import table
 
@@ -99,3 +100,78 @@ def q_top_cheapest(spark, sf):
     pages = render.listing_pages(table(spark, sf, "part"))
     clean = products.search_clean(products.listing(pages))
     return clean.orderBy(F.col("price_num").asc(), F.col("url").asc()).limit(50)
+
+
+# ---------------------------------------------------------------------------
+# Listing x detail: enrichment, value score, value views
+
+_LISTING_CTE = f"""
+lst AS (
+  SELECT p_partkey, p_partkey // 40 AS page, p_name AS name,
+         '৳ ' || printf('%.2f', p_retailprice) AS price, p_retailprice AS price_num,
+         'https://shop.example/p/' || {_SLUG} || '-i' || CAST(p_partkey AS VARCHAR) || '.html' AS url,
+         p_type, p_brand, p_size
+  FROM part WHERE p_size <= 45),
+li AS (
+  SELECT l_partkey, count(*) AS n, floor(avg(l_quantity)) / 10.0 AS rating,
+         CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS answered,
+         min(l_suppkey) AS supp
+  FROM lineitem GROUP BY l_partkey),
+det AS (
+  SELECT lst.*, s_name,
+    CASE WHEN p_type NOT IN ('MEDIUM', 'PROMO') THEN li.rating END AS rating_score,
+    CASE WHEN p_type NOT IN ('MEDIUM', 'PROMO') THEN li.n END AS rating_count,
+    CASE WHEN p_type IN ('STANDARD', 'LARGE', 'ECONOMY') THEN li.answered END AS answered_questions,
+    CASE WHEN p_type NOT IN ('MEDIUM', 'PROMO') THEN p_brand END AS brand,
+    CASE WHEN p_type NOT IN ('MEDIUM', 'PROMO') THEN s_name END AS seller,
+    CASE WHEN p_type NOT IN ('MEDIUM', 'PROMO')
+         THEN p_type || ' ' || name || ' & more size ' || CAST(p_size AS VARCHAR) END AS description
+  FROM lst LEFT JOIN li ON li.l_partkey = lst.p_partkey
+  LEFT JOIN supplier ON s_suppkey = li.supp),
+fin AS (
+  SELECT page, name, price, price_num,
+    round(CASE WHEN price_num > 0 AND rating_score IS NOT NULL
+               THEN rating_score * (1 + coalesce(rating_count, 0) / 100.0) / price_num END, 6) AS value_score,
+    rating_score, rating_count, answered_questions, brand, seller, description, url
+  FROM det)"""
+
+
+def _final(spark, sf):
+    part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
+    lst = products.listing(render.listing_pages(part))
+    det = products.detail_table(render.detail_pages(part, li, supp))
+    return products.final_products(lst, det)
+
+
+@register("listing_detail", f"WITH {_LISTING_CTE} SELECT * FROM fin")
+def q_listing_detail(spark, sf):
+    """Listing left-joined with extracted details;
+    failed and missing detail pages give NULL detail columns."""
+    return views.value_views(_final(spark, sf))["Combined"]
+
+
+@register("value_views_cheapest", f"WITH {_LISTING_CTE} SELECT * FROM fin WHERE price_num IS NOT NULL")
+def q_value_cheapest(spark, sf):
+    """J07 Cheapest, H01."""
+    return views.value_views(_final(spark, sf))["Cheapest"]
+
+
+@register("value_views_top_rated", f"WITH {_LISTING_CTE} SELECT * FROM fin WHERE rating_score IS NOT NULL")
+def q_value_top_rated(spark, sf):
+    """J07 Top Rated, H03 (two keys descending, NULLs last)."""
+    return views.value_views(_final(spark, sf))["Top Rated"]
+
+
+@register("value_views_best_value", f"WITH {_LISTING_CTE} SELECT * FROM fin WHERE value_score IS NOT NULL")
+def q_value_best(spark, sf):
+    """J07 Best Value, H02; the flagship query."""
+    return views.value_views(_final(spark, sf))["Best Value"]
+
+
+@register("value_top10_rated", f"""WITH {_LISTING_CTE}
+SELECT * FROM fin WHERE rating_score IS NOT NULL
+ORDER BY rating_score DESC NULLS LAST, rating_count DESC NULLS LAST, url LIMIT 10""")
+def q_value_top10(spark, sf):
+    """H03 + H04 on the value table: best rated ten, count as second key."""
+    f = _final(spark, sf).na.drop(subset=["rating_score"])
+    return views.top_k(f, [("rating_score", "desc"), ("rating_count", "desc")], 10)

@@ -98,6 +98,6 @@ def final_products(listing_df: DataFrame, detail_df: DataFrame) -> DataFrame:
     front = [c for c in listing_df.columns if c not in ("url", "pos")]
     return j.select(
         *front,
-        value_score("rating_score", "rating_count", "price_num").alias("value_score"),
+        F.round(value_score("rating_score", "rating_count", "price_num"), 6).alias("value_score"),
         "rating_score", "rating_count", "answered_questions", "brand", "seller",
         "description", "url")

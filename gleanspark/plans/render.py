@@ -75,3 +75,64 @@ def listing_pages(part: DataFrame, per_page: int = 40, url_by_name: bool = False
     cards = part.select(F.floor(F.col("p_partkey") / per_page).alias("page"),
                         "p_partkey", card.alias("card"))
     return group_pages(cards, "page", "p_partkey", "card", LISTING_HEAD, LISTING_TAIL)
+
+
+def detail_stats(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Per-part review figures from ``lineitem`` (partial aggregation, one shuffle on
+    ``l_partkey``): rating = floor(avg quantity) / 10, count, answered = returned lines,
+    seller = name of the lowest supplier key."""
+    agg = lineitem.groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.floor(F.avg("l_quantity")) / 10.0).alias("rating"),
+        F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).cast("long").alias("answered"),
+        F.min("l_suppkey").alias("supp"))
+    return agg.join(supplier.select(F.col("s_suppkey").alias("supp"), "s_name"), "supp", "left")
+
+
+def detail_pages(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    """One captured detail page per part, by ``p_type``:
+    STANDARD/LARGE full page; ECONOMY fallback selectors only; SMALL count block
+    instead of review links; MEDIUM an empty (failed) page; PROMO not captured."""
+    st = detail_stats(lineitem, supplier)
+    p = part.filter(F.col("p_type") != "PROMO").join(
+        st, F.col("p_partkey") == F.col("l_partkey"), "inner")
+    url = F.concat(F.lit(BASE + "/p/"), slug("p_name"), F.lit("-i"),
+                   F.col("p_partkey").cast("string"), F.lit(".html"))
+    rating = F.concat(F.lit('<div class="score"><span class="score-average"> '),
+                      F.col("rating").cast("string"), F.lit(" </span><span>/5</span></div>"))
+    links = F.concat(
+        F.lit('<a class="pdp-review-summary__link" href="#r">'), F.col("n").cast("string"),
+        F.lit(' Ratings</a><a class="pdp-review-summary__link" href="#q">'),
+        F.col("answered").cast("string"), F.lit(" Answered Questions</a>"))
+    count_block = F.concat(F.lit('<div class="mod-rating"><div class="count">'),
+                           F.col("n").cast("string"), F.lit(" ratings</div></div>"))
+    desc = F.concat(F.lit("<p>"), esc("p_type"), F.lit(" "), esc("p_name"),
+                    F.lit(" &amp; more<br>\n   size "), F.col("p_size").cast("string"), F.lit("</p>"))
+    full = F.concat(
+        rating, links,
+        F.lit('<div class="pdp-product-brand"><a class="pdp-product-brand__brand-link" href="/b">'),
+        esc("p_brand"), F.lit("</a></div>"),
+        F.lit('<div class="seller-name__detail"><a class="seller-name__detail-name" href="/s">'),
+        esc("s_name"), F.lit("</a></div>"),
+        F.lit('<div class="html-content detail-content">'), desc, F.lit("</div>"))
+    fallback = F.concat(
+        rating, links,
+        F.lit('<div class="pdp-product-brand"><span>Brand:</span> <a href="/b">'), esc("p_brand"),
+        F.lit("</a></div>"),
+        F.lit('<div class="seller-name__detail"><a href="/s">'), esc("s_name"), F.lit("</a></div>"),
+        F.lit('<article class="lzd-article">'), desc, F.lit("</article>"))
+    counts_only = F.concat(
+        rating, count_block,
+        F.lit('<div class="pdp-product-brand"><a class="pdp-product-brand__brand-link" href="/b">'),
+        esc("p_brand"), F.lit("</a></div>"),
+        F.lit('<div class="seller-name__detail"><a class="seller-name__detail-name" href="/s">'),
+        esc("s_name"), F.lit("</a></div>"),
+        F.lit('<div class="html-content detail-content">'), desc, F.lit("</div>"))
+    body = (F.when(F.col("p_type").isin("STANDARD", "LARGE"), full)
+            .when(F.col("p_type") == "ECONOMY", fallback)
+            .when(F.col("p_type") == "SMALL", counts_only)
+            .otherwise(F.lit("<p>This page is not available</p>")))
+    html = F.concat(F.lit('<html><head><script>var x="<span class=\\"score-average\\">9</span>";'
+                          "</script></head><body><div class=\"pdp\"><h1>"), esc("p_name"),
+                    F.lit("</h1>"), body, F.lit("</div></body></html>"))
+    return p.select(url.alias("url"), html.alias("html"))
