@@ -122,7 +122,6 @@ def attr_regex(sel: str, attr: str) -> str:
     a = re.escape(attr)
     head = _prefix(steps)
     # re-open the last tag to capture the attribute inside it
-    last = steps[-1]
     tag_open = head[: -len(r"[^>]*>")]
     return rf"""(?is){tag_open}[^>]*?\s{a}\s*=\s*(["'])(.*?)\1"""
 
@@ -183,18 +182,40 @@ def _read_one(frag: Column, sel: str | None, f: Field) -> Column:
     return _nonempty(html_text(inner, f.mode))
 
 
+def _all_inner(frag: Column, steps: tuple[Step, ...]) -> Column:
+    """Inner HTML of every element matching the descendant chain ``steps``: every
+    match of the first step, then recursively inside each (so one ancestor can give
+    many descendants)."""
+    first = F.regexp_extract_all(frag, F.lit(rf"(?is){steps[0].open_regex()}(.*?)(?={steps[0].end_regex()})"), 1)
+    if len(steps) == 1:
+        return first
+    return F.flatten(F.transform(first, lambda x: _all_inner(x, steps[1:])))
+
+
 def _read_many(frag: Column, sel: str, f: Field) -> Column:
+    steps = parse_selector(sel)
+    scopes = _all_inner(frag, steps[:-1]) if len(steps) > 1 else F.array(frag)
     if f.attr:
-        vals = F.regexp_extract_all(frag, F.lit(attr_regex(sel, f.attr)), 2)
+        pat = F.lit(attr_regex(_step_sel(steps[-1]), f.attr))
+        vals = F.flatten(F.transform(scopes, lambda s: F.regexp_extract_all(s, pat, 2)))
         vals = F.transform(vals, lambda x: html_unescape(x))
     else:
-        vals = F.regexp_extract_all(frag, F.lit(element_regex(sel)), 1)
+        vals = F.flatten(F.transform(scopes, lambda s: _all_inner(s, steps[-1:])))
         vals = F.transform(vals, lambda x: html_text(x, f.mode))
     return F.filter(vals, lambda x: x != "")
 
 
+def _step_sel(st: Step) -> str:
+    """Selector text of one step (for re-compiling a single step)."""
+    out = st.tag or "*"
+    out += "".join(f".{c}" for c in st.classes)
+    for name, op, val in st.attrs:
+        out += f"[{name}]" if op is None else f'[{name}{op}"{val}"]'
+    return out
+
+
 def _read_has(frag: Column, f: Field) -> Column:
-    blocks = F.regexp_extract_all(frag, F.lit(element_regex(f.selector)), 1)
+    blocks = _all_inner(frag, parse_selector(f.selector))
     for h in f.has:
         pat = "(?is)" + _prefix(parse_selector(h))
         blocks = F.filter(blocks, lambda b, pat=pat: b.rlike(pat))

@@ -175,3 +175,169 @@ def q_value_top10(spark, sf):
     """H03 + H04 on the value table: best rated ten, count as second key."""
     f = _final(spark, sf).na.drop(subset=["rating_score"])
     return views.top_k(f, [("rating_score", "desc"), ("rating_count", "desc")], 10)
+
+
+# ---------------------------------------------------------------------------
+# Text, URL and page-level reads over documents and pages
+
+# DuckDB (RE2) spellings of the Java (?U) classes used by the Spark side.
+_WS = r"[\t\n\x{0b}\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_W = r"[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}]"
+
+
+def _sql_clean(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{_WS}', ' ', 'g'))"
+
+
+def _sql_unescape(x: str) -> str:
+    from gleanspark.functions.text import NAMED_ENTITIES
+    for ent, ch in NAMED_ENTITIES:
+        x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+def _sql_text(x: str) -> str:
+    """html_text(x, 'clean') in SQL."""
+    return _sql_clean(_sql_unescape(f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"))
+
+
+def _sql_noise(x: str) -> str:
+    return (f"regexp_replace({x}, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>',"
+            " '', 'g')")
+
+
+@register("clean_text", f"""
+SELECT doc_id, {_sql_clean('text')} AS text_clean FROM documents""")
+def q_clean_text(spark, sf):
+    """C01 over every document (Unicode whitespace collapsed, ends stripped)."""
+    from gleanspark.functions.text import clean_text
+    return table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text_clean"))
+
+
+@register("clean_all_text_columns", f"""
+SELECT conv_id, turn, {_sql_clean('role')} AS role, {_sql_clean('text')} AS text FROM conversations""")
+def q_clean_all_text_columns(spark, sf):
+    """Clean every string column of a table in one projection."""
+    from gleanspark.functions.text import clean_all_text_columns
+    return clean_all_text_columns(table(spark, sf, "conversations"))
+
+
+@register("normalize_url", r"""
+SELECT page_id,
+  lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' ||
+    regexp_replace(regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''),
+                   '[?#].*$', ''), ';[^/]*$', '') AS url_norm,
+  CASE WHEN regexp_matches(url, '^https?://')
+       THEN replace(regexp_extract(url, '^https?://([^/?#]*)', 1), 'www.', '') END AS domain,
+  CASE WHEN url IS NULL OR url = '' THEN 'No Website'
+       WHEN contains(lower(url), 'facebook.com') THEN 'Facebook'
+       WHEN contains(lower(url), 'instagram.com') THEN 'Instagram'
+       ELSE 'Official Website' END AS site_class
+FROM pages""")
+def q_normalize_url(spark, sf):
+    """C02, C17, C18, D15 over every captured page URL."""
+    from gleanspark.functions import get_domain, normalize_url, website_type
+    p = table(spark, sf, "pages")
+    return p.select("page_id", normalize_url("url", F.col("url")).alias("url_norm"),
+                    get_domain("url").alias("domain"), website_type("url").alias("site_class"))
+
+
+@register("email_docs", f"""
+SELECT doc_id, email FROM (
+  SELECT doc_id, regexp_extract(text, '[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+@[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+', 0) AS email
+  FROM documents) t WHERE email <> ''""")
+def q_email_docs(spark, sf):
+    """C23 over every document; documents without an address give no row."""
+    from gleanspark.functions.text import extract_email
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", extract_email("text").alias("email")).filter(F.col("email").isNotNull())
+
+
+@register("email_pages", f"""
+SELECT page_id, email FROM (
+  SELECT page_id, regexp_extract(html, '[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+@[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+', 0) AS email
+  FROM pages) t WHERE email <> ''""")
+def q_email_pages(spark, sf):
+    """C23 over captured pages (E06 reads the same column after the URL join)."""
+    from gleanspark.functions.text import extract_email
+    p = table(spark, sf, "pages")
+    return p.select("page_id", extract_email("html").alias("email")).filter(F.col("email").isNotNull())
+
+
+@register("extract_titles", f"""
+SELECT page_id, title FROM (
+  SELECT page_id, nullif({_sql_text("regexp_extract(" + _sql_noise("html") + ", '(?is)<title\\b[^>]*>(.*?)(</title\\s*>|$)', 1)")}, '') AS title
+  FROM pages) t""")
+def q_extract_titles(spark, sf):
+    """One record per page, the cleaned title text."""
+    from gleanspark.operators.extract import extract
+    from gleanspark.plans.specs import PAGE_TITLE
+    return extract(table(spark, sf, "pages"), PAGE_TITLE, keep=("page_id",))
+
+
+@register("extract_nav_links", f"""
+WITH nav AS (
+  SELECT page_id, regexp_extract({_sql_noise("html")}, '(?is)<nav\\b[^>]*>(.*?)(</nav\\s*>|$)', 1) AS nav FROM pages),
+lis AS (
+  SELECT page_id, unnest(string_split_regex(nav, '<li\\b[^>]*>')) AS li,
+         unnest(range(len(string_split_regex(nav, '<li\\b[^>]*>')))) AS i
+  FROM nav)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS pos,
+  nullif(regexp_extract(li, '<a\\b[^>]*?\\shref\\s*=\\s*"([^"]*)"', 1), '') AS href,
+  nullif({_sql_text("regexp_extract(regexp_replace(li, '(?s)</li\\s*>.*$', ''), '(?is)<a\\b[^>]*>(.*?)(</a\\s*>|$)', 1)")}, '') AS text,
+  CASE WHEN regexp_extract(li, '<a\\b[^>]*?\\shref\\s*=\\s*"([^"]*)"', 1) LIKE '/%'
+       THEN regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)
+            || regexp_replace(regexp_extract(li, '<a\\b[^>]*?\\shref\\s*=\\s*"([^"]*)"', 1), '[?#].*$', '') END AS link
+FROM lis JOIN (SELECT page_id AS pid, url AS u FROM pages) p ON p.pid = lis.page_id
+WHERE i > 0""")
+def q_extract_nav_links(spark, sf):
+    """One row per ``nav li`` with its link resolved against the
+    page URL."""
+    from gleanspark.functions.urls import normalize_url
+    from gleanspark.operators.extract import extract
+    from gleanspark.plans.specs import NAV_LINKS
+    p = table(spark, sf, "pages")
+    links = extract(p.select("page_id", "url", "html"), NAV_LINKS, keep=("page_id", "url"))
+    return links.select("page_id", "pos", "href", "text",
+                        normalize_url("href", F.col("url")).alias("link"))
+
+
+@register("extract_paragraphs", f"""
+WITH art AS (
+  SELECT page_id, regexp_extract({_sql_noise("html")}, '(?is)<article\\b[^>]*>(.*?)(</article\\s*>|$)', 1) AS a FROM pages),
+ps AS (
+  SELECT page_id, unnest(string_split_regex(a, '(?i)<p\\b[^>]*>')) AS piece,
+         unnest(range(len(string_split_regex(a, '(?i)<p\\b[^>]*>')))) AS i
+  FROM art),
+txt AS (
+  SELECT page_id, i, {_sql_text("regexp_replace(piece, '(?is)(</p\\s*>|<(div|h[1-6]|ul|ol|table|article|section|footer|nav|header|aside|form|pre|blockquote)\\b|</(div|article|section|body|td|li|main|aside|footer|header)\\s*>).*$', '')")} AS t
+  FROM ps WHERE i > 0)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos, t AS text
+FROM txt WHERE t <> ''""")
+def q_extract_paragraphs(spark, sf):
+    """B04 with a descendant selector: every ``article p`` text, an unclosed ``<p>``
+    ending where the next block starts."""
+    from gleanspark.operators.extract import extract
+    from gleanspark.plans.specs import PARAGRAPHS
+    x = extract(table(spark, sf, "pages"), PARAGRAPHS, keep=("page_id",))
+    return x.select("page_id", F.posexplode("paras").alias("pos", "text"))
+
+
+@register("page_flags", """
+SELECT page_id,
+  coalesce(contains(html, 'Captcha Interception'), false)
+    OR coalesce(contains(url, '_____tmd_____/punish'), false)
+    OR coalesce(contains(html, 'spam-farm'), false) AS is_blocked,
+  coalesce(contains(html, 'Logout'), false) AS logged_in,
+  coalesce(contains(lower(html), '</body>'), false) AS complete
+FROM pages""")
+def q_page_flags(spark, sf):
+    """Blocked-page and page-state flags for every captured page (a marker
+    list is a parameter; ``spam-farm`` marks link-farm pages in this data)."""
+    from gleanspark.functions.classify import is_blocked, is_logged_in
+    p = table(spark, sf, "pages")
+    return p.select("page_id",
+                    (is_blocked("html", "url") | F.coalesce(F.col("html").contains("spam-farm"),
+                                                            F.lit(False))).alias("is_blocked"),
+                    is_logged_in("html").alias("logged_in"),
+                    F.coalesce(F.lower("html").contains("</body>"), F.lit(False)).alias("complete"))
