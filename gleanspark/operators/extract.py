@@ -214,11 +214,14 @@ def _step_sel(st: Step) -> str:
     return out
 
 
+def _contains_pred(pat: str):
+    return lambda b: b.rlike(pat)
+
+
 def _read_has(frag: Column, f: Field) -> Column:
     blocks = _all_inner(frag, parse_selector(f.selector))
     for h in f.has:
-        pat = "(?is)" + _prefix(parse_selector(h))
-        blocks = F.filter(blocks, lambda b, pat=pat: b.rlike(pat))
+        blocks = F.filter(blocks, _contains_pred("(?is)" + _prefix(parse_selector(h))))
     first = F.get(blocks, 0)
     sub = Field(f.name, f.then, attr=f.attr, mode=f.mode)
     return _read_one(first, f.then, sub) if f.then else _nonempty(html_text(first, f.mode))
@@ -239,10 +242,17 @@ def field_column(frag: Column, f: Field) -> Column:
 
 def split_cards(html: Column, card: str, card_end: str | None = None) -> Column:
     """Array of card fragments in document order. The text before the first card
-    is dropped; the last card is cut at ``card_end`` when given."""
-    # A leading space makes element 0 always the prefix before the first card.
-    parts = F.split(F.concat(F.lit(" "), html), "(?i)(?=" + open_regex(card) + ")")
-    cards = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    is dropped; the last card is cut at ``card_end`` when given. With a descendant
+    selector (``nav li``) cards are cut only inside the ancestor elements."""
+    steps = parse_selector(card)
+    opener = "(?i)(?=" + steps[-1].open_regex() + ")"
+
+    def cut(scope: Column) -> Column:
+        # A leading space makes element 0 always the prefix before the first card.
+        parts = F.split(F.concat(F.lit(" "), scope), opener)
+        return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+    cards = F.flatten(F.transform(_all_inner(html, steps[:-1]), cut)) if len(steps) > 1 else cut(html)
     if card_end:
         cards = F.transform(cards, lambda x: F.regexp_replace(x, f"(?is){card_end}.*$", ""))
     return cards

@@ -341,3 +341,145 @@ def q_page_flags(spark, sf):
                                                             F.lit(False))).alias("is_blocked"),
                     is_logged_in("html").alias("logged_in"),
                     F.coalesce(F.lower("html").contains("</body>"), F.lit(False)).alias("complete"))
+
+
+# ---------------------------------------------------------------------------
+# Captured sites: catalogue, parallel lists, team tables, quotes, directory
+
+@register("catalogue", """
+SELECT p_partkey // 20 AS page,
+       CAST(row_number() OVER (PARTITION BY p_partkey // 20 ORDER BY p_partkey) - 1 AS INTEGER) AS pos,
+       p_name AS title, '£' || printf('%.2f', p_retailprice) AS price, p_size % 5 + 1 AS rating
+FROM part""")
+def q_catalogue(spark, sf):
+    """B09 (class token), C13 (strict word map), B03 (title attribute)."""
+    from gleanspark.plans import sites
+    return sites.catalogue(render.catalogue_pages(table(spark, sf, "part")))
+
+
+@register("countries_zip", """
+SELECT r_name AS page,
+       CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) - 1 AS INTEGER) AS pos,
+       n_name AS name, ' Capital of ' || n_name AS capital,
+       CAST(n_nationkey * 1000000 + 5 AS DOUBLE) AS population, n_regionkey * 1000.5 AS area
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def q_countries_zip(spark, sf):
+    """B06 positional zip, C10 strict double casts, C12 character removal."""
+    from gleanspark.plans import sites
+    return sites.countries(render.country_pages(table(spark, sf, "nation"), table(spark, sf, "region")))
+
+
+_HOCKEY_SQL = """
+SELECT s_suppkey // 25 AS page,
+       CAST(row_number() OVER (PARTITION BY s_suppkey // 25 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos,
+       s_name AS name, s_nationkey + 1990 AS year, s_nationkey + 10 AS wins, s_nationkey AS losses,
+       CASE WHEN s_acctbal < 0 THEN 0 ELSE s_nationkey END AS ot_losses,
+       CASE WHEN s_acctbal < 0 THEN 0.0 ELSE s_acctbal / 10000.0 END AS win_pct,
+       s_nationkey * 3 AS gf, s_nationkey * 2 AS ga, s_nationkey AS diff
+FROM supplier"""
+
+
+@register("hockey_rows", _HOCKEY_SQL)
+def q_hockey_rows(spark, sf):
+    """B07 table rows, C09 empty -> 0, C10 strict casts."""
+    from gleanspark.plans import sites
+    return sites.hockey(render.hockey_pages(table(spark, sf, "supplier")))
+
+
+@register("hockey_search", f"""
+WITH t AS ({_HOCKEY_SQL}),
+hits AS (SELECT * FROM t WHERE contains(lower(name), '#00000002')),
+pg AS (SELECT DISTINCT page FROM t),
+cnt AS (SELECT pg.page, count(hits.page) AS n FROM pg LEFT JOIN hits ON hits.page = pg.page GROUP BY pg.page),
+fe AS (SELECT min(page) AS first_empty FROM cnt WHERE n = 0)
+SELECT hits.* FROM hits, fe WHERE fe.first_empty IS NULL OR hits.page < fe.first_empty""")
+def q_hockey_search(spark, sf):
+    """D11 team-name search, D12 stop at the first page without results, F06."""
+    from gleanspark.plans import sites
+    return sites.hockey_search(render.hockey_pages(table(spark, sf, "supplier")), "#00000002")
+
+
+@register("quotes_tags", """
+SELECT user_id // 10 AS page,
+       CAST(row_number() OVER (PARTITION BY user_id // 10 ORDER BY user_id) - 1 AS INTEGER) AS pos,
+       '“Events of user ' || CAST(user_id AS VARCHAR) || '”' AS text,
+       'User ' || CAST(user_id AS VARCHAR) AS author, tags
+FROM (SELECT user_id, string_agg(event_type, ', ' ORDER BY event_type) AS tags
+      FROM (SELECT DISTINCT user_id, event_type FROM events) d GROUP BY user_id) u""")
+def q_quotes_tags(spark, sf):
+    """B04 all-match texts, B10 tags joined with ', ', card-first extraction."""
+    from gleanspark.plans import sites
+    return sites.quotes(render.quote_pages(table(spark, sf, "events")))
+
+
+@register("directory", """
+SELECT DISTINCT c_name AS name,
+  'House ' || CAST(c_custkey AS VARCHAR) || ', ' || n_name || ' , ' ||
+    CASE n_regionkey WHEN 0 THEN 'Dhaka' WHEN 1 THEN 'Dhaka-1207' WHEN 2 THEN 'DHAKA'
+                     WHEN 3 THEN 'Dhaka Road, Sylhet' ELSE 'Chittagong' END AS address,
+  CASE WHEN c_acctbal >= 0 THEN '+880 ' || CAST(c_custkey AS VARCHAR) END AS phone,
+  CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'Vehicle services' ELSE 'Restaurant' END AS category
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_regionkey IN (0, 1, 2) AND NOT (c_mktsegment = 'AUTOMOBILE' AND c_nationkey < 5)""")
+def q_directory(spark, sf):
+    """B08 icon-guarded phone, D01, D03 home-city filter, A09 category from the page,
+    F02 exact 4-column dedup of repeated cards."""
+    from gleanspark.plans import sites
+    return sites.directory(render.directory_pages(table(spark, sf, "customer"), table(spark, sf, "nation")))
+
+
+# ---------------------------------------------------------------------------
+# Bookstore suite
+
+_BOOK_CTE = """
+b AS (
+  SELECT p_partkey, p_type, p_size,
+    CASE WHEN p_type = 'PROMO' THEN p_name || ' Quran Tafsir'
+         WHEN p_type = 'LARGE' THEN p_name || ' হাদিস সংকলন' ELSE p_name END AS title,
+    p_brand AS author,
+    'TK. ' || CAST((CAST(floor(p_retailprice) AS INTEGER) - 900) * 6 AS VARCHAR) AS current_price,
+    CASE WHEN p_type = 'ECONOMY' THEN NULL
+         ELSE 'TK. ' || CAST((CAST(floor(p_retailprice) AS INTEGER) - 900) * 6 + p_size * 5 AS VARCHAR) END AS original_price,
+    CAST((CAST(floor(p_retailprice) AS INTEGER) - 900) * 6 AS DOUBLE) AS current_price_num,
+    CASE WHEN p_size > 10 THEN CAST(p_size - 10 AS BIGINT) END AS ratings_count,
+    CASE WHEN p_size > 25 THEN 'In Stock' ELSE 'Out of stock' END AS stock_text,
+    'https://books.example/book/' || CAST(p_partkey AS VARCHAR) || '/' || regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g') AS url
+  FROM part WHERE p_type NOT IN ('SMALL', 'MEDIUM')),
+clean AS (SELECT title, author, current_price, original_price, current_price_num, ratings_count, stock_text, url FROM b)"""
+
+
+def _books(spark, sf):
+    from gleanspark.plans import sites
+    raw = sites.books_raw(render.book_pages(table(spark, sf, "part")))
+    return raw, sites.books_clean(raw)
+
+
+def _book_view(name):
+    def fn(spark, sf):
+        raw, clean = _books(spark, sf)
+        return views.book_views(raw, clean)[name]
+    return fn
+
+
+register("book_clean", f"WITH {_BOOK_CTE} SELECT * FROM clean")(_book_view("Clean"))
+register("book_raw", f"""WITH {_BOOK_CTE}
+SELECT title AS raw_title, author AS raw_author, current_price AS raw_current_price,
+       original_price AS raw_original_price, ratings_count, stock_text, url FROM clean""")(_book_view("Raw"))
+register("book_most_expensive", f"WITH {_BOOK_CTE} SELECT * FROM clean")(_book_view("Most Expensive"))
+register("book_top_rated", f"WITH {_BOOK_CTE} SELECT * FROM clean WHERE ratings_count IS NOT NULL")(_book_view("Top Rated"))
+register("book_under_200", f"WITH {_BOOK_CTE} SELECT * FROM clean WHERE current_price_num < 200")(_book_view("Under 200"))
+register("book_200_to_500", f"WITH {_BOOK_CTE} SELECT * FROM clean WHERE current_price_num BETWEEN 200 AND 500")(_book_view("200 to 500"))
+register("book_above_500", f"WITH {_BOOK_CTE} SELECT * FROM clean WHERE current_price_num > 500")(_book_view("Above 500"))
+register("book_quran", f"WITH {_BOOK_CTE} SELECT * FROM clean WHERE regexp_matches(lower(title), 'কুরআন|quran|qur''an')")(_book_view("Quran"))
+register("book_hadith", f"WITH {_BOOK_CTE} SELECT * FROM clean WHERE regexp_matches(lower(title), 'হাদিস|hadith')")(_book_view("Hadith"))
+register("book_top_cheapest_50", f"WITH {_BOOK_CTE} SELECT * FROM clean ORDER BY current_price_num, url LIMIT 50")(_book_view("Top Cheapest 50"))
+
+
+@register("book_best", f"""WITH {_BOOK_CTE}
+SELECT *, round(ratings_count / current_price_num, 6) AS score FROM clean
+WHERE ratings_count >= 5 AND current_price_num > 0""")
+def q_book_best(spark, sf):
+    """D09 + C38: recommended books, score = ratings per taka."""
+    raw, clean = _books(spark, sf)
+    v = views.book_views(raw, clean)["Best Books Recommended"]
+    return v.withColumn("score", F.round("score", 6))

@@ -136,3 +136,169 @@ def detail_pages(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> D
                           "</script></head><body><div class=\"pdp\"><h1>"), esc("p_name"),
                     F.lit("</h1>"), body, F.lit("</div></body></html>"))
     return p.select(url.alias("url"), html.alias("html"))
+
+
+def hockey_pages(supplier: DataFrame, per_page: int = 25) -> DataFrame:
+    """Team-table pages from ``supplier``: one ``tr.team`` per supplier, typed cells keyed
+    by class; a negative balance leaves the OT-losses and win-% cells empty."""
+    neg = F.col("s_acctbal") < 0
+    cell = lambda cls, v: F.concat(F.lit(f'<td class="{cls}">\n      '), v, F.lit("\n    </td>"))
+    row = F.concat(
+        F.lit('\n<tr class="team">'),
+        cell("name", esc("s_name")),
+        cell("year", (F.col("s_nationkey") + 1990).cast("string")),
+        cell("wins", (F.col("s_nationkey") + 10).cast("string")),
+        cell("losses", F.col("s_nationkey").cast("string")),
+        cell("ot-losses", F.when(neg, F.lit("")).otherwise(F.col("s_nationkey").cast("string"))),
+        F.when(neg, F.lit('<td class="pct"></td>')).otherwise(
+            cell("pct", (F.col("s_acctbal") / 10000.0).cast("string"))),
+        cell("gf", (F.col("s_nationkey") * 3).cast("string")),
+        cell("ga", (F.col("s_nationkey") * 2).cast("string")),
+        cell("diff", F.col("s_nationkey").cast("string")),
+        F.lit("</tr>"))
+    cards = supplier.select(F.floor(F.col("s_suppkey") / per_page).alias("page"), "s_suppkey",
+                            row.alias("card"))
+    return group_pages(cards, "page", "s_suppkey", "card",
+                       '<html><body><table class="table"><tr><th>Team Name</th><th>Year</th></tr>',
+                       "</table><p>Per page</p></body></html>")
+
+
+def country_pages(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """One page per region listing its nations as four page-wide parallel lists."""
+    n = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    frag = F.concat(
+        F.lit('\n<div class="country"><h3 class="country-name">\n  <i class="flag"></i>\n  "'),
+        esc("n_name"), F.lit('"\n</h3><div class="country-info"><strong>Capital:</strong>'
+                             '<span class="country-capital"> Capital of '), esc("n_name"),
+        F.lit('</span><br><strong>Population:</strong><span class="country-population">'),
+        (F.col("n_nationkey").cast("long") * 1000000 + 5).cast("string"),
+        F.lit('</span><br><strong>Area (km<sup>2</sup>):</strong><span class="country-area"> '),
+        (F.col("n_regionkey") * 1000.5).cast("string"), F.lit("</span></div></div>"))
+    cards = n.select(F.col("r_name").alias("page"), "n_nationkey", frag.alias("card"))
+    return group_pages(cards, "page", "n_nationkey", "card", "<html><body><section>",
+                       "</section></body></html>")
+
+
+# The star-rating words and their numbers.
+RATING_WORDS = {"One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
+
+
+def catalogue_pages(part: DataFrame, per_page: int = 20) -> DataFrame:
+    """Catalogue pages from ``part``: title attribute, price text, star-rating word
+    (``p_size mod 5 + 1``)."""
+    word = F.element_at(F.array(*[F.lit(w) for w in RATING_WORDS]), (F.col("p_size") % 5 + 1).cast("int"))
+    card = F.concat(
+        F.lit('\n<li><article class="product_pod"><p class="star-rating '), word,
+        F.lit('"><i class="icon-star"></i></p><h3><a href="catalogue/'), slug("p_name"),
+        F.lit("_"), F.col("p_partkey").cast("string"), F.lit('/index.html" title="'), esc("p_name"),
+        F.lit('">'), esc(F.substring("p_name", 1, 5)), F.lit('...</a></h3><div class="product_price">'
+                                                          '<p class="price_color">  £'),
+        F.format_number("p_retailprice", 2), F.lit("  </p></div></article></li>"))
+    cards = part.select(F.floor(F.col("p_partkey") / per_page).alias("page"), "p_partkey",
+                        card.alias("card"))
+    return group_pages(cards, "page", "p_partkey", "card", '<html><body><ol class="row">',
+                       "</ol></body></html>")
+
+
+def quote_pages(events: DataFrame, per_page: int = 10, chain_len: int = 10) -> DataFrame:
+    """Quote pages from ``events``: one ``div.quote`` per user with the user's distinct
+    event types as tags; page = user_id div per_page. Pages are chained by a
+    ``li.next`` link in runs of ``chain_len`` (a new site starts every run).
+
+    Distinct (user, type) pairs are formed first (partial aggregation), so a user's
+    tag list is bounded by the number of event types, however many events it has.
+    """
+    pairs = events.select("user_id", "event_type").distinct()
+    tags = pairs.groupBy("user_id").agg(F.array_sort(F.collect_list("event_type")).alias("tags"))
+    tag_html = F.array_join(F.transform("tags", lambda t: F.concat(
+        F.lit('<a class="tag" href="/tag/'), t, F.lit('/">'), esc(t), F.lit("</a>"))), " ")
+    card = F.concat(
+        F.lit('\n<div class="quote"><span class="text">  “Events of user '),
+        F.col("user_id").cast("string"), F.lit('”</span><span>by <small class="author">User '),
+        F.col("user_id").cast("string"), F.lit('</small></span><div class="tags"> Tags: '),
+        tag_html, F.lit("</div></div>"))
+    cards = tags.select(F.floor(F.col("user_id") / per_page).alias("page"), "user_id",
+                        card.alias("card"))
+    pages = group_pages(cards, "page", "user_id", "card", "<html><body><main>", "</main>")
+    # a page links to the next one when that page exists and the run goes on
+    nxt_exists = pages.select((F.col("page") - 1).alias("page"), F.lit(True).alias("has_next"))
+    nxt = F.when(((F.col("page") + 1) % chain_len != 0) & F.col("has_next").isNotNull(),
+                 F.concat(F.lit('<nav><ul class="pager"><li class="next"><a href="/page/'),
+                          (F.col("page") + 1).cast("string"), F.lit('/">Next</a></li></ul></nav>'))
+                 ).otherwise(F.lit(""))
+    return pages.join(nxt_exists, "page", "left") \
+        .select("page", F.concat(F.lit("/page/"), F.col("page").cast("string"), F.lit("/")).alias("url"),
+                F.concat("html", nxt, F.lit("</body></html>")).alias("html"))
+
+
+def book_pages(part: DataFrame, per_page: int = 30) -> DataFrame:
+    """Bookstore search pages from ``part``. Price blocks by ``p_type``: STANDARD old +
+    current; ECONOMY current only; SMALL struck price only; MEDIUM ``Free``; LARGE two
+    prices without strike; PROMO like STANDARD with a decimal current price. The
+    bracketed count is ``p_size - 10`` when positive. PROMO and LARGE titles carry
+    keywords for the regex views."""
+    cur = (F.floor("p_retailprice").cast("int") - 900) * 6
+    old = cur + F.col("p_size") * 5
+    tk = lambda v: F.concat(F.lit("TK. "), v.cast("string"))
+    block = (F.when(F.col("p_type") == "STANDARD", F.concat(
+                F.lit('<strike class="original-price">'), tk(old), F.lit("</strike> "), tk(cur)))
+             .when(F.col("p_type") == "ECONOMY", tk(cur))
+             .when(F.col("p_type") == "SMALL", F.concat(
+                 F.lit('<strike class="original-price">'), tk(old), F.lit("</strike>")))
+             .when(F.col("p_type") == "MEDIUM", F.lit("Free"))
+             .when(F.col("p_type") == "LARGE", F.concat(tk(old), F.lit(" "), tk(cur)))
+             .otherwise(F.concat(F.lit('<strike class="original-price">'), tk(old),
+                                 F.lit("</strike> "), tk(cur), F.lit(".50"))))
+    title = (F.when(F.col("p_type") == "PROMO", F.concat(esc("p_name"), F.lit(" Quran   Tafsir")))
+             .when(F.col("p_type") == "LARGE", F.concat(esc("p_name"), F.lit(" হাদিস সংকলন")))
+             .otherwise(esc("p_name")))
+    count = F.when(F.col("p_size") > 10, F.concat(
+        F.lit('<span class="rating">('), (F.col("p_size") - 10).cast("string"), F.lit(")</span>"))
+    ).otherwise(F.lit(""))
+    card = F.concat(
+        F.lit('\n<div class="books-wrapper__item"><a href="/book/'), F.col("p_partkey").cast("string"),
+        F.lit("/"), slug("p_name"), F.lit('?ref=sr"><img src="c.jpg"></a><div class="book-text-area">'
+                                          '<h4 class="book-title">\n  '), title,
+        F.lit(' </h4><p class="book-author"> '), esc("p_brand"), F.lit('</p><p class="book-status">'),
+        F.when(F.col("p_size") > 25, F.lit("In Stock")).otherwise(F.lit("Out of   stock")),
+        F.lit('</p>'), count, F.lit('<p class="book-price">'), block, F.lit("</p></div></div>"))
+    cards = part.select(F.floor(F.col("p_partkey") / per_page).alias("page"), "p_partkey",
+                        card.alias("card"))
+    return group_pages(cards, "page", "p_partkey", "card",
+                       '<html><body><main><div class="books-wrapper">', "</div></main></body></html>")
+
+
+def directory_pages(customer: DataFrame, nation: DataFrame, per_page: int = 20) -> DataFrame:
+    """Directory pages from ``customer`` in two categories (by market segment). The
+    last card of a page is repeated on the next page (pagination drift), which the
+    4-column dedup removes. City by region: three Dhaka regions, one that also names
+    Sylhet, one in Chittagong. No phone block for a negative balance; no name for
+    AUTOMOBILE customers of nations 0-4."""
+    c = customer.join(F.broadcast(nation.select("n_nationkey", "n_name", "n_regionkey")),
+                      F.col("c_nationkey") == F.col("n_nationkey"))
+    city = F.element_at(F.array(F.lit("Dhaka"), F.lit("Dhaka-1207"), F.lit("DHAKA"),
+                                F.lit("Dhaka Road, Sylhet"), F.lit("Chittagong")),
+                        (F.col("n_regionkey") + 1).cast("int"))
+    category = F.when(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"),
+                      F.lit("Vehicle services")).otherwise(F.lit("Restaurant"))
+    no_name = (F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_nationkey") < 5)
+    phone = F.when(F.col("c_acctbal") >= 0, F.concat(
+        F.lit('<div class="s"><i class="fa fa-phone"></i><span> +880 '),
+        F.col("c_custkey").cast("string"), F.lit(" </span></div>"))).otherwise(F.lit(""))
+    card = F.concat(
+        F.lit('\n<div class="company"><h3>'),
+        F.when(no_name, F.lit("")).otherwise(F.concat(
+            F.lit('<a href="/company/'), F.col("c_custkey").cast("string"), F.lit('">\n   '),
+            esc("c_name"), F.lit("  </a>"))),
+        F.lit('</h3><div class="address"><span>House '), F.col("c_custkey").cast("string"),
+        F.lit(",</span>\n <span>"), esc("n_name"), F.lit("</span>, "), city, F.lit("</div>"),
+        F.lit('<div class="s"><i class="fa fa-globe"></i><span>web</span></div>'), phone,
+        F.lit("</div>"))
+    base = c.select(category.alias("category"), F.floor(F.col("c_custkey") / per_page).alias("page"),
+                    "c_custkey", card.alias("card"),
+                    (F.col("c_custkey") % per_page == per_page - 1).alias("_last"))
+    dup = base.filter("_last").withColumn("page", F.col("page") + 1) \
+        .withColumn("c_custkey", F.col("c_custkey") - per_page * 1000000)
+    cards = base.unionByName(dup).drop("_last")
+    return group_pages(cards, "page", "c_custkey", "card", "<html><body><main>",
+                       "</main></body></html>", extra_cols=("category",))

@@ -59,7 +59,8 @@ BOOK = ExtractSpec(
     ),
 )
 
-# directory card: name, address (space-joined), phone from the icon-guarded block.
+# directory card: name, address (space-joined), phone from the icon-guarded block;
+# the category comes from the page it was found on.
 DIRECTORY = ExtractSpec(
     "directory",
     card="div.company",
@@ -68,7 +69,6 @@ DIRECTORY = ExtractSpec(
         Field("name", "h3 a", mode="tight"),
         Field("address", "div.address", mode="space"),
         Field("phone", "div.s", has=("i.fa-phone", "span"), then="span", mode="tight"),
-        Field("category", "span.category", mode="tight"),
     ),
     required=("name", "address"),
 )
