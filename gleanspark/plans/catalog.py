@@ -483,3 +483,108 @@ def q_book_best(spark, sf):
     raw, clean = _books(spark, sf)
     v = views.book_views(raw, clean)["Best Books Recommended"]
     return v.withColumn("score", F.round("score", 6))
+
+
+# ---------------------------------------------------------------------------
+# Places: JSON search + detail responses -> enrichment -> classes -> views
+
+_EMAIL_RE = r"[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}.-]+@[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}.-]+"
+
+_PLACES_CTE = f"""
+oc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+mails AS (
+  SELECT url, min(e) AS email FROM (
+    SELECT url, nullif(regexp_extract(html, '{_EMAIL_RE}', 0), '') AS e FROM pages) m
+  WHERE e IS NOT NULL GROUP BY url),
+f AS (
+  SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, n.n_regionkey, oc.n AS rating_count,
+    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Free' WHEN 'BUILDING' THEN 'Cheap'
+         WHEN 'FURNITURE' THEN 'Moderate' WHEN 'MACHINERY' THEN 'Expensive' ELSE 'Very Expensive' END AS price_level,
+    CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2 WHEN 'MACHINERY' THEN 3
+         WHEN 'HOUSEHOLD' THEN 4 END AS lvl,
+    CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Grill' WHEN 'MACHINERY' THEN 'Fried Chicken'
+         WHEN 'FURNITURE' THEN 'Cafe' WHEN 'BUILDING' THEN 'Fast Food' ELSE 'Burgers' END AS kw,
+    CASE WHEN c_acctbal >= 0 THEN (floor(c_acctbal / 1000) + 1) / 2.0 END AS rating,
+    CASE n_regionkey WHEN 0 THEN 'Gulshan 2, Dhaka' WHEN 1 THEN 'Dhanmondi, Dhaka'
+         WHEN 2 THEN 'Uttara Sector 4, Dhaka' WHEN 3 THEN 'Banani, Dhaka' ELSE 'Agrabad, Chattogram' END AS area_text,
+    p.url AS page_url
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN oc ON oc.o_custkey = c.c_custkey
+  LEFT JOIN pages p ON p.page_id = c.c_custkey),
+g AS (
+  SELECT *,
+    CASE WHEN c_nationkey = 5 OR c_mktsegment = 'AUTOMOBILE' THEN NULL
+         WHEN c_mktsegment = 'HOUSEHOLD' THEN 'https://facebook.com/p' || CAST(c_custkey AS VARCHAR)
+         WHEN c_mktsegment = 'MACHINERY' THEN 'https://www.instagram.com/p' || CAST(c_custkey AS VARCHAR)
+         ELSE page_url END AS website
+  FROM f),
+raw AS (
+  SELECT 'P' || CAST(c_custkey AS VARCHAR) AS id,
+    c_name || '  ' || kw AS name,
+    'House ' || CAST(c_custkey AS VARCHAR) || ', Road ' || CAST(c_nationkey AS VARCHAR) || ',  ' || area_text AS address,
+    CASE WHEN c_nationkey = 5 THEN NULL WHEN c_mktsegment = 'HOUSEHOLD' THEN '+880 1' || CAST(c_custkey AS VARCHAR)
+         ELSE '01' || CAST(c_custkey AS VARCHAR) END AS phone,
+    rating, rating_count, price_level,
+    CASE WHEN lvl IS NOT NULL THEN 'BDT ' || CAST(lvl * 100 AS VARCHAR) || '.50' END AS price_start,
+    CASE WHEN lvl IS NOT NULL THEN 'BDT ' || CAST(lvl * 200 AS VARCHAR) || '.50' END AS price_end,
+    'https://maps.example/?cid=' || CAST(c_custkey AS VARCHAR) AS maps_link,
+    website, lvl
+  FROM g),
+clean AS (
+  SELECT id, {_sql_clean('name')} AS name, {_sql_clean('address')} AS address, phone, rating, rating_count,
+    price_level, price_start, price_end, website, maps_link,
+    CASE WHEN regexp_matches(website, '^https?://')
+         THEN replace(regexp_extract(website, '^https?://([^/?#]*)', 1), 'www.', '') END AS domain,
+    CASE WHEN website IS NULL OR website = '' THEN 'No Website'
+         WHEN contains(lower(website), 'facebook.com') THEN 'Facebook'
+         WHEN contains(lower(website), 'instagram.com') THEN 'Instagram' ELSE 'Official Website' END AS website_type,
+    CASE WHEN website IS NOT NULL AND NOT contains(lower(website), 'facebook.com')
+              AND NOT contains(lower(website), 'instagram.com') AND regexp_matches(website, '^https?://')
+         THEN (SELECT email FROM mails WHERE mails.url = raw.website) END AS email,
+    CASE WHEN contains(lower(name), 'grill') THEN 'Grill Burger'
+         WHEN contains(lower(name), 'fried') THEN 'Fried Chicken + Burger'
+         WHEN contains(lower(name), 'cafe') THEN 'Cafe Burger'
+         WHEN contains(lower(name), 'fast food') THEN 'Fast Food Burger' ELSE 'General Burger' END AS kind,
+    CASE WHEN price_level = 'Cheap' THEN 'Budget' WHEN price_level = 'Moderate' THEN 'Mid-range'
+         WHEN price_level IN ('Expensive', 'Very Expensive') THEN 'Premium' ELSE 'Unknown' END AS price_category,
+    CASE WHEN rating IS NULL THEN 'No Rating' WHEN rating >= 4.5 THEN 'Excellent' WHEN rating >= 4 THEN 'Good'
+         WHEN rating >= 3 THEN 'Average' ELSE 'Poor' END AS rating_category,
+    round(CASE WHEN rating IS NOT NULL AND lvl > 0 THEN rating / lvl END, 6) AS value_score,
+    CASE WHEN contains(lower(address), 'gulshan') THEN 'Gulshan' WHEN contains(lower(address), 'dhanmondi') THEN 'Dhanmondi'
+         WHEN contains(lower(address), 'uttara') THEN 'Uttara' ELSE 'Other' END AS area
+  FROM raw WHERE contains(lower(address), 'dhaka'))"""
+
+
+def _places(spark, sf):
+    from gleanspark.plans import places
+    cust, nat, reg, orde, pgs = (table(spark, sf, t) for t in ("customer", "nation", "region", "orders", "pages"))
+    search = render.place_search_table(cust, nat, reg, orde)
+    details = render.place_detail_table(cust, nat, orde, pgs)
+    return places.places_pipeline(search, details, pgs)
+
+
+def _place_view(name):
+    def fn(spark, sf):
+        raw, clean = _places(spark, sf)
+        return views.place_views(raw, clean)[name]
+    fn.__doc__ = f"J09 view {name!r}."
+    return fn
+
+
+register("places_raw", f"""WITH {_PLACES_CTE}
+SELECT id, name, address, phone, rating, rating_count, price_level, price_start, price_end, maps_link, website FROM raw""")(_place_view("Raw"))
+register("places_clean", f"WITH {_PLACES_CTE} SELECT * FROM clean")(_place_view("Clean"))
+register("place_cheapest", f"""WITH {_PLACES_CTE}
+SELECT * FROM clean WHERE price_level IN ('Free', 'Cheap') ORDER BY rating DESC NULLS LAST, id LIMIT 10""")(_place_view("Cheapest"))
+register("place_premium", f"""WITH {_PLACES_CTE}
+SELECT * FROM clean WHERE price_level IN ('Expensive', 'Very Expensive') ORDER BY rating DESC NULLS LAST, id LIMIT 10""")(_place_view("Premium"))
+register("place_top_rated", f"""WITH {_PLACES_CTE}
+SELECT * FROM clean ORDER BY rating DESC NULLS LAST, rating_count DESC NULLS LAST, id LIMIT 10""")(_place_view("Top Rated"))
+register("place_most_reviewed", f"""WITH {_PLACES_CTE}
+SELECT * FROM clean ORDER BY rating_count DESC NULLS LAST, id LIMIT 10""")(_place_view("Most Reviewed"))
+register("place_best_valued", f"""WITH {_PLACES_CTE}
+SELECT * FROM clean ORDER BY value_score DESC NULLS LAST, id LIMIT 10""")(_place_view("Best Valued"))
+register("place_website_stats", f"""WITH {_PLACES_CTE}
+SELECT website_type, count(*) AS "Count" FROM clean GROUP BY website_type""")(_place_view("Website Analysis"))
+register("place_area_stats", f"""WITH {_PLACES_CTE}
+SELECT area, count(*) AS "Count" FROM clean GROUP BY area""")(_place_view("Area Analysis"))

@@ -302,3 +302,109 @@ def directory_pages(customer: DataFrame, nation: DataFrame, per_page: int = 20)
     cards = base.unionByName(dup).drop("_last")
     return group_pages(cards, "page", "c_custkey", "card", "<html><body><main>",
                        "</main></body></html>", extra_cols=("category",))
+
+
+# Fixed mapping used to derive place attributes from the market segment.
+SEGMENT_KIND = {"HOUSEHOLD": "Grill", "MACHINERY": "Fried Chicken", "FURNITURE": "Cafe",
+                "BUILDING": "Fast Food", "AUTOMOBILE": "Burgers"}
+SEGMENT_LEVEL = {"AUTOMOBILE": "PRICE_LEVEL_FREE", "BUILDING": "PRICE_LEVEL_INEXPENSIVE",
+                 "FURNITURE": "PRICE_LEVEL_MODERATE", "MACHINERY": "PRICE_LEVEL_EXPENSIVE",
+                 "HOUSEHOLD": "PRICE_LEVEL_VERY_EXPENSIVE"}
+REGION_AREA = ["Gulshan 2, Dhaka", "Dhanmondi, Dhaka", "Uttara Sector 4, Dhaka",
+               "Banani, Dhaka", "Agrabad, Chattogram"]
+
+
+def _lit_map(d: dict):
+    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+
+
+def place_facts(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row of place facts per customer: kind word, level code, rating
+    ((floor(balance / 1000) + 1) / 2, none for a negative balance), review count =
+    number of orders (none without orders), address by region."""
+    n_orders = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
+    c = (customer.join(F.broadcast(nation.select("n_nationkey", "n_regionkey")),
+                       F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(n_orders, "c_custkey", "left"))
+    level = F.try_element_at(_lit_map(SEGMENT_LEVEL), F.col("c_mktsegment"))
+    lvl_num = (F.when(level == "PRICE_LEVEL_INEXPENSIVE", 1).when(level == "PRICE_LEVEL_MODERATE", 2)
+               .when(level == "PRICE_LEVEL_EXPENSIVE", 3).when(level == "PRICE_LEVEL_VERY_EXPENSIVE", 4))
+    money = lambda units: F.struct(F.lit("BDT").alias("currencyCode"), units.cast("string").alias("units"),
+                                   F.lit("500000000").alias("nanos"))
+    return c.select(
+        F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("id"),
+        "c_custkey", "c_nationkey", "n_regionkey", "c_mktsegment",
+        F.concat(F.col("c_name"), F.lit("  "), F.try_element_at(_lit_map(SEGMENT_KIND), F.col("c_mktsegment"))).alias("name"),
+        F.concat(F.lit("House "), F.col("c_custkey").cast("string"), F.lit(", Road "),
+                 F.col("c_nationkey").cast("string"), F.lit(",  "),
+                 F.element_at(F.array(*[F.lit(a) for a in REGION_AREA]), (F.col("n_regionkey") + 1).cast("int"))
+                 ).alias("address"),
+        level.alias("level"),
+        F.when(lvl_num.isNotNull(), F.struct(money(lvl_num * 100).alias("startPrice"),
+                                             money(lvl_num * 200).alias("endPrice"))).alias("price_range"),
+        F.when(F.col("c_acctbal") >= 0, (F.floor(F.col("c_acctbal") / 1000) + 1) / 2.0).alias("rating"),
+        F.col("n_orders").alias("rating_count"),
+        F.concat(F.lit("https://maps.example/?cid="), F.col("c_custkey").cast("string")).alias("maps"),
+    )
+
+
+def place_search_table(customer: DataFrame, nation: DataFrame, region: DataFrame,
+                       orders: DataFrame, per_bucket: int = 1000) -> DataFrame:
+    """Search response pages ``(query, query_idx, page_idx, body)``: one query per
+    nation (``query_idx`` = nation key) and one per region (100 + region key), so
+    every place is returned twice. A page holds the places of one key bucket
+    (``c_custkey div per_bucket``), so its size is bounded. Search results leave out
+    the name for nation 1, the level for nation 2, the rating for nation 3 and the
+    price range for nation 4 (the detail fills them in)."""
+    f = place_facts(customer, nation, orders)
+    place = F.struct(
+        F.col("id"),
+        F.when(F.col("c_nationkey") != 1, F.struct(F.col("name").alias("text"))).alias("displayName"),
+        F.col("address").alias("formattedAddress"),
+        F.when(F.col("c_nationkey") != 2, F.col("level")).alias("priceLevel"),
+        F.when(F.col("c_nationkey") != 4, F.col("price_range")).alias("priceRange"),
+        F.when(F.col("c_nationkey") != 3, F.col("rating")).alias("rating"),
+        F.col("rating_count").alias("userRatingCount"),
+        F.col("maps").alias("googleMapsUri"))
+    bucket = F.floor(F.col("c_custkey") / per_bucket).cast("int")
+    rows = f.select(bucket.alias("page_idx"), "c_custkey", "c_nationkey", "n_regionkey", place.alias("pl"))
+    by_nation = rows.select(F.col("c_nationkey").alias("query_idx"), "page_idx", "c_custkey", "pl")
+    by_region = rows.select((F.col("n_regionkey") + 100).alias("query_idx"), "page_idx", "c_custkey", "pl")
+    both = by_nation.unionByName(by_region)
+    pages = both.groupBy("query_idx", "page_idx").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("c_custkey").alias("k"), F.col("pl").alias("p")))).alias("_l"))
+    names = (nation.select(F.col("n_nationkey").alias("query_idx"), F.col("n_name").alias("q"))
+             .unionByName(region.select((F.col("r_regionkey") + 100).alias("query_idx"), F.col("r_name").alias("q"))))
+    pages = pages.join(F.broadcast(names), "query_idx")
+    body = F.to_json(F.struct(F.transform("_l", lambda x: x["p"]).alias("places"),
+                              F.concat(F.lit("tok-"), F.col("page_idx").cast("string")).alias("nextPageToken")))
+    return pages.select(F.concat(F.lit("burger in "), F.col("q")).alias("query"),
+                        F.col("query_idx").cast("int").alias("query_idx"), "page_idx", body.alias("body"))
+
+
+def place_detail_table(customer: DataFrame, nation: DataFrame, orders: DataFrame,
+                       pages: DataFrame) -> DataFrame:
+    """Detail responses ``(id, status, body)``: status 404 for nation 5. Phones:
+    HOUSEHOLD only an international number. Websites: none for AUTOMOBILE, a
+    Facebook page for HOUSEHOLD, an Instagram page for MACHINERY, else the captured
+    page whose ``page_id`` is the customer key (none when there is no such page)."""
+    f = place_facts(customer, nation, orders)
+    site = pages.select(F.col("page_id").alias("c_custkey"), F.col("url").alias("page_url"))
+    f = f.join(site, "c_custkey", "left")
+    web = (F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("string"))
+           .when(F.col("c_mktsegment") == "HOUSEHOLD",
+                 F.concat(F.lit("https://facebook.com/p"), F.col("c_custkey").cast("string")))
+           .when(F.col("c_mktsegment") == "MACHINERY",
+                 F.concat(F.lit("https://www.instagram.com/p"), F.col("c_custkey").cast("string")))
+           .otherwise(F.col("page_url")))
+    body = F.to_json(F.struct(
+        F.col("id"), F.struct(F.col("name").alias("text")).alias("displayName"),
+        F.col("address").alias("formattedAddress"), F.col("level").alias("priceLevel"),
+        F.col("price_range").alias("priceRange"), F.col("rating"),
+        F.col("rating_count").alias("userRatingCount"), F.col("maps").alias("googleMapsUri"),
+        F.when(F.col("c_mktsegment") != "HOUSEHOLD",
+               F.concat(F.lit("01"), F.col("c_custkey").cast("string"))).alias("nationalPhoneNumber"),
+        F.concat(F.lit("+880 1"), F.col("c_custkey").cast("string")).alias("internationalPhoneNumber"),
+        web.alias("websiteUri")))
+    return f.select("id", F.when(F.col("c_nationkey") == 5, 404).otherwise(200).alias("status"),
+                    body.alias("body"))
