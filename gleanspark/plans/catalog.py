@@ -588,3 +588,215 @@ register("place_website_stats", f"""WITH {_PLACES_CTE}
 SELECT website_type, count(*) AS "Count" FROM clean GROUP BY website_type""")(_place_view("Website Analysis"))
 register("place_area_stats", f"""WITH {_PLACES_CTE}
 SELECT area, count(*) AS "Count" FROM clean GROUP BY area""")(_place_view("Area Analysis"))
+
+
+# ---------------------------------------------------------------------------
+# Number parsing on rendered texts
+
+@register("price_parse", """
+SELECT p_partkey,
+  round(p_retailprice * p_size, 2) AS price_strict, round(p_retailprice * p_size, 2) AS price_first,
+  CAST(NULL AS DOUBLE) AS range_strict, round(p_retailprice * p_size, 2) AS range_first,
+  round(p_retailprice * p_size, 2) AS price_tk
+FROM part""")
+def q_price_parse(spark, sf):
+    """C04 strict, C05 first number, C08 TK marker on prices rendered with thousands
+    separators (``৳ 12,345.60``, ``৳ a - ৳ b``, ``TK. 12,345.60``)."""
+    from gleanspark.functions.numbers import price_first, price_marker, price_strict
+    p = table(spark, sf, "part")
+    amt = F.col("p_retailprice") * F.col("p_size")
+    txt = F.concat(F.lit("৳ "), F.format_number(amt, 2))
+    rng = F.concat(txt, F.lit(" - ৳ "), F.format_number(amt * 2, 2))
+    tk = F.concat(F.lit("TK. "), F.format_number(amt, 2))
+    return p.select("p_partkey", price_strict(txt).alias("price_strict"), price_first(txt).alias("price_first"),
+                    price_strict(rng).alias("range_strict"), price_first(rng).alias("range_first"),
+                    price_marker(tk).alias("price_tk"))
+
+
+@register("int_float_parse", """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(l_quantity * 1000 + l_linenumber AS BIGINT) END AS ratings,
+  l_discount AS discount, l_tax AS tax,
+  CASE WHEN l_linestatus = 'O' THEN 0 ELSE l_linenumber END AS line_no
+FROM lineitem""")
+def q_int_float_parse(spark, sf):
+    """C06 clean_int (``12,003 Ratings``, ``No Ratings``), C07 clean_float (sign lost),
+    C09 empty -> 0."""
+    from gleanspark.functions.numbers import clean_float, clean_int, zero_if_empty
+    li = table(spark, sf, "lineitem")
+    ratings = F.when(F.col("l_returnflag") == "N", F.lit("No Ratings")).otherwise(
+        F.concat(F.format_number(F.col("l_quantity") * 1000 + F.col("l_linenumber"), 0), F.lit(" Ratings")))
+    disc = F.concat(F.col("l_discount").cast("string"), F.lit("/5"))
+    tax = F.concat(F.lit("-"), F.col("l_tax").cast("string"))
+    line = F.when(F.col("l_linestatus") == "O", F.lit("")).otherwise(
+        F.concat(F.lit(" "), F.col("l_linenumber").cast("string"), F.lit(" ")))
+    return li.select("l_orderkey", "l_linenumber", clean_int(ratings).alias("ratings"),
+                     clean_float(disc).alias("discount"), clean_float(tax).alias("tax"),
+                     zero_if_empty(line, "int").alias("line_no"))
+
+
+@register("money_text", """
+SELECT p_partkey,
+  CASE WHEN p_type = 'PROMO' THEN NULL WHEN p_type = 'SMALL' THEN printf('%.2f', p_retailprice)
+       ELSE 'BDT ' || printf('%.2f', p_retailprice) END AS price_start,
+  CASE WHEN p_type = 'PROMO' THEN NULL WHEN p_type = 'SMALL' THEN printf('%.2f', p_retailprice * 2)
+       ELSE 'BDT ' || printf('%.2f', p_retailprice * 2) END AS price_end
+FROM part""")
+def q_money_text(spark, sf):
+    """C15 money -> text, C16 price range, from JSON built with ``to_json``: units as
+    text, nanos as the fraction; no currency for SMALL; no range for PROMO."""
+    from gleanspark.functions.numbers import price_range_text
+    from gleanspark.sources.places import PRICE_RANGE
+    p = table(spark, sf, "part")
+
+    def money(v):
+        units = F.floor(v)
+        nanos = F.round((v - units) * 1e9).cast("long")
+        cur = F.when(F.col("p_type") != "SMALL", F.lit("BDT"))
+        return F.struct(cur.alias("currencyCode"), units.cast("string").alias("units"),
+                        nanos.cast("string").alias("nanos"))
+    body = F.to_json(F.struct(F.when(F.col("p_type") != "PROMO", F.struct(
+        money(F.col("p_retailprice")).alias("startPrice"),
+        money(F.col("p_retailprice") * 2).alias("endPrice"))).alias("priceRange")))
+    parsed = p.select("p_partkey", F.from_json(body, f"priceRange {PRICE_RANGE.simpleString()}").alias("j"))
+    r = price_range_text(F.col("j.priceRange"))
+    return parsed.select("p_partkey", r["start"].alias("price_start"), r["end"].alias("price_end"))
+
+
+# ---------------------------------------------------------------------------
+# Frontiers, resume by anti join, first empty page, page chain
+
+@register("search_frontier", """
+WITH q AS (SELECT lower(p_type) || ' items' AS query, CAST(ceil(count(*) / 40.0) AS INTEGER) AS n_pages
+           FROM part GROUP BY p_type)
+SELECT query, CAST(page AS INTEGER) AS page,
+  'https://shop.example/catalog/?q=' || replace(query, ' ', '%20') || '&page=' || CAST(page AS VARCHAR) AS url
+FROM q, LATERAL (SELECT unnest(generate_series(1, n_pages)) AS page) s""")
+def q_search_frontier(spark, sf):
+    """A02 number range, A03 query encoding, A05 query x page (a generator, no cross
+    join): one search query per part type, as many pages as 40-card pages it fills."""
+    from gleanspark.sources.frontier import search_frontier
+    q = table(spark, sf, "part").groupBy(F.concat(F.lower("p_type"), F.lit(" items")).alias("query")) \
+        .agg(F.ceil(F.count(F.lit(1)) / 40.0).cast("int").alias("n_pages"))
+    return search_frontier(q, "https://shop.example/catalog/?q={q}&page={page}")
+
+
+@register("segmented_frontier", """
+WITH s AS (
+  SELECT c_mktsegment AS category, CAST(ceil(count(*) / 20.0) AS INTEGER) AS n_pages FROM customer GROUP BY 1),
+o AS (SELECT *, coalesce(sum(n_pages) OVER (ORDER BY category ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM s)
+SELECT category, CAST(page AS INTEGER) AS page, CAST(off + page AS BIGINT) AS run_index,
+  CASE WHEN page = 1 THEN 'https://directory.example/category/' || category || '/city:Dhaka'
+       ELSE 'https://directory.example/category/' || category || '/' || CAST(page AS VARCHAR) || '/city:Dhaka' END AS url
+FROM o, LATERAL (SELECT unnest(generate_series(1, n_pages)) AS page) g""")
+def q_segmented_frontier(spark, sf):
+    """Categories as consecutive segments of one running page index; page 1 of a
+    category has no page number in its URL."""
+    from gleanspark.sources.frontier import segmented_frontier
+    seg = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("category")) \
+        .agg(F.ceil(F.count(F.lit(1)) / 20.0).cast("int").alias("n_pages"))
+    seg = seg.select("category", "n_pages", F.col("category").alias("seg_order"),
+                     F.concat(F.lit("https://directory.example/category/"), F.col("category"),
+                              F.lit("/city:Dhaka")).alias("first_url"),
+                     F.concat(F.lit("https://directory.example/category/"), F.col("category"),
+                              F.lit("/{page}/city:Dhaka")).alias("page_url"))
+    out = segmented_frontier(seg)
+    return out.select("category", "page", F.col("run_index").cast("long").alias("run_index"), "url")
+
+
+@register("remaining_pages", f"""
+WITH kept AS (
+  SELECT DISTINCT page FROM (
+    SELECT p_partkey // 40 AS page, 'https://shop.example/p/' || {_SLUG} || '.html' AS url,
+           row_number() OVER (PARTITION BY {_SLUG} ORDER BY p_partkey) AS rn
+    FROM part WHERE p_size <= 45) a WHERE rn = 1),
+allp AS (SELECT DISTINCT p_partkey // 40 AS page FROM part)
+SELECT page FROM allp WHERE page NOT IN (SELECT page FROM kept)""")
+def q_remaining_pages(spark, sf):
+    """Listing pages with no stored row yet (stored = the deduplicated listing)."""
+    from gleanspark.sources.frontier import remaining
+    pages = render.listing_pages(table(spark, sf, "part"), url_by_name=True)
+    stored = products.listing(pages)
+    return remaining(pages.select("page"), stored, "page")
+
+
+@register("remaining_urls", f"""WITH {_LISTING_CTE}
+SELECT url FROM lst WHERE p_type IN ('MEDIUM', 'PROMO')""")
+def q_remaining_urls(spark, sf):
+    """E04 with retry of failed pages: URLs whose detail is missing or extracted
+    nothing."""
+    from gleanspark.sources.frontier import remaining_urls
+    part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
+    lst = products.listing(render.listing_pages(part))
+    det = products.detail_table(render.detail_pages(part, li, supp))
+    return remaining_urls(lst.select("url"), det, retry_failed=True)
+
+
+@register("remaining_urls_keep_failed", f"""WITH {_LISTING_CTE}
+SELECT url FROM lst WHERE p_type = 'PROMO'""")
+def q_remaining_urls_keep_failed(spark, sf):
+    """E04 where a failed detail counts as done: only never-captured URLs remain."""
+    from gleanspark.sources.frontier import remaining_urls
+    part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
+    lst = products.listing(render.listing_pages(part))
+    det = products.detail_table(render.detail_pages(part, li, supp))
+    return remaining_urls(lst.select("url"), det, retry_failed=False)
+
+
+@register("first_empty_page", """
+WITH e AS (SELECT event_type AS query, CAST(date_diff('day', TIMESTAMP '2024-01-01', ts) AS INTEGER) AS page,
+                  event_id, value FROM events),
+hits AS (SELECT * FROM e WHERE value > 200),
+pg AS (SELECT DISTINCT query, page FROM e),
+cnt AS (SELECT pg.query, pg.page, count(hits.event_id) AS n FROM pg
+        LEFT JOIN hits ON hits.query = pg.query AND hits.page = pg.page GROUP BY pg.query, pg.page),
+fe AS (SELECT query, min(page) AS first_empty FROM cnt WHERE n = 0 GROUP BY query)
+SELECT hits.query, hits.page, hits.event_id, hits.value FROM hits LEFT JOIN fe ON fe.query = hits.query
+WHERE fe.first_empty IS NULL OR hits.page < fe.first_empty""")
+def q_first_empty_page(spark, sf):
+    """D12 + F06: each event type is a search, each day a result page, events above
+    200 are its cards; rows of pages from the first empty page on are not read."""
+    from gleanspark.plans.sites import stop_at_first_empty
+    e = table(spark, sf, "events").select(
+        F.col("event_type").alias("query"),
+        F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).alias("page"),
+        "event_id", "value")
+    return stop_at_first_empty(e.filter(F.col("value") > 200), e)
+
+
+@register("page_chain", """
+WITH RECURSIVE pg AS (SELECT DISTINCT user_id // 10 AS page FROM events),
+e AS (SELECT 'https://quotes.example/page/' || CAST(page AS VARCHAR) || '/' AS url,
+             CASE WHEN (page + 1) % 10 <> 0 AND page + 1 IN (SELECT page FROM pg)
+                  THEN 'https://quotes.example/page/' || CAST(page + 1 AS VARCHAR) || '/' END AS next_url
+      FROM pg),
+heads AS (SELECT url FROM e WHERE url NOT IN (SELECT next_url FROM e WHERE next_url IS NOT NULL)),
+r(start_url, depth, url) AS (
+  SELECT url, CAST(0 AS BIGINT), url FROM heads
+  UNION ALL
+  SELECT r.start_url, r.depth + 1, e.next_url FROM r JOIN e ON e.url = r.url WHERE e.next_url IS NOT NULL)
+SELECT start_url, depth, url FROM r""")
+def q_page_chain(spark, sf):
+    """B13 next-link extraction, B24 prefixing, B14 chain order by pointer jumping."""
+    from gleanspark.functions.urls import prefix_url
+    from gleanspark.operators.chain import chain_order
+    from gleanspark.operators.extract import extract
+    from gleanspark.plans.specs import NEXT_LINK
+    pages = render.quote_pages(table(spark, sf, "events"))
+    links = extract(pages.select("url", "html"), NEXT_LINK, keep=("url",))
+    base = "https://quotes.example"
+    edges = links.select(prefix_url("url", base).alias("url"), prefix_url("next_href", base).alias("next_url"))
+    return chain_order(edges)
+
+
+@register("resume_union", """
+SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value ELSE value + 1000 END AS value FROM events""")
+def q_resume_union(spark, sf):
+    """Stored rows (events before Jan 16) win over a re-captured batch (events
+    from Jan 11, values changed) for the same key."""
+    from gleanspark.operators.dedup import union_keep_stored
+    e = table(spark, sf, "events").select("event_id", "ts", "value")
+    stored = e.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).select("event_id", "value")
+    new = e.filter(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz")) \
+        .select("event_id", (F.col("value") + 1000).alias("value"))
+    return union_keep_stored(stored, new, "event_id")
