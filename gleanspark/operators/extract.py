@@ -254,7 +254,7 @@ def split_cards(html: Column, card: str, card_end: str | None = None) -> Column:
 
     cards = F.flatten(F.transform(_all_inner(html, steps[:-1]), cut)) if len(steps) > 1 else cut(html)
     if card_end:
-        cards = F.transform(cards, lambda x: F.regexp_replace(x, f"(?is){card_end}.*$", ""))
+        cards = F.transform(cards, lambda x: F.regexp_replace(x, f"(?is)(?:{card_end}).*$", ""))
     return cards
 
 

@@ -800,3 +800,120 @@ def q_resume_union(spark, sf):
     new = e.filter(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz")) \
         .select("event_id", (F.col("value") + 1000).alias("value"))
     return union_keep_stored(stored, new, "event_id")
+
+
+# ---------------------------------------------------------------------------
+# Incremental load on Structured Streaming
+
+def stream_listing(spark, sf, n_batches: int = 3):
+    """Listing pages land as files in ``n_batches`` drops (page ranges in
+    order); a streaming load extracts each drop, keeps the first card per URL and
+    appends only URLs not stored by an earlier drop. Scratch folders live under the
+    shared checkpoint folder."""
+    import uuid
+
+    from gleanspark.session import scratch_path
+    from gleanspark.streaming.incremental import incremental_load, read_sink
+    root = scratch_path(spark, f"stream-listing-{uuid.uuid4().hex[:12]}")
+    src, sink, ckpt = (f"{root}/{d}" for d in ("source", "sink", "checkpoint"))
+    pages = render.listing_pages(table(spark, sf, "part"), url_by_name=True)
+    bounds = pages.agg(F.min("page").alias("lo"), F.max("page").alias("hi")).first()
+    lo, hi = bounds["lo"], bounds["hi"]
+    step = (hi - lo) // n_batches + 1
+    for i in range(n_batches):
+        part = pages.filter((F.col("page") >= lo + i * step) & (F.col("page") < lo + (i + 1) * step))
+        part.write.mode("append").parquet(src)
+    incremental_load(spark, src, pages.schema, sink, ckpt,
+                     transform=lambda df: products.listing(df), key="url", order=["page", "pos"],
+                     skip_key="page")
+    return read_sink(spark, sink).select("page", "pos", "name", "price", "price_num", "url")
+
+
+register("stream_incremental", ORACLE["dedup_first"])(stream_listing)
+
+
+# ---------------------------------------------------------------------------
+# Search suite (12 views), campaign products, run log
+
+_SEARCH_CTE = f"""
+s AS (
+  SELECT p_partkey // 40 AS page,
+    p_name || ' ' || CASE p_type WHEN 'STANDARD' THEN 'Gel Pen' WHEN 'ECONOMY' THEN 'ball pen set'
+      WHEN 'PROMO' THEN 'KAWAII gel pen' WHEN 'SMALL' THEN 'Sanrio' WHEN 'LARGE' THEN 'notebook'
+      ELSE 'kawaii sanrio ball pen' END AS name,
+    '৳ ' || printf('%.2f', (p_retailprice - 900) * 4) AS price,
+    round((p_retailprice - 900) * 4, 2) AS price_num,
+    'https://shop.example/p/' || {_SLUG} || '-i' || CAST(p_partkey AS VARCHAR) || '.html' AS url
+  FROM part WHERE p_size <= 45),
+clean AS (SELECT name, price, price_num, url FROM s)"""
+
+
+def _search_view(name):
+    def fn(spark, sf):
+        pages = render.search_pages(table(spark, sf, "part"))
+        raw = products.listing_raw(pages)
+        clean = products.search_clean(raw)
+        return views.product_views(raw.select("raw_name", "raw_price", "url"), clean)[name]
+    fn.__doc__ = f"J06 search suite view {name!r} (D05 bands, D06 keywords, H01-H04)."
+    return fn
+
+
+register("search_raw", f"WITH {_SEARCH_CTE} SELECT name AS raw_name, price AS raw_price, url FROM s")(_search_view("Raw"))
+register("search_clean", f"WITH {_SEARCH_CTE} SELECT * FROM clean")(_search_view("Clean"))
+register("search_cheapest", f"WITH {_SEARCH_CTE} SELECT * FROM clean")(_search_view("Cheapest"))
+register("search_most_expensive", f"WITH {_SEARCH_CTE} SELECT * FROM clean")(_search_view("Most Expensive"))
+register("search_under_100", f"WITH {_SEARCH_CTE} SELECT * FROM clean WHERE price_num < 100")(_search_view("Under 100"))
+register("search_100_to_300", f"WITH {_SEARCH_CTE} SELECT * FROM clean WHERE price_num BETWEEN 100 AND 300")(_search_view("100 to 300"))
+register("search_above_300", f"WITH {_SEARCH_CTE} SELECT * FROM clean WHERE price_num > 300")(_search_view("Above 300"))
+register("search_gel_pen", f"WITH {_SEARCH_CTE} SELECT * FROM clean WHERE contains(lower(name), 'gel pen')")(_search_view("Gel Pen"))
+register("search_ball_pen", f"WITH {_SEARCH_CTE} SELECT * FROM clean WHERE contains(lower(name), 'ball pen')")(_search_view("Ball Pen"))
+register("search_kawaii", f"WITH {_SEARCH_CTE} SELECT * FROM clean WHERE contains(lower(name), 'kawaii')")(_search_view("Kawaii"))
+register("search_sanrio", f"WITH {_SEARCH_CTE} SELECT * FROM clean WHERE contains(lower(name), 'sanrio')")(_search_view("Sanrio"))
+register("search_top_cheapest_50", f"WITH {_SEARCH_CTE} SELECT * FROM clean ORDER BY price_num, url LIMIT 50")(_search_view("Top Cheapest 50"))
+
+
+@register("campaign", f"""
+WITH c AS (
+  SELECT p_partkey // 40 AS page,
+         row_number() OVER (PARTITION BY p_partkey // 40 ORDER BY p_partkey) AS pos,
+         p_name, p_type, p_size, CAST(floor(p_retailprice) AS BIGINT) AS cur,
+         'https://shop.example/p/' || {_SLUG} || '.html?spm=cmp' AS url
+  FROM part),
+f AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page, pos) AS rn FROM c)
+SELECT p_name AS name,
+  CASE WHEN p_type = 'MEDIUM' THEN '৳ ' || CAST(cur + p_size AS VARCHAR) ELSE '৳ ' || CAST(cur AS VARCHAR) END AS current_price,
+  CASE WHEN p_type IN ('STANDARD', 'LARGE', 'PROMO') THEN '৳ ' || CAST(cur + p_size AS VARCHAR) END AS old_price,
+  url
+FROM f WHERE rn = 1 AND p_type NOT IN ('PROMO', 'SMALL')""")
+def q_campaign(spark, sf):
+    """Card = link (own @href), C03 urljoin keeping the query, F04 seen before
+    validation, B20 no-discount swap, D01."""
+    return products.campaign(render.campaign_pages(table(spark, sf, "part")))
+
+
+@register("run_summary", f"""
+WITH l AS ({ORACLE['listing_extract']})
+SELECT count(*) AS rows, count(DISTINCT url) AS unique_keys, count(DISTINCT page) AS pages FROM l""")
+def q_run_summary(spark, sf):
+    """F07 + J10: the run log as one row (rows, unique URLs, pages with rows)."""
+    from gleanspark.sources.sinks import run_summary
+    return run_summary(q_listing_extract(spark, sf))
+
+
+@register("cards_per_page", """
+SELECT p_partkey // 40 AS page, CAST(count(CASE WHEN p_size <= 45 THEN 1 END) AS BIGINT) AS cards
+FROM part GROUP BY 1""")
+def q_cards_per_page(spark, sf):
+    """valid cards per listing page, zero pages kept."""
+    from gleanspark.sources.sinks import cards_per_page
+    pages = render.listing_pages(table(spark, sf, "part"))
+    return cards_per_page(products.listing(pages), pages)
+
+
+@register("distinct_urls", f"""
+SELECT DISTINCT url FROM ({ORACLE['dedup_first']}) d""")
+def q_distinct_urls(spark, sf):
+    """distinct non-null URLs of the listing (the detail work list)."""
+    from gleanspark.sources.sinks import distinct_values
+    pages = render.listing_pages(table(spark, sf, "part"), url_by_name=True)
+    return distinct_values(products.listing(pages), "url")

@@ -16,6 +16,15 @@ from gleanspark.plans import specs
 BASE = "https://shop.example"
 
 
+def listing_raw(pages: DataFrame, base: str = BASE, keep=("page",)) -> DataFrame:
+    """Search raw rows: cards with link, name and price (D01), first card per
+    normalized URL (F03); name and price as read."""
+    raw = extract(pages, specs.LISTING, keep=keep)
+    cards = raw.select(*keep, "pos", "raw_name", clean_text("raw_price").alias("raw_price"),
+                       normalize_url("href", base).alias("url"))
+    return keep_first(cards, "url", [*keep, "pos"])
+
+
 def listing(pages: DataFrame, base: str = BASE, dedup_before_filter: bool = False,
             keep=("page",)) -> DataFrame:
     """Listing (A): extract cards, normalize the link, keep the first card per URL.
@@ -24,24 +33,39 @@ def listing(pages: DataFrame, base: str = BASE, dedup_before_filter: bool = Fals
     invalid first card does not hide a later valid one. ``dedup_before_filter``
     (F04) marks the URL as seen first, as the campaign pipeline does.
     """
-    spec = specs.LISTING_LENIENT if dedup_before_filter else specs.LISTING
-    raw = extract(pages, spec, keep=keep)
-    cards = raw.select(*keep, "pos",
-                       clean_text("raw_name").alias("name"),
-                       clean_text("raw_price").alias("price"),
-                       normalize_url("href", base).alias("url"))
     if dedup_before_filter:
+        raw = extract(pages, specs.LISTING_LENIENT, keep=keep)
+        cards = raw.select(*keep, "pos", clean_text("raw_name").alias("name"),
+                           clean_text("raw_price").alias("price"),
+                           normalize_url("href", base).alias("url"))
         first = keep_first(cards.filter(F.col("url").isNotNull()), "url", [*keep, "pos"])
         first = first.filter((F.col("name") != "") & (F.col("price") != ""))
     else:
-        first = keep_first(cards, "url", [*keep, "pos"])
+        first = listing_raw(pages, base, keep).select(
+            *keep, "pos", clean_text("raw_name").alias("name"), F.col("raw_price").alias("price"), "url")
     return first.select(*keep, "pos", "name", "price",
                         price_first("price").alias("price_num"), "url")
 
 
-def search_clean(listing_df: DataFrame) -> DataFrame:
-    """Search clean table: strict price (C04); rows without name, price or URL dropped."""
-    out = listing_df.select("name", "price", price_strict("price").alias("price_num"), "url")
+def campaign(pages: DataFrame, base: str = BASE) -> DataFrame:
+    """Campaign products: URL by ``urljoin`` keeping the query (C03); the URL is seen
+    before validation (F04); no-discount swap (B20); name and price required."""
+    from gleanspark.functions.numbers import swap_if_no_discount
+    from gleanspark.functions.urls import url_join
+    x = extract(pages, specs.CAMPAIGN, keep=("page",))
+    cards = x.select("page", "pos", url_join("href", base).alias("url"), "name", "current_price", "old_price")
+    first = keep_first(cards.filter(F.col("url").isNotNull() & (F.col("url") != "")), "url", ["page", "pos"])
+    sw = swap_if_no_discount("current_price", "old_price")
+    out = first.select("name", sw["current"].alias("current_price"), sw["old"].alias("old_price"), "url")
+    return out.filter(F.col("name").isNotNull() & F.col("current_price").isNotNull())
+
+
+def search_clean(raw: DataFrame) -> DataFrame:
+    """Search clean table from raw rows: C01 on name and price, strict price (C04);
+    rows without name, price or URL dropped."""
+    name = clean_text("raw_name") if "raw_name" in raw.columns else F.col("name")
+    price = clean_text("raw_price") if "raw_price" in raw.columns else F.col("price")
+    out = raw.select(name.alias("name"), price.alias("price"), price_strict(price).alias("price_num"), "url")
     return out.na.drop(subset=["name", "price_num", "url"])
 
 

@@ -54,7 +54,8 @@ LISTING_HEAD = (
 LISTING_TAIL = '</section><footer><span class="ooOxS">৳ 0</span> footer</footer></body></html>'
 
 
-def listing_pages(part: DataFrame, per_page: int = 40, url_by_name: bool = False) -> DataFrame:
+def listing_pages(part: DataFrame, per_page: int = 40, url_by_name: bool = False,
+                  name=None, price=None) -> DataFrame:
     """Search/listing pages rendered from ``part``: one card per part, ``per_page``
     cards per page (page = p_partkey div per_page). Parts with ``p_size > 45`` carry no
     price element (an invalid card). With ``url_by_name`` the link depends on the name
@@ -64,13 +65,15 @@ def listing_pages(part: DataFrame, per_page: int = 40, url_by_name: bool = False
             if url_by_name else
             F.concat(F.lit("//shop.example/p/"), slug("p_name"), F.lit("-i"),
                      F.col("p_partkey").cast("string"), F.lit(".html?q=1")))
+    name = F.col("p_name") if name is None else name
+    amount = F.col("p_retailprice") if price is None else price
     price = F.when(F.col("p_size") <= 45, F.concat(
-        F.lit('<span class="ooOxS">  ৳ '), F.format_number("p_retailprice", 2), F.lit(" </span>")
+        F.lit('<span class="ooOxS">  ৳ '), F.format_number(amount, 2), F.lit(" </span>")
     )).otherwise(F.lit(""))
     card = F.concat(
         F.lit('\n<div class="c" data-qa-locator="product-item"><div class="img"><a href="'),
         esc(href), F.lit('"><img src="x.jpg"></a></div><div class="info"><a title="'),
-        esc("p_name"), F.lit('" href="'), esc(href), F.lit('">'), esc("p_name"),
+        esc(name), F.lit('" href="'), esc(href), F.lit('">'), esc(name),
         F.lit("</a>"), price, F.lit("</div></div>"))
     cards = part.select(F.floor(F.col("p_partkey") / per_page).alias("page"),
                         "p_partkey", card.alias("card"))
@@ -408,3 +411,38 @@ def place_detail_table(customer: DataFrame, nation: DataFrame, orders: DataFrame
         web.alias("websiteUri")))
     return f.select("id", F.when(F.col("c_nationkey") == 5, 404).otherwise(200).alias("status"),
                     body.alias("body"))
+
+
+# Keywords carried by the names of the search-suite pages, by part type.
+SEARCH_DECOR = {"STANDARD": "Gel Pen", "ECONOMY": "ball pen set", "PROMO": "KAWAII gel pen",
+                "SMALL": "Sanrio", "LARGE": "notebook", "MEDIUM": "kawaii sanrio ball pen"}
+
+
+def search_pages(part: DataFrame, per_page: int = 40) -> DataFrame:
+    """Search-suite pages: names carry the view keywords by part type, prices are
+    ``(p_retailprice - 900) * 4`` so they span the 100/300 bands."""
+    name = F.concat(F.col("p_name"), F.lit(" "), F.try_element_at(_lit_map(SEARCH_DECOR), F.col("p_type")))
+    return listing_pages(part, per_page, url_by_name=False, name=name,
+                         price=(F.col("p_retailprice") - 900) * 4)
+
+
+def campaign_pages(part: DataFrame, per_page: int = 40) -> DataFrame:
+    """Campaign pages: the card is the link itself; the URL depends on the name only.
+    Prices by type: STANDARD/LARGE/PROMO discount + origin, ECONOMY discount only,
+    MEDIUM origin only (no discount), SMALL none. PROMO cards have no title."""
+    href = F.concat(F.lit("//shop.example/p/"), slug("p_name"), F.lit(".html?spm=cmp"))
+    cur = F.concat(F.lit('<span class="lzdPriceDiscountPCV2">৳ '),
+                   F.floor("p_retailprice").cast("string"), F.lit("</span>"))
+    old = F.concat(F.lit('<del class="lzdPriceOriginPCV2">৳ '),
+                   (F.floor("p_retailprice") + F.col("p_size")).cast("string"), F.lit("</del>"))
+    t = F.col("p_type")
+    prices = (F.when(t.isin("STANDARD", "LARGE", "PROMO"), F.concat(cur, old))
+              .when(t == "ECONOMY", cur).when(t == "MEDIUM", old).otherwise(F.lit("")))
+    title = F.when(t != "PROMO", F.concat(F.lit('<div class="product-card-title">\n '), esc("p_name"),
+                                            F.lit(" </div>"))).otherwise(F.lit(""))
+    card = F.concat(F.lit('\n<a class="jfy-product-card-component-pc" href="'), esc(href),
+                    F.lit('"><div class="card">'), title, F.lit('<div class="price">'), prices,
+                    F.lit("</div></div></a>"))
+    cards = part.select(F.floor(F.col("p_partkey") / per_page).alias("page"), "p_partkey", card.alias("card"))
+    return group_pages(cards, "page", "p_partkey", "card", '<html><body><div class="jfy">',
+                       '</div><footer><a href="/help">Help</a></footer></body></html>')

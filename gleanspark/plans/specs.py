@@ -104,6 +104,19 @@ QUOTE = ExtractSpec(
 )
 NEXT_LINK = ExtractSpec("next", card=None, fields=(Field("next_href", "li.next a", attr="href"),))
 
+# campaign card: the card is the link; its own href, title and two prices.
+CAMPAIGN = ExtractSpec(
+    "campaign",
+    card="a.jfy-product-card-component-pc",
+    card_end="</footer>|</div><footer",
+    fields=(
+        Field("href", None, attr="href"),
+        Field("name", ".product-card-title", mode="clean"),
+        Field("current_price", ".lzdPriceDiscountPCV2", mode="clean"),
+        Field("old_price", ".lzdPriceOriginPCV2", mode="clean"),
+    ),
+)
+
 # countries: page-wide parallel lists.
 COUNTRIES = ExtractSpec(
     "countries",
@@ -141,5 +154,5 @@ PARAGRAPHS = ExtractSpec(
     fields=(Field("paras", "article p", mode="clean", many=True),))
 
 __all__ = ["LISTING", "LISTING_LENIENT", "DETAIL", "BOOK", "DIRECTORY", "HOCKEY", "QUOTE",
-           "NEXT_LINK", "COUNTRIES", "CATALOGUE", "PAGE_TITLE", "NAV_LINKS", "PARAGRAPHS",
+           "NEXT_LINK", "CAMPAIGN", "COUNTRIES", "CATALOGUE", "PAGE_TITLE", "NAV_LINKS", "PARAGRAPHS",
            "clean_int", "price_first", "clean_text"]
