@@ -258,6 +258,14 @@ def split_cards(html: Column, card: str, card_end: str | None = None) -> Column:
     return cards
 
 
+def _required_ok(rec: Column, required: tuple[str, ...]) -> Column:
+    ok = F.lit(True)
+    for r in required:
+        v = rec[r]
+        ok = ok & v.isNotNull() & (v.cast("string") != "")
+    return ok
+
+
 def extract(pages: DataFrame, spec: ExtractSpec, html_col: str = "html",
             keep: tuple[str, ...] | None = None) -> DataFrame:
     """Run ``spec`` over a pages table.
@@ -266,24 +274,29 @@ def extract(pages: DataFrame, spec: ExtractSpec, html_col: str = "html",
     page (G01). Without: one row per page (B23). ``keep`` columns (default: all but
     the html) are carried through (A09). Rows missing a ``required`` field are
     dropped (D01, B21).
+
+    Each card becomes one struct of its fields inside the page row (``transform``),
+    the required check filters that array and ``inline`` makes the rows. Every field
+    regex therefore runs once per card; a row filter written after a projection
+    would be pushed below it with the field expressions copied into it, running
+    every regex twice.
     """
     keep = tuple(c for c in pages.columns if c != html_col) if keep is None else keep
     html = F.col(html_col)
     if spec.strip_noise:
         html = strip_noise(html)
+
+    def record(frag: Column, pos: Column | None) -> Column:
+        parts = [pos.alias("pos")] if pos is not None else []
+        return F.struct(*parts, *[field_column(frag, f).alias(f.name) for f in spec.fields])
+
     if spec.card:
-        base = pages.select(*keep, F.posexplode(split_cards(html, spec.card, spec.card_end))
-                            .alias("pos", "_frag"))
-        lead = [*keep, "pos"]
+        recs = F.transform(split_cards(html, spec.card, spec.card_end), lambda c, i: record(c, i))
     else:
-        base = pages.select(*keep, html.alias("_frag"))
-        lead = list(keep)
-    frag = F.col("_frag")
-    out = base.select(*lead, *[field_column(frag, f).alias(f.name) for f in spec.fields])
-    for r in spec.required:
-        c = F.col(r)
-        out = out.filter(c.isNotNull() & (c.cast("string") != ""))
-    return out
+        recs = F.array(record(html, None))
+    if spec.required:
+        recs = F.filter(recs, lambda r: _required_ok(r, spec.required))
+    return pages.select(*keep, F.inline(recs))
 
 
 def extract_lists(pages: DataFrame, spec: ExtractSpec, html_col: str = "html",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.operators import views
 from gleanspark.plans import products, render
-from gleanspark.sources.tables import table
+from gleanspark.sources.tables import heavy_table, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -211,7 +211,7 @@ SELECT doc_id, {_sql_clean('text')} AS text_clean FROM documents""")
 def q_clean_text(spark, sf):
     """C01 over every document (Unicode whitespace collapsed, ends stripped)."""
     from gleanspark.functions.text import clean_text
-    return table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text_clean"))
+    return heavy_table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text_clean"))
 
 
 @register("clean_all_text_columns", f"""
@@ -237,7 +237,7 @@ FROM pages""")
 def q_normalize_url(spark, sf):
     """C02, C17, C18, D15 over every captured page URL."""
     from gleanspark.functions import get_domain, normalize_url, website_type
-    p = table(spark, sf, "pages")
+    p = heavy_table(spark, sf, "pages")
     return p.select("page_id", normalize_url("url", F.col("url")).alias("url_norm"),
                     get_domain("url").alias("domain"), website_type("url").alias("site_class"))
 
@@ -249,7 +249,7 @@ SELECT doc_id, email FROM (
 def q_email_docs(spark, sf):
     """C23 over every document; documents without an address give no row."""
     from gleanspark.functions.text import extract_email
-    d = table(spark, sf, "documents")
+    d = heavy_table(spark, sf, "documents")
     return d.select("doc_id", extract_email("text").alias("email")).filter(F.col("email").isNotNull())
 
 
@@ -260,7 +260,7 @@ SELECT page_id, email FROM (
 def q_email_pages(spark, sf):
     """C23 over captured pages (E06 reads the same column after the URL join)."""
     from gleanspark.functions.text import extract_email
-    p = table(spark, sf, "pages")
+    p = heavy_table(spark, sf, "pages")
     return p.select("page_id", extract_email("html").alias("email")).filter(F.col("email").isNotNull())
 
 
@@ -272,7 +272,7 @@ def q_extract_titles(spark, sf):
     """One record per page, the cleaned title text."""
     from gleanspark.operators.extract import extract
     from gleanspark.plans.specs import PAGE_TITLE
-    return extract(table(spark, sf, "pages"), PAGE_TITLE, keep=("page_id",))
+    return extract(heavy_table(spark, sf, "pages"), PAGE_TITLE, keep=("page_id",))
 
 
 @register("extract_nav_links", f"""
@@ -296,7 +296,7 @@ def q_extract_nav_links(spark, sf):
     from gleanspark.functions.urls import normalize_url
     from gleanspark.operators.extract import extract
     from gleanspark.plans.specs import NAV_LINKS
-    p = table(spark, sf, "pages")
+    p = heavy_table(spark, sf, "pages")
     links = extract(p.select("page_id", "url", "html"), NAV_LINKS, keep=("page_id", "url"))
     return links.select("page_id", "pos", "href", "text",
                         normalize_url("href", F.col("url")).alias("link"))
@@ -319,7 +319,7 @@ def q_extract_paragraphs(spark, sf):
     ending where the next block starts."""
     from gleanspark.operators.extract import extract
     from gleanspark.plans.specs import PARAGRAPHS
-    x = extract(table(spark, sf, "pages"), PARAGRAPHS, keep=("page_id",))
+    x = extract(heavy_table(spark, sf, "pages"), PARAGRAPHS, keep=("page_id",))
     return x.select("page_id", F.posexplode("paras").alias("pos", "text"))
 
 
@@ -335,7 +335,7 @@ def q_page_flags(spark, sf):
     """Blocked-page and page-state flags for every captured page (a marker
     list is a parameter; ``spam-farm`` marks link-farm pages in this data)."""
     from gleanspark.functions.classify import is_blocked, is_logged_in
-    p = table(spark, sf, "pages")
+    p = heavy_table(spark, sf, "pages")
     return p.select("page_id",
                     (is_blocked("html", "url") | F.coalesce(F.col("html").contains("spam-farm"),
                                                             F.lit(False))).alias("is_blocked"),

@@ -18,6 +18,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Small shuffles of CPU-heavy rows (HTML pages) are not merged into one task;
+    # large shuffles are sized by bytes / parallelism as usual.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # broadcast only sides the planner has measured below this size
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }

@@ -17,6 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work (regexes over whole pages or documents) at least
+    one task per core. Only when the scan has fewer splits than the default
+    parallelism (one unsplittable file); a large table is already split by the scan
+    and is left alone (no shuffle)."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def heavy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table whose rows are large texts (``pages``, ``documents``), spread
+    over the cores when the scan alone would not."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
