@@ -160,3 +160,8 @@ def place_views(raw: DataFrame, clean: DataFrame, k: int = PLACE_TOP_K,
         "Website Analysis": value_counts(clean, "website_type"),
         "Area Analysis": value_counts(clean, "area"),
     }
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows (a look at the data; the limit is the feature)."""
+    return df.limit(n)
