@@ -917,3 +917,19 @@ def q_distinct_urls(spark, sf):
     from gleanspark.sources.sinks import distinct_values
     pages = render.listing_pages(table(spark, sf, "part"), url_by_name=True)
     return distinct_values(products.listing(pages), "url")
+
+
+@register("detail_counts_variant", f"""WITH {_LISTING_CTE}
+SELECT url,
+  CASE WHEN p_type IN ('STANDARD', 'LARGE', 'ECONOMY') THEN li.n
+       WHEN p_type = 'SMALL' THEN li.n END AS rating_count,
+  CASE WHEN p_type IN ('STANDARD', 'LARGE', 'ECONOMY') THEN li.answered END AS answered_questions
+FROM lst JOIN li ON li.l_partkey = lst.p_partkey WHERE p_type <> 'PROMO'""")
+def q_detail_counts_variant(spark, sf):
+    """The case-sensitive ``Rating`` / ``Answered`` label test (both tests on every
+    link) with the count-block fallback, on every captured detail page of a listed
+    product."""
+    part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
+    det = products.detail_table(render.detail_pages(part, li, supp), exclusive_counts=False)
+    lst = products.listing(render.listing_pages(part)).select("url")
+    return det.join(lst, "url", "left_semi").select("url", "rating_count", "answered_questions")

@@ -69,20 +69,17 @@ def search_clean(raw: DataFrame) -> DataFrame:
     return out.na.drop(subset=["name", "price_num", "url"])
 
 
-def detail_table(detail_pages: DataFrame, keep=("url",)) -> DataFrame:
-    """Detail (A): one record per detail page (B23), counts by label (B17) with the
-    count block as fallback (B19). ``extract_ok`` marks pages that gave any field."""
+def detail_table(detail_pages: DataFrame, keep=("url",), exclusive_counts: bool = True) -> DataFrame:
+    """Detail (A): one record per detail page (B23), counts by label (B17, or the
+    case-sensitive B18 variant with ``exclusive_counts=False``) with the count block
+    as fallback (B19). ``extract_ok`` marks pages that gave any field (B22)."""
     d = extract(detail_pages, specs.DETAIL, keep=keep)
-    links = F.col("summary_links")
-    rating_links = F.filter(links, lambda x: F.lower(x).contains("rating"))
-    answer_links = F.filter(links, lambda x: ~F.lower(x).contains("rating")
-                            & F.lower(x).contains("answered question"))
+    rating_count, answered = labelled_counts("summary_links", exclusive_counts)
     out = d.select(
         *keep,
         clean_float("rating_text").alias("rating_score"),
-        F.coalesce(clean_int(F.try_element_at(rating_links, F.lit(-1))),
-                   clean_int("count_text")).alias("rating_count"),
-        clean_int(F.try_element_at(answer_links, F.lit(-1))).alias("answered_questions"),
+        F.coalesce(rating_count, clean_int("count_text")).alias("rating_count"),
+        answered.alias("answered_questions"),
         clean_text("brand").alias("brand"),
         clean_text("seller").alias("seller"),
         clean_text("description").alias("description"),
