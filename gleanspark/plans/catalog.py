@@ -361,7 +361,7 @@ def q_catalogue(spark, sf):
 SELECT r_name AS page,
        CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) - 1 AS INTEGER) AS pos,
        n_name AS name, ' Capital of ' || n_name AS capital,
-       CAST(n_nationkey * 1000000 + 5 AS DOUBLE) AS population, n_regionkey * 1000.5 AS area
+       CAST(n_nationkey * 1000000 + 5 AS DOUBLE) AS population, CAST(n_regionkey AS DOUBLE) * 1000.5 AS area
 FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def q_countries_zip(spark, sf):
     """B06 positional zip, C10 strict double casts, C12 character removal."""

@@ -34,3 +34,12 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "value_score" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, con, name):
+    from tools.type_check import SPARK_TO_DUCK
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert s == d
