@@ -105,17 +105,6 @@ def element_regex(sel: str) -> str:
     return rf"(?is){_prefix(steps)}(.*?)(?={steps[-1].end_regex()})"
 
 
-def outer_regex(sel: str) -> str:
-    """Regex whose group 1 is the outer HTML (opening tag + inner) of a match."""
-    steps = parse_selector(sel)
-    head = _prefix(steps[:-1]) if len(steps) > 1 else ""
-    if len(steps) > 1:
-        st = steps[-2]
-        anc_close = rf"</{re.escape(st.tag)}\s*>" if st.tag else r"(?!)"
-        head += rf"(?:(?!{anc_close}).)*?"
-    return rf"(?is){head}({steps[-1].open_regex()}.*?)(?={steps[-1].end_regex()})"
-
-
 def attr_regex(sel: str, attr: str) -> str:
     """Regex whose group 2 is the value of ``attr`` on the first element matching ``sel``."""
     steps = parse_selector(sel)
