@@ -52,17 +52,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     make our own scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    master = _master(spark)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if master is None or not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is unset: name a folder on shared storage "
                                "(a machine-local folder does not survive a lost executor)")
         d = tempfile.mkdtemp(prefix="gleanspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+    except Exception:  # a remote (Connect) session reads spark.checkpoint.dir itself
+        pass
     return d
 
 
+def _master(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.master
+    except Exception:
+        return spark.conf.get("spark.master", None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark).rstrip("/"), name)

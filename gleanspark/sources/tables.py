@@ -22,10 +22,12 @@ def spread(df: DataFrame) -> DataFrame:
     one task per core. Only when the scan has fewer splits than the default
     parallelism (one unsplittable file); a large table is already split by the scan
     and is left alone (no shuffle)."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # no RDD view of the plan (remote session): leave it to AQE
+        pass
     return df
 
 
