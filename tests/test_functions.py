@@ -129,3 +129,19 @@ def test_html_text_modes(spark):
     assert _eval(spark, lambda c: G.html_text(c, "tight"), frag) == ["abc&d"]
     assert _eval(spark, lambda c: G.html_text(c, "space"), frag) == ["a b c&d"]
     assert _eval(spark, lambda c: G.html_text(c, "clean"), frag) == ["a b c&d"]
+
+
+def test_guards_and_coercion(spark):
+    assert _eval(spark, G.coerce_double, ["1.5", "x", None, "NaN"]) == [1.5, None, None, None]
+    assert _eval(spark, G.is_nonempty, [" a ", "  ", None]) == [True, False, False]
+    assert _eval(spark, G.safe_lower, ["AbC", None]) == ["abc", ""]
+    assert _eval(spark, lambda c: G.remove_chars(c, '"'), ['"Bangladesh"']) == ["Bangladesh"]
+    assert _eval(spark, lambda c: G.first_truthy(c, F.lit("fb")), ["", None, "a"]) == ["fb", "fb", "a"]
+
+
+def test_preview(spark):
+    from gleanspark.operators.views import move_before, move_to_end, preview
+    df = spark.range(100).select("id", (F.col("id") * 2).alias("x"), F.lit("u").alias("url"))
+    assert preview(df, 10).count() == 10
+    assert move_to_end(df, ["id", "missing"]).columns == ["x", "url", "id"]
+    assert move_before(df, "url", "x").columns == ["id", "url", "x"]
