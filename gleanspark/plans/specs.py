@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleanspark.functions.numbers import clean_int, price_first
-from gleanspark.functions.text import clean_text
 from gleanspark.operators.extract import ExtractSpec, Field
 
 # search / listing (A): card = product item; first a[title] -> @title, @href;
@@ -154,5 +152,4 @@ PARAGRAPHS = ExtractSpec(
     fields=(Field("paras", "article p", mode="clean", many=True),))
 
 __all__ = ["LISTING", "LISTING_LENIENT", "DETAIL", "BOOK", "DIRECTORY", "HOCKEY", "QUOTE",
-           "NEXT_LINK", "CAMPAIGN", "COUNTRIES", "CATALOGUE", "PAGE_TITLE", "NAV_LINKS", "PARAGRAPHS",
-           "clean_int", "price_first", "clean_text"]
+           "NEXT_LINK", "CAMPAIGN", "COUNTRIES", "CATALOGUE", "PAGE_TITLE", "NAV_LINKS", "PARAGRAPHS"]

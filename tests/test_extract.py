@@ -1,7 +1,6 @@
 """Extractor fixtures: small hand-written pages per selector feature (FIXTURES.md 4)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from gleanspark.operators.extract import ExtractSpec, Field, extract, extract_lists
 from gleanspark.plans import specs

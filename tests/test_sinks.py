@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from gleanspark.operators import views
 from gleanspark.sources.sinks import (cards_per_page, run_summary, view_folder, write_table,
