@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from gleanspark.functions._util import col_of
 
-# (?U): Unicode whitespace and word classes, as Python's ``re`` uses for str patterns.
-WS = r"(?U)\s+"
+# Whitespace as Python's ``re`` and ``str.strip`` see it: Java's Unicode ``\s`` plus the
+# four information separators U+001C..U+001F.
+WS = r"(?U)[\s\x1c-\x1f]+"
 
 
 def clean_text(c) -> Column:
@@ -26,7 +27,7 @@ def clean_text(c) -> Column:
 
 def strip_text(c) -> Column:
     """``str.strip()``: remove leading/trailing Unicode whitespace, keep inner runs."""
-    return F.regexp_replace(col_of(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(col_of(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def remove_chars(c, chars: str) -> Column:
@@ -78,7 +79,7 @@ def clean_all_text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> Data
 # ones. ``&amp;`` is decoded last so ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
 NAMED_ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&#x27;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"),
+    ("&#x27;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"),
     ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
     ("&amp;", "&"),
 ]

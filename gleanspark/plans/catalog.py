@@ -181,7 +181,7 @@ def q_value_top10(spark, sf):
 # Text, URL and page-level reads over documents and pages
 
 # DuckDB (RE2) spellings of the Java (?U) classes used by the Spark side.
-_WS = r"[\t\n\x{0b}\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_WS = r"[\t\n\x{0b}\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 _W = r"[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}]"
 
 
