@@ -9,23 +9,26 @@ window ``row_number() = 1`` would sort the whole hot group in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys, order) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (a list of column names, ascending).
+    """One row per ``keys``: the first by ``order`` (column names or Column expressions,
+    ascending). Expression order keys rank rows but are not output.
 
     NULL keys group together (as ``drop_duplicates`` does). Ties on the whole order
     tuple fall back to the remaining columns, so the result is deterministic.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [order] if isinstance(order, str) else list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+    order = [order] if isinstance(order, (str, Column)) else list(order)
+    names = [o for o in order if isinstance(o, str)]
+    rest = [c for c in df.columns if c not in keys and c not in names]
+    packed = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)],
                       *[F.col(c) for c in rest])
     agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    out = agg.select(*keys, *[F.col("_first")[f"_o{i}"].alias(c) for i, c in enumerate(order)],
+    out = agg.select(*keys, *[F.col("_first")[f"_o{i}"].alias(o) for i, o in enumerate(order)
+                              if isinstance(o, str)],
                      *[F.col("_first")[c].alias(c) for c in rest])
     return out.select(*df.columns)
 

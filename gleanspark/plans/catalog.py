@@ -933,3 +933,36 @@ def q_detail_counts_variant(spark, sf):
     det = products.detail_table(render.detail_pages(part, li, supp), exclusive_counts=False)
     lst = products.listing(render.listing_pages(part)).select("url")
     return det.join(lst, "url", "left_semi").select("url", "rating_count", "answered_questions")
+
+
+@register("stream_details", f"""WITH {_LISTING_CTE}
+SELECT 'https://shop.example/p/' || regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g') || '-i'
+         || CAST(p_partkey AS VARCHAR) || '.html' AS url,
+  CASE WHEN p_type <> 'MEDIUM' THEN li.rating END AS rating_score,
+  CASE WHEN p_type <> 'MEDIUM' THEN li.n END AS rating_count,
+  CASE WHEN p_type IN ('STANDARD', 'LARGE', 'ECONOMY') THEN li.answered END AS answered_questions,
+  CASE WHEN p_type <> 'MEDIUM' THEN p_brand END AS brand,
+  CASE WHEN p_type <> 'MEDIUM' THEN s_name END AS seller,
+  CASE WHEN p_type <> 'MEDIUM' THEN p_type || ' ' || p_name || ' & more size ' || CAST(p_size AS VARCHAR) END AS description,
+  p_type <> 'MEDIUM' AS extract_ok
+FROM part JOIN li ON li.l_partkey = p_partkey LEFT JOIN supplier ON s_suppkey = li.supp
+WHERE p_type <> 'PROMO'""")
+def stream_details(spark, sf, n_drops: int = 3):
+    """K01 + J04: captured detail pages land in ``n_drops`` drops; each micro-batch
+    extracts details, keeps one row per URL and appends URLs not stored yet. Failed
+    pages are stored with ``extract_ok`` false (they count as done, E04)."""
+    import uuid
+
+    from gleanspark.session import scratch_path
+    from gleanspark.streaming.incremental import incremental_load, read_sink
+    root = scratch_path(spark, f"stream-details-{uuid.uuid4().hex[:12]}")
+    src, sink, ckpt = (f"{root}/{d}" for d in ("source", "sink", "checkpoint"))
+    part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
+    pages = render.detail_pages(part, li, supp).withColumn("drop", F.pmod(F.hash("url"), F.lit(n_drops)))
+    for i in range(n_drops):
+        pages.filter(F.col("drop") == i).drop("drop").write.mode("append").parquet(src)
+    incremental_load(spark, src, "url string, html string", sink, ckpt,
+                     transform=lambda df: products.detail_table(df), key="url",
+                     order=[~F.col("extract_ok")],
+                     skip_key="url")
+    return read_sink(spark, sink)
