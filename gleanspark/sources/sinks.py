@@ -28,16 +28,22 @@ def view_folder(name: str) -> str:
 
 
 def write_views(views: dict[str, DataFrame], root: str, fmt: str = "parquet",
-                base: DataFrame | None = None) -> dict[str, str]:
+                base: DataFrame | None = None, order_col: str | None = "view_order") -> dict[str, str]:
     """Every view of a suite to ``root/<view>/``. The shared ``base`` is
-    persisted once for the suite and released after the last write. A sorted view
-    keeps its order in the part files (range-partitioned sort)."""
+    persisted once for the suite and released after the last write.
+
+    ``order_col`` keeps the order of sorted views: a sort range-partitions the rows,
+    so ``monotonically_increasing_id`` (partition index, then row index) increases in
+    sort order without any single-task window; readers ``orderBy(order_col)``.
+    """
     if base is not None:
         base.persist()
     out = {}
     try:
         for name, df in views.items():
             path = f"{root.rstrip('/')}/{view_folder(name)}"
+            if order_col:
+                df = df.withColumn(order_col, F.monotonically_increasing_id())
             if write_table(df, path, fmt=fmt, skip_empty=False):
                 out[name] = path
     finally:

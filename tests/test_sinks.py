@@ -4,6 +4,8 @@ import os
 import tempfile
 
 
+from pyspark.sql import functions as F
+
 from gleanspark.operators import views
 from gleanspark.sources.sinks import (cards_per_page, run_summary, view_folder, write_table,
                                       write_views)
@@ -18,7 +20,8 @@ def test_write_views_and_read_back(spark):
              "Top 1": views.top_k(base, [("price_num", "asc")], 1)}
     paths = write_views(suite, root, base=base)
     assert set(paths) == set(suite)
-    assert [r.url for r in spark.read.parquet(paths["Cheapest"]).collect()] == ["b", "c", "a"]
+    back = spark.read.parquet(paths["Cheapest"]).orderBy("view_order")
+    assert [r.url for r in back.collect()] == ["b", "c", "a"]
     assert spark.read.parquet(os.path.join(root, view_folder("Top 1"))).count() == 1
 
 
@@ -44,3 +47,12 @@ def test_run_log(spark):
     pages = spark.createDataFrame([(0,), (1,), (2,)], "page int")
     assert [tuple(r) for r in run_summary(rows).collect()] == [(3, 2, 2)]
     assert sorted(tuple(r) for r in cards_per_page(rows, pages).collect()) == [(0, 2), (1, 0), (2, 1)]
+
+
+def test_view_order_survives_many_partitions(spark):
+    root = tempfile.mkdtemp(prefix="gleanspark-order-")
+    df = spark.range(0, 5000, numPartitions=7).select(((F.col("id") * 7919) % 5000).alias("v"),
+                                                     F.col("id").cast("string").alias("url"))
+    paths = write_views({"Sorted": views.sort_view(df.repartition(5), [("v", "desc")])}, root)
+    back = [r.v for r in spark.read.parquet(paths["Sorted"]).orderBy("view_order").collect()]
+    assert back == sorted(back, reverse=True) and len(back) == 5000
