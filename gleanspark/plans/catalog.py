@@ -488,14 +488,22 @@ def q_book_best(spark, sf):
 # ---------------------------------------------------------------------------
 # Places: JSON search + detail responses -> enrichment -> classes -> views
 
+def _sql_norm_url(u: str) -> str:
+    """normalize_url(u, u) for an absolute URL, in SQL."""
+    return (f"lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' || "
+            f"regexp_replace(regexp_replace(regexp_replace({u}, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), "
+            f"'[?#].*$', ''), ';[^/]*$', '')")
+
+
 _EMAIL_RE = r"[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}.-]+@[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}.-]+"
 
 _PLACES_CTE = f"""
 oc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
 mails AS (
-  SELECT url, min(e) AS email FROM (
-    SELECT url, nullif(regexp_extract(html, '{_EMAIL_RE}', 0), '') AS e FROM pages) m
-  WHERE e IS NOT NULL GROUP BY url),
+  SELECT site, min(e) AS email FROM (
+    SELECT {_sql_norm_url('url')} AS site,
+           nullif(regexp_extract(html, '{_EMAIL_RE}', 0), '') AS e FROM pages) m
+  WHERE e IS NOT NULL GROUP BY site),
 f AS (
   SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, n.n_regionkey, oc.n AS rating_count,
     CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Free' WHEN 'BUILDING' THEN 'Cheap'
@@ -540,7 +548,7 @@ clean AS (
          WHEN contains(lower(website), 'instagram.com') THEN 'Instagram' ELSE 'Official Website' END AS website_type,
     CASE WHEN website IS NOT NULL AND NOT contains(lower(website), 'facebook.com')
               AND NOT contains(lower(website), 'instagram.com') AND regexp_matches(website, '^https?://')
-         THEN (SELECT email FROM mails WHERE mails.url = raw.website) END AS email,
+         THEN (SELECT email FROM mails WHERE mails.site = {_sql_norm_url('raw.website')}) END AS email,
     CASE WHEN contains(lower(name), 'grill') THEN 'Grill Burger'
          WHEN contains(lower(name), 'fried') THEN 'Fried Chicken + Burger'
          WHEN contains(lower(name), 'cafe') THEN 'Cafe Burger'

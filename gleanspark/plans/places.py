@@ -11,7 +11,7 @@ from gleanspark.functions.classify import (PRICE_TEXT_MAP, area_class, contains_
 from gleanspark.functions.numbers import map_lookup, money_to_text
 from gleanspark.functions.score import level_score
 from gleanspark.functions.text import clean_all_text_columns, extract_email, first_truthy
-from gleanspark.functions.urls import get_domain, is_http_url
+from gleanspark.functions.urls import get_domain, is_http_url, normalize_url
 from gleanspark.operators.dedup import keep_first
 from gleanspark.operators.views import move_before
 from gleanspark.sources.places import place_details, search_places
@@ -62,18 +62,23 @@ def clean_places(raw: DataFrame, pages: DataFrame | None) -> DataFrame:
     address (C20) -> website before the maps link (C32).
 
     The homepage join is a left join of places (already filtered) with the captured
-    pages reduced to ``(url, email)`` -- the wide ``html`` column never crosses the
+    pages reduced to ``(site, email)`` -- the wide ``html`` column never crosses the
     shuffle.
     """
     df = raw.filter(contains_ci("address", "dhaka"))
     df = df.withColumn("domain", get_domain("website")).withColumn("website_type", website_type("website"))
     if pages is not None:
-        mails = pages.select(F.col("url").alias("website"), extract_email("html").alias("_mail")) \
-            .filter(F.col("_mail").isNotNull())
-        mails = keep_first(mails, "website", ["_mail"])
-        df = df.join(mails, "website", "left")
-        df = df.withColumn("email", F.when((F.col("website_type") == "Official Website")
-                                           & is_http_url("website"), F.col("_mail"))).drop("_mail")
+        # captured homepages keyed by normalized URL (query and fragment dropped);
+        # several captures of one site give their smallest address
+        mails = pages.select(normalize_url("url", F.col("url")).alias("_site"),
+                             extract_email("html").alias("_mail")).filter(F.col("_mail").isNotNull())
+        mails = keep_first(mails, "_site", ["_mail"])
+        official = (F.col("website_type") == "Official Website") & is_http_url("website")
+        # places that take no e-mail get a unique key that matches nothing, so they
+        # spread over the join partitions instead of all hashing to the NULL key
+        df = df.withColumn("_site", F.when(official, normalize_url("website", F.col("website")))
+                           .otherwise(F.concat(F.lit("\u0001"), F.col("id"))))
+        df = df.join(mails, "_site", "left").withColumnRenamed("_mail", "email").drop("_site")
     else:
         df = df.withColumn("email", F.lit(None).cast("string"))
     df = (df.withColumn("kind", place_kind("name"))
