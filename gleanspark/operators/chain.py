@@ -38,16 +38,17 @@ def chain_order(edges: DataFrame, url: str = "url", next_url: str = "next_url",
         n = state.count()
         max_rounds = max(1, math.ceil(math.log2(max(n, 2)))) + 1
     for _ in range(max_rounds):
-        if state.filter(F.col("anc").isNotNull()).isEmpty():
+        moving = state.filter(F.col("anc").isNotNull())
+        if moving.isEmpty():
             break
+        # only unresolved pages join (their pointer is never NULL), so resolved pages
+        # do not pile up on one NULL-key partition
         y = state.select(F.col("u").alias("y_u"), F.col("anc").alias("y_anc"),
                          F.col("dist").alias("y_dist"), F.col("head").alias("y_head"))
-        j = state.join(y, F.col("anc") == F.col("y_u"), "left")
-        moving = F.col("anc").isNotNull()
-        state = j.select(
-            "u",
-            F.when(moving, F.col("y_anc")).alias("anc"),
-            F.when(moving, F.col("dist") + F.col("y_dist")).otherwise(F.col("dist")).alias("dist"),
-            F.when(moving, F.col("y_head")).otherwise(F.col("head")).alias("head")).checkpoint()
+        stepped = moving.join(y, F.col("anc") == F.col("y_u"), "left").select(
+            "u", F.col("y_anc").alias("anc"),
+            (F.col("dist") + F.coalesce(F.col("y_dist"), F.lit(0))).alias("dist"),
+            F.col("y_head").alias("head"))
+        state = state.filter(F.col("anc").isNull()).unionByName(stepped).checkpoint()
     return state.filter(F.col("head").isNotNull() & F.col("anc").isNull()).select(
         F.col("head").alias("start_url"), F.col("dist").alias("depth"), F.col("u").alias(url))
