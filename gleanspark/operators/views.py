@@ -10,6 +10,8 @@ written with ``write_views`` the order survives in the part files.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +82,26 @@ def move_before(df: DataFrame, col: str, before: str) -> DataFrame:
     return df.select(*cols[:i], col, *cols[i:])
 
 
+class ViewSuite(Mapping):
+    """A named set of views built on first access (a DataFrame is analyzed when it is
+    built, so building all views to read one is wasted planning)."""
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._built: dict = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 # The view parameters of the product search suite and bookstore suite.
 SEARCH_BANDS = (100, 300)
 SEARCH_KEYWORDS = {"Gel Pen": "gel pen", "Ball Pen": "ball pen", "Kawaii": "kawaii",
@@ -90,53 +112,58 @@ TOP_K = 50
 PLACE_TOP_K = 10
 
 
-def value_views(final: DataFrame) -> dict[str, DataFrame]:
+def value_views(final: DataFrame) -> ViewSuite:
     """Combined, Cheapest, Top Rated, Best Value."""
-    return {
-        "Combined": final,
-        "Cheapest": sort_view(final.na.drop(subset=["price_num"]), [("price_num", "asc")]),
-        "Top Rated": sort_view(final.na.drop(subset=["rating_score"]),
-                               [("rating_score", "desc"), ("rating_count", "desc")]),
-        "Best Value": sort_view(final.na.drop(subset=["value_score"]), [("value_score", "desc")]),
-    }
+    return ViewSuite({
+        "Combined": lambda: final,
+        "Cheapest": lambda: sort_view(final.na.drop(subset=["price_num"]), [("price_num", "asc")]),
+        "Top Rated": lambda: sort_view(final.na.drop(subset=["rating_score"]),
+                                       [("rating_score", "desc"), ("rating_count", "desc")]),
+        "Best Value": lambda: sort_view(final.na.drop(subset=["value_score"]), [("value_score", "desc")]),
+    })
+
+
+def _band(df: DataFrame, col: str, lo: float, hi: float, which: str, sort: bool, key: str = "url"):
+    return lambda: band_views(df, col, lo, hi, key=key, sort=sort)[which]
 
 
 def product_views(raw: DataFrame, clean: DataFrame, bands=SEARCH_BANDS,
-                  keywords=SEARCH_KEYWORDS, k: int = TOP_K) -> dict[str, DataFrame]:
+                  keywords=SEARCH_KEYWORDS, k: int = TOP_K) -> ViewSuite:
     """The 12-view search suite over one clean table."""
     lo, hi = bands
-    b = band_views(clean, "price_num", lo, hi, sort=False)
-    views = {
-        "Raw": raw, "Clean": clean,
-        "Cheapest": sort_view(clean, [("price_num", "asc")]),
-        "Most Expensive": sort_view(clean, [("price_num", "desc")]),
-        f"Under {lo}": b["under"], f"{lo} to {hi}": b["between"], f"Above {hi}": b["above"],
+    b = {
+        "Raw": lambda: raw, "Clean": lambda: clean,
+        "Cheapest": lambda: sort_view(clean, [("price_num", "asc")]),
+        "Most Expensive": lambda: sort_view(clean, [("price_num", "desc")]),
+        f"Under {lo}": _band(clean, "price_num", lo, hi, "under", False),
+        f"{lo} to {hi}": _band(clean, "price_num", lo, hi, "between", False),
+        f"Above {hi}": _band(clean, "price_num", lo, hi, "above", False),
     }
     for label, kw in keywords.items():
-        views[label] = keyword_view(clean, "name", kw)
-    views[f"Top Cheapest {k}"] = top_k(clean, [("price_num", "asc")], k)
-    return views
+        b[label] = (lambda kw=kw: keyword_view(clean, "name", kw))
+    b[f"Top Cheapest {k}"] = lambda: top_k(clean, [("price_num", "asc")], k)
+    return ViewSuite(b)
 
 
 def book_views(raw: DataFrame, clean: DataFrame, bands=BOOK_BANDS, regexes=BOOK_REGEX,
-               k: int = TOP_K) -> dict[str, DataFrame]:
+               k: int = TOP_K) -> ViewSuite:
     """The 12-view bookstore suite."""
     lo, hi = bands
     priced = clean.na.drop(subset=["current_price_num"])
-    rated = clean.na.drop(subset=["ratings_count"])
-    b = band_views(priced, "current_price_num", lo, hi)
-    views = {
-        "Raw": raw, "Clean": clean,
-        "Cheapest": sort_view(priced, [("current_price_num", "asc")]),
-        "Most Expensive": sort_view(priced, [("current_price_num", "desc")]),
-        "Top Rated": sort_view(rated, [("ratings_count", "desc")]),
-        f"Under {lo}": b["under"], f"{lo} to {hi}": b["between"], f"Above {hi}": b["above"],
+    b = {
+        "Raw": lambda: raw, "Clean": lambda: clean,
+        "Cheapest": lambda: sort_view(priced, [("current_price_num", "asc")]),
+        "Most Expensive": lambda: sort_view(priced, [("current_price_num", "desc")]),
+        "Top Rated": lambda: sort_view(clean.na.drop(subset=["ratings_count"]), [("ratings_count", "desc")]),
+        f"Under {lo}": _band(priced, "current_price_num", lo, hi, "under", True),
+        f"{lo} to {hi}": _band(priced, "current_price_num", lo, hi, "between", True),
+        f"Above {hi}": _band(priced, "current_price_num", lo, hi, "above", True),
     }
     for label, rx in regexes.items():
-        views[label] = regex_view(clean, "title", rx)
-    views[f"Top Cheapest {k}"] = top_k(priced, [("current_price_num", "asc")], k)
-    views["Best Books Recommended"] = sort_view(best_books(clean), [("score", "desc")])
-    return views
+        b[label] = (lambda rx=rx: regex_view(clean, "title", rx))
+    b[f"Top Cheapest {k}"] = lambda: top_k(priced, [("current_price_num", "asc")], k)
+    b["Best Books Recommended"] = lambda: sort_view(best_books(clean), [("score", "desc")])
+    return ViewSuite(b)
 
 
 def best_books(clean: DataFrame) -> DataFrame:
@@ -146,20 +173,20 @@ def best_books(clean: DataFrame) -> DataFrame:
 
 
 def place_views(raw: DataFrame, clean: DataFrame, k: int = PLACE_TOP_K,
-                key: str = "id") -> dict[str, DataFrame]:
+                key: str = "id") -> ViewSuite:
     """The 9-view place suite."""
     lv = F.col("price_level")
-    return {
-        "Raw": raw, "Clean": clean,
-        "Cheapest": top_k(clean.filter(lv.isin("Free", "Cheap")), [("rating", "desc")], k, key),
-        "Premium": top_k(clean.filter(lv.isin("Expensive", "Very Expensive")),
-                         [("rating", "desc")], k, key),
-        "Top Rated": top_k(clean, [("rating", "desc"), ("rating_count", "desc")], k, key),
-        "Most Reviewed": top_k(clean, [("rating_count", "desc")], k, key),
-        "Best Valued": top_k(clean, [("value_score", "desc")], k, key),
-        "Website Analysis": value_counts(clean, "website_type"),
-        "Area Analysis": value_counts(clean, "area"),
-    }
+    return ViewSuite({
+        "Raw": lambda: raw, "Clean": lambda: clean,
+        "Cheapest": lambda: top_k(clean.filter(lv.isin("Free", "Cheap")), [("rating", "desc")], k, key),
+        "Premium": lambda: top_k(clean.filter(lv.isin("Expensive", "Very Expensive")),
+                                 [("rating", "desc")], k, key),
+        "Top Rated": lambda: top_k(clean, [("rating", "desc"), ("rating_count", "desc")], k, key),
+        "Most Reviewed": lambda: top_k(clean, [("rating_count", "desc")], k, key),
+        "Best Valued": lambda: top_k(clean, [("value_score", "desc")], k, key),
+        "Website Analysis": lambda: value_counts(clean, "website_type"),
+        "Area Analysis": lambda: value_counts(clean, "area"),
+    })
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

@@ -10,7 +10,7 @@ from gleanspark.functions.classify import (PRICE_TEXT_MAP, area_class, contains_
                                            price_category, rating_category, website_type)
 from gleanspark.functions.numbers import map_lookup, money_to_text
 from gleanspark.functions.score import level_score
-from gleanspark.functions.text import clean_all_text_columns, extract_email, first_truthy
+from gleanspark.functions.text import clean_text, extract_email, first_truthy
 from gleanspark.functions.urls import get_domain, is_http_url, normalize_url
 from gleanspark.operators.dedup import keep_first
 from gleanspark.operators.views import move_before
@@ -66,30 +66,36 @@ def clean_places(raw: DataFrame, pages: DataFrame | None) -> DataFrame:
     shuffle.
     """
     df = raw.filter(contains_ci("address", "dhaka"))
-    df = df.withColumn("domain", get_domain("website")).withColumn("website_type", website_type("website"))
+    wtype = website_type("website")
     if pages is not None:
         # captured homepages keyed by normalized URL (query and fragment dropped);
         # several captures of one site give their smallest address
         mails = pages.select(normalize_url("url", F.col("url")).alias("_site"),
                              extract_email("html").alias("_mail")).filter(F.col("_mail").isNotNull())
         mails = keep_first(mails, "_site", ["_mail"])
-        official = (F.col("website_type") == "Official Website") & is_http_url("website")
+        official = (wtype == "Official Website") & is_http_url("website")
         # places that take no e-mail get a unique key that matches nothing, so they
         # spread over the join partitions instead of all hashing to the NULL key
-        df = df.withColumn("_site", F.when(official, normalize_url("website", F.col("website")))
-                           .otherwise(F.concat(F.lit("\u0001"), F.col("id"))))
-        df = df.join(mails, "_site", "left").withColumnRenamed("_mail", "email").drop("_site")
+        site = F.when(official, normalize_url("website", F.col("website"))) \
+            .otherwise(F.concat(F.lit("\u0001"), F.col("id")))
+        df = df.select("*", site.alias("_site")).join(mails, "_site", "left")
+        email = F.col("_mail")
     else:
-        df = df.withColumn("email", F.lit(None).cast("string"))
-    df = (df.withColumn("kind", place_kind("name"))
-            .withColumn("price_category", price_category("price_level"))
-            .withColumn("rating_category", rating_category("rating")))
-    df = clean_all_text_columns(df, exclude=("id",))
-    df = df.withColumn("value_score", F.round(level_score("rating", "price_level"), 6))
-    df = df.withColumn("area", area_class("address"))
-    cols = [c for c in RAW_COLUMNS if c in df.columns] + \
-        ["domain", "website_type", "email", "kind", "price_category", "rating_category",
-         "value_score", "area"]
+        email = F.lit(None).cast("string")
+    # one projection: classes read the raw name / level (before C27), the area reads
+    # the cleaned address (after C27)
+    texts = {f.name for f in raw.schema.fields if f.dataType.simpleString() == "string"} - {"id"}
+    out = {c: (clean_text(c) if c in texts else F.col(c)) for c in RAW_COLUMNS}
+    cols = [out[c].alias(c) for c in RAW_COLUMNS] + [
+        clean_text(get_domain("website")).alias("domain"),
+        clean_text(wtype).alias("website_type"),
+        clean_text(email).alias("email"),
+        clean_text(place_kind("name")).alias("kind"),
+        price_category("price_level").alias("price_category"),
+        rating_category("rating").alias("rating_category"),
+        F.round(level_score("rating", clean_text("price_level")), 6).alias("value_score"),
+        area_class(clean_text("address")).alias("area"),
+    ]
     return move_before(df.select(*cols), "website", "maps_link")
 
 

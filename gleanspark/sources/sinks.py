@@ -27,7 +27,7 @@ def view_folder(name: str) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", name).strip("_").lower()
 
 
-def write_views(views: dict[str, DataFrame], root: str, fmt: str = "parquet",
+def write_views(views, root: str, fmt: str = "parquet",
                 base: DataFrame | None = None, order_col: str | None = "view_order") -> dict[str, str]:
     """Every view of a suite to ``root/<view>/``. The shared ``base`` is
     persisted once for the suite and released after the last write.

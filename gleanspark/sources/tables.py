@@ -11,10 +11,23 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table: ``<sf_dir>/<name>.parquet``. Filters and projections written
-    after this reach the parquet scan (``PushedFilters`` / ``ReadSchema``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    after this reach the parquet scan (``PushedFilters`` / ``ReadSchema``).
+
+    The driver tables are read-only, so the scan (file listing and footer schema) is
+    resolved once per session and path; a DataFrame is an immutable plan and is
+    safely reused by every query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
 def spread(df: DataFrame) -> DataFrame:
