@@ -93,6 +93,9 @@ def html_unescape(c) -> Column:
     return out
 
 
+_TAG = "\u0000"   # stands for a removed tag between two text nodes
+
+
 def html_text(fragment, mode: str = "clean") -> Column:
     """Text of an HTML fragment (tags removed, entities decoded).
 
@@ -108,10 +111,15 @@ def html_text(fragment, mode: str = "clean") -> Column:
         return html_unescape(F.regexp_replace(frag, r"<[^>]*>", ""))
     if mode == "strip":
         return strip_text(html_unescape(F.regexp_replace(frag, r"<[^>]*>", "")))
-    if mode == "tight":
-        return strip_text(html_unescape(F.regexp_replace(frag, r"(?U)(?:\s*<[^>]*>\s*)+", "")))
-    if mode == "space":
-        return strip_text(html_unescape(F.regexp_replace(frag, r"(?U)(?:\s*<[^>]*>\s*)+", " ")))
+    if mode in ("tight", "space"):
+        # every tag becomes a sentinel, then a whitespace/sentinel run around it becomes
+        # the joiner. Only character-class runs: Java matches those iteratively, while a
+        # repeated variable-width group recurses per repetition and overflows the stack
+        # on long runs of tags.
+        marked = F.regexp_replace(frag, r"<[^>]*>", _TAG)
+        joined = F.regexp_replace(marked, rf"(?U)[\s\x1c-\x1f]*{_TAG}[\s\x1c-\x1f{_TAG}]*",
+                                  "" if mode == "tight" else " ")
+        return strip_text(html_unescape(joined))
     if mode == "clean":
         return clean_text(html_unescape(F.regexp_replace(frag, r"<[^>]*>", " ")))
     raise ValueError(f"unknown text mode {mode!r}")

@@ -36,18 +36,21 @@ class Node:
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
-    def iter(self):
-        for c in self.children:
+    def _walk(self):
+        """Descendants (elements and strings) in document order, without recursion
+        (deeply nested pages must not hit the interpreter's recursion limit)."""
+        stack = list(reversed(self.children))
+        while stack:
+            c = stack.pop()
+            yield c
             if isinstance(c, Node):
-                yield c
-                yield from c.iter()
+                stack.extend(reversed(c.children))
+
+    def iter(self):
+        return (c for c in self._walk() if isinstance(c, Node))
 
     def strings(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.strings()
-            else:
-                yield c
+        return (c for c in self._walk() if not isinstance(c, Node))
 
 
 class _Builder(HTMLParser):

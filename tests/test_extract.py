@@ -134,3 +134,18 @@ def test_labelled_counts_variants(spark):
     assert a == [(5, 3), (7, None)]
     b = [tuple(r) for r in df.select(*labelled_counts("l", exclusive=False)).collect()]
     assert b == [(5, 3), (7, None)]
+
+
+def test_long_tag_runs_and_deep_nesting(spark):
+    """Long runs of tags and deep nesting: no regex recursion, no Python recursion."""
+    from gleanspark.functions.text import html_text
+    from gleanspark.operators.extract_py import extract_py
+    from pyspark.sql import functions as F
+    tags = "<p>a" + "<b></b>" * 50000 + " b</p>"
+    deep = "<main>" + "<div>" * 5000 + '<div class="company"><h3><a>N</a></h3><div class="address">X, Dhaka</div>' \
+        + "</div>" * 5001 + "</main>"
+    df = _pages(spark, tags, deep)
+    got = [r[0] for r in df.select(html_text("html", "space")).orderBy("page").collect()]
+    assert got[0] == "a b"
+    rows = extract_py(df, specs.DIRECTORY, keep=("page",)).collect()
+    assert [(r.page, r.name) for r in rows] == [(1, "N")]
