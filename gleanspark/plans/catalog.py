@@ -369,7 +369,7 @@ def q_countries_zip(spark, sf):
     return sites.countries(render.country_pages(table(spark, sf, "nation"), table(spark, sf, "region")))
 
 
-_HOCKEY_SQL = """
+_TEAM_SQL = """
 SELECT s_suppkey // 25 AS page,
        CAST(row_number() OVER (PARTITION BY s_suppkey // 25 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos,
        s_name AS name, s_nationkey + 1990 AS year, s_nationkey + 10 AS wins, s_nationkey AS losses,
@@ -379,24 +379,24 @@ SELECT s_suppkey // 25 AS page,
 FROM supplier"""
 
 
-@register("hockey_rows", _HOCKEY_SQL)
-def q_hockey_rows(spark, sf):
+@register("team_rows", _TEAM_SQL)
+def q_team_rows(spark, sf):
     """B07 table rows, C09 empty -> 0, C10 strict casts."""
     from gleanspark.plans import sites
-    return sites.hockey(render.hockey_pages(table(spark, sf, "supplier")))
+    return sites.team_table(render.team_pages(table(spark, sf, "supplier")))
 
 
-@register("hockey_search", f"""
-WITH t AS ({_HOCKEY_SQL}),
+@register("team_search", f"""
+WITH t AS ({_TEAM_SQL}),
 hits AS (SELECT * FROM t WHERE contains(lower(name), '#00000002')),
 pg AS (SELECT DISTINCT page FROM t),
 cnt AS (SELECT pg.page, count(hits.page) AS n FROM pg LEFT JOIN hits ON hits.page = pg.page GROUP BY pg.page),
 fe AS (SELECT min(page) AS first_empty FROM cnt WHERE n = 0)
 SELECT hits.* FROM hits, fe WHERE fe.first_empty IS NULL OR hits.page < fe.first_empty""")
-def q_hockey_search(spark, sf):
+def q_team_search(spark, sf):
     """D11 team-name search, D12 stop at the first page without results, F06."""
     from gleanspark.plans import sites
-    return sites.hockey_search(render.hockey_pages(table(spark, sf, "supplier")), "#00000002")
+    return sites.team_search(render.team_pages(table(spark, sf, "supplier")), "#00000002")
 
 
 @register("quotes_tags", """

@@ -141,7 +141,7 @@ def detail_pages(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> D
     return p.select(url.alias("url"), html.alias("html"))
 
 
-def hockey_pages(supplier: DataFrame, per_page: int = 25) -> DataFrame:
+def team_pages(supplier: DataFrame, per_page: int = 25) -> DataFrame:
     """Team-table pages from ``supplier``: one ``tr.team`` per supplier, typed cells keyed
     by class; a negative balance leaves the OT-losses and win-% cells empty."""
     neg = F.col("s_acctbal") < 0

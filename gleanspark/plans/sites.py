@@ -31,9 +31,9 @@ def countries(pages: DataFrame) -> DataFrame:
     return extract_lists(pages, specs.COUNTRIES, keep=("page",), strict=True)
 
 
-def hockey(pages: DataFrame) -> DataFrame:
+def team_table(pages: DataFrame) -> DataFrame:
     """B07 + C09 (empty -> 0 for OT losses and win %) + C10 (strict casts)."""
-    x = extract(pages, specs.HOCKEY, keep=("page",))
+    x = extract(pages, specs.TEAM_TABLE, keep=("page",))
     return x.select(
         "page", "pos", "name",
         strict_cast("year", "int").alias("year"), strict_cast("wins", "int").alias("wins"),
@@ -61,9 +61,9 @@ def stop_at_first_empty(rows: DataFrame, frontier: DataFrame, group: str = "quer
         .drop("_first_empty")
 
 
-def hockey_search(pages: DataFrame, q: str) -> DataFrame:
+def team_search(pages: DataFrame, q: str) -> DataFrame:
     """D11 (case-insensitive substring on the team name) on every page, then D12."""
-    teams = hockey(pages).withColumn("query", F.lit(q))
+    teams = team_table(pages).withColumn("query", F.lit(q))
     hits = teams.filter(F.lower("name").contains(q.lower()))
     frontier = pages.select(F.lit(q).alias("query"), "page")
     return stop_at_first_empty(hits, frontier).drop("query")

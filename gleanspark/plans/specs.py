@@ -71,9 +71,9 @@ DIRECTORY = ExtractSpec(
     required=("name", "address"),
 )
 
-# hockey table rows: typed cells keyed by class.
-HOCKEY = ExtractSpec(
-    "hockey",
+# team table rows: typed cells keyed by class.
+TEAM_TABLE = ExtractSpec(
+    "team_table",
     card="tr.team",
     card_end="</table>",
     fields=(
@@ -151,5 +151,5 @@ PARAGRAPHS = ExtractSpec(
     "paragraphs", card=None,
     fields=(Field("paras", "article p", mode="clean", many=True),))
 
-__all__ = ["LISTING", "LISTING_LENIENT", "DETAIL", "BOOK", "DIRECTORY", "HOCKEY", "QUOTE",
+__all__ = ["LISTING", "LISTING_LENIENT", "DETAIL", "BOOK", "DIRECTORY", "TEAM_TABLE", "QUOTE",
            "NEXT_LINK", "CAMPAIGN", "COUNTRIES", "CATALOGUE", "PAGE_TITLE", "NAV_LINKS", "PARAGRAPHS"]

@@ -29,7 +29,7 @@ def test_nav_links_on_captured_pages(spark):
     ("BOOK", lambda s: render.book_pages(table(s, SF_SMALL, "part")), ("page",)),
     ("DIRECTORY", lambda s: render.directory_pages(table(s, SF_SMALL, "customer"),
                                                    table(s, SF_SMALL, "nation")), ("category", "page")),
-    ("HOCKEY", lambda s: render.hockey_pages(table(s, SF_SMALL, "supplier")), ("page",)),
+    ("TEAM_TABLE", lambda s: render.team_pages(table(s, SF_SMALL, "supplier")), ("page",)),
     ("QUOTE", lambda s: render.quote_pages(table(s, SF_SMALL, "events")).drop("url"), ("page",)),
 ])
 def test_rendered_sites(spark, spec_name, render_fn, keep):
