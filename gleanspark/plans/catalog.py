@@ -358,15 +358,16 @@ def q_catalogue(spark, sf):
 
 
 @register("countries_zip", """
-SELECT r_name AS page,
-       CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) - 1 AS INTEGER) AS pos,
-       n_name AS name, ' Capital of ' || n_name AS capital,
-       CAST(n_nationkey * 1000000 + 5 AS DOUBLE) AS population, CAST(n_regionkey AS DOUBLE) * 1000.5 AS area
-FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT n_name || '-' || CAST(c_custkey // 50 AS VARCHAR) AS page,
+       CAST(row_number() OVER (PARTITION BY n_name, c_custkey // 50 ORDER BY c_custkey) - 1 AS INTEGER) AS pos,
+       c_name AS name, ' Capital of ' || n_name AS capital,
+       CAST(c_custkey * 1000 + 5 AS DOUBLE) AS population, c_acctbal AS area
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def q_countries_zip(spark, sf):
-    """B06 positional zip, C10 strict double casts, C12 character removal."""
+    """B06 positional zip of page-wide lists, C10 strict double casts, C12 character
+    removal; pages rendered from customer x nation."""
     from gleanspark.plans import sites
-    return sites.countries(render.country_pages(table(spark, sf, "nation"), table(spark, sf, "region")))
+    return sites.countries(render.country_pages(table(spark, sf, "customer"), table(spark, sf, "nation")))
 
 
 _TEAM_SQL = """

@@ -166,19 +166,24 @@ def team_pages(supplier: DataFrame, per_page: int = 25) -> DataFrame:
                        "</table><p>Per page</p></body></html>")
 
 
-def country_pages(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """One page per region listing its nations as four page-wide parallel lists."""
-    n = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+def country_pages(customer: DataFrame, nation: DataFrame, per_page: int = 50) -> DataFrame:
+    """Pages of four page-wide parallel lists (B06), one page per nation and customer
+    key bucket (at most ``per_page`` entries): quoted customer name, the nation's
+    capital line, a population figure from the key and an area from the balance."""
+    # nation: fixed 25 rows at every scale factor (proven broadcast bound)
+    n = customer.join(F.broadcast(nation.select("n_nationkey", "n_name")),
+                      F.col("c_nationkey") == F.col("n_nationkey"))
     frag = F.concat(
         F.lit('\n<div class="country"><h3 class="country-name">\n  <i class="flag"></i>\n  "'),
-        esc("n_name"), F.lit('"\n</h3><div class="country-info"><strong>Capital:</strong>'
+        esc("c_name"), F.lit('"\n</h3><div class="country-info"><strong>Capital:</strong>'
                              '<span class="country-capital"> Capital of '), esc("n_name"),
         F.lit('</span><br><strong>Population:</strong><span class="country-population">'),
-        (F.col("n_nationkey").cast("long") * 1000000 + 5).cast("string"),
+        (F.col("c_custkey") * 1000 + 5).cast("string"),
         F.lit('</span><br><strong>Area (km<sup>2</sup>):</strong><span class="country-area"> '),
-        (F.col("n_regionkey") * 1000.5).cast("string"), F.lit("</span></div></div>"))
-    cards = n.select(F.col("r_name").alias("page"), "n_nationkey", frag.alias("card"))
-    return group_pages(cards, "page", "n_nationkey", "card", "<html><body><section>",
+        F.col("c_acctbal").cast("string"), F.lit("</span></div></div>"))
+    page = F.concat(F.col("n_name"), F.lit("-"), F.floor(F.col("c_custkey") / per_page).cast("string"))
+    cards = n.select(page.alias("page"), "c_custkey", frag.alias("card"))
+    return group_pages(cards, "page", "c_custkey", "card", "<html><body><section>",
                        "</section></body></html>")
 
 
