@@ -13,7 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from gleanspark.operators import views
 from gleanspark.plans import places, products, sites
-from gleanspark.sources.sinks import write_views
+from gleanspark.sources.sinks import write_table, write_views
 
 
 def _suite(views_: dict, base, out: str, fmt: str) -> dict[str, str]:
@@ -61,3 +61,26 @@ def places_suite_job(spark: SparkSession, search_path: str, details_path: str, o
     homepages = spark.read.parquet(homepages_path) if homepages_path else None
     raw, clean = places.places_pipeline(search, details, homepages, max_pages)
     return _suite(views.place_views(raw, clean), clean, out, fmt)
+
+
+SITE_TABLES = {
+    "catalogue": sites.catalogue,
+    "countries": sites.countries,
+    "teams": sites.team_table,
+    "quotes": sites.quotes,
+    "directory": sites.directory,
+    "campaign": products.campaign,
+}
+
+
+def site_table_job(spark: SparkSession, site: str, pages_path: str, out: str, fmt: str = "parquet",
+                   team_query: str | None = None) -> bool:
+    """Captured pages of one single-table site -> one table (``fmt`` parquet, csv
+    or json). ``team_query`` turns the team table into the name search that stops at
+    the first page without results (D11, D12)."""
+    pages = spark.read.parquet(pages_path)
+    if site == "teams" and team_query:
+        df = sites.team_search(pages, team_query)
+    else:
+        df = SITE_TABLES[site](pages)
+    return write_table(df, out, fmt=fmt)

@@ -40,3 +40,15 @@ def test_places_and_bookstore_suites(spark):
     render.book_pages(table(spark, SF_SMALL, "part")).write.parquet(os.path.join(root, "books"))
     out2 = jobs.bookstore_suite_job(spark, os.path.join(root, "books"), os.path.join(root, "bk"))
     assert len(out2) == 12
+
+
+def test_site_table_jobs(spark):
+    root = tempfile.mkdtemp(prefix="gleanspark-sites-")
+    sup = table(spark, SF_SMALL, "supplier")
+    render.team_pages(sup).write.parquet(os.path.join(root, "teams"))
+    assert jobs.site_table_job(spark, "teams", os.path.join(root, "teams"), os.path.join(root, "t"), fmt="csv")
+    back = spark.read.option("header", True).csv(os.path.join(root, "t"))
+    assert back.count() == sup.count()
+    assert jobs.site_table_job(spark, "teams", os.path.join(root, "teams"), os.path.join(root, "s"),
+                               team_query="#00000000")
+    assert spark.read.parquet(os.path.join(root, "s")).count() == 10
