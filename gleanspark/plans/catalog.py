@@ -816,8 +816,8 @@ def q_resume_union(spark, sf):
 
 def stream_listing(spark, sf, n_batches: int = 3):
     """Listing pages land as files in ``n_batches`` drops (page ranges in
-    order); a streaming load extracts each drop, keeps the first card per URL and
-    appends only URLs not stored by an earlier drop. Scratch folders live under the
+    order); after each drop a streaming load extracts it, keeps the first card per URL
+    and appends only URLs not stored by an earlier drop. Scratch folders live under the
     shared checkpoint folder."""
     import uuid
 
@@ -829,12 +829,12 @@ def stream_listing(spark, sf, n_batches: int = 3):
     bounds = pages.agg(F.min("page").alias("lo"), F.max("page").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     step = (hi - lo) // n_batches + 1
-    for i in range(n_batches):
+    for i in range(n_batches):       # each drop arrives, then the load runs
         part = pages.filter((F.col("page") >= lo + i * step) & (F.col("page") < lo + (i + 1) * step))
         part.write.mode("append").parquet(src)
-    incremental_load(spark, src, pages.schema, sink, ckpt,
-                     transform=lambda df: products.listing(df), key="url", order=["page", "pos"],
-                     skip_key="page")
+        incremental_load(spark, src, pages.schema, sink, ckpt,
+                         transform=lambda df: products.listing(df), key="url", order=["page", "pos"],
+                         skip_key="page")
     return read_sink(spark, sink).select("page", "pos", "name", "price", "price_num", "url")
 
 
@@ -968,10 +968,9 @@ def stream_details(spark, sf, n_drops: int = 3):
     src, sink, ckpt = (f"{root}/{d}" for d in ("source", "sink", "checkpoint"))
     part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
     pages = render.detail_pages(part, li, supp).withColumn("drop", F.pmod(F.hash("url"), F.lit(n_drops)))
-    for i in range(n_drops):
+    for i in range(n_drops):         # each drop arrives, then the load runs
         pages.filter(F.col("drop") == i).drop("drop").write.mode("append").parquet(src)
-    incremental_load(spark, src, "url string, html string", sink, ckpt,
-                     transform=lambda df: products.detail_table(df), key="url",
-                     order=[~F.col("extract_ok")],
-                     skip_key="url")
+        incremental_load(spark, src, "url string, html string", sink, ckpt,
+                         transform=lambda df: products.detail_table(df), key="url",
+                         order=[~F.col("extract_ok")], skip_key="url")
     return read_sink(spark, sink)

@@ -42,10 +42,15 @@ def _stored(spark: SparkSession, sink: str, before_epoch: int) -> DataFrame | No
 def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType | str,
                      sink_dir: str, checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame], key: str | list[str],
-                     order: list[str], skip_key: str | None = None,
-                     max_files_per_trigger: int | None = 1) -> None:
+                     order: list, skip_key: str | None = None,
+                     max_files_per_trigger: int | None = None) -> None:
     """Run the load until every file now in ``source_dir`` is processed
-    (``availableNow``), then return. Call again later to pick up new files."""
+    (``availableNow``), then return. Call again later to pick up new files.
+
+    Inside a micro-batch the ``order`` keys decide which row of a key is kept; across
+    micro-batches the earlier batch wins (arrival order). By default all new files
+    form one micro-batch; ``max_files_per_trigger`` bounds the batch size, and then
+    files arrive in modification-time order."""
     keys = [key] if isinstance(key, str) else list(key)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
