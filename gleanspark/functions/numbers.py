@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +16,27 @@ from gleanspark.functions.text import clean_text
 TAKA_SIGN = "৳"
 TK_MARKERS = ["TK.", "Tk.", "TK"]
 
-FIRST_NUMBER = r"[0-9]+(\.[0-9]+)?"
+# Digits as Python's ``re`` (``\d``) and ``int()`` / ``float()`` read them: any Unicode
+# decimal digit. Java matches them with ``(?U)\d``; ``translate`` maps them to ASCII
+# before the cast. The table is built from the Unicode database by rule.
+FIRST_NUMBER = r"(?U)\d+(\.\d+)?"
+
+
+@functools.lru_cache(maxsize=1)
+def _digit_table() -> tuple[str, str]:
+    src, dst = [], []
+    for cp in range(0x20000):          # every decimal digit lies in the first two planes
+        ch = chr(cp)
+        if not ("0" <= ch <= "9") and unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.digit(ch)))
+    return "".join(src), "".join(dst)
+
+
+def ascii_digits(c) -> Column:
+    """Every Unicode decimal digit to its ASCII digit (``'১২'`` -> ``'12'``)."""
+    src, dst = _digit_table()
+    return F.translate(col_of(c), src, dst)
 
 
 def _no_nan(c: Column) -> Column:
@@ -22,13 +45,13 @@ def _no_nan(c: Column) -> Column:
 
 def price_strict(c, remove: str = TAKA_SIGN + ",") -> Column:
     """Drop the marks, strip; the whole text must be a number, else NULL."""
-    txt = F.trim(F.regexp_replace(F.translate(col_of(c), remove, ""), r"(?U)^\s+|\s+$", ""))
-    return _no_nan(F.nullif(txt, F.lit("")).try_cast(T.DoubleType()))
+    txt = F.trim(F.regexp_replace(F.translate(col_of(c), remove, ""), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
+    return _no_nan(F.nullif(ascii_digits(txt), F.lit("")).try_cast(T.DoubleType()))
 
 
 def price_first(c, remove: str = TAKA_SIGN + ",") -> Column:
     """Drop the marks, take the first ``\\d+(\\.\\d+)?``."""
-    return F.regexp_substr(F.translate(col_of(c), remove, ""), F.lit(FIRST_NUMBER)) \
+    return ascii_digits(F.regexp_substr(F.translate(col_of(c), remove, ""), F.lit(FIRST_NUMBER))) \
         .try_cast(T.DoubleType())
 
 
@@ -38,18 +61,18 @@ def price_marker(c, markers=TK_MARKERS) -> Column:
     for m in markers:
         out = F.replace(out, F.lit(m), F.lit(""))
     out = F.replace(out, F.lit(","), F.lit(""))
-    return F.regexp_substr(out, F.lit(FIRST_NUMBER)).try_cast(T.DoubleType())
+    return ascii_digits(F.regexp_substr(out, F.lit(FIRST_NUMBER))).try_cast(T.DoubleType())
 
 
 def clean_int(c) -> Column:
     """First ``\\d[\\d,]*`` with commas removed, as bigint; NULL when none."""
-    digits = F.regexp_substr(col_of(c), F.lit(r"[0-9][0-9,]*"))
-    return F.replace(digits, F.lit(","), F.lit("")).try_cast(T.LongType())
+    digits = F.regexp_substr(col_of(c), F.lit(r"(?U)\d[\d,]*"))
+    return ascii_digits(F.replace(digits, F.lit(","), F.lit(""))).try_cast(T.LongType())
 
 
 def clean_float(c) -> Column:
     """First ``\\d+(\\.\\d+)?`` as double (a sign is lost, commas end the number)."""
-    return F.regexp_substr(col_of(c), F.lit(FIRST_NUMBER)).try_cast(T.DoubleType())
+    return ascii_digits(F.regexp_substr(col_of(c), F.lit(FIRST_NUMBER))).try_cast(T.DoubleType())
 
 
 def zero_if_empty(c, to: str = "int") -> Column:
@@ -114,7 +137,7 @@ def price_range_text(r) -> Column:
 
 
 # The TK price pattern of the bookstore price block.
-TK_PRICE = r"(?i)TK\.?\s*[0-9,]+"
+TK_PRICE = r"(?iU)TK\.?\s*[\d,]+"
 
 
 def price_block(block_text, strike_text) -> Column:
@@ -136,7 +159,7 @@ def price_block(block_text, strike_text) -> Column:
 
 def bracket_count(text) -> Column:
     """First ``(<digits>)`` in the text as bigint."""
-    return F.nullif(F.regexp_extract(col_of(text), r"\(([0-9]+)\)", 1), F.lit("")) \
+    return ascii_digits(F.nullif(F.regexp_extract(col_of(text), r"(?U)\((\d+)\)", 1), F.lit(""))) \
         .try_cast(T.LongType())
 
 
