@@ -36,11 +36,12 @@ def remove_chars(c, chars: str) -> Column:
 
 
 def extract_email(c) -> Column:
-    """First ``[\\w.-]+@[\\w.-]+`` (Unicode ``\\w``), NULL when none. The regex only
-    runs on texts that contain an ``@`` (a cheap byte search first)."""
+    """First ``[\\w.-]+@[\\w.-]+`` with Python's Unicode ``\\w`` (letters, numbers,
+    underscore -- not the combining marks Java's ``(?U)\\w`` adds), NULL when none. The
+    regex only runs on texts that contain an ``@`` (a cheap search first)."""
     c = col_of(c)
     return F.when(c.contains("@"),
-                  F.nullif(F.regexp_extract(c, r"(?U)[\w.-]+@[\w.-]+", 0), F.lit("")))
+                  F.nullif(F.regexp_extract(c, r"[\p{L}\p{N}_.-]+@[\p{L}\p{N}_.-]+", 0), F.lit("")))
 
 
 def is_nonempty(c) -> Column:

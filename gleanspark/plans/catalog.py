@@ -182,7 +182,6 @@ def q_value_top10(spark, sf):
 
 # DuckDB (RE2) spellings of the Java (?U) classes used by the Spark side.
 _WS = r"[\t\n\x{0b}\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-_W = r"[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}]"
 
 
 def _sql_clean(x: str) -> str:
@@ -244,7 +243,7 @@ def q_normalize_url(spark, sf):
 
 @register("email_docs", f"""
 SELECT doc_id, email FROM (
-  SELECT doc_id, regexp_extract(text, '[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+@[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+', 0) AS email
+  SELECT doc_id, regexp_extract(text, '[\\p{{L}}\\p{{N}}_.-]+@[\\p{{L}}\\p{{N}}_.-]+', 0) AS email
   FROM documents) t WHERE email <> ''""")
 def q_email_docs(spark, sf):
     """C23 over every document; documents without an address give no row."""
@@ -255,7 +254,7 @@ def q_email_docs(spark, sf):
 
 @register("email_pages", f"""
 SELECT page_id, email FROM (
-  SELECT page_id, regexp_extract(html, '[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+@[\\p{{L}}\\p{{Nd}}\\p{{Mn}}\\p{{Mc}}\\p{{Me}}\\p{{Pc}}.-]+', 0) AS email
+  SELECT page_id, regexp_extract(html, '[\\p{{L}}\\p{{N}}_.-]+@[\\p{{L}}\\p{{N}}_.-]+', 0) AS email
   FROM pages) t WHERE email <> ''""")
 def q_email_pages(spark, sf):
     """C23 over captured pages (E06 reads the same column after the URL join)."""
@@ -496,7 +495,7 @@ def _sql_norm_url(u: str) -> str:
             f"'[?#].*$', ''), ';[^/]*$', '')")
 
 
-_EMAIL_RE = r"[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}.-]+@[\p{L}\p{Nd}\p{Mn}\p{Mc}\p{Me}\p{Pc}.-]+"
+_EMAIL_RE = r"[\p{L}\p{N}_.-]+@[\p{L}\p{N}_.-]+"
 
 _PLACES_CTE = f"""
 oc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
