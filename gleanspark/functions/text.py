@@ -76,19 +76,40 @@ def clean_all_text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> Data
     return df.select(*out)
 
 
-# HTML character references decoded by the native path, besides numeric
-# ones. ``&amp;`` is decoded last so ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
+# Named HTML character references decoded by the native path (numeric
+# ones are decoded by rule). ``&amp;`` is decoded last so ``&amp;lt;`` becomes ``&lt;``
+# and not ``<``.
 NAMED_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&#x27;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"),
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"),
     ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
     ("&amp;", "&"),
 ]
 
 
+_NUM_REF = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _numeric_refs(c: Column) -> Column:
+    """Decode ``&#NNN;`` / ``&#xHHH;``: the text is split at the references and each code
+    point becomes its character through its UTF-32 bytes, then the pieces are zipped
+    back. Only texts that contain ``&#`` pay for it."""
+    parts = F.split(c, _NUM_REF)
+    refs = F.regexp_extract_all(c, F.lit(_NUM_REF), 1)
+
+    def char(r):
+        hexv = F.when(F.lower(F.substring(r, 1, 1)) == "x", F.substring(r, 2, 16)) \
+            .otherwise(F.conv(r, 10, 16))
+        return F.decode(F.unhex(F.lpad(hexv, 8, "0")), "UTF-32")
+
+    tail = F.zip_with(F.transform(refs, char), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))),
+                      lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(c.contains("&#"), F.concat(F.element_at(parts, 1), F.array_join(tail, ""))).otherwise(c)
+
+
 def html_unescape(c) -> Column:
-    """Decode the common named character references (native, no UDF)."""
-    out = col_of(c)
+    """Decode numeric character references and the common named ones (native, no UDF)."""
+    out = _numeric_refs(col_of(c))
     for ent, ch in NAMED_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out

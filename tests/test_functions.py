@@ -145,3 +145,9 @@ def test_preview(spark):
     assert preview(df, 10).count() == 10
     assert move_to_end(df, ["id", "missing"]).columns == ["x", "url", "id"]
     assert move_before(df, "url", "x").columns == ["id", "url", "x"]
+
+
+def test_numeric_character_references(spark):
+    import html
+    vals = ["it&#39;s", "&#x2019;q&#8220;", "a&#128512;b", "&amp;#39; stays", "none", "&#X41;&#66;C"]
+    assert _eval(spark, G.html_unescape, vals) == [html.unescape(v) for v in vals]
