@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions._util import col_of
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*)://"
+_DOTS = r"(^|/)\.\.?(/|$)"
 
 
 def _lit_or_col(x) -> Column:
@@ -73,7 +74,13 @@ def url_join(href, base) -> Column:
         .when(h == "", b_noq)
         .when(h.startswith("?"), F.concat(F.regexp_replace(b, r"[?#].*$", ""), h))
         .when(h.startswith("#"), F.concat(b_noq, h))
+        # the segment fold only runs for paths that need it (dot segments, or empty
+        # segments inside a relative path)
+        .when(h.startswith("/") & ~h_path.rlike(_DOTS), F.concat(b_origin, h_path, h_rest))
         .when(h.startswith("/"), F.concat(b_origin, _resolve_segments(F.split(h_path, "/")), h_rest))
+        .when(~h_path.rlike(_DOTS) & ~b_path.rlike(_DOTS) & ~h_path.contains("//") & ~b_path.contains("//"),
+              F.concat(b_origin, F.when(b_path == "", F.lit("/"))
+                       .otherwise(F.regexp_replace(b_path, r"[^/]*$", "")), h_path, h_rest))
         .otherwise(F.concat(b_origin, _resolve_segments(rel), h_rest))
     )
 

@@ -27,6 +27,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanspark.functions._util import let
 from gleanspark.functions.text import html_text, html_unescape, strip_noise
 
 _STEP = re.compile(
@@ -155,7 +156,7 @@ class ExtractSpec:
 
 
 def _nonempty(c: Column) -> Column:
-    return F.when(c != "", c)
+    return let(c, lambda x: F.when(x != "", x))
 
 
 def _read_one(frag: Column, sel: str | None, f: Field) -> Column:

@@ -151,3 +151,9 @@ def test_numeric_character_references(spark):
     import html
     vals = ["it&#39;s", "&#x2019;q&#8220;", "a&#128512;b", "&amp;#39; stays", "none", "&#X41;&#66;C"]
     assert _eval(spark, G.html_unescape, vals) == [html.unescape(v) for v in vals]
+
+
+def test_unescape_matches_python(spark):
+    import html
+    vals = ["&apos;x", "&amp;apos;", "&eacute;t&eacute; &mdash; 5&nbsp;%", "&lt;b&gt;&amp;lt;", "plain", "a & b"]
+    assert _eval(spark, G.html_unescape, vals + [None]) == [html.unescape(v) for v in vals] + [None]
