@@ -89,7 +89,10 @@ def strip_url(u) -> Column:
     """Keep ``scheme://netloc/path``: drop query, fragment and ``;params`` of the
     last path segment."""
     no_q = F.regexp_replace(col_of(u), r"[?#].*$", "")
-    return F.regexp_replace(no_q, r";[^/]*$", "")
+    # params live in the last path segment; a URL without a path has none (a ``;``
+    # right after ``//host`` belongs to the host)
+    has_path = no_q.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/")
+    return F.when(has_path, F.regexp_replace(no_q, r";[^/]*$", "")).otherwise(no_q)
 
 
 def normalize_url(href, base) -> Column:
