@@ -43,9 +43,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = (F.octet_length("_norm").alias("_len"),
             F.xxhash64(F.substring("_norm", 1, prefix_chars)).alias("_prefix"))
     narrow = materialize(base.select(*keys), "lengths")
-    lengths = narrow.groupBy("_len").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    prefixes = (narrow.join(lengths, "_len", "left_semi")
-                .groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
+    # copies are counted before anything is joined: one row per (length, prefix)
+    groups = narrow.groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    lengths = groups.groupBy("_len").agg(F.sum("_n").alias("_all")).filter("_all > 1")
+    prefixes = groups.join(lengths, "_len", "left_semi").filter("_n > 1")
 
     marked = base.select("_id", "_norm", *keys).join(
         prefixes.hint("shuffle_hash"), ["_len", "_prefix"], "left")
@@ -55,10 +56,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "_id", "_len", alive.alias("_alive"),
         (sha if digest_all else F.when(alive, sha)).alias("_sha")), "digests")
 
-    groups = (rows.filter("_alive").groupBy("_len", "_sha")
+    copies = (rows.filter("_alive").groupBy("_len", "_sha")
               .agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
               .filter("_size > 1").withColumn("_alive", F.lit(True)))
-    out = rows.join(groups, ["_alive", "_len", "_sha"], "left")
+    out = rows.join(copies, ["_alive", "_len", "_sha"], "left")
     grouped = F.col("_size").isNotNull()
     keep = F.when(grouped, F.col("_keep")).otherwise(F.col("_id"))
     return out.select(

@@ -5,10 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import chat_format, exact_dedup, langid, mixing, token_counts
+from gleanspark.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    langid,
+    line_dedup,
+    mixing,
+    near_dedup,
+    token_counts,
+)
 from gleanspark.llm.common import held_fold, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item it leaks."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "covered_words", "coverage",
+                        F.size("tiles").cast("long").alias("n_tiles"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = held_fold(F.col("doc_id"), 3) == 1
@@ -52,7 +78,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "n_messages")
 
 
-QUERIES = {f.__name__: f for f in (op6_language_id, op7_token_counts, op8_mixing,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op5_near_dedup, op6_language_id, op7_token_counts, op8_mixing,
                                    op9_exact_dedup, op10_chat_format)}
 
 _BLANK = r"[\x20\x09-\x0D]+"
