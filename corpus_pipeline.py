@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanspark.llm import langid, mixing
+from gleanspark.llm import decontaminate, langid, line_dedup, mixing, near_dedup
 from gleanspark.llm.common import materialize, table
 
 
@@ -18,12 +18,33 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return answers.filter("accepted").select(*docs.columns)
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes repeated passages out of the texts; a text that has nothing left goes."""
+    kept = line_dedup.line_dedup(docs, keep=True)
+    return kept.filter("n_removed_lines = 0 or length(text) > 0").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the one with the smallest id."""
+    verdicts = near_dedup.near_dedup(docs)
+    gone = verdicts.filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate_docs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item go."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The drawn pieces of the mix, one row per document, reading and block."""
     return mixing.mix(docs).filter("block is not null")
 
 
-STAGES = [("language_id", identify_language), ("mixing", mix_sources)]
+STAGES = [("language_id", identify_language), ("line_dedup", dedup_lines),
+          ("near_dedup", drop_near_copies), ("decontamination", decontaminate_docs),
+          ("mixing", mix_sources)]
 
 #: Compression, hashing of lines and sampling are not SQL: tested against brute force.
 ORACLE_SQL = None
