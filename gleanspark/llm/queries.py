@@ -13,6 +13,7 @@ from gleanspark.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    suffix_dedup,
     token_counts,
 )
 from gleanspark.llm.common import held_fold, table
@@ -31,6 +32,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), percent=85)
 
@@ -78,7 +83,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "n_messages")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op5_near_dedup, op6_language_id, op7_token_counts, op8_mixing,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_suffix_dedup, op5_near_dedup, op6_language_id, op7_token_counts, op8_mixing,
                                    op9_exact_dedup, op10_chat_format)}
 
 _BLANK = r"[\x20\x09-\x0D]+"
