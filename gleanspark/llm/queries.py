@@ -15,6 +15,7 @@ from gleanspark.llm import (
     near_dedup,
     suffix_dedup,
     token_counts,
+    toxicity,
 )
 from gleanspark.llm.common import held_fold, table
 
@@ -36,6 +37,15 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = held_fold(F.col("doc_id"), 5) == 0
+    log_p = toxicity.language_model(docs)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held), log_p)
+    return toxicity.score(docs, log_p, model).select(
+        "doc_id", held.alias("held_out"), "score", "predicted", "n_marks")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), percent=85)
 
@@ -83,7 +93,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "n_messages")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_suffix_dedup, op5_near_dedup, op6_language_id, op7_token_counts, op8_mixing,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_suffix_dedup, op4_toxicity, op5_near_dedup, op6_language_id, op7_token_counts, op8_mixing,
                                    op9_exact_dedup, op10_chat_format)}
 
 _BLANK = r"[\x20\x09-\x0D]+"
