@@ -14,6 +14,7 @@ shuffle, pairs are made distinct, and the tiling runs on the joined texts.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -39,52 +40,47 @@ def tile(item: list[int], doc: list[int], min_match: int) -> list[tuple[int, int
     """Tiles (item start, document start, length) of greedy string tiling.
 
     Negative numbers match nothing. Of equally long matches the first in the item, then in
-    the document, is marked first. The work is linear in the two lengths for every search
-    length; search lengths halve.
+    the document, is marked first. A match that a longer tile partly covers goes back to the
+    queue as the pieces that are still free, so the longest free match is always next.
     """
     free_i, free_d = [x >= 0 for x in item], [x >= 0 for x in doc]
     tiles: list[tuple[int, int, int]] = []
-    length = max(min_match, min(len(item), len(doc)))
-    while True:
-        matches, longest = _scan(item, doc, free_i, free_d, length)
-        if longest > 2 * length:                # a much longer match: look for that length
-            length = longest
+    queue = [(-n, i, d) for n, i, d in _matches(item, doc, free_i, free_d, min_match)]
+    heapq.heapify(queue)
+    while queue:
+        n, i, d = heapq.heappop(queue)
+        open_ = [free_i[i + k] and free_d[d + k] for k in range(-n)] + [False]
+        if all(open_[:-1]):
+            free_i[i:i - n] = free_d[d:d - n] = [False] * -n
+            tiles.append((i, d, -n))
             continue
-        again = False
-        for n, i, d in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if all(free_i[i:i + n]) and all(free_d[d:d + n]):
-                free_i[i:i + n] = free_d[d:d + n] = [False] * n
-                tiles.append((i, d, n))
-            else:
-                again = True                    # what is left of it may still match
-        if again:
-            continue
-        if length <= min_match:
-            return sorted(tiles)
-        length = max(min_match, length // 2)
+        start = 0
+        for k, free in enumerate(open_):
+            if not free:
+                if k - start >= min_match:
+                    heapq.heappush(queue, (start - k, i + start, d + start))
+                start = k + 1
+    return sorted(tiles)
 
 
-def _scan(item, doc, free_i, free_d, length):
-    """Maximal matches of at least ``length`` free words, and the longest length."""
+def _matches(item, doc, free_i, free_d, length):
+    """(length, item start, document start) of the maximal matches of ``length`` or more."""
     at: dict[int, list[int]] = defaultdict(list)
     for d, h in _rolling(doc, free_d, length):
         at[h].append(d)
-    matches, longest, seen = [], 0, set()
+    matches, inside = [], set()
     for i, h in _rolling(item, free_i, length):
         for d in at.get(h, ()):
-            if (i - 1, d - 1) in seen:          # inside a match already extended
-                seen.add((i, d))
-                continue
             if item[i:i + length] != doc[d:d + length]:
                 continue                        # equal hashes, other words
+            inside.add((i, d))
+            if (i - 1, d - 1) in inside:
+                continue                        # part of a match already extended
             n = length
-            while (i + n < len(item) and d + n < len(doc) and item[i + n] == doc[d + n]
-                   and free_i[i + n] and free_d[d + n]):
+            while i + n < len(item) and d + n < len(doc) and item[i + n] == doc[d + n] >= 0:
                 n += 1
             matches.append((n, i, d))
-            seen.add((i, d))
-            longest = max(longest, n)
-    return matches, longest
+    return matches
 
 
 def _rolling(seq, free, length):

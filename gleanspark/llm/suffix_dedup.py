@@ -117,7 +117,7 @@ def _found(batch: pd.DataFrame, length: int) -> pd.DataFrame:
     texts = [t.encode("utf-8") for t in batch["_text"]]
     parts = list(blocks(texts, length))
     if not parts:
-        return pd.DataFrame({"_id": batch["_id"].iloc[:0], "at": [], "anchor": [], "cls": []})
+        return pd.DataFrame({"_id": [], "at": [], "anchor": [], "cls": []})
     of, start, n, anchor, cls = (np.concatenate(c) for c in zip(*parts))
     order = np.argsort(anchor ^ mix(cls), kind="stable")     # equal blocks side by side, in order
     a, c = anchor[order], cls[order]

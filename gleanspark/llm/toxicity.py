@@ -145,7 +145,8 @@ def fit(df: DataFrame, labels: DataFrame, log_p: np.ndarray, id_col: str = "doc_
                 for t in b["_t"]:
                     found = {m for w in set(reader.words(t)) for m in marks_of(w)}
                     n.update(found if keep is None else found & keep)
-            yield pd.DataFrame({"mark": list(n), "n": list(n.values())})
+            if n:
+                yield pd.DataFrame({"mark": list(n), "n": list(n.values())})
         return run
 
     def counted(y: int, wanted=None) -> dict[str, int]:
