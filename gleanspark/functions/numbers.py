@@ -39,14 +39,26 @@ def ascii_digits(c) -> Column:
     return F.translate(col_of(c), src, dst)
 
 
-def _no_nan(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+# A whole number text; Java's own type suffixes (12d, 12f) are none.
+_NUMBER = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)$"
+
+
+def _to_double(txt: Column) -> Column:
+    """A number text as double, anything else (also NaN) NULL."""
+    return F.when(txt.rlike(_NUMBER), txt.try_cast(T.DoubleType()))
+
+
+def _strict(txt: Column, to: str) -> Column:
+    """Cast that fails the job on bad text, whatever the session's ANSI setting."""
+    value = txt.try_cast(to)
+    bad = txt.isNotNull() & value.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"not a {to}: "), txt)).cast(to)).otherwise(value)
 
 
 def price_strict(c, remove: str = TAKA_SIGN + ",") -> Column:
     """Drop the marks, strip; the whole text must be a number, else NULL."""
     txt = F.trim(F.regexp_replace(F.translate(col_of(c), remove, ""), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
-    return _no_nan(F.nullif(ascii_digits(txt), F.lit("")).try_cast(T.DoubleType()))
+    return _to_double(ascii_digits(txt))
 
 
 def price_first(c, remove: str = TAKA_SIGN + ",") -> Column:
@@ -78,17 +90,17 @@ def clean_float(c) -> Column:
 def zero_if_empty(c, to: str = "int") -> Column:
     """``int(x or 0)`` -- blank is 0, anything else must parse (strict)."""
     txt = F.coalesce(F.nullif(F.trim(col_of(c)), F.lit("")), F.lit("0"))
-    return txt.cast(to)
+    return _strict(txt, to)
 
 
 def strict_cast(c, to: str) -> Column:
-    """ANSI cast; bad text fails the job (``CAST_INVALID_INPUT``)."""
-    return F.trim(col_of(c)).cast(to)
+    """Bad text fails the job; NULL stays NULL."""
+    return _strict(F.trim(col_of(c)), to)
 
 
 def coerce_double(c) -> Column:
     """C11: ``pd.to_numeric(errors='coerce')``: bad -> NULL (never NaN)."""
-    return _no_nan(col_of(c).try_cast(T.DoubleType()))
+    return _to_double(F.trim(col_of(c).cast("string")))
 
 
 def map_lookup(c, mapping: dict, strict: bool = False) -> Column:
@@ -115,7 +127,8 @@ MONEY_SCHEMA = T.StructType([
 def money_to_text(m) -> Column:
     """``{currencyCode, units, nanos}`` -> ``'<currency> <units + nanos/1e9>'`` at 2 dp.
 
-    Unparseable units or nanos count as 0; a NULL object gives NULL. The sum is exact
+    Unparseable units or nanos count as 0; a NULL or empty object (no field set) gives
+    NULL. The sum is exact
     (decimal) and rounded half-to-even, so 2.125 -> '2.12'.
     """
     m = col_of(m)
@@ -126,7 +139,7 @@ def money_to_text(m) -> Column:
     txt = F.replace(txt, F.lit(","), F.lit(""))
     cur = m["currencyCode"]
     out = F.when((cur.isNotNull()) & (cur != ""), F.concat(cur, F.lit(" "), txt)).otherwise(txt)
-    return F.when(m.isNotNull(), out)
+    return F.when(F.coalesce(cur, m["units"], m["nanos"]).isNotNull(), out)
 
 
 def price_range_text(r) -> Column:

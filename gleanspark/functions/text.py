@@ -95,6 +95,8 @@ def html_unescape(c) -> Column:
     return let(col_of(c), decode)
 
 
+# A tag; a ``>`` inside a quoted value does not end it.
+TAG = r"""<(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+>"""
 _TAG = "\u0000"   # stands for a removed tag between two text nodes
 
 
@@ -110,20 +112,21 @@ def html_text(fragment, mode: str = "clean") -> Column:
     """
     frag = col_of(fragment)
     if mode == "raw":
-        return html_unescape(F.regexp_replace(frag, r"<[^>]*>", ""))
+        return html_unescape(F.regexp_replace(frag, TAG, ""))
     if mode == "strip":
-        return strip_text(html_unescape(F.regexp_replace(frag, r"<[^>]*>", "")))
+        return strip_text(html_unescape(F.regexp_replace(frag, TAG, "")))
     if mode in ("tight", "space"):
-        # every tag becomes a sentinel, then a whitespace/sentinel run around it becomes
-        # the joiner. Only character-class runs: Java matches those iteratively, while a
-        # repeated variable-width group recurses per repetition and overflows the stack
-        # on long runs of tags.
-        marked = F.regexp_replace(frag, r"<[^>]*>", _TAG)
+        # every tag becomes a sentinel and references are decoded, then a whitespace /
+        # sentinel run becomes the joiner, so a text node is stripped of what its
+        # references stand for. Only character-class runs: Java matches those
+        # iteratively, while a repeated variable-width group recurses per repetition
+        # and overflows the stack on long runs of tags.
+        marked = html_unescape(F.regexp_replace(frag, TAG, _TAG))
         joined = F.regexp_replace(marked, rf"(?U)[\s\x1c-\x1f]*{_TAG}[\s\x1c-\x1f{_TAG}]*",
                                   "" if mode == "tight" else " ")
-        return strip_text(html_unescape(joined))
+        return strip_text(joined)
     if mode == "clean":
-        return clean_text(html_unescape(F.regexp_replace(frag, r"<[^>]*>", " ")))
+        return clean_text(html_unescape(F.regexp_replace(frag, TAG, " ")))
     raise ValueError(f"unknown text mode {mode!r}")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from gleanspark.functions._util import col_of
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*)://"
+# a scheme without an authority (mailto:, tel:, javascript:) is no path of the base
+_OPAQUE = r"^(?!(?i:https?):)[A-Za-z][A-Za-z0-9+.-]*:(?!//)"
 _DOTS = r"(^|/)\.\.?(/|$)"
 
 
@@ -70,6 +72,7 @@ def url_join(href, base) -> Column:
         F.when(h.isNull(), F.lit(None).cast("string"))
         .when(h.rlike(_SCHEME), F.concat(abs_scheme, F.lit("://"),
                                          F.regexp_replace(h, _SCHEME, "")))
+        .when(h.rlike(_OPAQUE), h)
         .when(h.startswith("//"), F.concat(b_scheme, F.lit(":"), h))
         .when(h == "", b_noq)
         .when(h.startswith("?"), F.concat(F.regexp_replace(b, r"[?#].*$", ""), h))
@@ -87,8 +90,10 @@ def url_join(href, base) -> Column:
 
 def strip_url(u) -> Column:
     """Keep ``scheme://netloc/path``: drop query, fragment and ``;params`` of the
-    last path segment."""
-    no_q = F.regexp_replace(col_of(u), r"[?#].*$", "")
+    last path segment. A link without an authority keeps its scheme: ``tel:1`` is
+    ``tel://1``."""
+    no_q = F.regexp_replace(F.regexp_replace(col_of(u), r"[?#].*$", ""),
+                            r"^(?!(?i:https?):)([A-Za-z][A-Za-z0-9+.-]*):(?!//)", "$1://")
     # params live in the last path segment; a URL without a path has none (a ``;``
     # right after ``//host`` belongs to the host)
     has_path = no_q.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/")

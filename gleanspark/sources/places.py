@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanspark.functions.numbers import MONEY_SCHEMA
+from gleanspark.operators.dedup import keep_first
 
 PRICE_RANGE = T.StructType([T.StructField("startPrice", MONEY_SCHEMA),
                             T.StructField("endPrice", MONEY_SCHEMA)])
@@ -50,7 +51,10 @@ def search_places(search: DataFrame, max_pages: int | None = None) -> DataFrame:
     return places.filter(F.col("p.id").isNotNull() & (F.col("p.id") != ""))
 
 
-def place_details(details: DataFrame) -> DataFrame:
-    """Detail objects of successful responses (status 200), one per id."""
+def place_details(details: DataFrame, order: str | None = None) -> DataFrame:
+    """Detail objects of successful responses (status 200), one per id: the first by
+    ``order`` (a capture time, if the table has one), else the smallest body."""
     ok = details.filter(F.col("status") == 200)
-    return ok.select("id", F.from_json("body", DETAIL).alias("d"))
+    first = keep_first(ok.select("id", *([order] if order else []), "body"), "id",
+                       [order, "body"] if order else ["body"])
+    return first.select("id", F.from_json("body", DETAIL).alias("d"))
