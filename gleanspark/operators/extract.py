@@ -11,11 +11,12 @@ stage (no shuffle carries it), and the work is per page, so it scales with the
 number of input partitions.
 
 Selector subset: ``tag``, ``.class`` (several), ``[attr]``, ``[attr="v"]``,
-``[attr*="v"]``, descendant (space). Elements are found by their opening tag and end
-at their closing tag, or at the implied end HTML gives ``p``/``li``/``td``/``tr``
-(so an unclosed ``<p>`` ends at the next block). Limit of the native path: an
-element whose own tag nests inside it (``div`` in ``div``) ends at the first inner
-close; the spec gives ``card_end`` to cut the last card at its container end.
+``[attr*="v"]``, descendant (space). Elements are found by their opening tag, in which a
+``>`` inside a quoted value does not end the tag, and end at their own closing tag: where
+the same tag nests inside, the tags are folded with their depth and the element ends at
+depth 0. ``p``/``li``/``td``/``tr`` also end where HTML implies (so an unclosed ``<p>``
+ends at the next block). A card is its element; ``card_end`` only cuts a last card that
+is never closed.
 """
 
 from __future__ import annotations
@@ -44,26 +45,32 @@ _IMPLIED_END = {
 }
 
 
+# One piece of the inside of a tag: a quoted value, a bare word, a blank or an equals sign.
+_UNIT = r"""(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>\s=]++|[\s=])"""
+
+
 @dataclass(frozen=True)
 class Step:
     tag: str | None
     classes: tuple[str, ...]
     attrs: tuple[tuple[str, str | None, str | None], ...]   # (name, op, value)
 
-    def open_regex(self) -> str:
+    def open_regex(self, capture: bool = False) -> str:
+        """The opening tag; with ``capture`` its name is a group."""
         tag = re.escape(self.tag) if self.tag else r"[a-zA-Z][a-zA-Z0-9]*"
+        tag = f"({tag})" if capture else tag
         look = []
         for c in self.classes:
-            look.append(rf"""(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?{re.escape(c)}(?:\s[^"']*)?["'])""")
+            look.append(rf"""(?={_UNIT}*?\sclass\s*=\s*["'](?:[^"']*\s)?{re.escape(c)}(?:\s[^"']*)?["'])""")
         for name, op, val in self.attrs:
             n = re.escape(name)
             if op is None:
-                look.append(rf"(?=[^>]*\s{n}(?:\s*=|[\s/>]))")
+                look.append(rf"(?={_UNIT}*?\s{n}(?:\s*=|[\s/>]))")
             elif op == "=":
-                look.append(rf"""(?=[^>]*\s{n}\s*=\s*["']{re.escape(val)}["'])""")
+                look.append(rf"""(?={_UNIT}*?\s{n}\s*=\s*["']{re.escape(val)}["'])""")
             else:
-                look.append(rf"""(?=[^>]*\s{n}\s*=\s*["'][^"']*{re.escape(val)}[^"']*["'])""")
-        return rf"<{tag}\b{''.join(look)}[^>]*>"
+                look.append(rf"""(?={_UNIT}*?\s{n}\s*=\s*["'][^"']*{re.escape(val)}[^"']*["'])""")
+        return rf"<{tag}\b{''.join(look)}{_UNIT}*+>"
 
     def end_regex(self) -> str:
         tag = self.tag.lower() if self.tag else None
@@ -89,21 +96,55 @@ def parse_selector(sel: str) -> tuple[Step, ...]:
     return tuple(steps)
 
 
-def _prefix(steps: tuple[Step, ...]) -> str:
-    """Regex matching the opening tags of every step; ancestors are not left."""
+def _prefix(steps: tuple[Step, ...], capture: bool = False) -> str:
+    """Regex matching the opening tags of every step; ancestors are not left. With
+    ``capture`` the name of the last tag is a group."""
     out = ""
     for i, st in enumerate(steps):
-        out += st.open_regex()
+        out += st.open_regex(capture and i == len(steps) - 1)
         if i < len(steps) - 1:
             anc_close = rf"</{re.escape(st.tag)}\s*>" if st.tag else r"(?!)"
             out += rf"(?:(?!{anc_close}).)*?"
     return out
 
 
-def element_regex(sel: str) -> str:
-    """Regex whose group 1 is the inner HTML of an element matching ``sel``."""
-    steps = parse_selector(sel)
-    return rf"(?is){_prefix(steps)}(.*?)(?={steps[-1].end_regex()})"
+def _depth_cut(rest: Column, tag: Column | str) -> Column:
+    """``rest`` (what follows an opening tag) up to the close of that element: the tags of
+    its name are folded with their depth."""
+    name = F.lit(tag) if isinstance(tag, str) else tag
+    parts = F.split(F.concat(F.lit(" "), rest), F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)")))
+
+    def step(acc: Column, x: Column) -> Column:
+        depth = F.when(x.startswith("</"), acc["depth"] - 1).otherwise(acc["depth"] + 1)
+        return F.when(acc["depth"] == 0, acc).otherwise(F.struct(
+            depth.alias("depth"), F.when(depth == 0, acc["n"]).otherwise(acc["n"] + 1).alias("n")))
+
+    def inner(p: Column) -> Column:
+        end = F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))),
+                          F.struct(F.lit(1).alias("depth"), F.lit(1).alias("n")), step)
+        return F.substr(F.array_join(F.slice(p, 1, end["n"]), ""), F.lit(2))
+
+    return let(parts, inner)
+
+
+def _cut(rest: Column, step: Step) -> Column:
+    """``rest`` up to the end of the element ``step`` opened just before it. The fold runs
+    only where the same tag opens again before the first close."""
+    simple = F.regexp_extract(rest, rf"(?is)^(.*?)(?={step.end_regex()})", 1)
+    if step.tag.lower() in _IMPLIED_END:
+        return simple
+    nested = rf"(?i)<{re.escape(step.tag)}\b"
+    return let(simple, lambda x: F.when(x.rlike(nested), _depth_cut(rest, re.escape(step.tag))).otherwise(x))
+
+
+def _first_inner(frag: Column, steps: tuple[Step, ...]) -> Column:
+    """Inner HTML of the first element matching the descendant chain ('' if none)."""
+    if steps[-1].tag:
+        rest = F.regexp_extract(frag, rf"(?is){_prefix(steps)}(.*)$", 1)
+        return let(rest, lambda r: _cut(r, steps[-1]))
+    pat = rf"(?is){_prefix(steps, capture=True)}(.*)$"
+    found = F.struct(F.regexp_extract(frag, pat, 1).alias("tag"), F.regexp_extract(frag, pat, 2).alias("rest"))
+    return let(found, lambda x: F.when(x["tag"] == "", F.lit("")).otherwise(_depth_cut(x["rest"], x["tag"])))
 
 
 def attr_regex(sel: str, attr: str) -> str:
@@ -112,8 +153,8 @@ def attr_regex(sel: str, attr: str) -> str:
     a = re.escape(attr)
     head = _prefix(steps)
     # re-open the last tag to capture the attribute inside it
-    tag_open = head[: -len(r"[^>]*>")]
-    return rf"""(?is){tag_open}[^>]*?\s{a}\s*=\s*(["'])(.*?)\1"""
+    tag_open = head[: -len(f"{_UNIT}*+>")]
+    return rf"""(?is){tag_open}{_UNIT}*?\s{a}\s*=\s*(["'])(.*?)\1"""
 
 
 def open_regex(sel: str) -> str:
@@ -163,28 +204,67 @@ def _read_one(frag: Column, sel: str | None, f: Field) -> Column:
     if sel is None:
         if f.attr:
             return html_unescape(F.nullif(F.regexp_extract(
-                frag, rf"""(?is)^<[a-zA-Z][a-zA-Z0-9]*\b[^>]*?\s{re.escape(f.attr)}\s*=\s*(["'])(.*?)\1""", 2),
+                frag, rf"""(?is)^<[a-zA-Z][a-zA-Z0-9]*\b{_UNIT}*?\s{re.escape(f.attr)}\s*=\s*(["'])(.*?)\1""", 2),
                 F.lit("")))
         return _nonempty(html_text(frag, f.mode))
     if f.attr:
         return _nonempty(html_unescape(F.regexp_extract(frag, attr_regex(sel, f.attr), 2)))
-    inner = F.regexp_extract(frag, element_regex(sel), 1)
-    return _nonempty(html_text(inner, f.mode))
+    return _nonempty(html_text(_first_inner(frag, parse_selector(sel)), f.mode))
+
+
+def _opened(frag: Column, step: Step) -> Column:
+    """Array of what follows each opening tag of ``step``, to the end of ``frag``; only used
+    where elements nest."""
+    opener = "(?is)(?=" + step.open_regex() + ")"
+    parts = F.split(F.concat(F.lit(" "), frag), opener)
+
+    def tails(p: Column) -> Column:
+        own = F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0)))
+        return F.transform(own, lambda x, i: F.regexp_replace(
+            F.array_join(F.slice(p, i + 2, F.size(p)), ""), "(?is)^" + step.open_regex(), ""))
+
+    return let(parts, tails)
+
+
+def _all_step(frag: Column, step: Step, outermost: bool) -> Column:
+    """Inner HTML of every element of one step, in document order; with ``outermost`` only
+    of those in no other (a descendant search must not enter an element twice)."""
+    plain = F.regexp_extract_all(frag, F.lit(rf"(?is){step.open_regex()}(.*?)(?={step.end_regex()})"), 1)
+    if step.tag is None or step.tag.lower() in _IMPLIED_END:
+        return plain
+    opener = "(?is)(?=" + step.open_regex() + ")"
+
+    def slow() -> Column:
+        every = F.transform(_opened(frag, step), lambda r: _cut(r, step))
+        if not outermost:
+            return every
+
+        def keep(acc: Column, x: Column) -> Column:
+            inside = F.size(F.split(F.concat(F.lit(" "), x), opener)) - 1
+            out = acc["skip"] > 0
+            return F.struct(F.when(out, acc["skip"] - 1).otherwise(inside).alias("skip"),
+                            F.when(out, acc["got"]).otherwise(F.concat(acc["got"], F.array(x))).alias("got"))
+
+        none = F.struct(F.lit(0).alias("skip"), F.array().cast("array<string>").alias("got"))
+        return F.aggregate(every, none, keep)["got"]
+
+    nested = rf"(?i)<{re.escape(step.tag)}\b"
+    return let(plain, lambda p: F.when(F.exists(p, lambda x: x.rlike(nested)), slow()).otherwise(p))
 
 
-def _all_inner(frag: Column, steps: tuple[Step, ...]) -> Column:
-    """Inner HTML of every element matching the descendant chain ``steps``: every
-    match of the first step, then recursively inside each (so one ancestor can give
+def _all_inner(frag: Column, steps: tuple[Step, ...], outermost: bool = False) -> Column:
+    """Inner HTML of every element matching the descendant chain ``steps``: the outermost
+    matches of the first step, then recursively inside each (so one ancestor can give
     many descendants)."""
-    first = F.regexp_extract_all(frag, F.lit(rf"(?is){steps[0].open_regex()}(.*?)(?={steps[0].end_regex()})"), 1)
+    first = _all_step(frag, steps[0], outermost or len(steps) > 1)
     if len(steps) == 1:
         return first
-    return F.flatten(F.transform(first, lambda x: _all_inner(x, steps[1:])))
+    return F.flatten(F.transform(first, lambda x: _all_inner(x, steps[1:], outermost)))
 
 
 def _read_many(frag: Column, sel: str, f: Field) -> Column:
     steps = parse_selector(sel)
-    scopes = _all_inner(frag, steps[:-1]) if len(steps) > 1 else F.array(frag)
+    scopes = _all_inner(frag, steps[:-1], outermost=True) if len(steps) > 1 else F.array(frag)
     if f.attr:
         pat = F.lit(attr_regex(_step_sel(steps[-1]), f.attr))
         vals = F.flatten(F.transform(scopes, lambda s: F.regexp_extract_all(s, pat, 2)))
@@ -231,21 +311,37 @@ def field_column(frag: Column, f: Field) -> Column:
 
 
 def split_cards(html: Column, card: str, card_end: str | None = None) -> Column:
-    """Array of card fragments in document order. The text before the first card
-    is dropped; the last card is cut at ``card_end`` when given. With a descendant
-    selector (``nav li``) cards are cut only inside the ancestor elements."""
+    """Array of card fragments (opening tag and inside) in document order. A card ends
+    at its own close, or where the next card opens. A last card that is never closed is
+    cut at ``card_end``. With a descendant selector (``nav li``) cards are cut only inside
+    the ancestor elements."""
     steps = parse_selector(card)
-    opener = "(?i)(?=" + steps[-1].open_regex() + ")"
+    step = steps[-1]
+    opener = "(?i)(?=" + step.open_regex() + ")"
+    opening = "(?i)^" + step.open_regex()
+
+    def element(x: Column, last: Column) -> Column:
+        if not step.tag:
+            return x
+        tag = F.regexp_extract(x, opening, 0)
+        rest = F.substr(x, F.length(tag) + 1)
+        inner = let(rest, lambda r: _cut(r, step))
+        if card_end:
+            inner = let(inner, lambda i: F.when(
+                last & (F.length(i) == F.length(rest)),
+                F.regexp_replace(i, f"(?is)(?:{card_end}).*$", "")).otherwise(i))
+        return F.concat(tag, inner)
 
     def cut(scope: Column) -> Column:
         # A leading space makes element 0 always the prefix before the first card.
         parts = F.split(F.concat(F.lit(" "), scope), opener)
-        return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+        return let(parts, lambda p: F.transform(
+            F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))),
+            lambda x, i: element(x, i == F.size(p) - 2)))
 
-    cards = F.flatten(F.transform(_all_inner(html, steps[:-1]), cut)) if len(steps) > 1 else cut(html)
-    if card_end:
-        cards = F.transform(cards, lambda x: F.regexp_replace(x, f"(?is)(?:{card_end}).*$", ""))
-    return cards
+    if len(steps) > 1:
+        return F.flatten(F.transform(_all_inner(html, steps[:-1], outermost=True), cut))
+    return cut(html)
 
 
 def _required_ok(rec: Column, required: tuple[str, ...]) -> Column:
