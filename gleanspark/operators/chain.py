@@ -1,17 +1,13 @@
-"""Page-chain traversal (B13, B14): order pages that link to each other by ``next``.
+"""Page-chain traversal (B13, B14): the pages each start page leads to by ``next``.
 
-Instead of following links one hop per step (a recursive walk needs as many steps
-as the longest chain), every page learns its chain head and depth by pointer
-jumping: each round doubles the distance a pointer covers, so a chain of length L
-is resolved in ceil(log2 L) rounds of one equi-join each. State is checkpointed to
-the shared checkpoint folder each round, so lineage stays short and a lost
-executor only recomputes one round. Pages on a cycle have no head and are dropped.
+Instead of following links one hop per step, every round doubles the distance a pointer
+covers: after round k all pages within 2 ** k hops of a start are known, so a chain of
+length L takes about log2 L rounds of two equi-joins. Rounds are checkpointed to the shared
+folder; the walk of a start ends at its first repeated page, so cycles end too.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,36 +15,35 @@ from gleanspark.operators.dedup import keep_first
 from gleanspark.session import checkpoint_dir
 
 
-def chain_order(edges: DataFrame, url: str = "url", next_url: str = "next_url",
-                max_rounds: int | None = None) -> DataFrame:
-    """``edges(url, next_url)`` -> ``(start_url, depth, url)`` for every page reachable
-    from a chain head (a page no other page links to). Depth 0 is the head. When
-    several pages link to the same page, the smallest URL is its predecessor."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
+def chain_order(edges: DataFrame, starts: DataFrame | None = None, url: str = "url",
+                next_url: str = "next_url") -> DataFrame:
+    """``edges(url, next_url)`` -> ``(start_url, depth, url)``: one row per start and page it
+    reaches, depth 0 being the start itself.
+
+    ``starts(url)`` lists the start pages; chains that merge give the shared pages to each
+    of their starts. Without it the starts are the pages no other page links to, and a
+    page with several predecessors is an error (every head times every page could be
+    asked for). A page with several ``next`` links follows the smallest.
+    """
+    checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col(url).alias("u"), F.col(next_url).alias("v"))
-    nodes = e.select("u").union(e.filter(F.col("v").isNotNull()).select(F.col("v").alias("u"))).distinct()
-    pred = keep_first(e.filter(F.col("v").isNotNull()).select(F.col("v").alias("u"), F.col("u").alias("p")),
-                      "u", ["p"])
-    state = nodes.join(pred, "u", "left").select(
-        "u", F.col("p").alias("anc"),
-        F.when(F.col("p").isNull(), 0).otherwise(1).cast("long").alias("dist"),
-        F.when(F.col("p").isNull(), F.col("u")).alias("head")).checkpoint()
-    if max_rounds is None:
-        n = state.count()
-        max_rounds = max(1, math.ceil(math.log2(max(n, 2)))) + 1
-    for _ in range(max_rounds):
-        moving = state.filter(F.col("anc").isNotNull())
-        if moving.isEmpty():
-            break
-        # only unresolved pages join (their pointer is never NULL), so resolved pages
-        # do not pile up on one NULL-key partition
-        y = state.select(F.col("u").alias("y_u"), F.col("anc").alias("y_anc"),
-                         F.col("dist").alias("y_dist"), F.col("head").alias("y_head"))
-        stepped = moving.join(y, F.col("anc") == F.col("y_u"), "left").select(
-            "u", F.col("y_anc").alias("anc"),
-            (F.col("dist") + F.coalesce(F.col("y_dist"), F.lit(0))).alias("dist"),
-            F.col("y_head").alias("head"))
-        state = state.filter(F.col("anc").isNull()).unionByName(stepped).checkpoint()
-    return state.filter(F.col("head").isNotNull() & F.col("anc").isNull()).select(
-        F.col("head").alias("start_url"), F.col("dist").alias("depth"), F.col("u").alias(url))
+    linked = e.filter(F.col("u").isNotNull() & F.col("v").isNotNull())
+    jump = keep_first(linked, "u", ["v"]).checkpoint()
+    if starts is None:
+        merged = jump.groupBy("v").count().filter("count > 1").limit(1).collect()
+        if merged:
+            raise ValueError(f"chains merge at {merged[0]['v']!r}: give the start pages")
+        starts = e.select("u").filter("u is not null").distinct() \
+            .join(jump.select(F.col("v").alias("u")), "u", "left_anti")
+    else:
+        starts = starts.select(F.col(url).alias("u")).filter("u is not null").distinct()
+    seen = starts.select(F.col("u").alias("s"), "u", F.lit(0).cast("long").alias("depth")).checkpoint()
+    hop, known = 1, -1
+    while (now := seen.count()) != known:
+        known = now
+        ahead = seen.join(jump, "u").select("s", F.col("v").alias("u"), (F.col("depth") + hop).alias("depth"))
+        seen = seen.unionByName(ahead).groupBy("s", "u").agg(F.min("depth").alias("depth")).checkpoint()
+        far = jump.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        jump = jump.join(far, "v").select("u", F.col("w").alias("v")).checkpoint()
+        hop *= 2
+    return seen.select(F.col("s").alias("start_url"), "depth", F.col("u").alias(url))

@@ -392,16 +392,31 @@ def q_team_rows(spark, sf):
 
 
 @register("team_search", f"""
-WITH t AS ({_TEAM_SQL}),
-hits AS (SELECT * FROM t WHERE contains(lower(name), '#00000002')),
-pg AS (SELECT DISTINCT page FROM t),
-cnt AS (SELECT pg.page, count(hits.page) AS n FROM pg LEFT JOIN hits ON hits.page = pg.page GROUP BY pg.page),
-fe AS (SELECT min(page) AS first_empty FROM cnt WHERE n = 0)
-SELECT hits.* FROM hits, fe WHERE fe.first_empty IS NULL OR hits.page < fe.first_empty""")
+SELECT * FROM ({_TEAM_SQL}) t WHERE contains(lower(name), '#00000007')""")
 def q_team_search(spark, sf):
-    """D11 team-name search, D12 stop at the first page without results, F06."""
+    """D11 team-name search over unfiltered pages; the name stands on a late page."""
     from gleanspark.plans import sites
-    return sites.team_search(render.team_pages(table(spark, sf, "supplier")), "#00000002")
+    return sites.team_search(render.team_pages(table(spark, sf, "supplier")), "#00000007")
+
+
+@register("team_search_results", f"""
+WITH t AS ({_TEAM_SQL}),
+r AS (SELECT 'nation ' || CAST(losses AS VARCHAR) AS query, t.* FROM t),
+hit AS (SELECT * FROM r WHERE ot_losses > 0 OR losses = 0),
+pg AS (SELECT DISTINCT query, page FROM r),
+fe AS (SELECT pg.query, min(pg.page) AS first_empty FROM pg
+       LEFT JOIN (SELECT DISTINCT query, page FROM hit) h ON h.query = pg.query AND h.page = pg.page
+       WHERE h.page IS NULL GROUP BY pg.query)
+SELECT hit.* FROM hit LEFT JOIN fe ON fe.query = hit.query
+WHERE fe.first_empty IS NULL OR hit.page < fe.first_empty""")
+def q_team_search_results(spark, sf):
+    """Each nation is a search over the team pages; pages where the search had no
+    result are empty result pages, and reading stops at the first."""
+    from gleanspark.plans import sites
+    teams = sites.team_table(render.team_pages(table(spark, sf, "supplier")))
+    rows = teams.select(F.concat(F.lit("nation "), F.col("losses").cast("string")).alias("query"), "*")
+    hits = rows.filter((F.col("ot_losses") > 0) | (F.col("losses") == 0))
+    return sites.stop_at_first_empty(hits, rows)
 
 
 @register("quotes_tags", """
@@ -493,20 +508,13 @@ def q_book_best(spark, sf):
 # ---------------------------------------------------------------------------
 # Places: JSON search + detail responses -> enrichment -> classes -> views
 
-def _sql_norm_url(u: str) -> str:
-    """normalize_url(u, u) for an absolute URL, in SQL."""
-    return (f"lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' || "
-            f"regexp_replace(regexp_replace(regexp_replace({u}, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), "
-            f"'[?#].*$', ''), ';[^/]*$', '')")
-
-
 _EMAIL_RE = r"[\p{L}\p{N}_.-]+@[\p{L}\p{N}_.-]+"
 
 _PLACES_CTE = f"""
 oc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
 mails AS (
-  SELECT site, min(e) AS email FROM (
-    SELECT {_sql_norm_url('url')} AS site,
+  SELECT site, arg_min(e, page_id) AS email FROM (
+    SELECT trim(url) AS site, page_id,
            nullif(regexp_extract(html, '{_EMAIL_RE}', 0), '') AS e FROM pages) m
   WHERE e IS NOT NULL GROUP BY site),
 f AS (
@@ -553,7 +561,7 @@ clean AS (
          WHEN contains(lower(website), 'instagram.com') THEN 'Instagram' ELSE 'Official Website' END AS website_type,
     CASE WHEN website IS NOT NULL AND NOT contains(lower(website), 'facebook.com')
               AND NOT contains(lower(website), 'instagram.com') AND regexp_matches(website, '^https?://')
-         THEN (SELECT email FROM mails WHERE mails.site = {_sql_norm_url('raw.website')}) END AS email,
+         THEN (SELECT email FROM mails WHERE mails.site = trim(raw.website)) END AS email,
     CASE WHEN contains(lower(name), 'grill') THEN 'Grill Burger'
          WHEN contains(lower(name), 'fried') THEN 'Fried Chicken + Burger'
          WHEN contains(lower(name), 'cafe') THEN 'Cafe Burger'
@@ -802,6 +810,38 @@ def q_page_chain(spark, sf):
     return chain_order(edges)
 
 
+@register("quotes_chain", """
+WITH RECURSIVE pg AS (SELECT DISTINCT user_id // 10 AS page FROM events),
+nx AS (SELECT page, CASE WHEN (page + 1) % 10 <> 0 AND page + 1 IN (SELECT page FROM pg) THEN page + 1 END AS nxt FROM pg),
+r(start, depth, page) AS (
+  SELECT page, CAST(0 AS BIGINT), page FROM pg WHERE page % 5 = 0
+  UNION ALL
+  SELECT r.start, r.depth + 1, nx.nxt FROM r JOIN nx ON nx.page = r.page WHERE nx.nxt IS NOT NULL),
+u AS (SELECT user_id, user_id // 10 AS page, string_agg(event_type, ', ' ORDER BY event_type) AS tags
+      FROM (SELECT DISTINCT user_id, event_type FROM events) d GROUP BY user_id)
+SELECT 'https://quotes.example/page/' || CAST(r.start AS VARCHAR) || '/' AS start_url, r.depth,
+  CAST(row_number() OVER (PARTITION BY r.start, r.page ORDER BY u.user_id) - 1 AS INTEGER) AS pos,
+  '“Events of user ' || CAST(u.user_id AS VARCHAR) || '”' AS text, 'User ' || CAST(u.user_id AS VARCHAR) AS author, u.tags
+FROM r JOIN u ON u.page = r.page""")
+def q_quotes_chain(spark, sf):
+    """Quotes in the order a reader of the chain sees them. Pages 0, 5, 10, ... are
+    starts, so chains merge: a later page belongs to two starts."""
+    from gleanspark.functions.urls import prefix_url
+    from gleanspark.operators.chain import chain_order
+    from gleanspark.operators.extract import extract
+    from gleanspark.plans import sites
+    from gleanspark.plans.specs import NEXT_LINK
+    pages = render.quote_pages(table(spark, sf, "events"))
+    base = "https://quotes.example"
+    links = extract(pages.select("url", "html"), NEXT_LINK, keep=("url",))
+    edges = links.select(prefix_url("url", base).alias("url"), prefix_url("next_href", base).alias("next_url"))
+    starts = pages.filter(F.col("page") % 5 == 0).select(prefix_url("url", base).alias("url"))
+    walk = chain_order(edges, starts)
+    records = sites.quotes(pages).withColumn("url", F.concat(
+        F.lit(f"{base}/page/"), F.col("page").cast("string"), F.lit("/")))
+    return walk.join(records, "url").select("start_url", "depth", "pos", "text", "author", "tags")
+
+
 @register("resume_union", """
 SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value ELSE value + 1000 END AS value FROM events""")
 def q_resume_union(spark, sf):
@@ -818,28 +858,33 @@ def q_resume_union(spark, sf):
 # ---------------------------------------------------------------------------
 # Incremental load on Structured Streaming
 
-def stream_listing(spark, sf, n_batches: int = 3):
-    """Listing pages land as files in ``n_batches`` drops (page ranges in
-    order); after each drop a streaming load extracts it, keeps the first card per URL
-    and appends only URLs not stored by an earlier drop. Scratch folders live under the
-    shared checkpoint folder."""
+def _load_drops(spark, name, pages, n_drops, **load):
+    """``pages`` (with a ``drop`` column) written once; each drop is then loaded in order by a
+    run of its own (own checkpoint) into one sink."""
     import uuid
 
     from gleanspark.session import scratch_path
     from gleanspark.streaming.incremental import incremental_load, read_sink
-    root = scratch_path(spark, f"stream-listing-{uuid.uuid4().hex[:12]}")
-    src, sink, ckpt = (f"{root}/{d}" for d in ("source", "sink", "checkpoint"))
-    pages = render.listing_pages(table(spark, sf, "part"), url_by_name=True)
-    bounds = pages.agg(F.min("page").alias("lo"), F.max("page").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    step = (hi - lo) // n_batches + 1
-    for i in range(n_batches):       # each drop arrives, then the load runs
-        part = pages.filter((F.col("page") >= lo + i * step) & (F.col("page") < lo + (i + 1) * step))
-        part.write.mode("append").parquet(src)
-        incremental_load(spark, src, pages.schema, sink, ckpt,
-                         transform=lambda df: products.listing(df), key="url", order=["page", "pos"],
-                         skip_key="page")
-    return read_sink(spark, sink).select("page", "pos", "name", "price", "price_num", "url")
+    root = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    pages.write.partitionBy("drop").parquet(f"{root}/source")
+    for i in range(n_drops):
+        incremental_load(spark, f"{root}/source/drop={i}", pages.drop("drop").schema, f"{root}/sink",
+                         f"{root}/checkpoint-{i}", **load)
+    return read_sink(spark, f"{root}/sink")
+
+
+def stream_listing(spark, sf, n_drops: int = 3):
+    """Listing pages arrive in ``n_drops`` drops (page ranges in order); a streaming
+    load per drop extracts it, keeps the first card per URL and appends only URLs not
+    stored by an earlier drop."""
+    part = table(spark, sf, "part")
+    lo, hi = part.agg(F.min("p_partkey"), F.max("p_partkey")).first()      # one row
+    step = (hi // 40 - lo // 40) // n_drops + 1
+    pages = render.listing_pages(part, url_by_name=True).withColumn(
+        "drop", F.expr(f"cast((page - {lo // 40}) div {step} as int)"))
+    out = _load_drops(spark, "stream-listing", pages, n_drops, transform=lambda df: products.listing(df),
+                      key="url", order=["page", "pos"], skip_key="page")
+    return out.select("page", "pos", "name", "price", "price_num", "url")
 
 
 register("stream_incremental", ORACLE["dedup_first"])(stream_listing)
@@ -964,17 +1009,7 @@ def stream_details(spark, sf, n_drops: int = 3):
     """K01 + J04: captured detail pages land in ``n_drops`` drops; each micro-batch
     extracts details, keeps one row per URL and appends URLs not stored yet. Failed
     pages are stored with ``extract_ok`` false (they count as done, E04)."""
-    import uuid
-
-    from gleanspark.session import scratch_path
-    from gleanspark.streaming.incremental import incremental_load, read_sink
-    root = scratch_path(spark, f"stream-details-{uuid.uuid4().hex[:12]}")
-    src, sink, ckpt = (f"{root}/{d}" for d in ("source", "sink", "checkpoint"))
     part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
     pages = render.detail_pages(part, li, supp).withColumn("drop", F.pmod(F.hash("url"), F.lit(n_drops)))
-    for i in range(n_drops):         # each drop arrives, then the load runs
-        pages.filter(F.col("drop") == i).drop("drop").write.mode("append").parquet(src)
-        incremental_load(spark, src, "url string, html string", sink, ckpt,
-                         transform=lambda df: products.detail_table(df), key="url",
-                         order=[~F.col("extract_ok")], skip_key="url")
-    return read_sink(spark, sink)
+    return _load_drops(spark, "stream-details", pages, n_drops, transform=lambda df: products.detail_table(df),
+                       key="url", order=[~F.col("extract_ok")], skip_key="url")

@@ -11,11 +11,13 @@ from gleanspark.functions.classify import (PRICE_TEXT_MAP, area_class, contains_
 from gleanspark.functions.numbers import map_lookup, money_to_text
 from gleanspark.functions.score import level_score
 from gleanspark.functions.text import clean_text, extract_email, first_truthy
-from gleanspark.functions.urls import get_domain, is_http_url, normalize_url
+from gleanspark.functions.urls import get_domain, is_http_url
 from gleanspark.operators.dedup import keep_first
 from gleanspark.operators.views import move_before
 from gleanspark.sources.places import place_details, search_places
 
+SITE_SALTS = 8          # shares of the places of one website
+
 RAW_COLUMNS = ["id", "name", "address", "phone", "rating", "rating_count", "price_level",
                "price_start", "price_end", "maps_link", "website"]
 
@@ -68,17 +70,20 @@ def clean_places(raw: DataFrame, pages: DataFrame | None) -> DataFrame:
     df = raw.filter(contains_ci("address", "dhaka"))
     wtype = website_type("website")
     if pages is not None:
-        # captured homepages keyed by normalized URL (query and fragment dropped);
-        # several captures of one site give their smallest address
-        mails = pages.select(normalize_url("url", F.col("url")).alias("_site"),
-                             extract_email("html").alias("_mail")).filter(F.col("_mail").isNotNull())
-        mails = keep_first(mails, "_site", ["_mail"])
+        # captured homepages by the exact URL that was read; of several captures of one
+        # URL the first (by page id, if there is one) that has an address counts
+        first = ["page_id"] if "page_id" in pages.columns else []
+        mails = pages.select(F.trim("url").alias("_site"), *first, extract_email("html").alias("_mail")) \
+            .filter(F.col("_mail").isNotNull())
+        mails = keep_first(mails, "_site", first or ["_mail"]).select("_site", "_mail")
         official = (wtype == "Official Website") & is_http_url("website")
         # places that take no e-mail get a unique key that matches nothing, so they
-        # spread over the join partitions instead of all hashing to the NULL key
-        site = F.when(official, normalize_url("website", F.col("website"))) \
-            .otherwise(F.concat(F.lit("\u0001"), F.col("id")))
-        df = df.select("*", site.alias("_site")).join(mails, "_site", "left")
+        # spread over the join partitions instead of all hashing to the NULL key; the
+        # website that many places share is salted
+        site = F.when(official, F.trim("website")).otherwise(F.concat(F.lit("\u0001"), F.col("id")))
+        mails = mails.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SITE_SALTS - 1))))
+        df = df.select("*", site.alias("_site"), F.pmod(F.xxhash64("id"), F.lit(SITE_SALTS)).cast("int").alias("_salt")) \
+            .join(mails, ["_site", "_salt"], "left")
         email = F.col("_mail")
     else:
         email = F.lit(None).cast("string")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions.numbers import clean_float, clean_int, price_first, price_strict
 from gleanspark.functions.score import value_score
 from gleanspark.functions.text import clean_text
-from gleanspark.functions.urls import normalize_url
+from gleanspark.functions.urls import normalize_url, strip_url
 from gleanspark.operators.dedup import keep_first
 from gleanspark.operators.extract import extract
 from gleanspark.plans import specs
@@ -111,10 +111,13 @@ def labelled_counts(links, exclusive: bool = True):
 def final_products(listing_df: DataFrame, detail_df: DataFrame) -> DataFrame:
     """Listing left-joined with details on URL (E01), value score (C35), URL last.
 
-    The detail side is one row per URL. Both sides hash on ``url``; when the detail
-    side is small the planner broadcasts it by its measured size.
+    Detail URLs are reduced like listing URLs (no query, fragment or parameters) and made
+    unique: of several captures of a page one that gave fields wins. Both sides hash on
+    ``url``; when the detail side is small the planner broadcasts it by its measured size.
     """
-    d = detail_df.drop("extract_ok") if "extract_ok" in detail_df.columns else detail_df
+    ok = [~F.col("extract_ok")] if "extract_ok" in detail_df.columns else []
+    d = keep_first(detail_df.withColumn("url", strip_url("url")).filter(F.col("url").isNotNull()), "url",
+                   ok or [c for c in detail_df.columns if c != "url"])
     j = listing_df.join(d, "url", "left")
     front = [c for c in listing_df.columns if c not in ("url", "pos")]
     return j.select(

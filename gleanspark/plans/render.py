@@ -170,8 +170,7 @@ def country_pages(customer: DataFrame, nation: DataFrame, per_page: int = 50) ->
     """Pages of four page-wide parallel lists (B06), one page per nation and customer
     key bucket (at most ``per_page`` entries): quoted customer name, the nation's
     capital line, a population figure from the key and an area from the balance."""
-    # nation: fixed 25 rows at every scale factor (proven broadcast bound)
-    n = customer.join(F.broadcast(nation.select("n_nationkey", "n_name")),
+    n = customer.join(nation.select("n_nationkey", "n_name"),
                       F.col("c_nationkey") == F.col("n_nationkey"))
     frag = F.concat(
         F.lit('\n<div class="country"><h3 class="country-name">\n  <i class="flag"></i>\n  "'),
@@ -282,8 +281,7 @@ def directory_pages(customer: DataFrame, nation: DataFrame, per_page: int = 20)
     4-column dedup removes. City by region: three Dhaka regions, one that also names
     Sylhet, one in Chittagong. No phone block for a negative balance; no name for
     AUTOMOBILE customers of nations 0-4."""
-    # nation is a fixed 25-row dimension at every scale factor: a proven broadcast bound
-    c = customer.join(F.broadcast(nation.select("n_nationkey", "n_name", "n_regionkey")),
+    c = customer.join(nation.select("n_nationkey", "n_name", "n_regionkey"),
                       F.col("c_nationkey") == F.col("n_nationkey"))
     city = F.element_at(F.array(F.lit("Dhaka"), F.lit("Dhaka-1207"), F.lit("DHAKA"),
                                 F.lit("Dhaka Road, Sylhet"), F.lit("Chittagong")),
@@ -332,8 +330,7 @@ def place_facts(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> Da
     ((floor(balance / 1000) + 1) / 2, none for a negative balance), review count =
     number of orders (none without orders), address by region."""
     n_orders = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
-    # nation: fixed 25 rows at every scale factor (proven broadcast bound)
-    c = (customer.join(F.broadcast(nation.select("n_nationkey", "n_regionkey")),
+    c = (customer.join(nation.select("n_nationkey", "n_regionkey"),
                        F.col("c_nationkey") == F.col("n_nationkey"))
          .join(n_orders, "c_custkey", "left"))
     level = F.try_element_at(_lit_map(SEGMENT_LEVEL), F.col("c_mktsegment"))
@@ -385,8 +382,7 @@ def place_search_table(customer: DataFrame, nation: DataFrame, region: DataFrame
         F.array_sort(F.collect_list(F.struct(F.col("c_custkey").alias("k"), F.col("pl").alias("p")))).alias("_l"))
     names = (nation.select(F.col("n_nationkey").alias("query_idx"), F.col("n_name").alias("q"))
              .unionByName(region.select((F.col("r_regionkey") + 100).alias("query_idx"), F.col("r_name").alias("q"))))
-    # query names: 25 nations + 5 regions, fixed at every scale factor
-    pages = pages.join(F.broadcast(names), "query_idx")
+    pages = pages.join(names, "query_idx")
     body = F.to_json(F.struct(F.transform("_l", lambda x: x["p"]).alias("places"),
                               F.concat(F.lit("tok-"), F.col("page_idx").cast("string")).alias("nextPageToken")))
     return pages.select(F.concat(F.lit("burger in "), F.col("q")).alias("query"),

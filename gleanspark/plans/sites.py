@@ -31,11 +31,11 @@ def countries(pages: DataFrame) -> DataFrame:
     return extract_lists(pages, specs.COUNTRIES, keep=("page",), strict=True)
 
 
-def team_table(pages: DataFrame) -> DataFrame:
+def team_table(pages: DataFrame, keep=("page",)) -> DataFrame:
     """B07 + C09 (empty -> 0 for OT losses and win %) + C10 (strict casts)."""
-    x = extract(pages, specs.TEAM_TABLE, keep=("page",))
+    x = extract(pages, specs.TEAM_TABLE, keep=keep)
     return x.select(
-        "page", "pos", "name",
+        *keep, "pos", "name",
         strict_cast("year", "int").alias("year"), strict_cast("wins", "int").alias("wins"),
         strict_cast("losses", "int").alias("losses"),
         zero_if_empty("ot_losses", "int").alias("ot_losses"),
@@ -46,27 +46,33 @@ def team_table(pages: DataFrame) -> DataFrame:
 
 def stop_at_first_empty(rows: DataFrame, frontier: DataFrame, group: str = "query",
                         page: str = "page") -> DataFrame:
-    """D12 + F06: keep rows of pages before the first page (per ``group``) that had no
-    row. ``frontier`` lists every (group, page) that was read, so empty pages count.
+    """D12 + F06: keep rows of result pages before the first page (per ``group``) that had
+    no row. ``frontier`` lists every (group, page) that was read, so empty pages count.
 
-    Counts per page are a partial aggregation; the first empty page per group is a
-    small aggregate joined back on the group key (an equi-join, no cross join).
+    The pages to keep are found at page grain (one row per page); the rows then take part
+    in one semi join on (group, page), so a group holding most rows is spread over its
+    pages.
     """
     counts = rows.groupBy(group, page).agg(F.count(F.lit(1)).alias("n"))
     per_page = frontier.select(group, page).distinct().join(counts, [group, page], "left")
     first_empty = per_page.filter(F.col("n").isNull()).groupBy(group) \
         .agg(F.min(page).alias("_first_empty"))
-    return rows.join(first_empty, group, "left") \
-        .filter(F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty"))) \
-        .drop("_first_empty")
+    read = per_page.filter(F.col("n").isNotNull()).join(first_empty, group, "left") \
+        .filter(F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty")))
+    return rows.join(read.select(group, page), [group, page], "left_semi")
 
 
 def team_search(pages: DataFrame, q: str) -> DataFrame:
-    """D11 (case-insensitive substring on the team name) on every page, then D12."""
-    teams = team_table(pages).withColumn("query", F.lit(q))
-    hits = teams.filter(F.lower("name").contains(q.lower()))
-    frontier = pages.select(F.lit(q).alias("query"), "page")
-    return stop_at_first_empty(hits, frontier).drop("query")
+    """Rows of unfiltered team pages whose name contains ``q``, in any case. The stop at
+    the first empty page (D12) belongs to the result pages of a search, not to these."""
+    return team_table(pages).filter(F.lower("name").contains(q.lower()))
+
+
+def team_search_results(pages: DataFrame) -> DataFrame:
+    """Rows of the result pages ``(query, page, html)`` of team searches, up to the first
+    page of each query without a row."""
+    rows = team_table(pages, keep=("query", "page"))
+    return stop_at_first_empty(rows, pages)
 
 
 def quotes(pages: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanspark.functions.urls import quote_query
+from gleanspark.session import checkpoint_dir
 
 
 def page_range(df: DataFrame, n_pages: str, start: int = 1, page_col: str = "page") -> DataFrame:
@@ -46,11 +47,18 @@ def segmented_frontier(segments: DataFrame, order_col: str = "seg_order") -> Dat
     with a running index over all segments. Page 1 of a segment is ``first_url``, page
     ``i > 1`` is ``page_url`` with ``{page}`` = i.
 
-    The running offset is a window over the segments table (one row per category, a
-    small dimension), not over the pages.
+    Segments are dealt by range of ``order_col``. Offsets are taken in two levels: totals
+    of the ranges first (as many rows as partitions), segments inside a range second, so
+    no task holds all segments.
     """
-    w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    seg = segments.withColumn("_offset", F.coalesce(F.sum("n_pages").over(w), F.lit(0)))
+    checkpoint_dir(segments.sparkSession)
+    dealt = segments.repartitionByRange(order_col).withColumn("_range", F.spark_partition_id()).checkpoint()
+    ranges = dealt.groupBy("_range").agg(F.sum("n_pages").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    seg = dealt.join(ranges, "_range").withColumn(
+        "_offset", F.col("_base") + F.coalesce(F.sum("n_pages").over(inside), F.lit(0)))
     pages = page_range(seg, "n_pages")
     url = F.when(F.col("page") == 1, F.col("first_url")).otherwise(
         F.replace(F.col("page_url"), F.lit("{page}"), F.col("page").cast("string")))

@@ -30,24 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (regexes over whole pages or documents) at least
-    one task per core. Only when the scan has fewer splits than the default
-    parallelism (one unsplittable file); a large table is already split by the scan
-    and is left alone (no shuffle)."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # no RDD view of the plan (remote session): leave it to AQE
-        pass
-    return df
+TEXT_PARTITIONS = "spark.gleanspark.textPartitions"
 
 
 def heavy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table whose rows are large texts (``pages``, ``documents``), spread
-    over the cores when the scan alone would not."""
-    return spread(table(spark, sf_dir, name))
+    """A driver table whose rows are large texts (``pages``, ``documents``). Its parallelism is
+    the scan's; a caller whose files cannot be split may set ``spark.gleanspark.textPartitions``
+    to deal the rows out to that many partitions."""
+    df = table(spark, sf_dir, name)
+    parts = spark.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -1,42 +1,71 @@
 """Incremental loads on Structured Streaming.
 
-Captured pages arrive as files. ``incremental_load`` reads them with
-``readStream`` and, per micro-batch (``foreachBatch``):
+Captured pages arrive as files. ``incremental_load`` reads them with ``readStream`` and,
+per micro-batch (``foreachBatch``):
 
 1. skips pages whose key is already stored (E03/E04, no extraction work for them),
 2. extracts and cleans (any DataFrame -> DataFrame function),
 3. keeps the first row per key inside the batch (K03),
-4. anti-joins with the rows stored by earlier batches (stored rows win, I01),
-5. writes the batch to its own ``batch=<epoch>`` partition with overwrite.
-
-Step 5 makes a replayed epoch idempotent: a retry after a partial write replaces its
-own partition, and step 4 only reads partitions of earlier epochs. Streaming state
-is therefore bounded by the sink itself, not by an ever-growing in-memory seen-set.
-The checkpoint folder records which files were processed, so a restarted job
-resumes where it stopped.
+4. anti-joins with the keys stored by other batches (stored rows win, I01),
+5. writes the batch to its own ``batch=<run>-<epoch>`` partition with overwrite, and its
+   keys to the key tables.
+
+The run is the streaming query's own id, which Spark keeps in the checkpoint: a replayed
+epoch replaces its own partition and no other, and a load with a new or lost checkpoint
+starts a new run that sees everything stored before. Known keys are read from a key table
+partitioned by a hash bucket of the key; only the buckets of the batch's keys are read.
+State is bounded by the sink itself, not by a growing in-memory seen-set.
 """
 
 from __future__ import annotations
 
-import os
+import json
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanspark.operators.dedup import keep_first
 from gleanspark.sources.tables import _exists
 
+BUCKETS = 64
 
-def _stored(spark: SparkSession, sink: str, before_epoch: int) -> DataFrame | None:
-    if not _exists(spark, sink):
-        return None
-    try:
-        df = spark.read.parquet(sink)
-    except Exception:  # an empty sink folder has no schema yet
-        return None
-    return df.filter(F.col("batch") < before_epoch)
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _rows_dir(sink: str) -> str:
+    return f"{sink.rstrip('/')}/rows"
+
+
+def _keys_dir(sink: str, name: str) -> str:
+    return f"{sink.rstrip('/')}/keys_{name}"
+
+
+class _Keys:
+    """The stored values of some key columns, by hash bucket and batch."""
+
+    def __init__(self, spark: SparkSession, path: str, fields: list[T.StructField], batch: str):
+        self.spark, self.path, self.batch = spark, path, batch
+        self.names = [f.name for f in fields]
+        self.schema = T.StructType([*fields, T.StructField("batch", T.StringType()),
+                                    T.StructField("bucket", T.IntegerType())])
+
+    def unknown(self, df: DataFrame) -> DataFrame:
+        """Rows whose key no other batch has stored."""
+        if not _exists(self.spark, self.path):
+            return df
+        # at most BUCKETS numbers: they prune the partitions of the key table
+        buckets = [r[0] for r in df.select(_bucket(self.names).alias("b")).distinct().collect()]
+        known = (self.spark.read.schema(self.schema).parquet(self.path)
+                 .filter(F.col("bucket").isin(buckets) & (F.col("batch") != self.batch)))
+        return df.join(known.select(*self.names).distinct(), self.names, "left_anti")
+
+    def store(self, rows: DataFrame) -> None:
+        (rows.select(*self.names).distinct().withColumn("bucket", _bucket(self.names))
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={self.batch}"))
 
 
 def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType | str,
@@ -50,7 +79,8 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType
     Inside a micro-batch the ``order`` keys decide which row of a key is kept; across
     micro-batches the earlier batch wins (arrival order). By default all new files
     form one micro-batch; ``max_files_per_trigger`` bounds the batch size, and then
-    files arrive in modification-time order."""
+    files arrive in modification-time order. An error while the stored keys are read
+    fails the batch."""
     keys = [key] if isinstance(key, str) else list(key)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -58,14 +88,22 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType
     stream = reader.parquet(source_dir)
 
     def run_batch(pages: DataFrame, epoch_id: int) -> None:
-        stored = _stored(spark, sink_dir, epoch_id)
-        if stored is not None and skip_key:
-            pages = pages.join(stored.select(skip_key).distinct(), skip_key, "left_anti")
+        run = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+        batch = f"{run}-{epoch_id}"
+
+        def table_of(name: str, names: list[str], df: DataFrame) -> _Keys:
+            return _Keys(spark, _keys_dir(sink_dir, name), [df.schema[n] for n in names], batch)
+
+        if skip_key:
+            pages = table_of("skip", [skip_key], pages).unknown(pages)
         rows = keep_first(transform(pages), keys, order)
-        if stored is not None:
-            rows = rows.join(stored.select(*keys).distinct(), keys, "left_anti")
-        # the folder name is the ``batch`` partition column of the sink
-        rows.write.mode("overwrite").parquet(os.path.join(sink_dir, f"batch={epoch_id}"))
+        known = table_of("row", keys, rows)
+        path = f"{_rows_dir(sink_dir)}/batch={batch}"
+        known.unknown(rows).write.mode("overwrite").parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path)
+        known.store(stored)
+        if skip_key:
+            table_of("skip", [skip_key], stored).store(stored)
 
     q = (stream.writeStream.foreachBatch(run_batch)
          .option("checkpointLocation", checkpoint)
@@ -78,4 +116,4 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType
 
 def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
     """The stored rows, without the batch column."""
-    return spark.read.parquet(sink_dir).drop("batch")
+    return spark.read.parquet(_rows_dir(sink_dir)).drop("batch")

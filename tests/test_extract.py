@@ -149,3 +149,34 @@ def test_long_tag_runs_and_deep_nesting(spark):
     assert got[0] == "a b"
     rows = extract_py(df, specs.DIRECTORY, keep=("page",)).collect()
     assert [(r.page, r.name) for r in rows] == [(1, "N")]
+
+
+def _records(spark, spec, html):
+    return [r.asDict() for r in extract(spark.createDataFrame([(1, html)], "page int, html string"), spec).collect()]
+
+
+def test_elements_end_at_their_own_close(spark):
+    from gleanspark.plans import specs
+    html = ('<div class="html-content detail-content"><div>first part</div><div>second part</div><p>third</p></div>'
+            '<div>after</div>')
+    assert _records(spark, specs.DETAIL, html)[0]["description"] == "first part second part third"
+
+
+def test_cards_keep_nested_sections_and_quoted_marks(spark):
+    from gleanspark.plans import specs
+    html = ('<section><div data-qa-locator="product-item"><section><b>x</b></section><div><div>q</div></div>'
+            '<a title="A > B" href="/p/1">l</a><span class="ooOxS">10 <span>tk</span></span></div><p>ad</p>'
+            '<div data-qa-locator="product-item"><a title=\'C\' href="/p/2">l</a><section></section>'
+            '<span class="ooOxS">20</span></div></section><div data-x="1"><span class="ooOxS">99</span></div>')
+    got = [(r["raw_name"], r["href"], r["raw_price"]) for r in _records(spark, specs.LISTING, html)]
+    assert got == [("A > B", "/p/1", "10 tk"), ("C", "/p/2", "20")]
+
+
+def test_many_nested_and_tagless(spark):
+    spec = ExtractSpec("t", None, (Field("many", "div.a", many=True), Field("inside", "div.a span", many=True),
+                                   Field("tagless", ".z"), Field("attr", "a[x]", attr="x")))
+    html = ('<div class="a">1<div class="a">2<span>s1</span></div>3</div><div class="a"><span>s2<span>s3</span></span>'
+            '</div><i class="z">k<i>l</i>m</i><a y="p>q" x="v>w">')
+    assert _records(spark, spec, html)[0] == {
+        "page": 1, "many": ["1 2 s1 3", "2 s1", "s2 s3"], "inside": ["s1", "s2 s3", "s3"],
+        "tagless": "k l m", "attr": "v>w"}

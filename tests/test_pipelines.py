@@ -100,6 +100,20 @@ def test_page_chain(spark):
     assert got == [("1", 0, "1"), ("1", 1, "2"), ("1", 2, "3"), ("4", 0, "4")]
 
 
+def test_page_chain_merges_and_cycles(spark):
+    import pytest
+
+    from gleanspark.operators.chain import chain_order
+    edges = spark.createDataFrame([("H1", "X"), ("H2", "X"), ("X", "Y"), ("Y", None), ("T", "A"), ("A", "B"), ("B", "A")],
+                                  "url string, next_url string")
+    starts = spark.createDataFrame([("H1",), ("H2",), ("T",), ("alone",), (None,)], "url string")
+    got = sorted(tuple(r) for r in chain_order(edges, starts).collect())
+    assert got == [("H1", 0, "H1"), ("H1", 1, "X"), ("H1", 2, "Y"), ("H2", 0, "H2"), ("H2", 1, "X"), ("H2", 2, "Y"),
+                   ("T", 0, "T"), ("T", 1, "A"), ("T", 2, "B"), ("alone", 0, "alone")]
+    with pytest.raises(ValueError, match="merge"):
+        chain_order(edges)
+
+
 def test_long_chain_log_rounds(spark):
     from gleanspark.operators.chain import chain_order
     n = 300
