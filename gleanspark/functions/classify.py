@@ -112,13 +112,6 @@ def rating_category(r) -> Column:
     return bucket(r, RATING_BUCKETS, RATING_LOWEST, RATING_NULL)
 
 
-def price_band(price, lo: float, hi: float) -> Column:
-    """D05 as one column: ``under`` (< lo), ``mid`` ([lo, hi]), ``above`` (> hi), NULL."""
-    p = col_of(price)
-    return (F.when(p < lo, F.lit("under")).when(p <= hi, F.lit("mid"))
-            .when(p > hi, F.lit("above")))
-
-
 def contains_ci(c, needle: str) -> Column:
     """Case-insensitive substring test, NULL -> false."""
     return F.coalesce(F.lower(col_of(c)).contains(needle.lower()), F.lit(False))

@@ -183,3 +183,9 @@ def swap_if_no_discount(current, old) -> Column:
     has_old = od.isNotNull() & (od != "")
     return F.struct(F.when(no_cur & has_old, od).otherwise(cur).alias("current"),
                     F.when(no_cur & has_old, F.lit(None).cast("string")).otherwise(od).alias("old"))
+
+
+def null_if_missing(c) -> Column:
+    """NaN and the texts a missing value leaves behind become NULL."""
+    c = col_of(c)
+    return F.when(~F.trim(c.cast("string")).isin("", "nan", "NaN", "None", "<NA>"), c)

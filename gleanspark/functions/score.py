@@ -23,9 +23,3 @@ def level_score(rating, level_label) -> Column:
     num = map_lookup(level_label, PRICE_LEVEL_NUM)
     r = col_of(rating)
     return F.when(r.isNotNull() & (num > 0), r / num.cast("double"))
-
-
-def popularity_score(count, price) -> Column:
-    """``ratings_count / price``, for rows that pass D09 (count >= 5, price > 0)."""
-    n, p = col_of(count), col_of(price)
-    return F.when(p > 0, n.cast("double") / p)

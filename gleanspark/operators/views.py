@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanspark.functions.classify import contains_ci
+from gleanspark.session import checkpoint_dir
 
 
 def order_cols(by, key: str | None) -> list[Column]:
@@ -35,6 +36,26 @@ def sort_view(df: DataFrame, by, key: str | None = "url") -> DataFrame:
     return df.orderBy(*order_cols(by, key))
 
 
+def ranked(df: DataFrame, by, key: str | None = "url", rank_col: str = "rank") -> DataFrame:
+    """H01-H03 as a column: 1-based place of each row in the sort.
+
+    Rows are dealt by range of the sort columns and counted per range; a row's place is the
+    rows of the ranges before (a window over as many rows as partitions) plus its place in
+    its own range, so no task holds all rows. Ties on all sort columns share no place; the
+    ``key`` makes them distinct.
+    """
+    checkpoint_dir(df.sparkSession)
+    order = order_cols(by, key)
+    dealt = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return (dealt.withColumn("_place", place).join(base, "_range")
+            .withColumn(rank_col, (F.col("_base") + F.col("_place")).cast("long"))
+            .drop("_range", "_place", "_base"))
+
+
 def top_k(df: DataFrame, by, k: int, key: str | None = "url") -> DataFrame:
     """The first ``k`` rows of the sort (the limit is the feature)."""
     return df.orderBy(*order_cols(by, key)).limit(k)
@@ -69,10 +90,10 @@ def value_counts(df: DataFrame, col: str, count_name: str = "Count") -> DataFram
             .orderBy(F.col(count_name).desc(), F.col(col).asc()))
 
 
-def move_to_end(df: DataFrame, end: list[str]) -> DataFrame:
-    """The listed columns (those present) go last, in the given order."""
-    present = [c for c in end if c in df.columns]
-    return df.select(*[c for c in df.columns if c not in present], *present)
+def columns_last(df: DataFrame, last: tuple[str, ...]) -> DataFrame:
+    """One projection that puts the named columns, where present, at the end."""
+    tail = [F.col(c) for c in last if c in df.columns]
+    return df.select(*(c for c in df.columns if c not in last), *tail)
 
 
 def move_before(df: DataFrame, col: str, before: str) -> DataFrame:
@@ -189,6 +210,6 @@ def place_views(raw: DataFrame, clean: DataFrame, k: int = PLACE_TOP_K,
     })
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` rows (a look at the data; the limit is the feature)."""
-    return df.limit(n)
+def preview(df: DataFrame, by, n: int = 10, key: str | None = "url") -> DataFrame:
+    """The first ``n`` rows in order (a look at the data; the limit is the feature)."""
+    return top_k(df, by, n, key)

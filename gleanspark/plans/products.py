@@ -11,6 +11,7 @@ from gleanspark.functions.text import clean_text
 from gleanspark.functions.urls import normalize_url, strip_url
 from gleanspark.operators.dedup import keep_first
 from gleanspark.operators.extract import extract
+from gleanspark.operators.views import columns_last
 from gleanspark.plans import specs
 
 BASE = "https://shop.example"
@@ -120,8 +121,8 @@ def final_products(listing_df: DataFrame, detail_df: DataFrame) -> DataFrame:
                    ok or [c for c in detail_df.columns if c != "url"])
     j = listing_df.join(d, "url", "left")
     front = [c for c in listing_df.columns if c not in ("url", "pos")]
-    return j.select(
-        *front,
+    scored = j.select(
+        *front, "url",
         F.round(value_score("rating_score", "rating_count", "price_num"), 6).alias("value_score"),
-        "rating_score", "rating_count", "answered_questions", "brand", "seller",
-        "description", "url")
+        "rating_score", "rating_count", "answered_questions", "brand", "seller", "description")
+    return columns_last(scored, ("url",))

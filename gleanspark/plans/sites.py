@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.functions.classify import home_city_address
+from gleanspark.functions.classify import home_city_address, is_blocked
 from gleanspark.functions.numbers import (bracket_count, map_lookup, price_block, price_marker,
                                           strict_cast, zero_if_empty)
 from gleanspark.functions.text import clean_text
@@ -14,7 +14,7 @@ from gleanspark.functions.urls import normalize_url
 from gleanspark.operators.dedup import drop_exact_duplicates, keep_first
 from gleanspark.operators.extract import extract, extract_lists
 from gleanspark.plans import specs
-from gleanspark.plans.render import RATING_WORDS
+from gleanspark.plans.specs import RATING_WORDS
 
 BOOK_BASE = "https://books.example"
 
@@ -81,6 +81,22 @@ def quotes(pages: DataFrame) -> DataFrame:
     return x.select("page", "pos", "text", "author", F.array_join("tags", ", ").alias("tags"))
 
 
+def quote_lists(pages: DataFrame) -> DataFrame:
+    """Every quote text and every author of a page, zipped by position, texts as read."""
+    return extract_lists(pages, specs.QUOTE_LISTS, keep=("page",), strict=True)
+
+
+def route_blocked(pages: DataFrame, url: str = "url", html: str = "html",
+                  marker: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pages to extract, reject table). A blocked page gives no record; the reject
+    table keeps its columns but the html, and why it was blocked, for another capture."""
+    blocked = is_blocked(html, url)
+    if marker:
+        blocked = blocked | F.coalesce(F.col(html).contains(marker), F.lit(False))
+    reason = F.when(is_blocked(html, url), F.lit("captcha")).otherwise(F.lit("marker"))
+    return pages.filter(~blocked), pages.filter(blocked).withColumn("reason", reason).drop(html)
+
+
 def directory(pages: DataFrame) -> DataFrame:
     """Directory: name and address required (D01), home-city filter (D03), category
     from the page (A09), exact 4-column dedup with NULL = NULL (F02)."""

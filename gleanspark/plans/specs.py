@@ -1,11 +1,19 @@
-"""The extraction specs of the captured pipelines, as data."""
+"""The extraction specs of the captured pipelines, as data.
+
+Fixed values: the selectors, attribute names and rating words below name parts of the
+captured pages and have to match them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleanspark.functions.text import remove_chars
 from gleanspark.operators.extract import ExtractSpec, Field
 
+# Star-rating words of the catalogue and their numbers.
+RATING_WORDS = {"One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
+
 # search / listing (A): card = product item; first a[title] -> @title, @href;
 # first span.ooOxS -> price. All three required and non-empty.
 LISTING = ExtractSpec(
@@ -100,6 +108,15 @@ QUOTE = ExtractSpec(
         Field("tags", "a.tag", mode="tight", many=True),
     ),
 )
+# page-wide quote lists: raw texts, zipped by position
+QUOTE_LISTS = ExtractSpec(
+    "quote_lists",
+    card=None,
+    fields=(
+        Field("text", "span.text", mode="raw", many=True),
+        Field("author", "small.author", mode="raw", many=True),
+    ),
+)
 NEXT_LINK = ExtractSpec("next", card=None, fields=(Field("next_href", "li.next a", attr="href"),))
 
 # campaign card: the card is the link; its own href, title and two prices.
@@ -121,7 +138,7 @@ COUNTRIES = ExtractSpec(
     card=None,
     fields=(
         Field("name", "h3.country-name", mode="strip",
-              post=lambda c: F.translate(c, '"', "")),
+              post=lambda c: remove_chars(c, '"')),
         Field("capital", "span.country-capital", mode="raw"),
         Field("population", "span.country-population", mode="strip",
               post=lambda c: c.cast("double")),

@@ -4,25 +4,45 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 skip_empty: bool = True, partition_by: list[str] | None = None) -> bool:
-    """J01 + J05: write one table; an empty table writes nothing (returns False).
-    CSV gets a header row (J03; UTF-8, no byte-order mark)."""
-    if skip_empty and df.isEmpty():
-        return False
-    w = df.write.mode(mode)
+    """J01 + J05: write one table; of an empty table nothing stays (returns False), neither
+    files of this run nor, when overwriting, of the last. The rows are counted while they
+    are written, so the plan runs once. CSV gets a header row (J03; UTF-8, no byte-order
+    mark)."""
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
         w = w.option("header", True)
     w.format(fmt).save(path)
+    if skip_empty and seen.get["rows"] == 0:
+        if mode == "overwrite":
+            _delete(df.sparkSession, path)
+        return False
     return True
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove the folder this writer has just made."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+# Column names readers see, where they differ from the tables' own.
+DISPLAY_NAMES = {"win_pct": "Win %", "diff": "+/-", "area": "Area(km²)"}
+
+
+def display_names(df: DataFrame, names: dict[str, str] = DISPLAY_NAMES) -> DataFrame:
+    """C34 at the sink: columns under the names that readers see; others as they are."""
+    return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
+
+
 def view_folder(name: str) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", name).strip("_").lower()
 

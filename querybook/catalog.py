@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanspark.operators import views
-from gleanspark.plans import products, render
+from gleanspark.plans import products
 from gleanspark.sources.tables import heavy_table, table
+from querybook import render
 
 QUERIES: dict = {}
 ORACLE: dict = {}

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanspark.plans.specs import RATING_WORDS
+
 BASE = "https://shop.example"
 
 
@@ -186,10 +188,6 @@ def country_pages(customer: DataFrame, nation: DataFrame, per_page: int = 50) ->
                        "</section></body></html>")
 
 
-# The star-rating words and their numbers.
-RATING_WORDS = {"One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
-
-
 def catalogue_pages(part: DataFrame, per_page: int = 20) -> DataFrame:
     """Catalogue pages from ``part``: title attribute, price text, star-rating word
     (``p_size mod 5 + 1``)."""

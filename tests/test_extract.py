@@ -139,7 +139,7 @@ def test_labelled_counts_variants(spark):
 def test_long_tag_runs_and_deep_nesting(spark):
     """Long runs of tags and deep nesting: no regex recursion, no Python recursion."""
     from gleanspark.functions.text import html_text
-    from gleanspark.operators.extract_py import extract_py
+    from tests.referee_html import extract_py
     from pyspark.sql import functions as F
     tags = "<p>a" + "<b></b>" * 50000 + " b</p>"
     deep = "<main>" + "<div>" * 5000 + '<div class="company"><h3><a>N</a></h3><div class="address">X, Dhaka</div>' \

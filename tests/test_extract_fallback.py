@@ -4,8 +4,9 @@ same pages, same rows."""
 import pytest
 
 from gleanspark.operators.extract import ExtractSpec, Field, extract
-from gleanspark.operators.extract_py import extract_py
-from gleanspark.plans import render, specs
+from querybook import render
+from tests.referee_html import extract_py
+from gleanspark.plans import specs
 from gleanspark.sources.tables import table
 from tests.conftest import SF_ORACLE, SF_SMALL
 

@@ -140,10 +140,10 @@ def test_guards_and_coercion(spark):
 
 
 def test_preview(spark):
-    from gleanspark.operators.views import move_before, move_to_end, preview
+    from gleanspark.operators.views import columns_last, move_before, preview
     df = spark.range(100).select("id", (F.col("id") * 2).alias("x"), F.lit("u").alias("url"))
-    assert preview(df, 10).count() == 10
-    assert move_to_end(df, ["id", "missing"]).columns == ["x", "url", "id"]
+    assert preview(df, [("id", "asc")], 10).count() == 10
+    assert columns_last(df, ("id", "missing")).columns == ["x", "url", "id"]
     assert move_before(df, "url", "x").columns == ["id", "url", "x"]
 
 

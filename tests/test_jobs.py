@@ -3,7 +3,8 @@
 import os
 import tempfile
 
-from gleanspark.plans import jobs, render
+from gleanspark.plans import jobs
+from querybook import render
 from gleanspark.sources.sinks import view_folder
 from gleanspark.sources.tables import table
 from tests.conftest import SF_SMALL

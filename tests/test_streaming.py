@@ -6,9 +6,10 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from gleanspark.plans import products, render
+from gleanspark.plans import products
 from gleanspark.sources.tables import table
 from gleanspark.streaming.incremental import incremental_load, read_sink
+from querybook import render
 from tests.conftest import SF_SMALL
 
 
