@@ -10,10 +10,11 @@
    exceeds T = 23 of 60 about twice in a million.)
 3. Star round: every class of a key is compared with the key's smallest. Candidates within T
    are confirmed on the full sets; confirmed links are joined into components.
-4. Closing round: only keys whose classes still lie in two or more components remain. Their
-   members are compared across components, inside tasks, in tiles of bounded size; pairs
-   within T that star rounds did not test are confirmed on the full sets. So every pair within
-   T is either inside one component or was tested, without listing the pairs of a group.
+4. Closing round: only keys whose classes still lie in two or more components remain; classes
+   that such keys connect are a family. Inside tasks, in tiles of bounded size, the classes of
+   a family are compared across components on the full sets, and only links that join two
+   components come out. So every pair within T is either inside one component or was tested,
+   and no group's pairs are ever listed.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from gleanspark.llm.common import materialize
 from gleanspark.llm.components import components
 from gleanspark.llm.shingles import mix, odd_constants, shingle_sets
 
-TILE = 512                                       # members of a key compared at once, a side
+TILE = 256                                       # classes of a family compared at once, a side
 
 
 def signature(hashes: np.ndarray, salts: np.ndarray, mults: np.ndarray) -> np.ndarray:
@@ -127,34 +128,67 @@ def _confirm(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, most: int, perc
     return counted.filter(100 * F.col("n") >= percent * (F.col("sum") - F.col("n"))).select("a", "b")
 
 
-def _across(members: DataFrame, id_type: str, most: int) -> DataFrame:
-    """Pairs of members of one key, in different components and within the distance.
+def _rare_pairs(sets: list[np.ndarray], percent: int) -> set[tuple[int, int]]:
+    """Pairs that share an element among their rarest: without one, they cannot be similar.
 
-    A key of n members is split into ceil(n / TILE) parts by hash; each pair of parts is a
-    group of its own, so no group is larger than two parts."""
+    Elements are ordered by how few of the sets hold them. Two sets of similarity ``percent``
+    share so many elements that their first ``n - ceil(percent * n / 100) + 1`` meet.
+    """
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(count), "int64")
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    order = np.lexsort((rank[place], owner))
+    nth = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = nth < (sizes - (percent * sizes + 99) // 100 + 1)[owner]
+    order = order[first & (count[place[order]] > 1)]
+    order = order[np.argsort(place[order], kind="stable")]
+    cuts = np.flatnonzero(np.diff(place[order])) + 1
+    pairs: set[tuple[int, int]] = set()
+    for held in {tuple(h) for h in map(np.ndarray.tolist, np.split(owner[order], cuts))}:
+        pairs.update(combinations(held, 2))
+    return pairs
+
+
+def _close_families(members: DataFrame, id_type: str, most: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components of a family, as many as join them.
+
+    A family of n classes is split into ceil(n / TILE) parts by hash; each pair of parts is a
+    group of its own, so no group is larger than two parts. Within a group, pairs across
+    components that share a rare element and are within the signature distance are compared
+    on the full sets, and only links that join two components leave the task.
+    """
     parts = F.expr(f"cast(ceil(n / {TILE}) as int)")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    dealt = (members.withColumn("own", own)
+    dealt = (members.withColumn("own", F.pmod(F.xxhash64("rep"), parts).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-             .withColumn("ta", F.least("own", "other")).withColumn("tb", F.greatest("own", "other")))
+             .withColumn("ta", F.least("own", "other")).withColumn("tb", F.greatest("own", "other"))
+             .drop("own", "other", "n"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(group["sig"]), "<u2").reshape(len(group), -1)
-        comp, own = group["comp"].to_numpy(), group["own"].to_numpy()
-        ids, same = group["rep"].to_numpy(), group["ta"].iloc[0] == group["tb"].iloc[0]
-        a, b = [], []
-        for i in range(len(group) - 1):
-            rest = slice(i + 1, None)
-            near = ((sig[rest] != sig[i]).sum(axis=1) <= most) & (comp[rest] != comp[i])
-            if not same:
-                near &= own[rest] != own[i]
-            j = np.flatnonzero(near) + i + 1
-            a += [min(ids[i], x) for x in ids[j]]
-            b += [max(ids[i], x) for x in ids[j]]
-        return pd.DataFrame({"a": a, "b": b})
-
-    return (dealt.groupBy("key", "ta", "tb").applyInPandas(compare, f"a {id_type}, b {id_type}")
-            .distinct())
+        sets = [np.frombuffer(x, "<u8") for x in group["set"]]
+        sig = np.frombuffer(b"".join(group["sig"]), "<u2").reshape(len(sets), -1)
+        ids, comp = group["rep"].tolist(), group["comp"].tolist()
+        root: dict = {}
+
+        def find(c):
+            while c in root:
+                c = root[c]
+            return c
+
+        out = []
+        for i, j in sorted(_rare_pairs(sets, percent)) if len(set(comp)) > 1 else ():
+            ci, cj = find(comp[i]), find(comp[j])
+            small, large = sorted((len(sets[i]), len(sets[j])))
+            if ci == cj or 100 * small < percent * large or (sig[i] != sig[j]).sum() > most:
+                continue
+            n = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * n >= percent * (small + large - n):
+                root[ci] = cj
+                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return dealt.groupBy("family", "ta", "tb").applyInPandas(compare, f"a {id_type}, b {id_type}")
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -190,16 +224,18 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     comps = components(links)
 
     placed = met.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp"))
-    open_keys = (placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("s"))
-        .filter("lo != hi").groupBy("n", "x", "s").agg(F.min("key").alias("key"))  # equal keys once
-        .select("key", "n"))
-    members = placed.join(open_keys, "key").join(sigs, "rep")
-    more = materialize(_across(members, id_type, most).join(tested, ["a", "b"], "left_anti"), "more")
-    late = materialize(_confirm(more, sigs, sets, most, percent), "late")
-    comps = components(links.unionByName(late)) if not late.isEmpty() else comps
+        "key", "rep", "head", F.coalesce("component", "rep").alias("comp"))
+    open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                 .filter("lo != hi").select("key"))
+    still = materialize(placed.join(open_keys, "key").select("rep", "head", "comp").distinct(), "open")
+    if not still.isEmpty():
+        family = components(still.select(F.col("rep").alias("a"), F.col("head").alias("b")))
+        members = (still.select("rep", "comp").distinct()
+                   .join(family.select(F.col("id").alias("rep"), F.col("component").alias("family")), "rep"))
+        sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
+        full = members.join(sizes, "family").join(sigs, "rep").join(sets, "rep")
+        late = materialize(_close_families(full, id_type, most, percent), "late")
+        comps = components(links.unionByName(late))
 
     out = (prints.join(classes.drop("sig"), ["n", "f1", "f2"], "left")
            .join(comps.withColumnRenamed("id", "rep"), "rep", "left"))
