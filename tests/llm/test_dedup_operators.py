@@ -231,6 +231,19 @@ def test_near_tiles_do_not_change_the_result(spark, monkeypatch):
     assert {r[0]: tuple(r[1:]) for r in N.near_dedup(df).collect()} == brute_near(rows, 80)
 
 
+def test_rare_pairs_miss_no_similar_pair():
+    rnd = np.random.default_rng(2)
+    for percent in (60, 80, 85):
+        sets = [np.unique(rnd.choice(40, rnd.integers(1, 30))).astype("uint64") for _ in range(60)]
+        sets += [np.unique(np.append(s[1:], 99)).astype("uint64") for s in sets[:20]]
+        got = N._rare_pairs(sets, percent)
+        for i in range(len(sets)):
+            for j in range(i):
+                n = len(np.intersect1d(sets[i], sets[j]))
+                if n and 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
+                    assert (j, i) in got
+
+
 def test_every_pair_within_the_distance_shares_a_key():
     rnd = np.random.default_rng(1)
     a = rnd.integers(0, 1 << 16, (200, 60)).astype("<u2")
