@@ -27,7 +27,7 @@ AREA_RULES = [
 ]
 AREA_DEFAULT = "Other"
 
-# API price code -> label, label -> level number.
+# API price code -> label, label -> level number.
 PRICE_TEXT_MAP = {
     "PRICE_LEVEL_FREE": "Free",
     "PRICE_LEVEL_INEXPENSIVE": "Cheap",
@@ -44,16 +44,16 @@ PRICE_CATEGORY = [
 ]
 PRICE_CATEGORY_DEFAULT = "Unknown"
 
-# (minimum, label), highest first; below the last -> RATING_LOWEST; NULL -> RATING_NULL.
+# Fixed values: (minimum, label), highest first; below the last -> RATING_LOWEST; NULL -> RATING_NULL.
 RATING_BUCKETS = [(4.5, "Excellent"), (4.0, "Good"), (3.0, "Average")]
 RATING_LOWEST = "Poor"
 RATING_NULL = "No Rating"
 
-# Directory address filter: must name Dhaka and none of these cities.
+# Directory address filter: must name Dhaka and none of these cities.
 HOME_CITY = "dhaka"
 OTHER_CITIES = ["barisal", "chittagong", "khulna", "mymensingh", "rajshahi", "rangpur", "sylhet"]
 
-# Blocked-page markers and the logged-in marker.
+# Blocked-page markers and the logged-in marker.
 BLOCK_TEXT = "Captcha Interception"
 BLOCK_URL = "_____tmd_____/punish"
 LOGIN_MARK = "Logout"

@@ -157,3 +157,17 @@ def test_unescape_matches_python(spark):
     import html
     vals = ["&apos;x", "&amp;apos;", "&eacute;t&eacute; &mdash; 5&nbsp;%", "&lt;b&gt;&amp;lt;", "plain", "a & b"]
     assert _eval(spark, G.html_unescape, vals + [None]) == [html.unescape(v) for v in vals] + [None]
+
+
+def test_unescape_names_numbers_and_bare_forms(spark):
+    import html
+    vals = ["&check; &copy x", "&#150;&#128;&#129;", "tail &amp", "&notit; &notin;", "&#0; &#xD800; &#1114112; &#99999999999999999999999;",
+            "&#11;x&#127;y&#65535;z", "&; &# &#x; &#xg &unknown; &ampx &&amp;&", "&NotEqualTilde;&fjlig;", "&CounterClockwiseContourIntegral;"]
+    assert _eval(spark, G.html_unescape, vals) == [html.unescape(v) for v in vals]
+
+
+def test_filters_pass_the_decoder(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = df.select("doc_id", G.html_unescape(F.col("text")).alias("t")).filter("doc_id > 5") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(doc_id,5)" in plan.split("PushedFilters")[1]
