@@ -16,12 +16,15 @@ from gleanspark.plans import places, products, sites
 from gleanspark.sources.sinks import write_table, write_views
 
 
-def _suite(views_: dict, base, out: str, fmt: str) -> dict[str, str]:
-    base.persist(StorageLevel.MEMORY_AND_DISK)
+def _suite(views_: dict, bases: tuple, out: str, fmt: str) -> dict[str, str]:
+    """Every view written; the frames they share are computed once."""
+    for base in bases:
+        base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return write_views(views_, out, fmt=fmt)
     finally:
-        base.unpersist()
+        for base in bases:
+            base.unpersist()
 
 
 def search_suite_job(spark: SparkSession, pages_path: str, out: str, fmt: str = "parquet",
@@ -30,7 +33,7 @@ def search_suite_job(spark: SparkSession, pages_path: str, out: str, fmt: str =
     pages = spark.read.parquet(pages_path)
     raw = products.listing_raw(pages, base_url)
     clean = products.search_clean(raw)
-    return _suite(views.product_views(raw.select("raw_name", "raw_price", "url"), clean), clean, out, fmt)
+    return _suite(views.product_views(raw.select("raw_name", "raw_price", "url"), clean), (raw, clean), out, fmt)
 
 
 def value_suite_job(spark: SparkSession, listing_pages_path: str, detail_pages_path: str, out: str,
@@ -40,7 +43,7 @@ def value_suite_job(spark: SparkSession, listing_pages_path: str, detail_pages_p
     lst = products.listing(spark.read.parquet(listing_pages_path), base_url)
     det = products.detail_table(spark.read.parquet(detail_pages_path))
     final = products.final_products(lst, det)
-    return _suite(views.value_views(final), final, out, fmt)
+    return _suite(views.value_views(final), (final,), out, fmt)
 
 
 def bookstore_suite_job(spark: SparkSession, pages_path: str, out: str, fmt: str = "parquet",
@@ -48,7 +51,7 @@ def bookstore_suite_job(spark: SparkSession, pages_path: str, out: str, fmt: str
     """Bookstore search pages -> 12 views."""
     raw = sites.books_raw(spark.read.parquet(pages_path), base_url)
     clean = sites.books_clean(raw)
-    return _suite(views.book_views(raw, clean), clean, out, fmt)
+    return _suite(views.book_views(raw, clean), (raw, clean), out, fmt)
 
 
 def places_suite_job(spark: SparkSession, search_path: str, details_path: str, out: str,
@@ -60,7 +63,7 @@ def places_suite_job(spark: SparkSession, search_path: str, details_path: str, o
     details = spark.read.parquet(details_path)
     homepages = spark.read.parquet(homepages_path) if homepages_path else None
     raw, clean = places.places_pipeline(search, details, homepages, max_pages)
-    return _suite(views.place_views(raw, clean), clean, out, fmt)
+    return _suite(views.place_views(raw, clean), (raw, clean), out, fmt)
 
 
 SITE_TABLES = {

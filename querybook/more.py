@@ -40,8 +40,8 @@ def _with_rank(name: str, by: list) -> None:
 
     fn.__doc__ = f"{plain.__doc__ or name} The place of each row in the sort is column rank."
     order = ", ".join(f"{c} {d.upper()} NULLS LAST" for c, d in by) + ", url"
-    QUERIES[name] = fn
-    ORACLE[name] = f"SELECT q.*, row_number() OVER (ORDER BY {order}) AS rank FROM ({ORACLE[name]}) q"
+    register(f"{name}_ranked",
+             f"SELECT q.*, row_number() OVER (ORDER BY {order}) AS rank FROM ({ORACLE[name]}) q")(fn)
 
 
 for _name, _by in SORTED.items():
