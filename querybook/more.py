@@ -188,7 +188,7 @@ def q_places_first_page(spark, sf):
     from gleanspark.sources.places import search_places
     cust, nat, reg, orde = (table(spark, sf, t) for t in ("customer", "nation", "region", "orders"))
     got = search_places(render.place_search_table(cust, nat, reg, orde), max_pages=1)
-    return got.select(F.col("p.id").alias("id"), F.col("query_idx").cast("long").alias("query_idx"))
+    return got.select(F.col("p.id").alias("id"), "query_idx")
 
 
 # ---------------------------------------------------------------------------
