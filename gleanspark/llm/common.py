@@ -29,6 +29,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of whole texts that a Python worker is given at once.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Called by operators whose Python code reads whole texts: smaller Arrow batches than
+    Spark's default, so a worker's memory does not follow the length of the texts. Settings
+    that the session has changed stay as they are."""
+    conf = df.sparkSession.conf
+    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        if conf.get(name, None) is None:         # not set by the session
+            conf.set(name, str(value))
+
+
 def text_of(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -16,9 +16,12 @@ round 2  Blocks of one anchor are sorted by the pair (anchor, rank of the block
 round 3  Only for anchors with several classes the windows themselves are taken, those of
          the first block of each class, and sorted by the pair (rank of the first half at p,
          rank at p + offset). Past the threshold now: all but the first of equal pairs repeat.
+         Equal windows share their anchor, so the bytes of the blocks meet by anchor (140
+         bytes instead of 41 pairs) and the pairs are sorted inside the task. Anchors with
+         over ``SMALL`` blocks send the pairs themselves to a sort, so no task holds them.
 
 Ranks are 64-bit hashes, so ranking needs no second pass; a pair has 128 bits. Blocks that
-repeat within one batch of a task are settled there and only the first is shuffled: a
+repeat within 16 MB of a task's text are settled there and only the first is shuffled: a
 passage that a third of all documents share is a row per batch. The text is shuffled once,
 by id, and read twice from there.
 """
@@ -34,11 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import materialize
+from gleanspark.llm.common import bounded_batches, materialize
 from gleanspark.llm.shingles import mix, odd_constants
 
 GRAM = 20                       # bytes of the anchor's prefix
 _COUNT = (1 << 31) - 1
+SMALL = 2048                    # blocks of one anchor compared inside a task
 GROUP_BYTES = 1 << 18           # bytes hashed together: arrays stay in the cache
 
 
@@ -156,13 +160,51 @@ def _longs(x) -> np.ndarray:
     return np.asarray(x if x is not None else (), "int64")
 
 
+def _spans(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return at >> 32, (at >> 1) & _COUNT
+
+
+def _late(rows: pd.DataFrame, length: int) -> pd.DataFrame:
+    """Round 3 for whole anchors, sorted by (anchor, id, place): runs of repeated windows."""
+    half = length // 2
+    rank = ranks(np.frombuffer(b"".join(rows["body"]), "uint8"), half, 21)
+    start, n = _spans(rows["at"].to_numpy())
+    size = n + length - 1
+    row = np.repeat(np.arange(len(rows)), n)
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    byte = (np.cumsum(size) - size)[row] + inside
+    r1, r2, key = rank[byte], rank[byte + length - half], rows["anchor"].to_numpy().astype("uint64")[row]
+    order = np.argsort(mix(r1) ^ mix(r2 + key), kind="stable")   # equal pairs side by side, in order
+    same = np.zeros(len(order), bool)
+    same[1:] = True
+    for v in (r1[order], r2[order], key[order]):
+        same[1:] &= v[1:] == v[:-1]
+    lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    ids, place = rows["_id"].to_numpy()[row], start[row] + inside
+    later = np.zeros(len(order), bool)
+    later[order] = same & ((ids[order] != ids[lead]) | (place[order] != place[lead]))
+    idx = np.flatnonzero(later)
+    fresh = np.ones(len(idx), bool)
+    fresh[1:] = (np.diff(idx) != 1) | (row[idx[1:]] != row[idx[:-1]])
+    first = np.flatnonzero(fresh)
+    count = np.diff(np.append(first, len(idx)))
+    return pd.DataFrame({"_id": ids[idx[first]], "at": _pack(place[idx[first]], count, 1)})
+
+
 def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """(joined, late): texts with their packed blocks, and the repeated windows of round 3."""
     id_type = dict(docs.dtypes)["_id"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield _found(b, length)
+        held, size = [], 0
+        for b in batches:                        # repeats are settled among 16 MB of text at once
+            held.append(b)
+            size += b["_text"].str.len().sum()
+            if size >= 16 << 20:
+                yield _found(pd.concat(held), length)
+                held, size = [], 0
+        if held:
+            yield _found(pd.concat(held), length)
 
     rows = (docs.filter("_id is not null and _text is not null").mapInPandas(
         scan, f"_id {id_type}, at long, anchor long, cls long"))
@@ -172,37 +214,65 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     by_anchor = Window.partitionBy("anchor")
     ranked = (rows.withColumn("lead", F.first(here).over(by_class))
               .withColumn("lo", F.min("cls").over(by_anchor))
-              .withColumn("hi", F.max("cls").over(by_anchor)))
+              .withColumn("hi", F.max("cls").over(by_anchor))
+              .withColumn("size", F.count(F.lit(1)).over(by_anchor)))
     again = (F.col("at") % 2 == 1) | (F.col("lead") != here)
     marked = materialize(
         ranked.withColumn("again", again).filter("again or lo != hi")
-        .select("_id", F.when(F.col("again"), F.col("at").bitwiseOR(F.lit(1))).otherwise(F.col("at"))
-                .alias("at")), "blocks")
-    lists = marked.groupBy("_id").agg(F.collect_list("at").alias("_at"))  # at most one per window
+        .select("_id", "again", (F.col("size") <= SMALL).alias("small"),
+                F.when(F.col("again"), F.col("at").bitwiseOR(F.lit(1))).otherwise(F.col("at")).alias("at"),
+                F.when(~F.col("again"), F.col("anchor")).alias("anchor")), "blocks")
+    # at most one entry per window of the document; _open and _anchor run in parallel
+    lists = marked.groupBy("_id").agg(
+        F.collect_list(F.when(F.col("again"), F.col("at"))).alias("_at"),
+        F.collect_list(F.when(~F.col("again") & F.col("small"), F.col("at"))).alias("_open"),
+        F.collect_list(F.when(~F.col("again") & F.col("small"), F.col("anchor"))).alias("_anchor"),
+        F.collect_list(F.when(~F.col("again") & ~F.col("small"), F.col("at"))).alias("_large"))
     joined = docs.join(lists, "_id", "left")
 
+    def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i, t, at, anchor in zip(b["_id"], b["_text"], b["_open"], b["_anchor"]):
+                if at is not None and len(at):
+                    data, at = t.encode("utf-8"), _longs(at)
+                    start, n = _spans(at)
+                    out += [(k, i, p, data[s:s + m + length - 1]) for k, p, s, m in
+                            zip(_longs(anchor).tolist(), at.tolist(), start.tolist(), n.tolist())]
+            yield pd.DataFrame(out, columns=["anchor", "_id", "at", "body"])
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for b in batches:                        # sorted by anchor: whole anchors at a time
+            held = b if held is None else pd.concat([held, b], ignore_index=True)
+            open_ = (held["anchor"] == held["anchor"].iloc[-1]).to_numpy() if len(held) else ()
+            if len(held) >= 4096 and not all(open_):
+                yield _late(held[~open_], length)
+                held = held[open_]
+        if held is not None and len(held):
+            yield _late(held, length)
+
+    met = (joined.mapInPandas(bodies, f"anchor long, _id {id_type}, at long, body binary")
+           .repartition("anchor").sortWithinPartitions("anchor", "_id", "at"))
+    late = met.mapInPandas(compare, f"_id {id_type}, at long")
+
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         half = length // 2
         for b in batches:
-            for i, t, at in zip(b["_id"], b["_text"], b["_at"]):
-                at = _longs(at)
-                at = at[at % 2 == 0]                         # first blocks of an open anchor
-                if not len(at):
+            for i, t, at in zip(b["_id"], b["_text"], b["_large"]):
+                if at is None or not len(at):
                     continue
-                start, n = at >> 32, (at >> 1) & _COUNT
+                start, n = _spans(_longs(at))
                 p = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 rank = ranks(np.frombuffer(t.encode("utf-8"), "uint8"), half, 21)
-                yield pd.DataFrame({"_id": [i] * len(p), "p": p,
+                yield pd.DataFrame({"_id": [i] * len(p), "at": _pack(p, np.ones(len(p), "int64"), 1),
                                     "r1": rank[p].astype("int64"),
                                     "r2": rank[p + length - half].astype("int64")})
 
-    pairs = joined.mapInPandas(windows, f"_id {id_type}, p long, r1 long, r2 long")
-    # round 3
-    place = F.struct("_id", "p")
-    lead = F.first(place).over(Window.partitionBy("r1", "r2").orderBy("_id", "p"))
-    late = (pairs.withColumn("lead", lead).filter(F.col("lead") != place)
-            .groupBy("_id").agg(F.collect_list("p").alias("_late")))
-    return joined, late
+    pairs = joined.mapInPandas(windows, f"_id {id_type}, at long, r1 long, r2 long")
+    lead = F.first(here).over(Window.partitionBy("r1", "r2").orderBy("_id", "at"))
+    large = pairs.withColumn("lead", lead).filter(F.col("lead") != here).select("_id", "at")
+    return joined, (late.unionByName(large).groupBy("_id").agg(F.collect_list("at").alias("_late")))
 
 
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -218,6 +288,7 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
+    bounded_batches(df)
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     joined, late = repeats(docs, length)
 
@@ -226,12 +297,9 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rows = []
             for i, t, at, more in zip(b["_id"], b["_text"], b["_at"], b["_late"]):
                 data = t.encode("utf-8") if isinstance(t, str) else b""
-                at, more, spans = _longs(at), _longs(more), []
-                at = at[at % 2 == 1]
-                kept = data
-                if len(at) or len(more):
-                    start = np.concatenate([at >> 32, more])
-                    n = np.concatenate([(at >> 1) & _COUNT, np.ones(len(more), "int64")])
+                at, spans, kept = np.concatenate([_longs(at), _longs(more)]), [], data
+                if len(at):
+                    start, n = _spans(at)
                     gone = removed_mask(len(data), start, n, length)
                     kept = np.frombuffer(data, "uint8")[~gone].tobytes()
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]])))

@@ -137,8 +137,9 @@ def crafted():
     return rows
 
 
-@pytest.mark.parametrize("parts", [1, 7])
-def test_suffix_matches_brute_force(spark, parts):
+@pytest.mark.parametrize("parts, small", [(1, 2048), (7, 2048), (5, 3)])
+def test_suffix_matches_brute_force(spark, monkeypatch, parts, small):
+    monkeypatch.setattr(S, "SMALL", small)               # also the way of very common anchors
     rows = crafted()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
     assert {r[0]: tuple(r[1:5]) for r in S.suffix_dedup(df).collect()} == brute_suffix(rows)
