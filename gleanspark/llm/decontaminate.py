@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import materialize, word_count
+from gleanspark.llm.common import bounded_batches, materialize, word_count
 
 _WORD = re.compile(r"[^\W_]+")
 _PRIME = 0x100000001B3
@@ -176,6 +176,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     which the best covered counts. Other columns are ignored; an empty table on either side
     gives an empty table.
     """
+    bounded_batches(df)
     docs = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("_item"))
     schema = (f"_doc {dict(docs.dtypes)['_doc']}, item_id {dict(items.dtypes)['item_id']}, "

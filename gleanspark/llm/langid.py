@@ -19,6 +19,8 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanspark.llm.common import bounded_batches
+
 BLOCK = 2048
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -111,6 +113,7 @@ def identify(df: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str =
     repeat an id stay separate rows; other columns are ignored; an empty table gives an
     empty table. The dictionaries are broadcast: 64 KB a language.
     """
+    bounded_batches(df)
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)
 
     @F.pandas_udf("lang string, margin double")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import materialize
+from gleanspark.llm.common import bounded_batches, materialize
 
 _COUNTS = ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
 _MASK = (1 << 64) - 1
@@ -70,6 +70,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     that repeat an id are decided together: equal rows keep or lose the same chunks. Other
     columns are ignored; an empty table gives an empty table.
     """
+    bounded_batches(df)
     extras = [c for c in df.columns if c not in (id_col, text_col, *_COUNTS)] if keep else []
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
                      *(F.col(c).alias(f"_x{k}") for k, c in enumerate(extras)))

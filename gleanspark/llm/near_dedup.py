@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanspark.llm.common import materialize
+from gleanspark.llm.common import bounded_batches, materialize
 from gleanspark.llm.components import components
 from gleanspark.llm.shingles import mix, odd_constants, shingle_sets
 
@@ -203,6 +203,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     ``component_id``, is kept and links nothing. Other columns are ignored; an empty table
     gives an empty table.
     """
+    bounded_batches(df)
     most = chunks * (errors + 1) - 1
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = dict(docs.dtypes)["_id"]
