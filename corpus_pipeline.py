@@ -20,7 +20,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated passages out of the texts; a text that has nothing left goes."""
-    kept = line_dedup.line_dedup(docs, keep=True)
+    kept = line_dedup.line_dedup(docs, keep=True, passage_words=50)
     return kept.filter("n_removed_lines = 0 or length(text) > 0").select(*docs.columns)
 
 

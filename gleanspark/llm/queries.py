@@ -28,7 +28,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"), passage_words=50)
     return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
