@@ -6,14 +6,16 @@
 2. Signatures are split into ``chunks``. Two signatures that differ in at most
    T = chunks * (errors + 1) - 1 symbols have, by the pigeonhole principle, a chunk with at
    most ``errors`` differing symbols. Each chunk is indexed once for every choice of
-   ``errors`` symbols left out, so all pairs within T share a key. (At Jaccard 0.85 a pair
-   exceeds T = 23 of 60 about twice in a million.)
-3. Star round: every class of a key is compared with the key's smallest. Candidates within T
-   are confirmed on the full sets; confirmed links are joined into components.
+   ``errors`` symbols left out, so all pairs within T share a key, and most pairs beyond T
+   too. A pair at exactly ``percent`` shares none with the chance ``miss`` gives: 4.0e-10 at
+   85 and 1.1e-7 at 80 (60 symbols, 12 chunks, one error). ``plan`` takes narrower chunks, or
+   more symbols, for a lower ``percent``, so that it is at most ``MISS`` at any threshold.
+3. Star round: every class of a key is compared with the key's smallest on the full sets;
+   confirmed links are joined into components.
 4. Closing round: only keys whose classes still lie in two or more components remain; classes
    that such keys connect are a family. Inside tasks, in tiles of bounded size, the classes of
    a family are compared across components on the full sets, and only links that join two
-   components come out. So every pair within T is either inside one component or was tested,
+   components come out. So every pair that shares a key is either inside one component or was tested,
    and no group's pairs are ever listed.
 """
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -33,9 +36,32 @@ from gleanspark.llm.common import bounded_batches, materialize
 from gleanspark.llm.components import components
 from gleanspark.llm.shingles import mix, odd_constants, shingle_sets
 
+MISS = 2e-6                                      # pairs at the threshold that share no key, at most
 TILE = 256                                       # classes of a family compared at once, a side
 
 
+def miss(percent: int, symbols: int, chunks: int, errors: int) -> float:
+    """Chance that two sets at exactly ``percent`` similarity share no key: in every chunk
+    more than ``errors`` symbols differ."""
+    width, p = symbols // chunks, 1 - percent / 100
+    meet = sum(comb(width, k) * p ** k * (1 - p) ** (width - k) for k in range(min(errors, width) + 1))
+    return max(0.0, 1 - meet) ** chunks
+
+
+def plan(percent: int, symbols: int | None = None, chunks: int | None = None,
+         errors: int | None = None) -> tuple[int, int, int]:
+    """(symbols, chunks, errors): what is given stays; the rest is the widest chunks, with one
+    error, and then the fewest symbols from 60 on that miss at most ``MISS``."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be 1 to 100")
+    e = 1 if errors is None else errors
+    for s in (symbols,) if symbols is not None else range(60, 6001, 60):
+        for c in (chunks,) if chunks is not None else [s // w for w in (5, 4, 3, 2) if s % w == 0 and w > e]:
+            if miss(percent, s, c, e) <= MISS or None not in (symbols, chunks):
+                return s, c, e
+    raise ValueError(f"no index finds pairs at {percent} percent: give more symbols")
+
+
 def signature(hashes: np.ndarray, salts: np.ndarray, mults: np.ndarray) -> np.ndarray:
     """16 bits of the element with the smallest value under each of the hash functions."""
     low = np.full(len(salts), np.iinfo("uint64").max, "uint64")
@@ -86,15 +112,6 @@ def _index(classes: DataFrame, id_type: str, symbols: int, chunks: int, errors:
     return classes.select("rep", "sig").mapInPandas(run, f"key long, rep {id_type}")
 
 
-@F.pandas_udf(T.IntegerType())
-def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Symbols in which two signatures differ."""
-    if not len(a):
-        return pd.Series([], dtype="int32")
-    x, y = (np.frombuffer(b"".join(s), "<u2").reshape(len(s), -1) for s in (a, b))
-    return pd.Series((x != y).sum(axis=1).astype("int32"))
-
-
 @F.pandas_udf(T.IntegerType())
 def shared(a: pd.Series, b: pd.Series) -> pd.Series:
     """Common elements of two sets of sorted 64-bit hashes."""
@@ -115,13 +132,13 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return some.mapInPandas(run, f"rep {dict(docs.dtypes)['_id']}, set binary")
 
 
-def _confirm(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, most: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those within the signature distance whose sets are similar."""
+def _confirm(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those whose sets are similar; sizes too far apart rule a pair out."""
     def side(frame: DataFrame, key: str, name: str) -> DataFrame:
         return frame.select(F.col("rep").alias(key), F.col(name).alias(f"{name}_{key}"))
 
-    close = (pairs.join(side(sigs, "a", "sig"), "a").join(side(sigs, "b", "sig"), "b")
-             .filter(distance("sig_a", "sig_b") <= most).select("a", "b"))
+    close = (pairs.join(side(sizes, "a", "n"), "a").join(side(sizes, "b", "n"), "b")
+             .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b"))
     both = close.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
     n_a, n_b = (F.octet_length(f"set_{k}") / 8 for k in "ab")
     counted = both.select("a", "b", shared("set_a", "set_b").alias("n"), (n_a + n_b).alias("sum"))
@@ -151,13 +168,13 @@ def _rare_pairs(sets: list[np.ndarray], percent: int) -> set[tuple[int, int]]:
     return pairs
 
 
-def _close_families(members: DataFrame, id_type: str, most: int, percent: int) -> DataFrame:
+def _close_families(members: DataFrame, id_type: str, percent: int) -> DataFrame:
     """Links (a, b) between different components of a family, as many as join them.
 
     A family of n classes is split into ceil(n / TILE) parts by hash; each pair of parts is a
     group of its own, so no group is larger than two parts. Within a group, pairs across
-    components that share a rare element and are within the signature distance are compared
-    on the full sets, and only links that join two components leave the task.
+    components that share a rare element are compared on the full sets, and only links that
+    join two components leave the task.
     """
     parts = F.expr(f"cast(ceil(n / {TILE}) as int)")
     dealt = (members.withColumn("own", F.pmod(F.xxhash64("rep"), parts).cast("int"))
@@ -167,7 +184,6 @@ def _close_families(members: DataFrame, id_type: str, most: int, percent: int) -
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(x, "<u8") for x in group["set"]]
-        sig = np.frombuffer(b"".join(group["sig"]), "<u2").reshape(len(sets), -1)
         ids, comp = group["rep"].tolist(), group["comp"].tolist()
         root: dict = {}
 
@@ -180,7 +196,7 @@ def _close_families(members: DataFrame, id_type: str, most: int, percent: int) -
         for i, j in sorted(_rare_pairs(sets, percent)) if len(set(comp)) > 1 else ():
             ci, cj = find(comp[i]), find(comp[j])
             small, large = sorted((len(sets[i]), len(sets[j])))
-            if ci == cj or 100 * small < percent * large or (sig[i] != sig[j]).sum() > most:
+            if ci == cj or 100 * small < percent * large:
                 continue
             n = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if 100 * n >= percent * (small + large - n):
@@ -192,26 +208,27 @@ def _close_families(members: DataFrame, id_type: str, most: int, percent: int) -
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-               percent: int = 80, symbols: int = 60, chunks: int = 12, errors: int = 1) -> DataFrame:
+               percent: int = 80, symbols: int | None = None, chunks: int | None = None,
+               errors: int | None = None) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of every row.
 
     Two texts are linked if ``100 * |A & B| >= percent * |A | B|`` on their shingle sets;
     ``component_id`` is the smallest id reachable over links, ``kept`` whether it is the
-    row's own. Texts are lower-cased (A-Z) and split on white space; shorter texts are one
+    row's own. Links are found but for a chance of at most ``MISS`` a pair at the threshold
+    (``plan``; ``symbols``, ``chunks`` and ``errors`` that are given are used as they are). Texts are lower-cased (A-Z) and split on white space; shorter texts are one
     shingle. Null, empty and blank texts have no shingle, stay alone and are kept. Rows that
     repeat an id are one node with the links of each. A row without id has a null
     ``component_id``, is kept and links nothing. Other columns are ignored; an empty table
     gives an empty table.
     """
     bounded_batches(df)
-    most = chunks * (errors + 1) - 1
+    symbols, chunks, errors = plan(percent, symbols, chunks, errors)
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = dict(docs.dtypes)["_id"]
     prints = materialize(describe(docs, size, symbols), "prints")
     classes = materialize(
         prints.filter("n > 0 and _id is not null").groupBy("n", "f1", "f2")
         .agg(F.min("_id").alias("rep"), F.min("sig").alias("sig")), "classes")
-    sigs = classes.select("rep", "sig")
 
     keys = _index(classes, id_type, symbols, chunks, errors)
     heads = (keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("_last"))
@@ -221,7 +238,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     tested = materialize(met.filter("rep != head").select(
         F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = materialize(_confirm(tested, sigs, sets, most, percent), "links")
+    links = materialize(_confirm(tested, classes.select("rep", "n"), sets, percent), "links")
     comps = components(links)
 
     placed = met.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
@@ -234,8 +251,8 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
         members = (still.select("rep", "comp").distinct()
                    .join(family.select(F.col("id").alias("rep"), F.col("component").alias("family")), "rep"))
         sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
-        full = members.join(sizes, "family").join(sigs, "rep").join(sets, "rep")
-        late = materialize(_close_families(full, id_type, most, percent), "late")
+        full = members.join(sizes, "family").join(sets, "rep")
+        late = materialize(_close_families(full, id_type, percent), "late")
         comps = components(links.unionByName(late))
 
     out = (prints.join(classes.drop("sig"), ["n", "f1", "f2"], "left")
