@@ -1,10 +1,12 @@
 """Benchmark decontamination by greedy string tiling (operator 1).
 
 Documents and benchmark items are words. A document and an item that share a seed (a run
-of ``min_match`` words) are compared by running Karp-Rabin greedy string tiling: windows of
-a length are hashed, equal ones are extended to maximal matches, the longest that overlap
-no earlier tile are marked, and the length shrinks until ``min_match``. The share of the
-item that tiles cover does not depend on their order, so reordered passages count in full.
+of ``min_match`` words) are compared by greedy string tiling over a heap: windows of
+``min_match`` words are found by a Karp-Rabin rolling hash, equal ones are extended word by
+word to maximal matches, and the longest free match is marked first. No rounds with a
+shrinking search length are run; the tiles are those of greedy string tiling all the same.
+The share of the item that tiles cover does not depend on their order, so reordered
+passages count in full.
 
 The benchmark is broadcast only if its word count, measured first, is at most
 ``broadcast_words``; seeds are then looked up while the documents are scanned and nothing
