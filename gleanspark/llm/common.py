@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/gleanspark-{uuid.uuid4().hex}/{name}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
@@ -24,7 +29,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     table used twice is computed once. Only narrow intermediate tables go here.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/gleanspark-{uuid.uuid4().hex}/{name}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -13,11 +13,14 @@ from gleanspark.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    spelling,
     suffix_dedup,
     token_counts,
+    token_files,
     toxicity,
+    whitening,
 )
-from gleanspark.llm.common import held_fold, table
+from gleanspark.llm.common import held_fold, scratch, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,8 +96,31 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "n_messages")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model, error = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    shares = [] if model is None else [float(e / model.trace) if model.trace else 0.0 for e in model.eigenvalues]
+    explained = F.array(*[F.lit(s) for s in shares]) if shares else F.array().cast("array<double>")
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("_at", "whitened")).select(
+        "vec_id", (F.col("_at") + 1).alias("component"), F.lit(0 if model is None else model.n).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"), "whitened",
+        F.get(explained, F.col("_at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = scratch(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", token_files.ids_crc32(F.col("ids")).alias("ids_crc32"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_suffix_dedup, op4_toxicity, op5_near_dedup, op6_language_id, op7_token_counts, op8_mixing,
-                                   op9_exact_dedup, op10_chat_format)}
+                                   op9_exact_dedup, op10_chat_format, op11_whitening, op12_spelling,
+                                   op13_token_files)}
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _TAILS = "|".join("".join("\\" + c if c in "|[]/" else c for c in t).replace(r"\/", "/")
@@ -130,4 +156,45 @@ SELECT conv_id, count(*) AS n_turns,
     AS formatted_chars,
   CAST(sum(CASE WHEN opens THEN 1 ELSE 0 END) AS BIGINT) AS n_messages
 FROM w GROUP BY conv_id""",
+    "op12_spelling": r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+           list_concat([i::UBIGINT], list_transform(range(8), lambda k: 0::UBIGINT)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{6,}')) AS run FROM documents)
+  GROUP BY ALL),
+bytes AS (
+  SELECT run, k, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c:
+           CASE WHEN unicode(c) < 128 THEN [unicode(c)::UBIGINT]
+                ELSE [192::UBIGINT + unicode(c) // 64, 128::UBIGINT + unicode(c) % 64] END)) AS b
+  FROM runs),
+hashed AS (
+  SELECT run, k, xor(list_reduce(list_concat([4294967295::UBIGINT], b),
+           lambda c, x: xor(c >> 8, t[1 + (xor(c, x) % 256)::INT])), 4294967295::UBIGINT) AS h
+  FROM bytes, crc),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+              ELSE run END AS word, k FROM hashed),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+less AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS l
+  FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS i FROM v)),
+links AS (
+  SELECT a.word, b.word AS near FROM less a JOIN less b ON a.l = b.l AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT a.word, v.word FROM less a JOIN v ON a.l = v.word
+  UNION SELECT v.word, a.word FROM less a JOIN v ON a.l = v.word),
+best AS (
+  SELECT links.word, count(*) AS n_near, first(near ORDER BY v.n DESC, near) AS near, max(v.n) AS m
+  FROM links JOIN v ON v.word = links.near GROUP BY links.word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * v.n THEN near END AS form,
+         CASE WHEN m >= 5 * v.n THEN m END AS form_n
+  FROM v LEFT JOIN best ON v.word = best.word),
+chain AS (
+  SELECT word, coalesce(form, word) AS root FROM f
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.root FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, ends.root FROM f JOIN ends ON f.word = ends.word""",
 }
