@@ -96,48 +96,50 @@ def advance(rest: str, label: str, edits: int) -> list[tuple[int, int]]:
 _STEPS = "id long, depth int, node long, letter int"
 
 
-def _steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _steps(batches: Iterator[pd.DataFrame], rows: int = 50_000) -> Iterator[pd.DataFrame]:
     """(id, back, text) in; the prefixes of every text from length (L - 1) div 2 on out: their
     rolling hash and the code point behind them, -1 where the word ends."""
+    names = [c.split()[0] for c in _STEPS.split(", ")]
+    out: list[list] = [[], [], [], []]
     for b in batches:
-        for key, back, text in zip(b["id"], b["back"], b["text"]):
-            h, nodes = 1 + int(back), []
-            for c in text:
+        for key, back, text in zip(b["id"].tolist(), b["back"].tolist(), b["text"].tolist()):
+            h, nodes, at = 1 + back, [], (len(text) - 1) // 2
+            codes = list(map(ord, text))
+            for c in codes:
                 nodes.append(h)
-                h = (h * _BASE + ord(c) + 1) % _MOD
+                h = (h * _BASE + c + 1) % _MOD
             nodes.append(h)
-            at = (len(text) - 1) // 2
-            yield pd.DataFrame({"id": key, "depth": range(at, len(text) + 1), "node": nodes[at:],
-                                "letter": [ord(c) for c in text[at:]] + [-1]})
-
-
-def _grouped(batches: Iterator[pd.DataFrame], rows: int = 20_000) -> Iterator[pd.DataFrame]:
-    held, n = [], 0
-    for b in _steps(batches):
-        held.append(b)
-        n += len(b)
-        if n >= rows:
-            yield pd.concat(held)
-            held, n = [], 0
-    if held:
-        yield pd.concat(held)
+            n = len(nodes) - at
+            out[0] += [key] * n
+            out[1] += range(at, at + n)
+            out[2] += nodes[at:]
+            out[3] += codes[at:]
+            out[3].append(-1)
+            if len(out[0]) >= rows:
+                yield pd.DataFrame(dict(zip(names, out)))
+                out = [[], [], [], []]
+    if out[0]:
+        yield pd.DataFrame(dict(zip(names, out)))
 
 
 def build_tries(words: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
     """(edges, starts) of both tries of ``words`` (id, word).
 
-    edges: ``node, copy, label, child, copies, target`` (``target``: the text that ends at the child).
+    edges: ``node, copy, label, child, copies, ahead, target`` (``target``: the text that ends at
+    the child; ``ahead``: a bit for each letter, modulo 64, that goes on from the child).
     starts: ``back, text, pos, node, ends, copies``: a text's first node from its middle on.
     """
     both = words.select((F.col("id") * 2).alias("id"), F.lit(False).alias("back"), F.col("word").alias("text")).union(
         words.select(F.col("id") * 2 + 1, F.lit(True), F.reverse("word")))
-    steps = materialize(both.mapInPandas(_grouped, _STEPS), "steps")
+    steps = materialize(both.mapInPandas(_steps, _STEPS), "steps")
     nodes = (steps.groupBy("node").agg(
-        F.min("letter").alias("_a"), F.max("letter").alias("_b"), F.count("*").alias("_words"))
+        F.min("letter").alias("_a"), F.max("letter").alias("_b"), F.count("*").alias("_words"),
+        F.expr("bit_or(if(letter < 0, 0L, shiftleft(1L, letter % 64)))").alias("ahead"))
         .filter("_a <> _b or _a = -1")
-        .select("node", (F.col("_a") == -1).alias("ends"), F.ceil(F.col("_words") / share).cast("int").alias("copies")))
+        .select("node", (F.col("_a") == -1).alias("ends"), "ahead",
+                F.ceil(F.col("_words") / share).cast("int").alias("copies")))
     paths = steps.select("id", "depth", "node").join(nodes, "node").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("depth", "node", "ends", "copies"))).alias("path"))
+        F.sort_array(F.collect_list(F.struct("depth", "node", "ends", "copies", "ahead"))).alias("path"))
     paths = materialize(paths.join(both, "id").drop("id"), "paths")
 
     pairs = F.arrays_zip(F.expr("slice(path, 1, size(path) - 1)").alias("a"),
@@ -145,9 +147,9 @@ def build_tries(words: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFr
     edges = paths.filter("size(path) > 1").select("text", F.explode(pairs).alias("p")).select(
         F.col("p.a.node").alias("node"), F.col("p.a.copies").alias("_n"),
         F.substring("text", F.col("p.a.depth") + 1, F.col("p.b.depth") - F.col("p.a.depth")).alias("label"),
-        F.col("p.b.node").alias("child"), F.col("p.b.copies").alias("copies"),
+        F.col("p.b.node").alias("child"), F.col("p.b.copies").alias("copies"), F.col("p.b.ahead").alias("ahead"),
         F.when(F.col("p.b.depth") == F.length("text"), F.col("text")).alias("target"))
-    edges = (edges.groupBy("node", "_n", "label", "child", "copies").agg(F.max("target").alias("target"))
+    edges = (edges.groupBy("node", "_n", "label", "child", "copies", "ahead").agg(F.max("target").alias("target"))
              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n"))
 
     half = F.expr("length(text) div 2")
@@ -166,13 +168,15 @@ def _advance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in _STATE.split(", ")]
     for b in batches:
         out = []
-        for back, text, pos, edits, label, child, copies, target in zip(
-                b["back"], b["text"], b["pos"], b["edits"], b["label"], b["child"], b["copies"], b["target"]):
+        for back, text, pos, edits, label, child, copies, ahead, target in zip(
+                *(b[c].tolist() for c in ("back", "text", "pos", "edits", "label", "child", "copies", "ahead", "target"))):
             for read, spent in advance(text[pos:], label, edits):
+                at = pos + read
                 if target is not None and one_edit(text, target):
                     out.append((back, text, 0, 0, 1, 0, target))
-                if pos + read < len(text) or not spent:
-                    out.append((back, text, pos + read, child, spent, copies, None))
+                # with the edit spent, the next letter must go on from the child
+                if not spent or (at < len(text) and ahead >> (ord(text[at]) & 63) & 1):
+                    out.append((back, text, at, child, spent, copies, None))
         yield pd.DataFrame(out, columns=names)
 
 
@@ -182,8 +186,8 @@ def neighbours(vocabulary: DataFrame, share: int = SHARE) -> DataFrame:
 
     Each round is one equi-join of the states with the edges and is written before the next;
     rounds end when no state is left, after as many as there are nodes on the second half of
-    a word's path. The states of a word stay few: its own path, and the branches that the
-    next label has not ruled out yet.
+    a word's path. The states of a word stay few: its own path, and the branches that
+    neither the label nor the letters behind it have ruled out.
     """
     words = materialize(vocabulary.select(F.monotonically_increasing_id().alias("id"), "word"), "words")
     edges, starts = build_tries(words, share)
@@ -197,7 +201,7 @@ def neighbours(vocabulary: DataFrame, share: int = SHARE) -> DataFrame:
         dealt = states.withColumn("copy", F.pmod(F.xxhash64("text"), F.col("copies")).cast("int")).drop("copies")
         joined = dealt.join(edges, ["node", "copy"]).filter(
             "edits = 0 or substring(text, pos + 1, 1) = substring(label, 1, 1)")
-        out = materialize(joined.select("back", "text", "pos", "edits", "label", "child", "copies", "target")
+        out = materialize(joined.select("back", "text", "pos", "edits", "label", "child", "copies", "ahead", "target")
                           .mapInPandas(_advance, _STATE), f"frontier-{at}")
         found.append(out.filter("near is not null").select("back", "text", "near"))
         states = out.filter("near is null").drop("near")
