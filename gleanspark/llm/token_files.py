@@ -14,13 +14,16 @@ over one row a part, plus ``part_start``.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,12 +31,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanspark.llm.common import bounded_batches
+from gleanspark.session import checkpoint_dir
 
 #: The characters that ``\\s`` means in a byte-level pre-tokenizer (White_Space).
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_SPACE = "".join(map(chr, (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+                               0x202F, 0x205F, 0x3000)))
 #: White space and the word behind it. No pre-token has white space behind other characters,
 #: and none looks further than the next word, so a text's ids are those of its pieces in turn.
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_OTHER_SPACE = [c for c in _SPACE if c not in " \n"]
+#: Parts whose bases (16 bytes each) are broadcast; with more they are joined by a shuffle.
+BASES = 1_000_000
+
+#: One pre-token of letters, and one with ASCII marks behind it: no pre-token goes from a letter
+#: to a mark, so the two parts stand for themselves.
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_LETTERS = re.compile(f" ?{_LETTER}+")
+_MARKED = re.compile(rf"( ?{_LETTER}+)([!-/:-@\[-`{{-~]+)")
 
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()),
@@ -42,43 +56,76 @@ SCHEMA = T.StructType([
 
 
 class PieceIds(dict):
-    """Memo of piece -> its ids as little-endian 32-bit integers, made by the library."""
+    """Piece -> its ids as little-endian 32-bit integers, made by the library.
+
+    A bounded memo in two generations: a full one becomes the older one, and what is used of
+    the older one is taken over. Unknown pieces of letters go straight to the library's model;
+    marks behind letters are looked up on their own; anything else goes through all of it.
+    """
 
-    def __init__(self, tokenizer_path: str | bytes, entries: int = 400_000, longest: int = 64):
+    def __init__(self, definition: bytes, entries: int = 300_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.library = Tokenizer.from_buffer(tokenizer_path)
-        self.entries, self.longest = entries, longest
+        from tokenizers.pre_tokenizers import ByteLevel
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("needs little-endian 32-bit integers")
+        self.library = Tokenizer.from_buffer(definition)
         self.library.no_truncation()
         self.library.no_padding()
+        self.tokenize = self.library.model.tokenize
+        self.specials = [a["content"] for a in json.loads(definition).get("added_tokens", [])]
+        plain = ByteLevel(add_prefix_space=False, use_regex=False)
+        # how the library writes bytes as characters, read from the library itself
+        self.written = {ord(c): plain.pre_tokenize_str(c)[0][0] for c in map(chr, range(256))
+                        if re.match(_LETTER, c) or c == " "}
+        self.space = self.written[ord(" ")]
+        self.entries, self.old = entries, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.library.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(piece) <= self.longest:
-            if len(self) >= self.entries:
-                self.clear()
+        ids = self.old.get(piece)
+        if ids is None:
+            if _LETTERS.fullmatch(piece):
+                written = piece.replace(" ", self.space) if piece.isascii() else piece.translate(self.written)
+                ids = array("I", [t.id for t in self.tokenize(written)]).tobytes()
+            elif (parts := _MARKED.fullmatch(piece)) and not any(s in piece for s in self.specials):
+                ids = self[parts[1]] + self[parts[2]]
+            else:
+                ids = array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        if len(piece) <= 64:
             self[piece] = ids
         return ids
 
-    def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, _PIECE.findall(text)))
+    def of(self, text: str | None) -> bytes:
+        return b"".join(map(self.__getitem__, _pieces(text))) if text else b""
+
+
+def _pieces(text: str) -> list[str]:
+    """White space with the word behind it. Texts whose only white space is single spaces and
+    newlines between words are cut without a regex."""
+    if ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\0" in text or text[-1] in " \n"
+            or text[0] in " \n" or any(c in text for c in _OTHER_SPACE)):
+        return _PIECE.findall(text)
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
 _MEMO: dict[int, PieceIds] = {}             # of this worker process
 
 
-def _piece_ids(tokenizer) -> PieceIds:
-    key = tokenizer.id if hasattr(tokenizer, "id") else hash(tokenizer)
+def _piece_ids(definition: bytes) -> PieceIds:
+    """The memo of this process for a tokenizer."""
+    key = hash(definition)
     if key not in _MEMO:
         _MEMO.clear()
-        _MEMO[key] = PieceIds(tokenizer.value)
+        _MEMO[key] = PieceIds(definition)
     return _MEMO[key]
 
 
 def _check_pretokens(definition: bytes) -> None:
     """Texts are cut at white space; refuse a tokenizer for which that is not the same."""
-    import json
     t = json.loads(definition)
     pre = t.get("pre_tokenizer") or {}
     plain = (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
@@ -109,12 +156,16 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _piece_ids(tokenizer)
+        memo = _piece_ids(tokenizer.value)
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = [memo.of(t) + end if t else end for t in batch.column(1).to_pylist()]
+            gc.disable()                                     # millions of short-lived objects without cycles
+            try:
+                lists = [memo.of(t) + end for t in batch.column(1).to_pylist()]
+            finally:
+                gc.enable()
             sizes = np.array([len(b) // 4 for b in lists], dtype=np.int64)
             ends = np.concatenate([[0], np.cumsum(sizes)])
             ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(lists))])
@@ -134,7 +185,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
             "parquet.page.row.count.limit": page_rows,
             "parquet.dictionary.page.size": 1 << 20, "parquet.enable.dictionary": "false",
             "parquet.enable.dictionary#ids.list.element": "true",
-            "compression": "zstd"}.items():
+            "compression": "snappy"}.items():
         writer = writer.option(key, str(value))
     writer.parquet(path)
 
@@ -151,6 +202,11 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     # one row a part (a writing task), however many documents: small enough for one window
     bases = sums.select(F.col("part").alias("_part"), (F.sum("_n").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_base"))
+    # ids are not shuffled for a table of parts that is known to be small
+    checkpoint_dir(spark)
+    bases = bases.checkpoint()
+    if bases.count() <= BASES:
+        bases = F.broadcast(bases)
     joined = rows.drop(*([] if with_ids else ["ids"])).join(bases, F.col("part") == F.col("_part"))
     return joined.select("doc_id", (F.col("_base") + F.col("part_start")).alias("start"), "n_tokens",
                          *(["ids"] if with_ids else []))
@@ -159,9 +215,10 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
 def ids_crc32(ids: Column) -> Column:
     """Unsigned crc32 of a list of ids as little-endian unsigned 32-bit integers."""
 
-    @F.pandas_udf(T.LongType())
-    def crc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for lists in batches:
-            yield lists.map(lambda x: zlib.crc32(np.asarray(x, dtype="<u4").tobytes())).astype("int64")
+    @F.arrow_udf(T.LongType())
+    def crc(lists: pa.Array) -> pa.Array:
+        ids = lists.values.cast(pa.int32()).to_numpy(zero_copy_only=True).view("u1")
+        ends = lists.offsets.to_numpy() * 4
+        return pa.array([zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.int64())
 
     return crc(ids)

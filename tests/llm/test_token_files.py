@@ -47,10 +47,12 @@ def test_pieces_equal_whole_texts(library):
     rnd = random.Random(2)
     bits = ["a", "Zz", "é", "日本", "𝒳", "'s", "'", "12", "!", "...", "<|endoftext|>", "<|endoftext", "|>"] + list(
         " \t\n\r\x0b\x0c\x1c\x1d\x1f\x85\xa0    ​  　﻿᠎") + [" ", "  ", "\n\n"] * 3
-    for _ in range(6000):
-        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12)))
-        assert np.frombuffer(memo.of(text), dtype="<u4").tolist() == library(text), ascii(text)
-    assert len(memo) <= 50
+    bits += list("aZéß(),.'-_²Ⅷµ\u0301\0")
+    for _ in range(600):
+        texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(20)] + [None, "plain words\nand lines"]
+        for text, ids in zip(texts, map(memo.of, texts)):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == library(text), ascii(text)
+    assert len(memo) <= 50 and len(memo.old) <= 50
 
 
 def test_files_are_as_set(spark, tmp_path):
