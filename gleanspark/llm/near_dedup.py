@@ -38,6 +38,7 @@ from gleanspark.llm.shingles import mix, odd_constants, shingle_sets
 
 MISS = 2e-6                                      # pairs at the threshold that share no key, at most
 TILE = 256                                       # classes of a family compared at once, a side
+SET_BYTES = 1 << 20                              # full sets sent on at once
 
 
 def miss(percent: int, symbols: int, chunks: int, errors: int) -> float:
@@ -123,11 +124,16 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``rep, set`` of the wanted ids."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids = list(b["_id"])
-            for at in range(0, len(ids), 256):
-                sets = list(shingle_sets(list(b["_text"].iloc[at:at + 256]), size))
-                yield pd.DataFrame({"rep": ids[at:at + 256],
-                                    "set": [h.astype("<u8").tobytes() for h in sets]})
+            ids, sets, held = [], [], 0
+            for i, h in zip(b["_id"], shingle_sets(list(b["_text"]), size)):
+                ids.append(i)
+                sets.append(h.astype("<u8").tobytes())
+                held += len(sets[-1])
+                if held >= SET_BYTES:
+                    yield pd.DataFrame({"rep": ids, "set": sets})
+                    ids, sets, held = [], [], 0
+            yield pd.DataFrame({"rep": ids, "set": sets})
+    # the side that is hashed holds ids only, a few megabytes a task; texts are not sorted
     some = docs.join(wanted.withColumnRenamed("rep", "_id").hint("shuffle_hash"), "_id", "left_semi")
     return some.mapInPandas(run, f"rep {dict(docs.dtypes)['_id']}, set binary")
 

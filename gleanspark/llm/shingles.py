@@ -12,7 +12,7 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype="uint8")
 _LOWER[65:91] += 32
-GROUP_BYTES = 1 << 20                                      # texts handled together
+GROUP_BYTES = 1 << 18                                      # bytes hashed together
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,6 +30,10 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n > 4 * GROUP_BYTES:                                # a rare long word: not kept
+        p, q = np.full(n, _R, "uint64"), np.full(n, _R_INV, "uint64")
+        p[0] = q[0] = 1
+        return np.cumprod(p), np.cumprod(q)
     if len(_POWERS.get("up", ())) < n:
         for name, r in (("up", _R), ("down", _R_INV)):
             p = np.full(n, r, "uint64")
@@ -39,6 +43,25 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the words. Long data is cut at blanks into pieces of about
+    ``GROUP_BYTES``, for hashing takes some thirty bytes a byte; what stays is two numbers a word."""
+    if len(data) <= 2 * GROUP_BYTES:
+        return _piece_hashes(data)
+    parts, at = [], 0
+    while at < len(data):
+        blank = np.flatnonzero(_BLANK[data[at + GROUP_BYTES:at + 2 * GROUP_BYTES]])
+        if len(blank):
+            end = at + GROUP_BYTES + int(blank[0])
+        else:                                              # a word longer than that stays whole
+            blank = np.flatnonzero(_BLANK[data[at + GROUP_BYTES:]])
+            end = at + GROUP_BYTES + int(blank[0]) if len(blank) else len(data)
+        starts, words = _piece_hashes(data[at:end])
+        parts.append((starts + at, words))
+        at = end
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _piece_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, hashes) of the words: polynomial of the lower-cased bytes, by prefix sums."""
     blank = np.concatenate([[True], _BLANK[data], [True]])
     edge = np.flatnonzero(blank[1:] != blank[:-1])

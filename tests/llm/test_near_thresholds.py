@@ -47,3 +47,20 @@ def test_low_thresholds_lose_no_pair(spark, percent, changed):
     rnd = random.Random(percent)
     assert all(linked(spark, [pairs(rnd, changed) for _ in range(40)], percent))
     assert np.mean(linked(spark, [pairs(rnd, changed + 2) for _ in range(10)], percent)) == 0
+
+
+def test_long_texts_give_the_same_shingles():
+    """Long data is hashed in pieces: any cut at blanks gives the words of the whole."""
+    import random
+
+    import numpy as np
+
+    from gleanspark.llm import shingles
+
+    rnd = random.Random(6)
+    text = " ".join(rnd.choice("abcXYZé") * rnd.randint(1, 9) for _ in range(400_000)) + " " + "x" * 600_000 + " y\n z"
+    data = np.frombuffer(text.encode(), "uint8")
+    whole, pieces = shingles._piece_hashes(data), shingles._word_hashes(data)
+    assert len(data) > 4 * shingles.GROUP_BYTES
+    assert all(np.array_equal(a, b) for a, b in zip(whole, pieces))
+    assert len(shingles._POWERS["up"]) <= 4 * shingles.GROUP_BYTES

@@ -4,7 +4,8 @@ import corpus_pipeline
 import pytest
 
 from gleanspark.llm import decontaminate, mixing
-from tests.llm.test_dedup_operators import WORD, brute_lines, brute_near
+from tests.llm.test_dedup_operators import WORD, brute_near
+from tests.llm.test_line_passages import chunk_lines, passage_lines
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -39,7 +40,9 @@ def test_language_stage_keeps_clean_documents(stages):
 
 def test_line_stage(stages):
     before, after = (_texts(x) for x in stages["line_dedup"])
-    want = brute_lines(list(before.items()))
+    rows = list(before.items())
+    gone = passage_lines(rows, 50) | chunk_lines(rows)
+    want = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
     assert after == {i: t for i, t in want.items() if t or not before[i]}
 
 
