@@ -1,22 +1,20 @@
 """Spec-driven record extraction from captured HTML.
 
 An ``ExtractSpec`` names a card selector and field selectors; ``extract`` compiles
-every selector to a Java regex and runs the whole extraction as native expressions:
+every selector to native expressions (``elements``) and runs the whole extraction with them:
 
-    pages --strip_noise--> split at card openings --posexplode--> one row per card
-          --regexp_extract per field--> typed columns
+    pages --strip_noise--> elements of the card selector --fields of each--> inline to rows
 
 No Python runs per row, the wide ``html`` column is projected away inside the same
 stage (no shuffle carries it), and the work is per page, so it scales with the
 number of input partitions.
 
 Selector subset: ``tag``, ``.class`` (several), ``[attr]``, ``[attr="v"]``,
-``[attr*="v"]``, descendant (space). Elements are found by their opening tag, in which a
-``>`` inside a quoted value does not end the tag, and end at their own closing tag: where
-the same tag nests inside, the tags are folded with their depth and the element ends at
-depth 0. ``p``/``li``/``td``/``tr`` also end where HTML implies (so an unclosed ``<p>``
-ends at the next block). A card is its element; ``card_end`` only cuts a last card that
-is never closed.
+``[attr*="v"]``, descendant (space). Elements are found by their opening tag, whose
+attributes may be quoted, unquoted or bare, and end where HTML ends them: at their own
+close, or, for list items, table cells and rows and paragraphs, where that is implied. A list
+inside an item, or a table inside a cell, belongs to it. A card is its element, inner cards
+included; a card that is never closed ends at the next one, the last one at ``card_end``.
 """
 
 from __future__ import annotations
@@ -30,24 +28,12 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions._util import let
 from gleanspark.functions.text import html_text, html_unescape, strip_noise
+from gleanspark.operators.elements import apply_sql, attributes, elements_sql, select, select_sql
 
 _STEP = re.compile(
     r"""^(?P<tag>[a-zA-Z][a-zA-Z0-9]*|\*)?(?P<rest>(?:\.[\w-]+|\[[^\]]+\])*)$""")
 _PART = re.compile(r"""\.([\w-]+)|\[([\w-]+)(?:(\*?=)"([^"]*)")?\]""")
 
-# Implied ends: an element of the key tag also ends where one of these starts.
-_IMPLIED_END = {
-    "p": r"<(?:p|div|h[1-6]|ul|ol|table|article|section|footer|nav|header|aside|form|pre|blockquote)\b|</(?:div|article|section|body|td|li|main|aside|footer|header)\s*>",
-    "li": r"<li\b|</(?:ul|ol)\s*>",
-    "td": r"<t[dh]\b|</tr\s*>|</table\s*>",
-    "th": r"<t[dh]\b|</tr\s*>|</table\s*>",
-    "tr": r"<tr\b|</table\s*>",
-}
-
-
-# One piece of the inside of a tag: a quoted value, a bare word, a blank or an equals sign.
-_UNIT = r"""(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>\s=]++|[\s=])"""
-
 
 @dataclass(frozen=True)
 class Step:
@@ -55,29 +41,6 @@ class Step:
     classes: tuple[str, ...]
     attrs: tuple[tuple[str, str | None, str | None], ...]   # (name, op, value)
 
-    def open_regex(self, capture: bool = False) -> str:
-        """The opening tag; with ``capture`` its name is a group."""
-        tag = re.escape(self.tag) if self.tag else r"[a-zA-Z][a-zA-Z0-9]*"
-        tag = f"({tag})" if capture else tag
-        look = []
-        for c in self.classes:
-            look.append(rf"""(?={_UNIT}*?\sclass\s*=\s*["'](?:[^"']*\s)?{re.escape(c)}(?:\s[^"']*)?["'])""")
-        for name, op, val in self.attrs:
-            n = re.escape(name)
-            if op is None:
-                look.append(rf"(?={_UNIT}*?\s{n}(?:\s*=|[\s/>]))")
-            elif op == "=":
-                look.append(rf"""(?={_UNIT}*?\s{n}\s*=\s*["']{re.escape(val)}["'])""")
-            else:
-                look.append(rf"""(?={_UNIT}*?\s{n}\s*=\s*["'][^"']*{re.escape(val)}[^"']*["'])""")
-        return rf"<{tag}\b{''.join(look)}{_UNIT}*+>"
-
-    def end_regex(self) -> str:
-        tag = self.tag.lower() if self.tag else None
-        close = rf"</{re.escape(tag)}\s*>" if tag else r"</[a-zA-Z][a-zA-Z0-9]*\s*>"
-        extra = _IMPLIED_END.get(tag or "")
-        return f"(?:{close}|{extra}|$)" if extra else f"(?:{close}|$)"
-
 
 def parse_selector(sel: str) -> tuple[Step, ...]:
     steps = []
@@ -96,72 +59,6 @@ def parse_selector(sel: str) -> tuple[Step, ...]:
     return tuple(steps)
 
 
-def _prefix(steps: tuple[Step, ...], capture: bool = False) -> str:
-    """Regex matching the opening tags of every step; ancestors are not left. With
-    ``capture`` the name of the last tag is a group."""
-    out = ""
-    for i, st in enumerate(steps):
-        out += st.open_regex(capture and i == len(steps) - 1)
-        if i < len(steps) - 1:
-            anc_close = rf"</{re.escape(st.tag)}\s*>" if st.tag else r"(?!)"
-            out += rf"(?:(?!{anc_close}).)*?"
-    return out
-
-
-def _depth_cut(rest: Column, tag: Column | str) -> Column:
-    """``rest`` (what follows an opening tag) up to the close of that element: the tags of
-    its name are folded with their depth."""
-    name = F.lit(tag) if isinstance(tag, str) else tag
-    parts = F.split(F.concat(F.lit(" "), rest), F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)")))
-
-    def step(acc: Column, x: Column) -> Column:
-        depth = F.when(x.startswith("</"), acc["depth"] - 1).otherwise(acc["depth"] + 1)
-        return F.when(acc["depth"] == 0, acc).otherwise(F.struct(
-            depth.alias("depth"), F.when(depth == 0, acc["n"]).otherwise(acc["n"] + 1).alias("n")))
-
-    def inner(p: Column) -> Column:
-        end = F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))),
-                          F.struct(F.lit(1).alias("depth"), F.lit(1).alias("n")), step)
-        return F.substr(F.array_join(F.slice(p, 1, end["n"]), ""), F.lit(2))
-
-    return let(parts, inner)
-
-
-def _cut(rest: Column, step: Step) -> Column:
-    """``rest`` up to the end of the element ``step`` opened just before it. The fold runs
-    only where the same tag opens again before the first close."""
-    simple = F.regexp_extract(rest, rf"(?is)^(.*?)(?={step.end_regex()})", 1)
-    if step.tag.lower() in _IMPLIED_END:
-        return simple
-    nested = rf"(?i)<{re.escape(step.tag)}\b"
-    return let(simple, lambda x: F.when(x.rlike(nested), _depth_cut(rest, re.escape(step.tag))).otherwise(x))
-
-
-def _first_inner(frag: Column, steps: tuple[Step, ...]) -> Column:
-    """Inner HTML of the first element matching the descendant chain ('' if none)."""
-    if steps[-1].tag:
-        rest = F.regexp_extract(frag, rf"(?is){_prefix(steps)}(.*)$", 1)
-        return let(rest, lambda r: _cut(r, steps[-1]))
-    pat = rf"(?is){_prefix(steps, capture=True)}(.*)$"
-    found = F.struct(F.regexp_extract(frag, pat, 1).alias("tag"), F.regexp_extract(frag, pat, 2).alias("rest"))
-    return let(found, lambda x: F.when(x["tag"] == "", F.lit("")).otherwise(_depth_cut(x["rest"], x["tag"])))
-
-
-def attr_regex(sel: str, attr: str) -> str:
-    """Regex whose group 2 is the value of ``attr`` on the first element matching ``sel``."""
-    steps = parse_selector(sel)
-    a = re.escape(attr)
-    head = _prefix(steps)
-    # re-open the last tag to capture the attribute inside it
-    tag_open = head[: -len(f"{_UNIT}*+>")]
-    return rf"""(?is){tag_open}{_UNIT}*?\s{a}\s*=\s*(["'])(.*?)\1"""
-
-
-def open_regex(sel: str) -> str:
-    """Regex that matches where an element matching the last step of ``sel`` opens."""
-    return parse_selector(sel)[-1].open_regex()
-
-
 @dataclass(frozen=True)
 class Field:
     """One output column.
@@ -200,105 +97,41 @@ def _nonempty(c: Column) -> Column:
     return let(c, lambda x: F.when(x != "", x))
 
 
-def _read_one(frag: Column, sel: str | None, f: Field) -> Column:
-    if sel is None:
-        if f.attr:
-            return html_unescape(F.nullif(F.regexp_extract(
-                frag, rf"""(?is)^<[a-zA-Z][a-zA-Z0-9]*\b{_UNIT}*?\s{re.escape(f.attr)}\s*=\s*(["'])(.*?)\1""", 2),
-                F.lit("")))
-        return _nonempty(html_text(frag, f.mode))
+def _value(element: Column, f: Field) -> Column:
+    """What ``f`` reads of one element; '' if there is nothing."""
     if f.attr:
-        return _nonempty(html_unescape(F.regexp_extract(frag, attr_regex(sel, f.attr), 2)))
-    return _nonempty(html_text(_first_inner(frag, parse_selector(sel)), f.mode))
-
-
-def _opened(frag: Column, step: Step) -> Column:
-    """Array of what follows each opening tag of ``step``, to the end of ``frag``; only used
-    where elements nest."""
-    opener = "(?is)(?=" + step.open_regex() + ")"
-    parts = F.split(F.concat(F.lit(" "), frag), opener)
+        return html_unescape(F.coalesce(F.element_at(attributes(element["tag"]), f.attr.lower()), F.lit("")))
+    return html_text(element["inner"], f.mode)
 
-    def tails(p: Column) -> Column:
-        own = F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0)))
-        return F.transform(own, lambda x, i: F.regexp_replace(
-            F.array_join(F.slice(p, i + 2, F.size(p)), ""), "(?is)^" + step.open_regex(), ""))
 
-    return let(parts, tails)
-
-
-def _all_step(frag: Column, step: Step, outermost: bool) -> Column:
-    """Inner HTML of every element of one step, in document order; with ``outermost`` only
-    of those in no other (a descendant search must not enter an element twice)."""
-    plain = F.regexp_extract_all(frag, F.lit(rf"(?is){step.open_regex()}(.*?)(?={step.end_regex()})"), 1)
-    if step.tag is None or step.tag.lower() in _IMPLIED_END:
-        return plain
-    opener = "(?is)(?=" + step.open_regex() + ")"
-
-    def slow() -> Column:
-        every = F.transform(_opened(frag, step), lambda r: _cut(r, step))
-        if not outermost:
-            return every
-
-        def keep(acc: Column, x: Column) -> Column:
-            inside = F.size(F.split(F.concat(F.lit(" "), x), opener)) - 1
-            out = acc["skip"] > 0
-            return F.struct(F.when(out, acc["skip"] - 1).otherwise(inside).alias("skip"),
-                            F.when(out, acc["got"]).otherwise(F.concat(acc["got"], F.array(x))).alias("got"))
-
-        none = F.struct(F.lit(0).alias("skip"), F.array().cast("array<string>").alias("got"))
-        return F.aggregate(every, none, keep)["got"]
-
-    nested = rf"(?i)<{re.escape(step.tag)}\b"
-    return let(plain, lambda p: F.when(F.exists(p, lambda x: x.rlike(nested)), slow()).otherwise(p))
-
-
-def _all_inner(frag: Column, steps: tuple[Step, ...], outermost: bool = False) -> Column:
-    """Inner HTML of every element matching the descendant chain ``steps``: the outermost
-    matches of the first step, then recursively inside each (so one ancestor can give
-    many descendants)."""
-    first = _all_step(frag, steps[0], outermost or len(steps) > 1)
-    if len(steps) == 1:
-        return first
-    return F.flatten(F.transform(first, lambda x: _all_inner(x, steps[1:], outermost)))
+def _read_one(frag: Column, sel: str | None, f: Field, tag: Column | None = None) -> Column:
+    if sel is None:                                          # the card or page itself
+        if f.attr:
+            own = F.lit("") if tag is None else tag
+            return _nonempty(_value(F.struct(own.alias("tag")), f))
+        return _nonempty(html_text(frag, f.mode))
+    found = select(frag, parse_selector(sel), first=True, inner=f.attr is None)
+    return let(F.get(found, F.lit(0)), lambda e: _nonempty(_value(e, f)))
 
 
 def _read_many(frag: Column, sel: str, f: Field) -> Column:
-    steps = parse_selector(sel)
-    scopes = _all_inner(frag, steps[:-1], outermost=True) if len(steps) > 1 else F.array(frag)
-    if f.attr:
-        pat = F.lit(attr_regex(_step_sel(steps[-1]), f.attr))
-        vals = F.flatten(F.transform(scopes, lambda s: F.regexp_extract_all(s, pat, 2)))
-        vals = F.transform(vals, lambda x: html_unescape(x))
-    else:
-        vals = F.flatten(F.transform(scopes, lambda s: _all_inner(s, steps[-1:])))
-        vals = F.transform(vals, lambda x: html_text(x, f.mode))
-    return F.filter(vals, lambda x: x != "")
-
-
-def _step_sel(st: Step) -> str:
-    """Selector text of one step (for re-compiling a single step)."""
-    out = st.tag or "*"
-    out += "".join(f".{c}" for c in st.classes)
-    for name, op, val in st.attrs:
-        out += f"[{name}]" if op is None else f'[{name}{op}"{val}"]'
-    return out
-
-
-def _contains_pred(pat: str):
-    return lambda b: b.rlike(pat)
+    found = select(frag, parse_selector(sel), inner=f.attr is None)
+    return F.filter(F.transform(found, lambda e: _value(e, f)), lambda x: x != "")
 
 
 def _read_has(frag: Column, f: Field) -> Column:
-    blocks = _all_inner(frag, parse_selector(f.selector))
+    blocks = F.transform(select(frag, parse_selector(f.selector)), lambda e: e["inner"])
     for h in f.has:
-        blocks = F.filter(blocks, _contains_pred("(?is)" + _prefix(parse_selector(h))))
-    first = F.get(blocks, 0)
+        steps = parse_selector(h)
+        blocks = F.filter(blocks, lambda b: F.size(select(b, steps, first=True, inner=False)) > 0)
+    first = F.get(blocks, F.lit(0))
     sub = Field(f.name, f.then, attr=f.attr, mode=f.mode)
     return _read_one(first, f.then, sub) if f.then else _nonempty(html_text(first, f.mode))
 
 
-def field_column(frag: Column, f: Field) -> Column:
-    """The Column for one field, evaluated on an HTML fragment."""
+def field_column(frag: Column, f: Field, tag: Column | None = None) -> Column:
+    """The Column for one field, evaluated on an HTML fragment: a page, or the inside of a
+    card whose opening tag is ``tag``."""
     if f.has:
         out = _read_has(frag, f)
     elif f.many:
@@ -306,42 +139,22 @@ def field_column(frag: Column, f: Field) -> Column:
     elif isinstance(f.selector, tuple):
         out = F.coalesce(*[_read_one(frag, s, f) for s in f.selector])
     else:
-        out = _read_one(frag, f.selector, f)
+        out = _read_one(frag, f.selector, f, tag)
     return f.post(out) if f.post else out
 
 
 def split_cards(html: Column, card: str, card_end: str | None = None) -> Column:
-    """Array of card fragments (opening tag and inside) in document order. A card ends
-    at its own close, or where the next card opens. A last card that is never closed is
-    cut at ``card_end``. With a descendant selector (``nav li``) cards are cut only inside
-    the ancestor elements."""
-    steps = parse_selector(card)
-    step = steps[-1]
-    opener = "(?i)(?=" + step.open_regex() + ")"
-    opening = "(?i)^" + step.open_regex()
-
-    def element(x: Column, last: Column) -> Column:
-        if not step.tag:
-            return x
-        tag = F.regexp_extract(x, opening, 0)
-        rest = F.substr(x, F.length(tag) + 1)
-        inner = let(rest, lambda r: _cut(r, step))
-        if card_end:
-            inner = let(inner, lambda i: F.when(
-                last & (F.length(i) == F.length(rest)),
-                F.regexp_replace(i, f"(?is)(?:{card_end}).*$", "")).otherwise(i))
-        return F.concat(tag, inner)
-
-    def cut(scope: Column) -> Column:
-        # A leading space makes element 0 always the prefix before the first card.
-        parts = F.split(F.concat(F.lit(" "), scope), opener)
-        return let(parts, lambda p: F.transform(
-            F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))),
-            lambda x, i: element(x, i == F.size(p) - 2)))
-
-    if len(steps) > 1:
-        return F.flatten(F.transform(_all_inner(html, steps[:-1], outermost=True), cut))
-    return cut(html)
+    """``array<struct<tag, inner>>`` of the cards in document order. With a descendant
+    selector (``nav li``) cards are taken only inside the ancestor elements."""
+    *scopes, step = parse_selector(card)
+
+    def cards(x: str) -> str:
+        return elements_sql(x, step, card_end=card_end, cards=True)
+
+    if scopes:
+        return apply_sql(html, lambda x: f"flatten(transform({select_sql(x, scopes, outermost=True)}, "
+                                         f"a -> {cards('a.inner')}))")
+    return apply_sql(html, cards)
 
 
 def _required_ok(rec: Column, required: tuple[str, ...]) -> Column:
@@ -372,14 +185,11 @@ def extract(pages: DataFrame, spec: ExtractSpec, html_col: str = "html",
     if spec.strip_noise:
         html = strip_noise(html)
 
-    def record(frag: Column, pos: Column | None) -> Column:
-        parts = [pos.alias("pos")] if pos is not None else []
-        return F.struct(*parts, *[field_column(frag, f).alias(f.name) for f in spec.fields])
-
     if spec.card:
-        recs = F.transform(split_cards(html, spec.card, spec.card_end), lambda c, i: record(c, i))
+        recs = F.transform(split_cards(html, spec.card, spec.card_end), lambda c, i: F.struct(
+            i.alias("pos"), *[field_column(c["inner"], f, c["tag"]).alias(f.name) for f in spec.fields]))
     else:
-        recs = F.array(record(html, None))
+        recs = F.array(F.struct(*[field_column(html, f).alias(f.name) for f in spec.fields]))
     if spec.required:
         recs = F.filter(recs, lambda r: _required_ok(r, spec.required))
     return pages.select(*keep, F.inline(recs))
@@ -392,21 +202,44 @@ def extract_lists(pages: DataFrame, spec: ExtractSpec, html_col: str = "html",
     ``strict`` fails the job when the lists of a page differ in length, as zipping
     unequal lists is an error; otherwise short lists are padded with NULL.
     """
+    base, differ = _lists(pages, spec, html_col, keep)
+    if strict:
+        base = base.withColumn("_chk", F.when(~differ, F.lit(True)).otherwise(
+            F.raise_error(F.lit("parallel lists differ in length")))).filter("_chk").drop("_chk")
+    return _zipped(base, spec, F.posexplode)
+
+
+def extract_lists_checked(pages: DataFrame, spec: ExtractSpec, html_col: str = "html",
+                          keep: tuple[str, ...] | None = None) -> DataFrame:
+    """B06 without the stop: a page whose lists differ in length is one row without fields,
+    and its ``reason`` names their lengths; the rows of other pages have none."""
+    base, differ = _lists(pages, spec, html_col, keep)
+    lengths = F.concat_ws(", ", *[F.concat(F.lit(f"{f.name} "), F.size(f.name).cast("string")) for f in spec.fields])
+    base = base.withColumn("reason", F.when(differ, F.concat(F.lit("lists differ in length: "), lengths)))
+    out = _zipped(base, spec, F.posexplode_outer, carry=("reason",))
+    return out.filter(F.col("pos").isNotNull() | F.col("reason").isNotNull())
+
+
+def _lists(pages: DataFrame, spec: ExtractSpec, html_col: str, keep) -> tuple[DataFrame, Column]:
     keep = tuple(c for c in pages.columns if c != html_col) if keep is None else keep
     html = strip_noise(F.col(html_col)) if spec.strip_noise else F.col(html_col)
     lists = [_read_many(html, f.selector, f).alias(f.name) for f in spec.fields]
-    base = pages.select(*keep, *lists)
-    if strict and len(spec.fields) > 1:
-        sizes = [F.size(f.name) for f in spec.fields]
-        same = F.lit(True)
-        for s in sizes[1:]:
-            same = same & (s == sizes[0])
-        base = base.withColumn("_chk", F.when(same, F.lit(True)).otherwise(
-            F.raise_error(F.lit("parallel lists differ in length")))).filter("_chk").drop("_chk")
-    zipped = F.arrays_zip(*[F.col(f.name) for f in spec.fields])
-    exploded = base.select(*keep, F.posexplode(zipped).alias("pos", "_z"))
+    sizes = [F.size(f.name) for f in spec.fields]
+    differ = F.lit(False)
+    for s in sizes[1:]:
+        differ = differ | (s != sizes[0])
+    return pages.select(*keep, *lists), differ
+
+
+def _zipped(base: DataFrame, spec: ExtractSpec, explode: Callable, carry: tuple[str, ...] = ()) -> DataFrame:
+    names = [f.name for f in spec.fields]
+    keep = [c for c in base.columns if c not in names and c not in carry]
+    zipped = F.arrays_zip(*names)
+    for c in carry:                                          # a page with a reason has no rows
+        zipped = F.when(F.col(c).isNull(), zipped)
+    exploded = base.select(*keep, *carry, explode(zipped).alias("pos", "_z"))
     cols = []
     for f in spec.fields:
         c = F.col("_z")[f.name]
         cols.append((f.post(c) if f.post else c).alias(f.name))
-    return exploded.select(*keep, "pos", *cols)
+    return exploded.select(*keep, "pos", *cols, *carry)

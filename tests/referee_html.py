@@ -1,6 +1,5 @@
-"""Fallback extractor (L04): the same ``ExtractSpec`` run by ``mapInPandas`` with the
-standard library's ``html.parser``, for pages whose cards nest their own tag (which
-the native regex path cannot delimit).
+"""Referee of the native extraction (L04): the same ``ExtractSpec`` run by ``mapInPandas``
+with the standard library's ``html.parser``.
 
 Spark partitions the pages and streams Arrow batches to the Python workers; each
 page is parsed into a light element tree once, selectors are matched on the tree,
@@ -25,8 +24,13 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
          "source", "track", "wbr"}
 _SKIP = {"script", "style"}
 _BLOCK = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table", "article",
-          "section", "footer", "nav", "header", "aside", "form", "pre", "blockquote"}
-_CLOSES = {"li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr"}}
+          "section", "footer", "nav", "header", "aside", "form", "pre", "blockquote", "hr", "dl",
+          "main", "menu", "address", "details", "fieldset", "figure", "figcaption"}
+_CLOSES = {"li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr"},
+           "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
+# an item is not closed from inside a list or table of its own
+_SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"},
+          "td": {"table"}, "th": {"table"}, "tr": {"table"}}
 _WS = re.compile(r"\s+")
 
 
@@ -53,6 +57,11 @@ class Node:
         return (c for c in self._walk() if not isinstance(c, Node))
 
 
+def _first(attrs):
+    """Of a repeated attribute the first counts."""
+    return {k: (v or "") for k, v in reversed(attrs)}
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -73,31 +82,31 @@ class _Builder(HTMLParser):
             return
         if tag in _BLOCK and self._open("p"):
             self._close({"p"})
-        if tag in _CLOSES and self._open(*_CLOSES[tag]):
+        if tag in _CLOSES and self._open(*_CLOSES[tag], within=_SCOPE[tag]):
             self._close(_CLOSES[tag])
-        node = Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
+        node = Node(tag, _first(attrs), self.cur)
         self.cur.children.append(node)
         if tag not in _VOID:
             self.cur = node
 
     def handle_startendtag(self, tag, attrs):
         if tag not in _SKIP:
-            self.cur.children.append(Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+            self.cur.children.append(Node(tag, _first(attrs), self.cur))
 
     def handle_endtag(self, tag):
         if tag in _SKIP:
             self.skip = max(0, self.skip - 1)
             return
-        if self._open(tag):
+        if self._open(tag, within=_SCOPE.get(tag, ())):
             self._close({tag})
 
     def handle_data(self, data):
         if not self.skip:
             self.cur.children.append(data)
 
-    def _open(self, *tags):
+    def _open(self, *tags, within=()):
         n = self.cur
-        while n is not self.root:
+        while n is not self.root and n.tag not in within:
             if n.tag in tags:
                 return True
             n = n.parent
