@@ -11,6 +11,7 @@ written with ``write_views`` the order survives in the part files.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,9 +104,27 @@ def move_before(df: DataFrame, col: str, before: str) -> DataFrame:
     return df.select(*cols[:i], col, *cols[i:])
 
 
+@dataclass(frozen=True)
+class View:
+    """Rows of ``base`` where ``where`` holds, in the order ``by`` (then ``key``), the first
+    ``limit`` of them."""
+    base: DataFrame
+    where: Column | None = None
+    by: tuple = ()
+    limit: int | None = None
+    key: str | None = "url"
+
+    def frame(self) -> DataFrame:
+        df = self.base if self.where is None else self.base.filter(self.where)
+        if self.limit is not None:
+            return top_k(df, self.by, self.limit, self.key)
+        return sort_view(df, self.by, self.key) if self.by else df
+
+
 class ViewSuite(Mapping):
-    """A named set of views built on first access (a DataFrame is analyzed when it is
-    built, so building all views to read one is wasted planning)."""
+    """A named set of views, each a ``View`` or a function that makes a frame, built on first
+    access (a DataFrame is analyzed when it is built, so building all views to read one is
+    wasted planning)."""
 
     def __init__(self, builders: dict):
         self._builders = builders
@@ -113,9 +132,15 @@ class ViewSuite(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._builders[name]()
+            b = self._builders[name]
+            self._built[name] = b.frame() if isinstance(b, View) else b()
         return self._built[name]
 
+    def definition(self, name: str) -> View | None:
+        """The view as data, where it is a ``View``."""
+        b = self._builders[name]
+        return b if isinstance(b, View) else None
+
     def __iter__(self):
         return iter(self._builders)
 
@@ -133,56 +158,51 @@ TOP_K = 50
 PLACE_TOP_K = 10
 
 
+def _there(*cols: str) -> Column:
+    """What ``na.drop`` keeps: no NULL and no NaN."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull() & ~F.coalesce(F.isnan(F.col(c).cast("double")), F.lit(False))
+    return out
+
+
 def value_views(final: DataFrame) -> ViewSuite:
     """Combined, Cheapest, Top Rated, Best Value."""
     return ViewSuite({
-        "Combined": lambda: final,
-        "Cheapest": lambda: sort_view(final.na.drop(subset=["price_num"]), [("price_num", "asc")]),
-        "Top Rated": lambda: sort_view(final.na.drop(subset=["rating_score"]),
-                                       [("rating_score", "desc"), ("rating_count", "desc")]),
-        "Best Value": lambda: sort_view(final.na.drop(subset=["value_score"]), [("value_score", "desc")]),
+        "Combined": View(final),
+        "Cheapest": View(final, _there("price_num"), (("price_num", "asc"),)),
+        "Top Rated": View(final, _there("rating_score"), (("rating_score", "desc"), ("rating_count", "desc"))),
+        "Best Value": View(final, _there("value_score"), (("value_score", "desc"),)),
     })
 
 
-def _band(df: DataFrame, col: str, lo: float, hi: float, which: str, sort: bool, key: str = "url"):
-    return lambda: band_views(df, col, lo, hi, key=key, sort=sort)[which]
+def _bands(col: str, lo: float, hi: float) -> dict[str, Column]:
+    c = F.col(col)
+    return {f"Under {lo}": c < lo, f"{lo} to {hi}": (c >= lo) & (c <= hi), f"Above {hi}": c > hi}
 
 
 def product_views(raw: DataFrame, clean: DataFrame, bands=SEARCH_BANDS,
                   keywords=SEARCH_KEYWORDS, k: int = TOP_K) -> ViewSuite:
     """The 12-view search suite over one clean table."""
-    lo, hi = bands
-    b = {
-        "Raw": lambda: raw, "Clean": lambda: clean,
-        "Cheapest": lambda: sort_view(clean, [("price_num", "asc")]),
-        "Most Expensive": lambda: sort_view(clean, [("price_num", "desc")]),
-        f"Under {lo}": _band(clean, "price_num", lo, hi, "under", False),
-        f"{lo} to {hi}": _band(clean, "price_num", lo, hi, "between", False),
-        f"Above {hi}": _band(clean, "price_num", lo, hi, "above", False),
-    }
-    for label, kw in keywords.items():
-        b[label] = (lambda kw=kw: keyword_view(clean, "name", kw))
-    b[f"Top Cheapest {k}"] = lambda: top_k(clean, [("price_num", "asc")], k)
+    cheap = (("price_num", "asc"),)
+    b = {"Raw": View(raw), "Clean": View(clean), "Cheapest": View(clean, by=cheap),
+         "Most Expensive": View(clean, by=(("price_num", "desc"),))}
+    b |= {name: View(clean, where) for name, where in _bands("price_num", *bands).items()}
+    b |= {label: View(clean, contains_ci("name", kw)) for label, kw in keywords.items()}
+    b[f"Top Cheapest {k}"] = View(clean, by=cheap, limit=k)
     return ViewSuite(b)
 
 
 def book_views(raw: DataFrame, clean: DataFrame, bands=BOOK_BANDS, regexes=BOOK_REGEX,
                k: int = TOP_K) -> ViewSuite:
     """The 12-view bookstore suite."""
-    lo, hi = bands
-    priced = clean.na.drop(subset=["current_price_num"])
-    b = {
-        "Raw": lambda: raw, "Clean": lambda: clean,
-        "Cheapest": lambda: sort_view(priced, [("current_price_num", "asc")]),
-        "Most Expensive": lambda: sort_view(priced, [("current_price_num", "desc")]),
-        "Top Rated": lambda: sort_view(clean.na.drop(subset=["ratings_count"]), [("ratings_count", "desc")]),
-        f"Under {lo}": _band(priced, "current_price_num", lo, hi, "under", True),
-        f"{lo} to {hi}": _band(priced, "current_price_num", lo, hi, "between", True),
-        f"Above {hi}": _band(priced, "current_price_num", lo, hi, "above", True),
-    }
-    for label, rx in regexes.items():
-        b[label] = (lambda rx=rx: regex_view(clean, "title", rx))
-    b[f"Top Cheapest {k}"] = lambda: top_k(priced, [("current_price_num", "asc")], k)
+    priced, cheap = _there("current_price_num"), (("current_price_num", "asc"),)
+    b = {"Raw": View(raw), "Clean": View(clean), "Cheapest": View(clean, priced, cheap),
+         "Most Expensive": View(clean, priced, (("current_price_num", "desc"),)),
+         "Top Rated": View(clean, _there("ratings_count"), (("ratings_count", "desc"),))}
+    b |= {name: View(clean, priced & where, cheap) for name, where in _bands("current_price_num", *bands).items()}
+    b |= {label: View(clean, F.coalesce(F.lower("title").rlike(rx), F.lit(False))) for label, rx in regexes.items()}
+    b[f"Top Cheapest {k}"] = View(clean, priced, cheap, k)
     b["Best Books Recommended"] = lambda: sort_view(best_books(clean), [("score", "desc")])
     return ViewSuite(b)
 
@@ -196,15 +216,14 @@ def best_books(clean: DataFrame) -> DataFrame:
 def place_views(raw: DataFrame, clean: DataFrame, k: int = PLACE_TOP_K,
                 key: str = "id") -> ViewSuite:
     """The 9-view place suite."""
-    lv = F.col("price_level")
+    lv, rating, count = F.col("price_level"), ("rating", "desc"), ("rating_count", "desc")
     return ViewSuite({
-        "Raw": lambda: raw, "Clean": lambda: clean,
-        "Cheapest": lambda: top_k(clean.filter(lv.isin("Free", "Cheap")), [("rating", "desc")], k, key),
-        "Premium": lambda: top_k(clean.filter(lv.isin("Expensive", "Very Expensive")),
-                                 [("rating", "desc")], k, key),
-        "Top Rated": lambda: top_k(clean, [("rating", "desc"), ("rating_count", "desc")], k, key),
-        "Most Reviewed": lambda: top_k(clean, [("rating_count", "desc")], k, key),
-        "Best Valued": lambda: top_k(clean, [("value_score", "desc")], k, key),
+        "Raw": View(raw, key=key), "Clean": View(clean, key=key),
+        "Cheapest": View(clean, lv.isin("Free", "Cheap"), (rating,), k, key),
+        "Premium": View(clean, lv.isin("Expensive", "Very Expensive"), (rating,), k, key),
+        "Top Rated": View(clean, None, (rating, count), k, key),
+        "Most Reviewed": View(clean, None, (count,), k, key),
+        "Best Valued": View(clean, None, (("value_score", "desc"),), k, key),
         "Website Analysis": lambda: value_counts(clean, "website_type"),
         "Area Analysis": lambda: value_counts(clean, "area"),
     })

@@ -13,10 +13,12 @@ from gleanspark.functions.score import level_score
 from gleanspark.functions.text import clean_text, extract_email, first_truthy
 from gleanspark.functions.urls import get_domain, is_http_url
 from gleanspark.operators.dedup import keep_first
+from gleanspark.operators.skew import heavy_hitters, salted_join
 from gleanspark.operators.views import move_before
 from gleanspark.sources.places import place_details, search_places
 
-SITE_SALTS = 8          # shares of the places of one website
+#: Places of one website that one task takes; a website with more is dealt over several.
+SITE_ROWS = 100_000
 
 RAW_COLUMNS = ["id", "name", "address", "phone", "rating", "rating_count", "price_level",
                "price_start", "price_end", "maps_link", "website"]
@@ -56,7 +58,12 @@ def enrich(places: DataFrame, details: DataFrame) -> DataFrame:
     )
 
 
-def clean_places(raw: DataFrame, pages: DataFrame | None) -> DataFrame:
+def shared_sites(raw: DataFrame, rows: int = SITE_ROWS) -> dict[str, int]:
+    """Websites that very many places name, measured: website -> shares of ``rows`` places."""
+    return heavy_hitters(raw.select(F.trim("website").alias("site")), "site", rows)
+
+
+def clean_places(raw: DataFrame, pages: DataFrame | None, shared: dict[str, int] | None = None) -> DataFrame:
     """Cleaning, in the reference order: address filter (D04) -> domain (C17) ->
     website type (C18) -> e-mail from the captured homepage of official websites
     only (D16, E06, C23) -> kind and price/rating classes on raw text (C19, C21, C22)
@@ -65,7 +72,8 @@ def clean_places(raw: DataFrame, pages: DataFrame | None) -> DataFrame:
 
     The homepage join is a left join of places (already filtered) with the captured
     pages reduced to ``(site, email)`` -- the wide ``html`` column never crosses the
-    shuffle.
+    shuffle. ``shared`` (see ``shared_sites``) names the websites that are dealt over several
+    tasks; without it the planner alone splits what is skewed.
     """
     df = raw.filter(contains_ci("address", "dhaka"))
     wtype = website_type("website")
@@ -78,12 +86,10 @@ def clean_places(raw: DataFrame, pages: DataFrame | None) -> DataFrame:
         mails = keep_first(mails, "_site", first or ["_mail"]).select("_site", "_mail")
         official = (wtype == "Official Website") & is_http_url("website")
         # places that take no e-mail get a unique key that matches nothing, so they
-        # spread over the join partitions instead of all hashing to the NULL key; the
-        # website that many places share is salted
+        # spread over the join partitions instead of all hashing to the NULL key; the rows
+        # of websites in ``shared`` are dealt over their shares
         site = F.when(official, F.trim("website")).otherwise(F.concat(F.lit("\u0001"), F.col("id")))
-        mails = mails.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SITE_SALTS - 1))))
-        df = df.select("*", site.alias("_site"), F.pmod(F.xxhash64("id"), F.lit(SITE_SALTS)).cast("int").alias("_salt")) \
-            .join(mails, ["_site", "_salt"], "left")
+        df = salted_join(df.withColumn("_site", site), mails, "_site", spread="id", heavy=shared or {})
         email = F.col("_mail")
     else:
         email = F.lit(None).cast("string")
@@ -105,6 +111,6 @@ def clean_places(raw: DataFrame, pages: DataFrame | None) -> DataFrame:
 
 
 def places_pipeline(search: DataFrame, details: DataFrame, pages: DataFrame | None,
-                    max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:
+                    max_pages: int | None = None, shared: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     raw = enrich(first_seen_places(search, max_pages), details).select(*RAW_COLUMNS)
-    return raw, clean_places(raw, pages)
+    return raw, clean_places(raw, pages, shared)

@@ -3,6 +3,8 @@ business directory and bookstore (SURVEY 0, 2.2)."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,11 @@ from gleanspark.functions.classify import home_city_address, is_blocked
 from gleanspark.functions.numbers import (bracket_count, map_lookup, price_block, price_marker,
                                           strict_cast, zero_if_empty)
 from gleanspark.functions.text import clean_text
-from gleanspark.functions.urls import normalize_url
+from gleanspark.functions.urls import normalize_url, prefix_url
+from gleanspark.operators.chain import chain_order
 from gleanspark.operators.dedup import drop_exact_duplicates, keep_first
-from gleanspark.operators.extract import extract, extract_lists
+from gleanspark.operators.extract import extract, extract_lists, extract_lists_checked
+from gleanspark.operators.rejects import REASON, lenient, not_a, with_reason
 from gleanspark.plans import specs
 from gleanspark.plans.specs import RATING_WORDS
 
@@ -26,11 +30,47 @@ def catalogue(pages: DataFrame) -> DataFrame:
                     map_lookup("rating_word", RATING_WORDS, strict=True).alias("rating"))
 
 
+def catalogue_checked(pages: DataFrame) -> DataFrame:
+    """``catalogue`` with a ``reason`` instead of a stop at an unknown rating word."""
+    x = extract(pages, specs.CATALOGUE, keep=("page",))
+    rating = map_lookup("rating_word", RATING_WORDS)
+    return with_reason(x, {"unknown rating word": rating.isNull()}).select(
+        "page", "pos", "title", "price", rating.alias("rating"), REASON)
+
+
 def countries(pages: DataFrame) -> DataFrame:
     """Page-wide lists zipped by position; unequal lengths fail the job."""
     return extract_lists(pages, specs.COUNTRIES, keep=("page",), strict=True)
 
 
+def countries_checked(pages: DataFrame) -> DataFrame:
+    """``countries``; a page whose lists differ in length is a reject, and so are entries whose
+    figures are no numbers."""
+    spec = replace(specs.COUNTRIES, fields=tuple(
+        f if f.post is None or f.name == "name" else replace(f, post=None) for f in specs.COUNTRIES.fields))
+    x = extract_lists_checked(pages, spec, keep=("page",))
+    figures = ("population", "area")
+    bad = {f"{c}: not a number": not_a(c, "double") for c in figures}
+    marked = with_reason(x.withColumnRenamed(REASON, "_page_reason"), bad)
+    return marked.withColumn(REASON, F.coalesce("_page_reason", REASON)).drop("_page_reason") \
+        .withColumns({c: lenient(c, "double") for c in figures})
+
+
+#: Typed cells of a team row: name -> (type, blank counts as 0).
+_TEAM_CELLS = {"year": ("int", False), "wins": ("int", False), "losses": ("int", False), "ot_losses": ("int", True),
+               "win_pct": ("double", True), "gf": ("int", False), "ga": ("int", False), "diff": ("int", False)}
+
+
+def team_checked(pages: DataFrame, keep=("page",)) -> DataFrame:
+    """``team_table`` with a ``reason`` that names every cell which is no number."""
+    x = extract(pages, specs.TEAM_TABLE, keep=keep)
+    texts = {c: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("0")) if blank else F.trim(c)
+             for c, (_, blank) in _TEAM_CELLS.items()}
+    marked = with_reason(x, {f"{c}: not a number": not_a(texts[c], to) for c, (to, _) in _TEAM_CELLS.items()})
+    return marked.select(*keep, "pos", "name",
+                         *[lenient(texts[c], to).alias(c) for c, (to, _) in _TEAM_CELLS.items()], REASON)
+
+
 def team_table(pages: DataFrame, keep=("page",)) -> DataFrame:
     """B07 + C09 (empty -> 0 for OT losses and win %) + C10 (strict casts)."""
     x = extract(pages, specs.TEAM_TABLE, keep=keep)
@@ -86,14 +126,29 @@ def quote_lists(pages: DataFrame) -> DataFrame:
     return extract_lists(pages, specs.QUOTE_LISTS, keep=("page",), strict=True)
 
 
+def quotes_in_order(pages: DataFrame, base: str, starts: DataFrame | None = None) -> DataFrame:
+    """Quotes as a reader of the page chain sees them: ``start_url, depth, pos`` and the
+    fields. ``pages`` has ``url, html``; ``base`` is put in front of every url and link, '' for
+    none. ``starts`` (url) are the pages where reading begins, by default those that no page
+    links to."""
+    absolute = pages.withColumn("url", prefix_url("url", base))
+    links = extract(absolute.select("url", "html"), specs.NEXT_LINK, keep=("url",))
+    walk = chain_order(links.select("url", prefix_url("next_href", base).alias("next_url")), starts)
+    found = extract(absolute.select("url", "html"), specs.QUOTE, keep=("url",))
+    return walk.join(found, "url").select("start_url", "depth", "pos", "text", "author",
+                                          F.array_join("tags", ", ").alias("tags"))
+
+
 def route_blocked(pages: DataFrame, url: str = "url", html: str = "html",
                   marker: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(pages to extract, reject table). A blocked page gives no record; the reject
-    table keeps its columns but the html, and why it was blocked, for another capture."""
-    blocked = is_blocked(html, url)
+    table keeps its columns but the html, and why it was blocked, for another capture. Pages
+    without a column ``url`` are judged by their html."""
+    at = F.col(url) if url in pages.columns else F.lit("")
+    blocked = is_blocked(html, at)
     if marker:
         blocked = blocked | F.coalesce(F.col(html).contains(marker), F.lit(False))
-    reason = F.when(is_blocked(html, url), F.lit("captcha")).otherwise(F.lit("marker"))
+    reason = F.when(is_blocked(html, at), F.lit("captcha")).otherwise(F.lit("marker"))
     return pages.filter(~blocked), pages.filter(blocked).withColumn("reason", reason).drop(html)
 
 

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from gleanspark.sources.tables import _exists as exists
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 skip_empty: bool = True, partition_by: list[str] | None = None) -> bool:
@@ -72,6 +74,67 @@ def write_views(views, root: str, fmt: str = "parquet",
     return out
 
 
+def write_suite(suite, root: str, fmt: str = "parquet", order_col: str = "view_order") -> dict[str, str]:
+    """The views of a suite, those of one base in one job, to ``root/<base>/view=<view>/``;
+    name -> folder.
+
+    A row of the base carries the array of the views it belongs to, with its sort values in
+    each; exploded, rows are dealt by range of (view, sort values) and written partitioned by
+    view. So the base is read once, a large view spreads over tasks and files, and
+    ``order_col`` rises in its order. Views with a limit come in as their first rows. Sort
+    columns are numbers. Views that are no selection (counts, extra columns) have a job each.
+    """
+    groups, out = {}, {}
+    for name in suite:
+        view = suite.definition(name)
+        groups.setdefault(id(view.base) if view else name, []).append(name)
+    for g, names in enumerate(groups.values()):
+        folder = f"{root.rstrip('/')}/{view_folder(names[0]) if len(names) == 1 else f'views_{g}'}"
+        if len(names) == 1:
+            df = suite[names[0]].withColumn(order_col, F.monotonically_increasing_id())
+            write_table(df, folder, fmt=fmt, skip_empty=False)
+            out[names[0]] = folder
+        else:
+            _write_group({n: suite.definition(n) for n in names}, folder, fmt, order_col)
+            out |= {n: f"{folder}/view={view_folder(n)}" for n in names}
+    return out
+
+
+def _write_group(views: dict, folder: str, fmt: str, order_col: str) -> None:
+    width = max(len(v.by) for v in views.values())
+    first = next(iter(views.values()))
+
+    def membership(name: str, view):
+        keys = []
+        for c, d in view.by:                                 # falling: negated; NULL stands last
+            value = F.col(c).cast("double")
+            keys += [F.col(c).isNull(), F.coalesce(-value if d == "desc" else value, F.lit(0.0))]
+        keys += [F.lit(False), F.lit(0.0)] * (width - len(view.by))
+        return F.struct(F.lit(view_folder(name)).alias("view"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
+
+    def rows_of(base: DataFrame, members: list) -> DataFrame:
+        found = F.filter(F.array(*members), lambda m: m.isNotNull())
+        return base.select("*", F.inline(found))
+
+    whole = [F.when(F.lit(True) if v.where is None else v.where, membership(n, v))
+             for n, v in views.items() if v.limit is None]
+    parts = [rows_of(first.base, whole)] if whole else []
+    parts += [rows_of(v.frame(), [membership(n, v)]) for n, v in views.items() if v.limit is not None]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    key = next((v.key for v in views.values() if v.by), None)
+    order = ["view", *[f"_k{i}" for i in range(2 * width)], *([key] if key else [])]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = dealt.withColumn(order_col, F.monotonically_increasing_id()).drop(*order[1:2 * width + 1])
+    w = dealt.write.mode("overwrite").partitionBy("view")
+    (w.option("header", True) if fmt == "csv" else w).format(fmt).save(folder)
+    for name in views:                                       # a view without rows is an empty table
+        path = f"{folder}/view={view_folder(name)}"
+        if not exists(rows.sparkSession, path):
+            write_table(dealt.drop("view").limit(0), path, fmt=fmt, skip_empty=False)
+
+
 def cards_per_page(rows: DataFrame, pages: DataFrame, page: str = "page") -> DataFrame:
     """rows per page, zero for pages that gave none (left join from the pages)."""
     counts = rows.groupBy(page).agg(F.count(F.lit(1)).alias("cards"))

@@ -56,3 +56,25 @@ def test_view_order_survives_many_partitions(spark):
     paths = write_views({"Sorted": views.sort_view(df.repartition(5), [("v", "desc")])}, root)
     back = [r.v for r in spark.read.parquet(paths["Sorted"]).orderBy("view_order").collect()]
     assert back == sorted(back, reverse=True) and len(back) == 5000
+
+
+def test_suite_in_one_job(spark):
+    """Every view of a base from one job, each equal to its query and in its order."""
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from gleanspark.operators import views
+    from gleanspark.sources.sinks import write_suite
+
+    base = spark.range(400).select(
+        F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.concat(F.lit("Gel Pen "), (F.col("id") % 7).cast("string")).alias("name"),
+        F.when(F.col("id") % 11 != 0, (F.col("id") * 37 % 500).cast("double")).alias("price_num"))
+    suite = views.product_views(base.select("name", "url"), base)
+    paths = write_suite(suite, tempfile.mkdtemp(prefix="gleanspark-suite-") + "/out")
+    assert set(paths) == set(suite) and len({p.rsplit("/view=", 1)[0] for p in paths.values()}) == 2     # one job a base
+    for name, path in paths.items():
+        got = spark.read.parquet(path).orderBy("view_order").drop("view_order")
+        rows, want = [tuple(r) for r in got.select(*suite[name].columns).collect()], [tuple(r) for r in suite[name].collect()]
+        by = suite.definition(name).by
+        assert (rows == want) if by else (sorted(rows, key=str) == sorted(want, key=str)), name
