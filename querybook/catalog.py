@@ -865,27 +865,31 @@ def _load_drops(spark, name, pages, n_drops, **load):
     import uuid
 
     from gleanspark.session import scratch_path
-    from gleanspark.streaming.incremental import incremental_load, read_sink
+    from gleanspark.streaming.incremental import incremental_load
     root = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     pages.write.partitionBy("drop").parquet(f"{root}/source")
     for i in range(n_drops):
         incremental_load(spark, f"{root}/source/drop={i}", pages.drop("drop").schema, f"{root}/sink",
                          f"{root}/checkpoint-{i}", **load)
-    return read_sink(spark, f"{root}/sink")
+    return f"{root}/sink"
 
 
-def stream_listing(spark, sf, n_drops: int = 3):
-    """Listing pages arrive in ``n_drops`` drops (page ranges in order); a streaming
-    load per drop extracts it, keeps the first card per URL and appends only URLs not
-    stored by an earlier drop."""
+def listing_drops(spark, sf, n_drops: int = 3):
+    """The sink of a load of listing pages that arrive in ``n_drops`` drops (page ranges in order)."""
     part = table(spark, sf, "part")
     lo, hi = part.agg(F.min("p_partkey"), F.max("p_partkey")).first()      # one row
     step = (hi // 40 - lo // 40) // n_drops + 1
     pages = render.listing_pages(part, url_by_name=True).withColumn(
         "drop", F.expr(f"cast((page - {lo // 40}) div {step} as int)"))
-    out = _load_drops(spark, "stream-listing", pages, n_drops, transform=lambda df: products.listing(df),
-                      key="url", order=["page", "pos"], skip_key="page")
-    return out.select("page", "pos", "name", "price", "price_num", "url")
+    return _load_drops(spark, "stream-listing", pages, n_drops, transform=lambda df: products.listing(df),
+                       key="url", order=["page", "pos"], skip_key="page")
+
+
+def stream_listing(spark, sf, n_drops: int = 3):
+    """A streaming load per drop extracts the listing pages, keeps the first card per
+    URL and appends only URLs not stored by an earlier drop."""
+    from gleanspark.streaming.incremental import read_sink
+    return read_sink(spark, listing_drops(spark, sf, n_drops)).select("page", "pos", "name", "price", "price_num", "url")
 
 
 register("stream_incremental", ORACLE["dedup_first"])(stream_listing)
@@ -1011,6 +1015,8 @@ def stream_details(spark, sf, n_drops: int = 3):
     extracts details, keeps one row per URL and appends URLs not stored yet. Failed
     pages are stored with ``extract_ok`` false (they count as done, E04)."""
     part, li, supp = (table(spark, sf, t) for t in ("part", "lineitem", "supplier"))
+    from gleanspark.streaming.incremental import read_sink
     pages = render.detail_pages(part, li, supp).withColumn("drop", F.pmod(F.hash("url"), F.lit(n_drops)))
-    return _load_drops(spark, "stream-details", pages, n_drops, transform=lambda df: products.detail_table(df),
-                       key="url", order=[~F.col("extract_ok")], skip_key="url")
+    return read_sink(spark, _load_drops(
+        spark, "stream-details", pages, n_drops, transform=lambda df: products.detail_table(df),
+        key="url", order=[~F.col("extract_ok")], skip_key="url"))

@@ -219,3 +219,183 @@ FROM (SELECT DISTINCT user_id FROM events) u""")
 def q_quote_lists(spark, sf):
     """B04 + B06: page-wide texts and authors as read, zipped by position."""
     return sites.quote_lists(render.quote_pages(table(spark, sf, "events")))
+
+
+# ---------------------------------------------------------------------------
+# Elements inside elements of their kind, attributes without quotes
+
+@register("nested_team_rows", """
+SELECT s_suppkey // 25 AS page,
+  CAST(row_number() OVER (PARTITION BY s_suppkey // 25 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos,
+  s_name || ' nation ' || CAST(s_nationkey AS VARCHAR) || 'key ' || CAST(s_suppkey AS VARCHAR) || ' club' AS name,
+  s_nationkey + 1990 AS year, s_nationkey + 10 AS wins, s_nationkey AS losses, 0 AS ot_losses, CAST(0.5 AS DOUBLE) AS win_pct,
+  s_nationkey * 3 AS gf, s_nationkey * 2 AS ga, s_nationkey AS diff
+FROM supplier""")
+def q_nested_team_rows(spark, sf):
+    """Rows and cells that hold a table of their own, unclosed and unquoted."""
+    return sites.team_table(render.nested_team_pages(table(spark, sf, "supplier")))
+
+
+@register("menu_items", """
+WITH s AS (SELECT s_suppkey // 50 AS page, s_suppkey // 10 AS menu, s_suppkey, s_name FROM supplier),
+items AS (
+  SELECT page, menu, -1 AS k, 'Group ' || CAST(menu AS VARCHAR) || ' ' || string_agg(s_name, ' ' ORDER BY s_suppkey) || ' end' AS text,
+         '/s/' || CAST(min(s_suppkey) AS VARCHAR) || '?a=1&b=2' AS href, count(*) AS links FROM s GROUP BY page, menu
+  UNION ALL SELECT page, menu, s_suppkey, s_name, '/s/' || CAST(s_suppkey AS VARCHAR) || '?a=1&b=2', 1 FROM s)
+SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY menu, k) - 1 AS INTEGER) AS pos, text, href, links
+FROM items""")
+def q_menu_items(spark, sf):
+    """Every item of a menu of menus, outer items with all they hold, first link and
+    number of links."""
+    from gleanspark.operators.extract import ExtractSpec, Field, extract
+    spec = ExtractSpec("menu", card="nav li.item", fields=(
+        Field("text", None), Field("href", "a", attr="href"), Field("links", 'a[href*="?a=1&b"]', attr="href", many=True)))
+    got = extract(render.menu_pages(table(spark, sf, "supplier")), spec, keep=("page",))
+    return got.withColumn("links", F.size("links").cast("long"))
+
+
+# ---------------------------------------------------------------------------
+# Rejects, suites in one pass, measured skew, buckets, the run log, streams
+
+def _soiled_teams(spark, sf):
+    """Team pages on which every seventh supplier's wins are no number."""
+    pages = render.team_pages(table(spark, sf, "supplier"))
+    marked = F.regexp_replace("html", r'(Supplier#\d*[07]\b(?:(?!<td class="wins">)[\s\S])*<td class="wins">)\s*', "$1x")
+    return pages.withColumn("html", marked)
+
+
+@register("team_rejects", f"""
+SELECT CAST(page AS VARCHAR) AS page, pos, 'wins: not a number' AS reason
+FROM ({_TEAM_SQL}) t WHERE regexp_matches(name, '[07]$')""")
+def q_team_rejects(spark, sf):
+    """C10 without a stop: the rows whose wins are no number, with the reason."""
+    from gleanspark.operators.rejects import split
+    return split(sites.team_checked(_soiled_teams(spark, sf)))[1]
+
+
+@register("team_accepted", f"SELECT * FROM ({_TEAM_SQL}) t WHERE NOT regexp_matches(name, '[07]$')")
+def q_team_accepted(spark, sf):
+    """The good rows of the same pages."""
+    from gleanspark.operators.rejects import split
+    return split(sites.team_checked(_soiled_teams(spark, sf)))[0]
+
+
+@register("list_rejects", """
+WITH p AS (SELECT user_id // 10 AS page, count(DISTINCT user_id) AS n FROM events GROUP BY 1)
+SELECT CAST(page AS VARCHAR) AS page, CAST(NULL AS INTEGER) AS pos,
+  'lists differ in length: text ' || CAST(n AS VARCHAR) || ', author ' || CAST(n - 1 AS VARCHAR) AS reason
+FROM p WHERE page % 3 = 0""")
+def q_list_rejects(spark, sf):
+    """B06 without a stop: pages whose lists differ in length (one author is missing on every
+    third page)."""
+    from gleanspark.operators.extract import extract_lists_checked
+    from gleanspark.operators.rejects import split
+    from gleanspark.plans.specs import QUOTE_LISTS
+    pages = render.quote_pages(table(spark, sf, "events")).withColumn("html", F.when(
+        F.col("page") % 3 == 0, F.expr("concat(substring_index(html, 'class=\"author\"', 1), 'class=\"lost\"', "
+                                       "substring(html, length(substring_index(html, 'class=\"author\"', 1)) + 15))"))
+        .otherwise(F.col("html")))
+    return split(extract_lists_checked(pages, QUOTE_LISTS, keep=("page",)))[1]
+
+
+@register("suite_in_one_pass", f"""
+WITH {_BOOK_CTE}, priced AS (SELECT * FROM clean WHERE current_price_num IS NOT NULL),
+v AS (SELECT 'cheapest' AS view, * FROM priced
+      UNION ALL SELECT 'most_expensive', * FROM priced
+      UNION ALL SELECT 'top_rated', * FROM clean WHERE ratings_count IS NOT NULL
+      UNION ALL SELECT 'under_200', * FROM priced WHERE current_price_num < 200
+      UNION ALL SELECT 'above_500', * FROM priced WHERE current_price_num > 500)
+SELECT *, row_number() OVER (PARTITION BY view ORDER BY
+    CASE WHEN view = 'most_expensive' THEN -current_price_num WHEN view = 'top_rated' THEN -ratings_count
+         ELSE current_price_num END NULLS LAST, url) AS place
+FROM v""")
+def q_suite_in_one_pass(spark, sf):
+    """Views of the bookstore suite written by one job and read back; ``place`` is the
+    place of each row in its view, by the order column the writer left."""
+    from pyspark.sql import Window
+
+    from gleanspark.sources.sinks import write_suite
+    raw = sites.books_raw(render.book_pages(table(spark, sf, "part")))
+    paths = write_suite(views.book_views(raw, sites.books_clean(raw)), _folder(spark, "suite"))
+    root = paths["Cheapest"].rsplit("/", 1)[0]
+    got = spark.read.parquet(root).filter(F.col("view").isin(
+        "cheapest", "most_expensive", "top_rated", "under_200", "above_500"))
+    # a look at the order for the compare only: one window per view
+    return got.withColumn("place", F.row_number().over(
+        Window.partitionBy("view").orderBy("view_order")).cast("long")).drop("view_order")
+
+
+@register("shared_keys", """
+SELECT e.event_id, e.event_type, t.n, t.first_ts FROM events e
+LEFT JOIN (SELECT event_type, count(*) AS n, min(ts) AS first_ts FROM events WHERE event_type < 'p' GROUP BY 1) t
+  ON t.event_type = e.event_type""")
+def q_shared_keys(spark, sf):
+    """A join on a key of few values; those that hold many rows are measured and dealt over
+    shares (a share is a hundredth of the table)."""
+    from gleanspark.operators.skew import salted_join
+    e = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    types = e.filter("event_type < 'p'").groupBy("event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"))
+    share = max(1, e.count() // 100)
+    return salted_join(e.drop("ts"), types, "event_type", spread="event_id", rows_per_share=share)
+
+
+def recent_deliveries(spark, sf, n_drops: int = 3, delay_days: int = 2):
+    """(rows, state of every batch) of a stream of events in drops by time, in which every
+    event comes once more one drop later, and those whose id 50 divides come in a last drop only."""
+    from gleanspark.streaming.recent import load_recent
+    root = _folder(spark, "recent")
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    lo, hi = e.agg(F.min("ts"), F.max("ts")).first()         # one row
+    at = ((F.unix_micros("ts") - F.unix_micros(F.lit(lo))) * n_drops
+          / (F.unix_micros(F.lit(hi)) - F.unix_micros(F.lit(lo)) + 1)).cast("int")
+    last = F.col("event_id") % 50 == 0
+    sent = e.withColumn("drop", F.explode(F.when(last, F.array(F.lit(n_drops))).otherwise(F.array(at, at + 1))))
+    state = []
+    for i in range(n_drops + 1):
+        sent.filter(F.col("drop") == i).drop("drop").write.mode("append").parquet(f"{root}/source")
+        state += load_recent(spark, f"{root}/source", e.schema, f"{root}/sink", f"{root}/checkpoint",
+                             ["event_id"], "ts", f"{delay_days} days")
+    return spark.read.schema(e.schema).parquet(f"{root}/sink"), state
+
+
+@register("stream_recent", """
+WITH w AS (SELECT max(ts) - INTERVAL 2 DAY AS mark FROM events WHERE event_id % 50 <> 0)
+SELECT event_id, user_id, event_type, epoch_us(ts) AS ts_us FROM events, w
+WHERE event_id % 50 <> 0 OR date_trunc('millisecond', ts) > date_trunc('millisecond', mark)""")
+def q_stream_recent(spark, sf):
+    """Streaming keep-first with a watermark. Events delivered again are dropped, first
+    deliveries behind the watermark are late."""
+    return recent_deliveries(spark, sf)[0].select("event_id", "user_id", "event_type", F.unix_micros("ts").alias("ts_us"))
+
+
+@register("stream_run_log", f"""
+WITH l AS ({ORACLE['listing_extract']}), u AS ({ORACLE['dedup_first']}),
+b AS (SELECT min(p_partkey) // 40 AS lo, (max(p_partkey) // 40 - min(p_partkey) // 40) // 3 + 1 AS step FROM part)
+SELECT (SELECT count(DISTINCT p_partkey // 40) FROM part) AS pages_read, (SELECT count(*) FROM u) AS kept,
+  CAST(0 AS BIGINT) AS rejected, (SELECT count(DISTINCT (page - lo) // step) FROM l, b) AS batches""")
+def q_stream_run_log(spark, sf):
+    """The run log of a load in drops, summed: pages read, rows kept and rejected, batches."""
+    from gleanspark.streaming.incremental import read_log
+    from querybook.catalog import listing_drops
+    return read_log(spark, listing_drops(spark, sf)).agg(
+        F.sum("pages_read").alias("pages_read"), F.sum("kept").alias("kept"), F.sum("rejected").alias("rejected"),
+        F.count("*").alias("batches"))
+
+
+@register("resume_bucketed", """
+SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-16'
+UNION ALL SELECT event_id, value FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_id % 2 = 0""")
+def q_resume_bucketed(spark, sf):
+    """A re-captured batch anti-joined with a stored table in buckets of its key,
+    and the stored rows that a second table names."""
+    from gleanspark.sources.bucketed import open_bucketed, write_bucketed
+    e = table(spark, sf, "events").select("event_id", "ts", "value")
+    stored = e.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).select("event_id", "value")
+    name, path = f"stored_{uuid.uuid4().hex}", _folder(spark, "stored")
+    write_bucketed(stored, name, path, "event_id", 8)
+    kept = open_bucketed(spark, name, path, stored.schema, "event_id", 8)
+    new = e.filter(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz")).select("event_id", "value")
+    fresh = new.join(kept, "event_id", "left_anti")
+    out = fresh.unionByName(kept.join(e.filter("event_id % 2 = 0").select("event_id"), "event_id", "left_semi"))
+    spark.sql(f"DROP TABLE {name}")                          # external: its files stay
+    return out

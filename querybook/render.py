@@ -168,6 +168,35 @@ def team_pages(supplier: DataFrame, per_page: int = 25) -> DataFrame:
                        "</table><p>Per page</p></body></html>")
 
 
+def nested_team_pages(supplier: DataFrame, per_page: int = 25) -> DataFrame:
+    """Team pages as old sites write them: attributes without quotes, cells and rows that are
+    never closed, and a table of two rows inside every name cell."""
+    row = F.concat(
+        F.lit("\n<tr class=team><td class=name>"), esc("s_name"),
+        F.lit(" <table><tr class=home><td class=from>nation "), F.col("s_nationkey").cast("string"),
+        F.lit("<tr><td>key "), F.col("s_suppkey").cast("string"), F.lit("</table> club"),
+        *[x for cls, v in (("year", F.col("s_nationkey") + 1990), ("wins", F.col("s_nationkey") + 10),
+                           ("losses", F.col("s_nationkey")), ("ot-losses", F.lit("")), ("pct", F.lit("0.5")),
+                           ("gf", F.col("s_nationkey") * 3), ("ga", F.col("s_nationkey") * 2),
+                           ("diff", F.col("s_nationkey")))
+          for x in (F.lit(f"<td class={cls}>"), v.cast("string"))])
+    cards = supplier.select(F.floor(F.col("s_suppkey") / per_page).alias("page"), "s_suppkey", row.alias("card"))
+    return group_pages(cards, "page", "s_suppkey", "card", "<html><body><table class=table><tr><th>Team", "</table>")
+
+
+def menu_pages(supplier: DataFrame, per_page: int = 50, per_menu: int = 10) -> DataFrame:
+    """Pages of a menu of menus: an outer item names its group, holds a list of linked items
+    that are never closed, and goes on behind it."""
+    item = F.concat(F.lit("<li class='item sub'><a href=/s/"), F.col("s_suppkey").cast("string"), F.lit("?a=1&amp;b=2>"),
+                    esc("s_name"), F.lit("</a>"))
+    inner = supplier.select(F.floor(F.col("s_suppkey") / per_menu).alias("menu"), "s_suppkey", item.alias("card"))
+    menus = group_pages(inner, "menu", "s_suppkey", "card", "<ul>", "</ul>")
+    outer = menus.select((F.col("page") * per_menu / per_page).cast("long").alias("p"), F.col("page").alias("menu"),
+                         F.concat(F.lit("\n<li class=item>Group "), F.col("page").cast("string"), "html",
+                                  F.lit(" end</li>")).alias("card"))
+    return group_pages(outer, "p", "menu", "card", "<nav><ul id=top>", "</ul></nav><ul><li class=item>other</ul>")
+
+
 def country_pages(customer: DataFrame, nation: DataFrame, per_page: int = 50) -> DataFrame:
     """Pages of four page-wide parallel lists (B06), one page per nation and customer
     key bucket (at most ``per_page`` entries): quoted customer name, the nation's
