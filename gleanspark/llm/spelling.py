@@ -160,6 +160,21 @@ def build_tries(words: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFr
     return edges, starts
 
 
+def _possible() -> Column:
+    """What two letters of the word and of the label leave possible of a (state, edge) row:
+    nothing that ``advance`` would take is lost. An edge of one letter also needs a letter
+    ahead of its child that can follow, or a word that ends there."""
+    def ahead(c: str) -> str:
+        return f"(shiftright(ahead, ascii({c}) % 64) & 1) = 1"
+
+    a, b, x, y = ("substring(text, pos + 1, 1)", "substring(text, pos + 2, 1)",
+                  "substring(label, 1, 1)", "substring(label, 2, 1)")
+    spent = f"{x} = {a} and ({y} = {b} or ({y} = '' and (target is not null or {ahead(b)})))"
+    free = (f"{x} = {a} or {x} = {b} or ({y} <> '' and {y} in ({a}, {b})) "
+            f"or ({y} = '' and (target is not null or {ahead(a)} or {ahead(b)}))")
+    return F.expr(f"if(edits = 0, {free}, {spent})")
+
+
 _STATE = "back boolean, text string, pos int, node long, edits int, copies int, near string"
 
 
@@ -199,8 +214,7 @@ def neighbours(vocabulary: DataFrame, share: int = SHARE) -> DataFrame:
     states = starts.select("back", "text", "pos", "node", F.lit(0).alias("edits"), "copies")
     for at in range(2 ** 31):
         dealt = states.withColumn("copy", F.pmod(F.xxhash64("text"), F.col("copies")).cast("int")).drop("copies")
-        joined = dealt.join(edges, ["node", "copy"]).filter(
-            "edits = 0 or substring(text, pos + 1, 1) = substring(label, 1, 1)")
+        joined = dealt.join(edges, ["node", "copy"]).filter(_possible())
         out = materialize(joined.select("back", "text", "pos", "edits", "label", "child", "copies", "ahead", "target")
                           .mapInPandas(_advance, _STATE), f"frontier-{at}")
         found.append(out.filter("near is not null").select("back", "text", "near"))
