@@ -35,7 +35,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 #: Rows and bytes of whole texts that a Python worker is given at once.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 
 
 def bounded_batches(df: DataFrame) -> None:

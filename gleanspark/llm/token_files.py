@@ -63,7 +63,7 @@ class PieceIds(dict):
     marks behind letters are looked up on their own; anything else goes through all of it.
     """
 
-    def __init__(self, definition: bytes, entries: int = 300_000):
+    def __init__(self, definition: bytes, entries: int = 250_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -85,15 +85,17 @@ class PieceIds(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            if _LETTERS.fullmatch(piece):
-                written = piece.replace(" ", self.space) if piece.isascii() else piece.translate(self.written)
-                ids = array("I", [t.id for t in self.tokenize(written)]).tobytes()
+            if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
+                ids = array("I", [t.id for t in self.tokenize(self.space + piece[1:])]).tobytes()
+            elif _LETTERS.fullmatch(piece):
+                ids = array("I", [t.id for t in self.tokenize(piece.translate(self.written))]).tobytes()
             elif (parts := _MARKED.fullmatch(piece)) and not any(s in piece for s in self.specials):
                 ids = self[parts[1]] + self[parts[2]]
             else:
                 ids = array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
         if len(self) >= self.entries:
-            self.old = dict(self)
+            self.old.clear()
+            self.old.update(self)
             self.clear()
         if len(piece) <= 64:
             self[piece] = ids
