@@ -265,31 +265,33 @@ def elements_sql(fragment: str, step, first: bool = False, outermost: bool = Fal
         return f"transform({spans}, (s, j) -> named_struct('tag', {tag}, 'inner', {text}))"
 
     stacked = _let(f"split(concat(' ', {fragment}), {sql(_cuts(step))})", found)
-    return _simple(fragment, step, opens, first, stacked) if step.tag and inner else stacked
+    return _simple(fragment, step, opens, first, cards, stacked) if step.tag and inner else stacked
 
 
-def _simple(fragment: str, step, opens: str, first: bool, stacked: str) -> str:
+def _simple(fragment: str, step, opens: str, first: bool, cards: bool, stacked: str) -> str:
     """Elements that a regex delimits: where the next tag that matters ends each of them.
     ``stacked`` is for all other fragments."""
     around = SCOPES[step.tag].around if step.tag in SCOPES else (step.tag,)
-    nests = f"rlike {sql(f'(?i)^<(?:{"|".join(around)})$')}" if around else "= ''"
-    names = f"(?i:{_names_of(step)})(?=[\\s/>])"
+    names = rf"(?i:{_names_of(step)})(?=[\s/>])"
     if first:
-        found = f"regexp_extract({fragment}, {sql(f'(?s){opens}(.*?)(?={names})')}, 0)"
-        after = f"regexp_extract({fragment}, {sql(f'(?s){opens}.*?({names})')}, 1)"
-        return (f"IF({fragment} rlike {sql(f'(?s){opens}')}, {_let(after, lambda a: f'IF({a} = {sql("")} OR {a} {nests}, '
-                f'{stacked}, array({_parted(found, opens)}))')}, {_EMPTY})")
-    every = f"regexp_extract_all({fragment}, {sql(f'(?s)({opens}.*?)(?={names})')}, 1)"
-    after = f"regexp_extract_all({fragment}, {sql(f'(?s){opens}.*?(?=({names}))')}, 1)"
-    opened = f"size(regexp_extract_all({fragment}, {sql(f'(?s){opens}')}, 0))"
-    return (f"IF({fragment} rlike {sql(f'(?s){opens}')}, {_let(after, lambda a: f'IF(size({a}) < {opened} OR '
-            f'exists({a}, y -> y {nests}), {stacked}, transform({every}, t -> {_parted("t", opens)}))')}, {_EMPTY})")
-
-
-def _parted(element: str, opens: str) -> str:
-    """An opening tag with what follows, parted."""
-    tag = f"regexp_extract({element}, {sql(f'(?s)^{opens}')}, 0)"
-    return f"named_struct('tag', {tag}, 'inner', substring({element}, length({tag}) + 1))"
+        nests = sql(rf"(?i)<(?:{'|'.join(around)})$") if around else sql("(?!)")
+        found = f"regexp_extract({fragment}, {sql(f'(?s){opens}.*?{names}')}, 0)"
+
+        def one(f: str) -> str:
+            tag = f"regexp_extract({f}, {sql(f'(?s)^{opens}')}, 0)"
+            inside = f"regexp_replace(substring({f}, length({tag}) + 1), '</?[a-zA-Z0-9]+$', '')"
+            return (f"CASE WHEN {f} rlike {nests} OR ({f} = '' AND {fragment} rlike {sql(f'(?s){opens}')}) THEN {stacked} "
+                    f"WHEN {f} = '' THEN {_EMPTY} ELSE array(named_struct('tag', {tag}, 'inner', {inside})) END")
+
+        return _let(found, one)
+    nests = f"rlike {sql(f'(?i)^<(?:{"|".join(around)})$')}" if around else "= 'none'"
+    every = f"regexp_extract_all({fragment}, {sql(rf'(?s)({opens}.*?)(?={names}|\z)')}, 1)"
+    after = f"regexp_extract_all({fragment}, {sql(rf'(?s){opens}.*?(?=({names})|\z)')}, 1)"
+    tag = f"regexp_extract(t, {sql(f'(?s)^{opens}')}, 0)"
+    if cards:                                                # one that never ends has ends of its own
+        nests = f"{nests} OR y = ''"
+    return (f"IF(exists({after}, y -> y {nests}), {stacked}, transform({every}, t -> "
+            f"named_struct('tag', {tag}, 'inner', substring(t, length({tag}) + 1))))")
 
 
 def select_sql(fragment: str, steps, first: bool = False, outermost: bool = False, inner: bool = True) -> str:
