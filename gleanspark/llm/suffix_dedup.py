@@ -17,8 +17,13 @@ round 3  Only for anchors with several classes the windows themselves are taken,
          the first block of each class, and sorted by the pair (rank of the first half at p,
          rank at p + offset). Past the threshold now: all but the first of equal pairs repeat.
          Equal windows share their anchor, so the bytes of the blocks meet by anchor (140
-         bytes instead of 41 pairs) and the pairs are sorted inside the task. Anchors with
-         over ``SMALL`` blocks send the pairs themselves to a sort, so no task holds them.
+         bytes instead of 41 pairs) and the pairs are sorted inside the task.
+
+An anchor with over ``SMALL`` classes, too many for one task, has its blocks ranked anew by a
+longer prefix: they are cut again, at anchors of four fifths of ``length``, and rounds 2 and 3
+are run on these parts, about one for 8 windows. A string of 20 bytes that many texts share
+stands in different surroundings, so nearly all longer anchors are unique and done. Only parts
+whose longer anchor has over ``SMALL`` classes again send the pairs themselves to a sort.
 
 Ranks are 64-bit hashes, so ranking needs no second pass; a pair has 128 bits. Blocks that
 repeat within 16 MB of a task's text are settled there and only the first is shuffled: a
@@ -42,7 +47,7 @@ from gleanspark.llm.shingles import mix, odd_constants
 
 GRAM = 20                       # bytes of the anchor's prefix
 _COUNT = (1 << 31) - 1
-SMALL = 2048                    # blocks of one anchor compared inside a task
+SMALL = 2048                    # classes of one anchor compared inside a task
 GROUP_BYTES = 1 << 18           # bytes hashed together: arrays stay in the cache
 
 
@@ -72,7 +77,7 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[:-(w - have)], x[w - have:]) if w > have else x
 
 
-def blocks(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+def blocks(texts: list[bytes], length: int, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
     """Groups of (text number, first window, windows, anchor, class) as parallel arrays."""
     group: list[int] = []
     held = 0
@@ -80,20 +85,20 @@ def blocks(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
         if len(t) < length:
             continue
         if group and held + len(t) > GROUP_BYTES:
-            yield _blocks_of(texts, group, length)
+            yield _blocks_of(texts, group, length, gram)
             group, held = [], 0
         group.append(k)
         held += len(t)
     if group:
-        yield _blocks_of(texts, group, length)
+        yield _blocks_of(texts, group, length, gram)
 
 
-def _blocks_of(texts, group, length):
+def _blocks_of(texts, group, length, gram):
     joined = b"".join(texts[k] for k in group)
     sizes = np.array([len(texts[k]) for k in group])
     starts = np.cumsum(sizes) - sizes
-    grams = ranks(np.frombuffer(joined, "uint8"), GRAM, 11)
-    anchor = sliding_min(grams, length - GRAM + 1)           # one per window, text borders ignored
+    grams = ranks(np.frombuffer(joined, "uint8"), gram, 11)
+    anchor = sliding_min(grams, length - gram + 1)           # one per window, text borders ignored
     new = np.ones(len(anchor) + 1, bool)                     # a block starts at window p
     new[1:-1] = (grams[:len(anchor) - 1] == anchor[:-1]) | (anchor[1:] < anchor[:-1])
     new[starts] = True
@@ -115,19 +120,18 @@ def _pack(start, n, repeat):
     return (start.astype("int64") << 32) | (n.astype("int64") << 1) | repeat
 
 
-def _found(batch: pd.DataFrame, length: int) -> pd.DataFrame:
-    """The blocks of a batch: the first of each class, and runs of those that repeat it."""
-    batch = batch.sort_values("_id", kind="stable")
-    texts = [t.encode("utf-8") for t in batch["_text"]]
-    parts = list(blocks(texts, length))
+def _found(ids: np.ndarray, texts: list[bytes], offset: np.ndarray, length: int, gram: int) -> pd.DataFrame:
+    """The blocks of texts in ascending (id, offset), and the bytes of each: the first of each
+    class, and runs (without bytes) of those that repeat it. ``offset`` is what a text is cut off at."""
+    parts = list(blocks(texts, length, gram))
     if not parts:
-        return pd.DataFrame({"_id": [], "at": [], "anchor": [], "cls": []})
-    of, start, n, anchor, cls = (np.concatenate(c) for c in zip(*parts))
+        return pd.DataFrame({"_id": [], "at": [], "anchor": [], "cls": [], "body": []})
+    of, first, n, anchor, cls = (np.concatenate(c) for c in zip(*parts))
+    start = first + offset[of]
     order = np.argsort(anchor ^ mix(cls), kind="stable")     # equal blocks side by side, in order
     a, c = anchor[order], cls[order]
     same = np.concatenate([[False], (a[1:] == a[:-1]) & (c[1:] == c[:-1])])
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    ids = batch["_id"].to_numpy()
     lead = order[head]
     later = same & ((ids[of[order]] != ids[of[lead]]) | (start[order] != start[lead]))
     repeat = np.zeros(len(order), bool)
@@ -140,12 +144,16 @@ def _found(batch: pd.DataFrame, length: int) -> pd.DataFrame:
     run_first = idx[runs]
     run_n = np.add.reduceat(n[idx], runs) if len(idx) else np.empty(0, "int64")
     rest = ~repeat
+    tail = length - 1
+    body = [texts[k][b:b + m + tail] for k, b, m in zip(of[rest].tolist(), first[rest].tolist(), n[rest].tolist())] \
+        if gram != GRAM else [None] * rest.sum()             # whole texts meet their blocks again
     return pd.DataFrame({
         "_id": np.concatenate([ids[of[rest]], ids[of[run_first]]]),
         "at": np.concatenate([_pack(start[rest], n[rest], 0), _pack(start[run_first], run_n, 1)]),
         # a run takes part in no class: a key of its own
         "anchor": np.concatenate([anchor[rest], anchor[run_first] ^ np.uint64(0xA5A5)]).astype("int64"),
-        "cls": np.concatenate([cls[rest], mix(cls[run_first] + np.uint64(1))]).astype("int64")})
+        "cls": np.concatenate([cls[rest], mix(cls[run_first] + np.uint64(1))]).astype("int64"),
+        "body": body + [None] * len(runs)})
 
 
 def removed_mask(size: int, start: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
@@ -195,33 +203,43 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """(joined, late): texts with their packed blocks, and the repeated windows of round 3."""
     id_type = dict(docs.dtypes)["_id"]
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def found(held: list[pd.DataFrame], gram: int) -> pd.DataFrame:
+        b = pd.concat(held).sort_values(["_id", "offset"], kind="stable")
+        out = _found(b["_id"].to_numpy(), b["_text"].tolist(), b["offset"].to_numpy("int64"), length, gram)
+        return out if gram != GRAM else out.drop(columns="body")
+
+    def scan(pieces: Iterator[pd.DataFrame], gram: int) -> Iterator[pd.DataFrame]:
         held, size = [], 0
-        for b in batches:                        # repeats are settled among 16 MB of text at once
+        for b in pieces:                         # repeats are settled among 16 MB of text at once
             held.append(b)
             size += b["_text"].str.len().sum()
             if size >= 16 << 20:
-                yield _found(pd.concat(held), length)
+                yield found(held, gram)
                 held, size = [], 0
         if held:
-            yield _found(pd.concat(held), length)
+            yield found(held, gram)
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return scan((b.assign(_text=[t.encode("utf-8") for t in b["_text"]], offset=0) for b in batches), GRAM)
 
     rows = (docs.filter("_id is not null and _text is not null").mapInPandas(
-        scan, f"_id {id_type}, at long, anchor long, cls long"))
-    # rounds 1 and 2 in one sort by (anchor, class, place)
+        whole, f"_id {id_type}, at long, anchor long, cls long"))
     here = F.struct("_id", "at")
-    by_class = Window.partitionBy("anchor", "cls").orderBy("_id", "at")
-    by_anchor = Window.partitionBy("anchor")
-    ranked = (rows.withColumn("lead", F.first(here).over(by_class))
-              .withColumn("lo", F.min("cls").over(by_anchor))
-              .withColumn("hi", F.max("cls").over(by_anchor))
-              .withColumn("size", F.count(F.lit(1)).over(by_anchor)))
-    again = (F.col("at") % 2 == 1) | (F.col("lead") != here)
-    marked = materialize(
-        ranked.withColumn("again", again).filter("again or lo != hi")
-        .select("_id", "again", (F.col("size") <= SMALL).alias("small"),
-                F.when(F.col("again"), F.col("at").bitwiseOR(F.lit(1))).otherwise(F.col("at")).alias("at"),
-                F.when(~F.col("again"), F.col("anchor")).alias("anchor")), "blocks")
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        """Rounds 1 and 2 in one sort by (anchor, class, place): ``again`` of what repeats,
+        ``size`` of the anchor in classes; anchors of one class are left out but for repeats."""
+        lead = F.first(here).over(Window.partitionBy("anchor", "cls").orderBy("_id", "at"))
+        again = (F.col("at") % 2 == 1) | (F.col("lead") != here)
+        size = F.sum(F.when(F.col("again"), 0).otherwise(1)).over(Window.partitionBy("anchor"))
+        return (rows.repartition("anchor").withColumn("lead", lead).withColumn("again", again)
+                .withColumn("size", size).filter("again or size > 1").withColumn("small", F.col("size") <= SMALL)
+                .drop("lead", "size", "cls"))
+
+    marked = materialize(ranked(rows).select(
+        "_id", "again", "small",
+        F.when(F.col("again"), F.col("at").bitwiseOR(F.lit(1))).otherwise(F.col("at")).alias("at"),
+        F.when(~F.col("again"), F.col("anchor")).alias("anchor")), "blocks")
     # at most one entry per window of the document; _open and _anchor run in parallel
     lists = marked.groupBy("_id").agg(
         F.collect_list(F.when(F.col("again"), F.col("at"))).alias("_at"),
@@ -241,37 +259,60 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
                             zip(_longs(anchor).tolist(), at.tolist(), start.tolist(), n.tolist())]
             yield pd.DataFrame(out, columns=["anchor", "_id", "at", "body"])
 
+    def late_rows(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.assign(late=True, r1=rows["at"], r2=np.arange(len(rows)))[["_id", "at", "late", "r1", "r2"]]
+
+    def windows(rows: pd.DataFrame) -> pd.DataFrame:
+        half = length // 2
+        start, n = _spans(rows["at"].to_numpy())
+        size, row = n + length - 1, np.repeat(np.arange(len(rows)), n)
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        byte = (np.cumsum(size) - size)[row] + inside
+        rank = ranks(np.frombuffer(b"".join(rows["body"]), "uint8"), half, 21)
+        return pd.DataFrame({"_id": rows["_id"].to_numpy()[row], "at": _pack(start[row] + inside, np.ones(len(row), "int64"), 1),
+                             "late": False, "r1": rank[byte].astype("int64"),
+                             "r2": rank[byte + length - half].astype("int64")})
+
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for b in batches:                        # sorted by anchor: whole anchors at a time
+            if b["again"].any():
+                yield late_rows(b[b["again"]])
+            if not b["small"].all() and len(large := b[~b["again"] & ~b["small"]]):
+                yield windows(large)
+            b = b[~b["again"] & b["small"]]
             held = b if held is None else pd.concat([held, b], ignore_index=True)
             open_ = (held["anchor"] == held["anchor"].iloc[-1]).to_numpy() if len(held) else ()
             if len(held) >= 4096 and not all(open_):
-                yield _late(held[~open_], length)
+                yield late_rows(_late(held[~open_], length))
                 held = held[open_]
         if held is not None and len(held):
-            yield _late(held, length)
+            yield late_rows(_late(held, length))
 
+    flags = f"_id {id_type}, at long, late boolean, r1 long, r2 long"
     met = (joined.mapInPandas(bodies, f"anchor long, _id {id_type}, at long, body binary")
-           .repartition("anchor").sortWithinPartitions("anchor", "_id", "at"))
-    late = met.mapInPandas(compare, f"_id {id_type}, at long")
-
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        half = length // 2
-        for b in batches:
-            for i, t, at in zip(b["_id"], b["_text"], b["_large"]):
-                if at is None or not len(at):
-                    continue
-                start, n = _spans(_longs(at))
-                p = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                rank = ranks(np.frombuffer(t.encode("utf-8"), "uint8"), half, 21)
-                yield pd.DataFrame({"_id": [i] * len(p), "at": _pack(p, np.ones(len(p), "int64"), 1),
-                                    "r1": rank[p].astype("int64"),
-                                    "r2": rank[p + length - half].astype("int64")})
-
-    pairs = joined.mapInPandas(windows, f"_id {id_type}, at long, r1 long, r2 long")
-    lead = F.first(here).over(Window.partitionBy("r1", "r2").orderBy("_id", "at"))
-    large = pairs.withColumn("lead", lead).filter(F.col("lead") != here).select("_id", "at")
+           .repartition("anchor").sortWithinPartitions("anchor", "_id", "at")
+           .withColumns({"again": F.lit(False), "small": F.lit(True)}))
+    late = met.mapInPandas(compare, flags).select("_id", "at")
+
+    def cut_anew(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def pieces() -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = []
+                for i, t, at in zip(b["_id"], b["_text"], b["_large"]):
+                    if at is not None and len(at):
+                        data, (start, n) = t.encode("utf-8"), _spans(_longs(at))
+                        out += [(i, data[s:s + m + length - 1], s) for s, m in zip(start.tolist(), n.tolist())]
+                if out:
+                    yield pd.DataFrame(out, columns=["_id", "_text", "offset"])
+
+        return scan(pieces(), length * 4 // 5)
+
+    parts = joined.mapInPandas(cut_anew, f"_id {id_type}, at long, anchor long, cls long, body binary")
+    pairs = (ranked(parts).sortWithinPartitions("anchor", "_id", "at")
+             .mapInPandas(compare, flags))
+    lead = F.first(here).over(Window.partitionBy("late", "r1", "r2").orderBy("_id", "at"))
+    large = pairs.withColumn("lead", lead).filter(F.col("late") | (F.col("lead") != here)).select("_id", "at")
     return joined, (late.unionByName(large).groupBy("_id").agg(F.collect_list("at").alias("_late")))
 
 

@@ -145,6 +145,33 @@ def test_suffix_matches_brute_force(spark, monkeypatch, parts, small):
     assert {r[0]: tuple(r[1:5]) for r in S.suffix_dedup(df).collect()} == brute_suffix(rows)
 
 
+@pytest.mark.parametrize("small, length", [(1, 100), (8, 100), (1, 41)])
+def test_suffix_common_anchors_are_ranked_anew(spark, monkeypatch, small, length):
+    """Strings that many texts share, shorter and longer than ``length``, in surroundings that repeat or not."""
+    monkeypatch.setattr(S, "SMALL", small)
+    rnd = random.Random(7)
+    word = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared, around = [word(30), word(90), word(130)], [word(60) for _ in range(5)]
+    rows = [(k, "".join(rnd.choice([rnd.choice(around), word(rnd.randint(1, 90))]) + rnd.choice(shared) for _ in range(4)))
+            for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r[0]: tuple(r[1:5]) for r in S.suffix_dedup(df, length=length).collect()} == brute_suffix(rows, length)
+
+
+def test_suffix_longer_anchors_are_few_and_unique():
+    """A string of 24 bytes in all texts, different text around it: cut anew, its windows make
+    under a fifth of the rows they would by themselves, and no anchor is left to compare."""
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("abcdefgh ") for _ in range(90)) + "the string of many texts"
+             + "".join(rnd.choice("abcdefgh ") for _ in range(90)) for _ in range(400)]
+    out = S._found(np.arange(400), [t.encode() for t in texts], np.zeros(400, "int64"), 100, 80)
+    windows = sum(len(t) - 99 for t in texts)
+    n = (out["at"].to_numpy() >> 1) & S._COUNT
+    assert n.sum() == windows
+    assert out["anchor"].is_unique and len(out) * 5 < windows
+    assert all(len(b) == m + 99 for m, b in zip(n, out["body"]))
+
+
 def test_suffix_matches_brute_force_on_documents(docs, pdocs):
     got = {r[0]: tuple(r[1:5]) for r in S.suffix_dedup(docs.repartition(6)).collect()}
     assert got == brute_suffix(list(zip(pdocs.doc_id.tolist(), pdocs.text)))
