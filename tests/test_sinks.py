@@ -78,3 +78,18 @@ def test_suite_in_one_job(spark):
         rows, want = [tuple(r) for r in got.select(*suite[name].columns).collect()], [tuple(r) for r in suite[name].collect()]
         by = suite.definition(name).by
         assert (rows == want) if by else (sorted(rows, key=str) == sorted(want, key=str)), name
+
+
+def test_suite_query_reads_its_pages_once(spark, monkeypatch):
+    """No view of suite_in_one_pass has the extraction from pages in its plan."""
+    from gleanspark.sources import sinks
+    from querybook.more import QUERIES
+    seen, write = [], sinks.write_suite
+
+    def looked_at(suite, root, **kw):
+        seen.extend(suite[n]._jdf.queryExecution().optimizedPlan().toString() for n in suite)
+        return write(suite, root, **kw)
+
+    monkeypatch.setattr(sinks, "write_suite", looked_at)
+    assert QUERIES["suite_in_one_pass"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(seen) == 12 and not any("Generate" in p or "Aggregate" in p for p in seen)
