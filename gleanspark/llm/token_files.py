@@ -48,6 +48,9 @@ BASES = 1_000_000
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 _LETTERS = re.compile(f" ?{_LETTER}+")
 _MARKED = re.compile(rf"( ?{_LETTER}+)([!-/:-@\[-`{{-~]+)")
+#: A comma or full stop that does not stand right behind a letter or digit. No pre-token goes
+#: from these to a mark, so texts without such a place may be cut before every one of the two.
+_LOOSE = re.compile(rf"[^{_LETTER[1:-1]}0-9][,.]")
 
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()),
@@ -63,7 +66,7 @@ class PieceIds(dict):
     marks behind letters are looked up on their own; anything else goes through all of it.
     """
 
-    def __init__(self, definition: bytes, entries: int = 250_000):
+    def __init__(self, definition: bytes, entries: int = 500_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -75,6 +78,7 @@ class PieceIds(dict):
         self.library.no_padding()
         self.tokenize = self.library.model.tokenize
         self.specials = [a["content"] for a in json.loads(definition).get("added_tokens", [])]
+        self.cut_marks = not any(c in s for s in self.specials for c in ",.")
         plain = ByteLevel(add_prefix_space=False, use_regex=False)
         # how the library writes bytes as characters, read from the library itself
         self.written = {ord(c): plain.pre_tokenize_str(c)[0][0] for c in map(chr, range(256))
@@ -102,15 +106,18 @@ class PieceIds(dict):
         return ids
 
     def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, _pieces(text))) if text else b""
+        return b"".join(map(self.__getitem__, _pieces(text, self.cut_marks))) if text else b""
 
 
-def _pieces(text: str) -> list[str]:
+def _pieces(text: str, marks: bool = False) -> list[str]:
     """White space with the word behind it. Texts whose only white space is single spaces and
-    newlines between words are cut without a regex."""
+    newlines between words are cut without a regex; with ``marks``, commas and full stops
+    behind words are pieces of their own there, so a word and its marked forms are one entry."""
     if ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\0" in text or text[-1] in " \n"
             or text[0] in " \n" or any(c in text for c in _OTHER_SPACE)):
         return _PIECE.findall(text)
+    if marks and text[0] not in ",." and not _LOOSE.search(text):
+        text = text.replace(",", "\0,").replace(".", "\0.")
     return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 

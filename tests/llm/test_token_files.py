@@ -55,6 +55,19 @@ def test_pieces_equal_whole_texts(library):
     assert len(memo) <= 50 and len(memo.old) <= 50
 
 
+def test_marked_words_share_one_entry(library):
+    """A word and the same word before a comma or full stop; where marks stand elsewhere the ids are the library's too."""
+    with open(PATH, "rb") as f:
+        memo = token_files.PieceIds(f.read())
+    memo.of("a plain, plain. plain\nplain, 3.5, 4")
+    assert " plain" in memo and "," in memo and not {" plain,", " plain.", "\nplain,"} & set(memo)
+    rnd = random.Random(4)
+    bits = ["a", "Zz", "é", "e\u0301", "日本", "'s", "12", "²", "!", ",", ".", "...", "—", "<|endoftext|>", "word"] + [" "] * 5 + ["\n", ",", "."]
+    for _ in range(3000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 12)))
+        assert np.frombuffer(memo.of(text), dtype="<u4").tolist() == library(text), ascii(text)
+
+
 def test_files_are_as_set(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     path = scratch(spark, "tokens")
