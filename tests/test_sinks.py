@@ -80,7 +80,7 @@ def test_suite_in_one_job(spark):
         assert (rows == want) if by else (sorted(rows, key=str) == sorted(want, key=str)), name
 
 
-def test_suite_query_reads_its_pages_once(spark, monkeypatch):
+def test_suite_query_reads_its_pages_once(spark, monkeypatch, tmp_path):
     """No view of suite_in_one_pass has the extraction from pages in its plan."""
     from gleanspark.sources import sinks
     from querybook.more import QUERIES
@@ -91,5 +91,10 @@ def test_suite_query_reads_its_pages_once(spark, monkeypatch):
         return write(suite, root, **kw)
 
     monkeypatch.setattr(sinks, "write_suite", looked_at)
-    assert QUERIES["suite_in_one_pass"](spark, "/root/testdata/sf0.001").count() > 0
+    types = ("STANDARD", "ECONOMY", "PROMO", "LARGE", "SMALL", "MEDIUM")
+    spark.createDataFrame([(k, f"part {k}", types[k % 6], "Brand#1", k % 50 + 1, 900.0 + k) for k in range(60)],
+                          "p_partkey long, p_name string, p_type string, p_brand string, p_size int, p_retailprice double"
+                          ).write.parquet(f"{tmp_path}/part.parquet")
+    got = QUERIES["suite_in_one_pass"](spark, str(tmp_path)).groupBy("view").count()
+    assert {r["view"]: r["count"] for r in got.collect()}["cheapest"] == 40
     assert len(seen) == 12 and not any("Generate" in p or "Aggregate" in p for p in seen)
